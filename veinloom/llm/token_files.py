@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import struct
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -11,13 +13,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veinloom.llm.bpe import vocabulary
+from veinloom.llm.bpe import _BYTES, vocabulary
 from veinloom.llm.quality_classifier import in_chunks
 from veinloom.llm.storage import new_path, table
 
 END_ID = 2
 #: Pieces that a worker remembers; the store is emptied when it is full, so memory is bounded.
 MAX_PIECES = 500_000
+MAX_WORDS = 300_000
+#: Signs that form one pre-token when they stand together; no quotation mark, which may begin a contraction, and no "<",
+#: which may begin a special token.
+_SIGNS = ".,;:!?*$%&#|-"
 SCHEMA = "doc_id long, shard int, local_start long, n_tokens long, ids array<int>"
 ORC_OPTIONS = {
     "compression": "zstd",
@@ -44,6 +50,29 @@ class PieceEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        spec = json.loads(self.library.to_str())
+        pre = spec["pre_tokenizer"] or {}
+        #: Whether words can be cut off and given to the library's model directly.
+        self.plain = not spec["normalizer"] and pre.get("type") == "ByteLevel" and pre["use_regex"] and not pre["add_prefix_space"]
+
+    def parts(self, piece: str) -> tuple[str, str] | None:
+        """A blank (or none) with letters of a Latin alphabet, and the signs after them: two pre-tokens, of which the
+        second may be empty. None for all other pieces."""
+        word = piece.rstrip(_SIGNS)
+        if word[word[:1] == " " :].isalpha() and (word.isascii() or max(word) < "\u0180"):
+            return word, piece[len(word) :]
+        return None
+
+    def of_word(self, word: str) -> bytes:
+        ids = self.words.get(word)
+        if ids is None:
+            if len(self.words) > MAX_WORDS:
+                self.words.clear()
+            letters = word.replace(" ", "\u0120") if word.isascii() else word.encode("utf-8").decode("latin-1").translate(_BYTES)
+            tokens = self.library.model.tokenize(letters)
+            ids = self.words[word] = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+        return ids
 
     @staticmethod
     def cut(text: str) -> list[str]:
@@ -65,9 +94,15 @@ class PieceEncoder:
         if len(self.known) > MAX_PIECES:
             self.known.clear()
         known = self.known
-        new = list({p for pieces in cut for p in pieces}.difference(known))
-        for a in range(0, len(new), 10_000):
-            part = new[a : a + 10_000]
+        new = {p for pieces in cut for p in pieces}.difference(known)
+        rest = []
+        for p in new:
+            if self.plain and (two := self.parts(p)):
+                known[p] = self.of_word(two[0]) + self.of_word(two[1]) if two[1] else self.of_word(two[0])
+            else:
+                rest.append(p)
+        for a in range(0, len(rest), 2_000):
+            part = rest[a : a + 2_000]
             for p, e in zip(part, self.library.encode_batch_fast(part, add_special_tokens=False)):
                 known[p] = np.array(e.ids, dtype="<u4").tobytes()
         return [b"".join([known[p] for p in pieces]) for pieces in cut]
@@ -94,7 +129,7 @@ def write_tokens(documents: DataFrame, vocab_path: str, path: str, end_id: int =
         shard, at = TaskContext.get().partitionId(), 0
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1).to_pylist()
-            for a, b in in_chunks(texts, 1_000_000):
+            for a, b in in_chunks(texts, 300_000):
                 raw = [x + end for x in encoder.encode_batch(texts[a:b])]
                 sizes = np.array([len(x) // 4 for x in raw], dtype=np.int64)
                 offsets = np.zeros(len(raw) + 1, dtype=np.int32)
@@ -122,9 +157,10 @@ def digests(tokens: DataFrame) -> DataFrame:
     """n_tokens and the CRC-32 of each document's ids, computed from the ids that were read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _ENCODERS.clear()  # a worker that reads has no use for what it remembered when it wrote
         for batch in batches:
             lists = batch.column(2)
-            flat = lists.flatten().to_numpy(zero_copy_only=False).astype("<u4").tobytes()
+            flat = memoryview(lists.flatten().to_numpy(zero_copy_only=False).astype("<i4", copy=False)).cast("B")
             at = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))]) * 4
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(np.diff(at) // 4), pa.array([zlib.crc32(flat[a:b]) for a, b in zip(at[:-1], at[1:])], pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"]
