@@ -218,17 +218,28 @@ def signatures(documents: DataFrame, shingle: int = SHINGLE, percent: int = PERC
 _TASK = "task string, node long, part long, side int, text string"
 
 
-def block_links(rows: DataFrame, shingle: int, percent: int) -> DataFrame:
+class WordShingles:
+    """Makes the sets of word shingles of texts; one for each task, for what it remembers."""
+
+    def __init__(self, n: int = SHINGLE):
+        self.n = n
+
+    def maker(self) -> Callable[[list], list[np.ndarray]]:
+        known = _Words()
+        return lambda texts: shingle_sets(texts, known, self.n)
+
+
+def block_links(rows: DataFrame, shingles, percent: int) -> DataFrame:
     """Links (a, b) found in each task's block of rows; a block is bounded by how tasks are dealt."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = _Words()
+        sets_of = shingles.maker()
 
         def done(block: list[tuple]) -> pd.DataFrame | None:
             rows = list({r[1]: r for r in block}.values())
             if len(rows) < 2:
                 return None
-            sets = shingle_sets([r[4] for r in rows], known, shingle)
+            sets = sets_of([r[4] for r in rows])
             sides = np.array([r[3] for r in rows])
             links = tree_links(sets, np.array([r[2] for r in rows], dtype=np.int64), percent, sides if sides.any() else None)
             return pd.DataFrame({"a": [rows[i][1] for i, _ in links], "b": [rows[j][1] for _, j in links]}, dtype="int64") if links else None
@@ -248,6 +259,14 @@ def block_links(rows: DataFrame, shingle: int, percent: int) -> DataFrame:
     return rows.select("task", "node", "part", "side", "text").repartition("task").sortWithinPartitions("task").mapInPandas(run, "a long, b long")
 
 
+def key_clusters(rows: DataFrame) -> DataFrame:
+    """node and root of all nodes that are joined by common keys; rows: node, keys. Each key's nodes are linked to its
+    least node only, so a key that very many share gives no pairs; the one shuffle serves both the minimum and the join."""
+    keyed = rows.where(F.size("keys") > 0).select(F.explode("keys").alias("key"), "node").repartition("key")
+    first = keyed.groupBy("key").agg(F.min("node").alias("to"), F.max("node").alias("_last")).where("to <> _last").drop("_last")
+    return written(connected_components(keyed.join(first, "key").where("node <> to").select("node", "to")), "clusters")
+
+
 def near_components(documents: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles and component_id of every row.
 
@@ -256,31 +275,36 @@ def near_components(documents: DataFrame, shingle: int = SHINGLE, percent: int =
     Other columns are not read; an empty table gives no rows. Nodes are 64-bit hashes of whole sets.
     """
     rows = written(signatures(documents, shingle, percent), "sets")
-    keyed = rows.where(F.size("keys") > 0).select(F.explode("keys").alias("key"), "node").repartition("key")
-    first = keyed.groupBy("key").agg(F.min("node").alias("to"), F.max("node").alias("_last")).where("to <> _last").drop("_last")
-    clusters = written(connected_components(keyed.join(first, "key").where("node <> to").select("node", "to")), "clusters")
+    clusters = key_clusters(rows)
     sizes = clusters.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
     # One document stands for each node; only nodes with a possible partner are read again.
     chosen = rows.join(clusters, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     members = chosen.join(clusters, "node").join(sizes, "root").select("doc_id", "node", "root", "size")
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     members = written(members.join(texts, "doc_id").select("node", "root", "size", "text"), "members")
+    links = cluster_links(members, WordShingles(shingle), percent, block)
+    parts = connected_components(links)
+    least = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("_least"))
+    in_part = least.join(parts, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = in_part.join(in_part.groupBy("root").agg(F.min("_least").alias("component_id")), "root").select("node", "component_id")
+    return rows.join(named, "node", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def cluster_links(members: DataFrame, shingles, percent: int, block: int = BLOCK) -> DataFrame:
+    """Links that join what the threshold joins among the members (node, root, size, text) of clusters. Clusters within a
+    block are compared as one; larger ones in blocks with common pivots, then in pairs of blocks where parts remain."""
     blocks = F.ceil(F.col("size") / block).cast("int")
     own = F.pmod(F.xxhash64("node", F.lit(1)), blocks).cast("int")
     pivot = (F.pmod(F.xxhash64("node", F.lit(2)), F.col("size")) < PIVOTS) & (blocks > 1)
     dealt = members.withColumn("_k", F.explode(F.when(pivot, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(own))))
-    links = written(block_links(dealt.select(F.concat_ws(":", "root", "_k").alias("task"), "node", F.col("node").alias("part"), F.lit(0).alias("side"), "text"), shingle, percent), "links")
+    links = written(block_links(dealt.select(F.concat_ws(":", "root", "_k").alias("task"), "node", F.col("node").alias("part"), F.lit(0).alias("side"), "text"), shingles, percent), "links")
     large = members.where(F.col("size") > block)
     if large.limit(1).count():
-        links = links.unionByName(_rest_links(large, links, shingle, percent, block))
-    parts = connected_components(links)
-    least = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("_least"))
-    in_part = least.join(parts, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    named = in_part.join(in_part.groupBy("root").agg(F.min("_least").alias("component_id")), "root").select("node", "component_id")
-    return rows.join(named, "node", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+        links = links.unionByName(_rest_links(large, links, shingles, percent, block))
+    return links
 
 
-def _rest_links(large: DataFrame, links: DataFrame, shingle: int, percent: int, block: int) -> DataFrame:
+def _rest_links(large: DataFrame, links: DataFrame, shingles, percent: int, block: int) -> DataFrame:
     """What the dealt blocks cannot see: pairs of different components of a large cluster, one of them not in the largest."""
     parts = connected_components(links)
     nodes = large.join(parts.withColumnRenamed("root", "part"), "node", "left").withColumn("part", F.coalesce("part", "node"))
@@ -297,7 +321,7 @@ def _rest_links(large: DataFrame, links: DataFrame, shingle: int, percent: int,
     other = open_.where(~is_top).withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_rest") - 1)))
     other = other.withColumn("_i", F.least(mine, F.col("_o"))).withColumn("_j", F.greatest(mine, F.col("_o"))).withColumn("side", F.lit(0))
     task = lambda d, kind: d.select(F.concat_ws(":", F.lit(kind), "root", "_i", "_j").alias("task"), "node", "part", "side", "text")
-    return written(block_links(task(near, "t").unionByName(task(far, "t")).unionByName(task(other, "r")), shingle, percent), "links")
+    return written(block_links(task(near, "t").unionByName(task(far, "t")).unionByName(task(other, "r")), shingles, percent), "links")
 
 
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
