@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ("quality_classifier", "quality_rules", "bpe", "token_files", "jaccard_join", "decontamination", "warc", "pii", "line_dedup")
+_MODULES = ("quality_classifier", "quality_rules", "bpe", "token_files", "jaccard_join", "decontamination", "warc", "pii", "line_dedup", "unit_dedup")
 
 
 def queries() -> dict:
-    return {k: f for m in _MODULES for k, f in import_module(f"veinloom.llm.{m}").QUERIES.items()}
+    found = {k: f for m in _MODULES for k, f in import_module(f"veinloom.llm.{m}").QUERIES.items()}
+    return found | {"pipeline": import_module("corpus_pipeline").run}
 
 
 def oracle_sql() -> dict[str, str]:
