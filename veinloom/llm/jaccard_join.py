@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from veinloom.llm.components import connected_components
 from veinloom.llm.quality_classifier import in_chunks
-from veinloom.llm.storage import table, written
+from veinloom.llm.storage import delete_path, table, written, written_at
 
 SHINGLE = 3
 PERCENT = 90
@@ -267,6 +267,15 @@ def key_clusters(rows: DataFrame) -> DataFrame:
     return written(connected_components(keyed.join(first, "key").where("node <> to").select("node", "to")), "clusters")
 
 
+def rows_and_clusters(signed: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The rows without their keys, and the clusters of their keys; the keys' table goes as soon as nothing needs it."""
+    full, path = written_at(signed, "keys")
+    rows = written(full.select(*columns), "rows")
+    clusters = key_clusters(full)
+    delete_path(full.sparkSession, path)
+    return rows, clusters
+
+
 def near_components(documents: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles and component_id of every row.
 
@@ -274,8 +283,7 @@ def near_components(documents: DataFrame, shingle: int = SHINGLE, percent: int =
     equal sets are one node, whatever their ids; the component's name is the least doc_id in it (nulls do not count).
     Other columns are not read; an empty table gives no rows. Nodes are 64-bit hashes of whole sets.
     """
-    rows = written(signatures(documents, shingle, percent), "sets")
-    clusters = key_clusters(rows)
+    rows, clusters = rows_and_clusters(signatures(documents, shingle, percent), ["doc_id", "n", "node"])
     sizes = clusters.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
     # One document stands for each node; only nodes with a possible partner are read again.
     chosen = rows.join(clusters, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veinloom.llm.components import connected_components
-from veinloom.llm.jaccard_join import MAX_NODES_KNOWN, cluster_links, key_clusters, mix
+from veinloom.llm.jaccard_join import MAX_NODES_KNOWN, cluster_links, mix, rows_and_clusters
 from veinloom.llm.quality_classifier import in_chunks
 from veinloom.llm.storage import table, written
 
@@ -149,8 +149,7 @@ def removed_lines(documents: DataFrame, percent: int = PERCENT, block: int = BLO
     Of each component of lines, that of the least (doc_id, number) stays. Blank lines are never removed. Rows without an
     id are left alone; rows with the same id count as one document. Null and empty texts have no lines.
     """
-    rows = written(line_rows(documents), "lines")
-    clusters = key_clusters(rows)
+    rows, clusters = rows_and_clusters(line_rows(documents), ["doc_id", "idx", "node"])
     sizes = clusters.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
     at = F.struct("doc_id", "idx")
     chosen = rows.join(clusters, "node", "left_semi").groupBy("node").agg(F.min(at).alias("at")).select("at.doc_id", "at.idx", "node")

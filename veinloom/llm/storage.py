@@ -21,12 +21,17 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str, partitions_of: str | None = None) -> DataFrame:
+def written(df: DataFrame, name: str) -> DataFrame:
     """Writes df to the shared folder and reads it back: cuts the lineage and survives lost executors."""
+    return written_at(df, name)[0]
+
+
+def written_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The same, with the path, for tables that can go before the session ends."""
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
