@@ -6,6 +6,7 @@ import re
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The suffix rules of steps 2, 3 and 4 of the paper.
 STEP_2 = "ational ate|tional tion|enci ence|anci ance|izer ize|abli able|alli al|entli ent|eli e|ousli ous|ization ize|ation ate|ator ate|alism al|iveness ive|fulness ful|ousness ous|aliti al|iviti ive|biliti ble"
@@ -73,7 +74,7 @@ def stem_word(w: str) -> str:
     return w[:-1] if _measure(w) > 1 and _double(w) and w[-1] == "l" else w
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def stem(x: pd.Series) -> pd.Series:
     known: dict[str, str] = {}
 

@@ -9,6 +9,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 Text = Column | str
 
@@ -141,12 +142,12 @@ def term_long_enough(x: Text) -> Column:
     return (F.length(_c(x)) > 4) | (_c(x) == "sars")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfc(x: pd.Series) -> pd.Series:
     return x.map(lambda s: None if s is None else " ".join(unicodedata.normalize("NFC", s).split()))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff and Obershelp's ratio, as the standard library has it."""
     known: dict[tuple, float] = {}

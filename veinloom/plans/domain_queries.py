@@ -1 +1,295 @@
+"""The composite capabilities: dictionary matching, clean-up, mapping, alerts, and loads through files and streams."""
 
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from veinloom.functions import text as X
+from veinloom.operators import joins as J
+from veinloom.operators import matching as M
+from veinloom.operators import windows as W
+from veinloom.plans.base import ORACLES, QUERIES, day, money, query
+from veinloom.sources import readers as R
+from veinloom.streaming import incremental as I
+
+_WORDS = r"[\p{L}\p{N}\p{M}\p{Pc}]+"
+_TERMS = f"SELECT DISTINCT w[1] || ' ' || w[2] AS term FROM (SELECT regexp_extract_all(text, '{_WORDS}') AS w FROM benchmark) WHERE len(w) >= 2"
+#: Documents with the first words as title, then the statement, then the abstract.
+_PARTS = "SELECT doc_id AS \"row\", substring(text, 1, 60) AS title, substring(text, 61, 300) AS statement, substring(text, 361) AS abstract FROM documents"
+def _hit(s: str) -> str:
+    return f"contains({s}, term) AND len(list_filter(regexp_extract_all(term, '{_WORDS}'), lambda w: NOT list_contains(regexp_extract_all({s}, '{_WORDS}'), w))) = 0"
+
+
+def _count(s: str) -> str:
+    return f"CAST((length({s}) - length(replace({s}, term, ''))) / length(term) AS BIGINT)"
+
+
+def _terms(t) -> DataFrame:
+    w = X.tokens("text")
+    return t("benchmark").where(F.size(w) >= 2).select(F.concat_ws(" ", w[0], w[1]).alias("term")).distinct()
+
+
+def _parts(t) -> DataFrame:
+    return t("documents").select(F.col("doc_id").alias("row"), F.substring("text", 1, 60).alias("title"), F.substring("text", 61, 300).alias("statement"), F.expr("substring(text, 361)").alias("abstract"))
+
+
+@query(f"SELECT \"row\", term, {_count('abstract')} AS n FROM ({_PARTS}), ({_TERMS}) WHERE {_hit('abstract')}", "join_theta_substring")
+def dom_gazetteer_match(t):
+    """Terms that a text contains and of which it has all words as tokens, with the number of occurrences."""
+    return M.match_terms(_parts(t), "abstract", _terms(t), "term")
+
+
+_CASCADE = " UNION ALL ".join(f"SELECT \"row\", term, {_count(s)} AS n, '{s}' AS source, {k} AS k FROM ({_PARTS}), ({_TERMS}) WHERE {_hit(s)}" for k, s in enumerate(("title", "statement", "abstract")))
+_FIRST_HITS = f"SELECT \"row\", term, n, source FROM (SELECT *, min(k) OVER (PARTITION BY \"row\") AS m FROM ({_CASCADE})) WHERE k = m"
+
+
+@query(_FIRST_HITS)
+def dom_match_cascade(t):
+    return M.match_cascade(_parts(t), ["title", "statement", "abstract"], _terms(t), "term")
+
+
+@query(f"SELECT \"row\", term, round(CASE WHEN raw < 20 THEN ln(raw) / ln(20) ELSE 1 END, 6) AS score FROM (SELECT \"row\", term, CASE source WHEN 'title' THEN 20 WHEN 'statement' THEN 1 + floor(2 * n / 2) ELSE 1 + floor(n / 2) END AS raw FROM ({_FIRST_HITS}))")
+def dom_conf_score(t):
+    hits = M.match_cascade(_parts(t), ["title", "statement", "abstract"], _terms(t), "term")
+    return hits.select("row", "term", F.round(M.confidence_score(F.col("n"), F.col("source"), "title", "statement"), 6).alias("score"))
+
+
+@query(f"SELECT \"row\", term FROM ({_FIRST_HITS}) a WHERE NOT EXISTS (SELECT 1 FROM ({_FIRST_HITS}) b WHERE b.\"row\" = a.\"row\" AND b.term <> a.term AND contains(b.term, a.term))")
+def win_longest_match(t):
+    hits = M.match_cascade(_parts(t), ["title", "statement", "abstract"], _terms(t), "term").select("row", "term")
+    return W.maximal_terms(hits, "row", "term")
+
+
+@query("SELECT DISTINCT p_partkey, term FROM (SELECT p_partkey, lower(p_name) AS term FROM part UNION SELECT p_partkey, lower(unnest(string_split(p_name, ' '))) FROM part) WHERE length(term) > 4 AND term NOT IN (SELECT lower(split_part(p_name, ' ', 1)) FROM part WHERE p_partkey <= 30)")
+def dom_term_dictionary(t):
+    """Names and synonyms without short words and without single words of a word list."""
+    parts = t("part").select("p_partkey", "p_name", F.split("p_name", " ").alias("synonyms"))
+    common = t("part").where("p_partkey <= 30").select(F.lower(F.split("p_name", " ")[0]).alias("word")).distinct()
+    return M.term_dictionary(parts, "p_partkey", "p_name", "synonyms", common)
+
+
+_RULES = [("age", ["age"], ["year", "old"], "^age[ _]"), ("commerce", ["purchase"], ["cart", "buy"], "^pur"), ("browse", ["view"], ["click", "scroll"], None), ("account", [], ["log", "sign"], "user$")]
+
+
+@query("SELECT event_type, CASE WHEN event_type = 'age' THEN 'age' WHEN event_type = 'purchase' THEN 'commerce' WHEN event_type = 'view' THEN 'browse' WHEN contains(event_type, 'year') OR contains(event_type, 'old') THEN 'age' WHEN contains(event_type, 'cart') OR contains(event_type, 'buy') THEN 'commerce' WHEN contains(event_type, 'click') OR contains(event_type, 'scroll') THEN 'browse' WHEN contains(event_type, 'log') OR contains(event_type, 'sign') THEN 'account' END AS category, count(*) AS n FROM events GROUP BY 1, 2")
+def dom_keyword_categorize(t):
+    return t("events").select("event_type", M.categorize(F.col("event_type"), _RULES).alias("category")).groupBy("event_type", "category").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT l_orderkey, max(l_partkey) AS l_partkey FROM lineitem JOIN part ON p_partkey = l_partkey WHERE contains(lower(p_name), substring(lower(p_type), 1, 2)) GROUP BY 1")
+def dom_orphan_drug_map(t):
+    """The last entity in dictionary order whose text holds the key wins."""
+    hits = t("lineitem").select("l_orderkey", "l_partkey").join(t("part"), F.col("p_partkey") == F.col("l_partkey")).where(F.contains(F.lower("p_name"), F.substring(F.lower("p_type"), 1, 2)))
+    return hits.groupBy("l_orderkey").agg(F.max("l_partkey").alias("l_partkey"))
+
+
+@query(f"SELECT \"row\", term, CASE WHEN bool_or(source = 'title') AND bool_or(source = 'abstract') THEN 'Title,abstract' WHEN bool_or(source = 'title') THEN 'Title' ELSE 'abstract' END AS places FROM ({_CASCADE}) WHERE source <> 'statement' GROUP BY 1, 2")
+def dom_annotation_merge(t):
+    a = M.match_terms(_parts(t), "title", _terms(t), "term").withColumn("place", F.lit("Title"))
+    b = M.match_terms(_parts(t), "abstract", _terms(t), "term").withColumn("place", F.lit("abstract"))
+    merged = M.merge_annotations(a.unionByName(b), ["row", "term"], "place")
+    return merged.select("row", "term", F.array_join("places", ",").alias("places"))
+
+
+@query("SELECT o, p, kinds FROM (SELECT l_orderkey AS o, l_partkey AS p, p_type || ';' || p_brand AS kinds, p_type, row_number() OVER (PARTITION BY l_orderkey, l_partkey ORDER BY l_linenumber, l_suppkey) AS r FROM lineitem JOIN part ON p_partkey = l_partkey) WHERE r = 1 AND p_type IN ('ECONOMY', 'PROMO') AND p NOT IN (SELECT p_partkey FROM part WHERE p_size < 5)")
+def dom_concept_cleanup(t):
+    """First row of each (document, concept), kinds that are allowed, no concept of the exclusion list."""
+    first = W.first_per_key(t("lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_suppkey"), ["l_orderkey", "l_partkey"], [F.col("l_linenumber"), F.col("l_suppkey")])
+    kinds = first.join(t("part"), F.col("p_partkey") == F.col("l_partkey")).withColumn("kinds", F.array("p_type", "p_brand"))
+    allowed = kinds.where(F.arrays_overlap("kinds", F.array(F.lit("ECONOMY"), F.lit("PROMO"))))
+    general = t("part").where("p_size < 5").select(F.col("p_partkey").alias("l_partkey"))
+    return allowed.join(general, "l_partkey", "left_anti").select(F.col("l_orderkey").alias("o"), F.col("l_partkey").alias("p"), F.array_join("kinds", ";").alias("kinds"))
+
+
+@query("SELECT p_partkey, coalesce(s, 'See Also') AS sections FROM part LEFT JOIN (SELECT l_partkey, string_agg(DISTINCT l_returnflag, ',' ORDER BY l_returnflag) AS s FROM lineitem WHERE l_quantity > 48 GROUP BY 1) ON l_partkey = p_partkey")
+def dom_omim_sections(t):
+    """The sections that cite each reference, and a default for those that none does."""
+    cited = t("lineitem").where("l_quantity > 48").groupBy("l_partkey").agg(F.array_join(F.array_sort(F.collect_set("l_returnflag")), ",").alias("s"))
+    return t("part").join(cited, F.col("l_partkey") == F.col("p_partkey"), "left").select("p_partkey", F.coalesce("s", F.lit("See Also")).alias("sections"))
+
+
+@query("SELECT p_partkey, p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_discount > 0.09) AS flagged FROM part")
+def dom_genereview_flag(t):
+    ids = t("lineitem").where("l_discount > 0.09").select("l_partkey").distinct().withColumn("flag", F.lit(True))
+    return t("part").join(ids, F.col("p_partkey") == F.col("l_partkey"), "left").select("p_partkey", F.coalesce("flag", F.lit(False)).alias("flagged"))
+
+
+@query("SELECT DISTINCT o_custkey AS core FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 49)")
+def dom_core_projects(t):
+    return t("orders").join(t("lineitem").where("l_quantity > 49"), F.col("o_orderkey") == F.col("l_orderkey"), "left_semi").select(F.col("o_custkey").alias("core")).distinct()
+
+
+@query("SELECT c_custkey, n_name AS institute, CAST(coalesce(CASE WHEN c_acctbal > 0 THEN CAST(c_acctbal AS DECIMAL(18,2)) END, 0) AS DOUBLE) AS cost, array_to_string(list_sort([trim(replace(x, '(contact)', '')) for x in string_split(c_name || '; ' || c_mktsegment || ' (contact);', ';') if trim(x) <> '']), '|') AS investigators FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey AND n_regionkey < 4")
+def dom_project_cleanup(t):
+    """Recodes by a lookup (unmapped gives null), investigators split and cleaned, cost with a fallback."""
+    names = t("nation").where("n_regionkey < 4").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("institute"))
+    text = F.concat("c_name", F.lit("; "), "c_mktsegment", F.lit(" (contact);"))
+    people = F.filter(F.transform(F.split(text, ";"), lambda x: F.trim(F.replace(x, F.lit("(contact)"), F.lit("")))), lambda x: x != "")
+    cost = F.coalesce(F.when(F.col("c_acctbal") > 0, money("c_acctbal")), F.lit(0).cast("decimal(18,2)")).cast("double")
+    return t("customer").join(names, "c_nationkey", "left").select("c_custkey", "institute", cost.alias("cost"), F.array_join(F.array_sort(people), "|").alias("investigators"))
+
+
+@query("SELECT o_orderkey, CAST(CASE WHEN year(o_orderdate) < 1995 AND price IS NOT NULL THEN price ELSE CAST(o_totalprice AS DECIMAL(18,2)) END AS DOUBLE) AS price FROM orders LEFT JOIN (SELECT l_orderkey, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS price FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey")
+def dom_funding_merge(t):
+    """Early years take their amounts from the overlay, later ones pass through."""
+    orders = t("orders").select("o_orderkey", F.year("o_orderdate").alias("y"), money("o_totalprice").cast("decimal(38,2)").alias("price"))
+    news = t("lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.sum(money("l_extendedprice")).cast("decimal(38,2)").alias("price"))
+    early = J.overwrite(orders.where("y < 1995"), news, ["o_orderkey"], ["price"])
+    return early.unionByName(orders.where("y >= 1995")).select("o_orderkey", F.col("price").cast("double").alias("price"))
+
+
+@query("SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS name, p_brand AS brand, p_type AS kind FROM part", "scan_eav")
+def dom_eav_to_nodes(t):
+    """Parts as attribute-value rows, and back to nodes."""
+    rows = t("part").select(F.col("p_partkey").cast("string").alias("id"), F.explode(F.array(*[F.struct(F.lit(a).alias("attribute"), F.col(c).alias("value")) for a, c in (("name", "p_name"), ("brand", "p_brand"), ("kind", "p_type"))])).alias("x"))
+    return R.attributes_to_nodes(rows.select("id", "x.*"), "id", "attribute", "value", ["name", "brand", "kind"])
+
+
+@query("SELECT doc_id, CASE WHEN len(string_split(trim(regexp_replace(substring(text, 1, 150), '\\s+', ' ', 'g')), ' ')) > 20 THEN 'PHR' WHEN length(text) > 150 THEN 'ABSTRACT' ELSE 'AIM' END AS source FROM documents")
+def dom_source_select(t):
+    start = F.substring("text", 1, 150)
+    return t("documents").select("doc_id", F.when(X.word_count(start) > 20, "PHR").when(F.length("text") > 150, "ABSTRACT").otherwise("AIM").alias("source"))
+
+
+@query()
+def dom_sentence_roles(t):
+    return t("documents").select("doc_id", M.sentence_roles(F.col("text")).alias("r")).select("doc_id", "r.*")
+
+
+@query()
+def dom_target_rank(t):
+    return M.rank_targets(t("documents").select(F.col("doc_id").alias("row"), "text"), "text", ["the", "of"], ["and", "tion"])
+
+
+@query("SELECT p_partkey, CASE WHEN p_name IN (SELECT p_name FROM part WHERE p_partkey <= 20) THEN 'exact' WHEN split_part(p_name, ' ', 1) IN (SELECT split_part(p_name, ' ', 1) FROM part WHERE p_partkey <= 20) THEN 'words' END AS how FROM part")
+def dom_drug_map(t):
+    """By the exact name, else by a word of it, with a flag that says which."""
+    known = t("part").where("p_partkey <= 20")
+    exact = known.select("p_name", F.lit("exact").alias("a")).distinct()
+    words = known.select(F.split("p_name", " ")[0].alias("w"), F.lit("words").alias("b")).distinct()
+    return t("part").withColumn("w", F.split("p_name", " ")[0]).join(exact, "p_name", "left").join(words, "w", "left").select("p_partkey", F.coalesce("a", "b").alias("how"))
+
+
+@query("SELECT c_custkey, coalesce(n_name, '') AS country, coalesce(r_name, '') AS area FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey AND n_nationkey % 2 = 0 LEFT JOIN region ON r_regionkey = n_regionkey")
+def dom_researcher_address(t):
+    """An address key resolved to country and area by lookups; what is unknown is empty."""
+    places = t("nation").where("n_nationkey % 2 = 0").join(t("region"), F.col("r_regionkey") == F.col("n_regionkey"))
+    rows = t("customer").join(places, F.col("n_nationkey") == F.col("c_nationkey"), "left")
+    return rows.select("c_custkey", F.coalesce("n_name", F.lit("")).alias("country"), F.coalesce("r_name", F.lit("")).alias("area"))
+
+
+_NEWS = "SELECT o_custkey AS topic, 'orders' AS kind, CAST(o_orderdate AS DATE) AS d FROM orders UNION ALL SELECT o_custkey, 'lines', CAST(l_shipdate AS DATE) FROM lineitem JOIN orders ON o_orderkey = l_orderkey"
+
+
+@query(f"SELECT c_nationkey, topic, count(*) FILTER (WHERE kind = 'orders') AS orders, count(*) FILTER (WHERE kind = 'lines') AS lines, count(*) AS total FROM customer JOIN ({_NEWS}) ON topic = c_custkey WHERE d BETWEEN DATE '1997-01-01' AND DATE '1997-03-31' GROUP BY 1, 2")
+def dom_alert_counts(t):
+    subs = t("customer").select("c_nationkey", F.col("c_custkey").alias("topic"))
+    orders = t("orders")
+    news = orders.select(F.col("o_custkey").alias("topic"), F.lit("orders").alias("kind"), day("o_orderdate").alias("d"))
+    lines = t("lineitem").join(orders, F.col("o_orderkey") == F.col("l_orderkey")).select(F.col("o_custkey").alias("topic"), F.lit("lines").alias("kind"), day("l_shipdate").alias("d"))
+    return I.alert_counts(subs, "c_nationkey", "topic", news.unionByName(lines), "kind", "d", "1997-01-01", "1997-03-31", ["orders", "lines"])
+
+
+@query("SELECT s_suppkey, CAST(s_acctbal AS BIGINT) + 1 AS stamp FROM supplier WHERE s_suppkey % 10 = 0")
+def dom_change_detect(t):
+    """Dumps whose stamp is not the one kept; those without a kept stamp only set the baseline."""
+    stamps = t("supplier").where("s_suppkey < 90 or s_suppkey % 10 = 0").select("s_suppkey", F.bround(F.col("s_acctbal"), 0).cast("long").alias("stamp"))
+    seen = stamps.withColumn("stamp", F.when(F.col("s_suppkey") % 10 == 0, F.col("stamp") + 1).otherwise(F.col("stamp")))
+    return I.changed(stamps, seen, "s_suppkey", "stamp")
+
+
+ORACLES["dom_change_detect"] = ORACLES["dom_change_detect"].replace("CAST(s_acctbal AS BIGINT)", "CAST(round_even(s_acctbal, 0) AS BIGINT)")
+
+
+@query(f"SELECT label, count(*) AS n FROM (SELECT trim(regexp_replace(lower(unnest(regexp_extract_all(text, '{_WORDS}'))), '[_-]', ' ', 'g')) AS label FROM documents) WHERE label IN (SELECT lower(unnest(string_split(p_name, ' '))) FROM part) OR regexp_matches(label, '^the') GROUP BY 1")
+def dom_label_pipeline(t):
+    """Labels cleaned, counted, and kept if they are known words or a rule's pattern takes them; the occurrences are
+    grouped before the word list is looked up."""
+    labels = t("documents").select(F.explode(X.tokens("text")).alias("x")).groupBy(X.normalize_label("x").alias("label")).agg(F.count(F.lit(1)).alias("n"))
+    known = t("part").select(F.explode(F.split(F.lower("p_name"), " ")).alias("label")).distinct().withColumn("known", F.lit(True))
+    return labels.join(known, "label", "left").where(F.col("known") | F.col("label").rlike("^the")).select("label", "n")
+
+
+@query("SELECT c_custkey AS customer_custkey, c_name AS customer_name FROM customer")
+def rename_substring(t):
+    c = t("customer").select("c_custkey", "c_name")
+    return c.toDF(*[x.replace("c_", "customer_") for x in c.columns])
+
+
+# ---- through files and streams
+
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="veinloom-")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _files(name: str, sql: str, *more: str):
+    """Registers a query of (spark, table reader)."""
+
+    def add(f):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return f(spark, lambda n: spark.read.parquet(f"{sf_dir}/{n}.parquet"))
+
+        for n in (name, *more):
+            QUERIES[n], ORACLES[n] = run, sql
+        return f
+
+    return add
+
+
+@_files("scan_csv", "SELECT s_suppkey, s_name FROM supplier", "sink_csv")
+def _csv(spark, t):
+    path = _scratch(spark, "csv")
+    R.write_delimited(t("supplier").select("s_suppkey", "s_name", "s_nationkey"), path)
+    return R.read_delimited(spark, path, "s_suppkey long, s_name string, s_nationkey int").select("s_suppkey", "s_name")
+
+
+@_files("scan_csv_delim", "SELECT s_suppkey, s_name FROM supplier UNION ALL SELECT s_suppkey, s_name FROM supplier WHERE s_suppkey < 5", "sink_append", "scan_csv_badlines")
+def _pipes(spark, t):
+    path, rows = _scratch(spark, "pipe"), t("supplier").select(F.col("s_suppkey").cast("string").alias("s_suppkey"), "s_name")
+    R.write_delimited(rows, path, separator="pipe")
+    R.write_delimited(rows.where("s_suppkey < 5"), path, append=True, separator="pipe")
+    R.write_delimited(rows.limit(1).select(F.lit("no number").alias("s_suppkey"), "s_name"), path, append=True, separator="pipe")
+    return R.read_delimited(spark, path, "s_suppkey long, s_name string", separator="pipe", drop_bad_lines=True).where("s_suppkey is not null")
+
+
+@_files("scan_csv_encoding", "SELECT doc_id, lang FROM documents WHERE lang = 'fr'")
+def _latin(spark, t):
+    path = _scratch(spark, "latin")
+    t("documents").where("lang = 'fr'").select("doc_id", "lang").write.option("header", True).option("encoding", "ISO-8859-1").csv(path)
+    return R.read_delimited(spark, path, "doc_id long, lang string", encoding="ISO-8859-1")
+
+
+@_files("scan_multi_file", "SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS n FROM orders GROUP BY 1", "scan_graph_csv")
+def _years(spark, t):
+    """Files by year are read as one, with the year from the path."""
+    path = _scratch(spark, "years")
+    R.write_delimited(t("orders").select("o_orderkey", F.year("o_orderdate").alias("y")), path, by="y")
+    rows = spark.read.schema("o_orderkey long").option("header", True).csv(f"{path}/y=*/*.csv")
+    year = F.regexp_extract(F.col("_metadata.file_path"), r"y=(\d{4})", 1).cast("int")
+    return rows.select(year.alias("year")).groupBy("year").agg(F.count(F.lit(1)).alias("n"))
+
+
+@_files("sink_json_records", "SELECT l_orderkey, l_partkey, count(*) AS n FROM lineitem GROUP BY 1, 2")
+def _json(spark, t):
+    edges = t("lineitem").groupBy("l_orderkey", "l_partkey").agg(F.count(F.lit(1)).alias("n"))
+    path = _scratch(spark, "json")
+    R.as_json_records(edges, ("l_orderkey", "l_partkey")).write.text(path)
+    back = R.read_json(spark, path, "start struct<id: long>, end struct<id: long>, n long", multiline=False)
+    return back.select(F.col("start.id").alias("l_orderkey"), F.col("end.id").alias("l_partkey"), "n")
+
+
+@_files("stream_upsert", "SELECT user_id, arg_max(event_type, event_id) AS event_type, CAST(max(event_id) AS BIGINT) AS event_id FROM events GROUP BY 1", "stream_ingest")
+def _stream(spark, t):
+    """Events land in files and are upserted batch by batch; the final state is the latest row of every user."""
+    base = _scratch(spark, "stream")
+    events = t("events").select("user_id", "event_type", "event_id")
+    for k in range(3):
+        events.where(F.col("event_id") % 3 == k).coalesce(1).write.mode("append").parquet(f"{base}/in")
+    schema = "user_id long, event_type string, event_id long"
+    return I.upsert_stream(spark, f"{base}/in", schema, f"{base}/table", f"{base}/checkpoint", "user_id", "event_id", policy="latest", per_batch=1)

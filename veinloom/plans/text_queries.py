@@ -222,7 +222,7 @@ def date_diff_due(t):
 
 @query("SELECT strftime(unnest(generate_series(DATE '1996-02-25', DATE '1996-03-05', INTERVAL 1 DAY)), '%Y-%m-%d') AS day")
 def date_daily_sequence(t):
-    return t("region").limit(1).select(F.explode(F.sequence(F.lit("1996-02-25").cast("date"), F.lit("1996-03-05").cast("date"))).cast("string").alias("day"))
+    return t("region").limit(1).select(F.explode(F.sequence(F.lit("1996-02-25").cast("date"), F.lit("1996-03-05").cast("date"))).alias("day")).select(F.col("day").cast("string").alias("day"))
 
 
 @query("SELECT CAST(year(y) AS INTEGER) AS from_year, CAST(year(y) AS INTEGER) + 1 AS to_year FROM (SELECT unnest(generate_series(DATE '1992-01-01', DATE '1998-01-01', INTERVAL 1 YEAR)) AS y)")
@@ -242,14 +242,14 @@ def arr_zip_lists(t):
     return t("part").select("p_partkey", F.explode(z).alias("z")).select("p_partkey", F.col("z")["w"].alias("w"), F.col("z")["n"].alias("n"))
 
 
-@query("SELECT l_orderkey, CASE WHEN count(*) = 1 THEN min(l_returnflag) ELSE string_agg(l_returnflag, ';' ORDER BY l_linenumber) END AS flags, CAST(count(DISTINCT l_returnflag) AS INTEGER) AS n FROM lineitem GROUP BY 1", "arr_dedupe_order", "arr_size_range")
+@query("SELECT l_orderkey, CASE WHEN count(*) = 1 THEN min(l_returnflag) ELSE string_agg(l_returnflag, ';' ORDER BY l_linenumber, l_returnflag) END AS flags, CAST(count(DISTINCT l_returnflag) AS INTEGER) AS n FROM lineitem GROUP BY 1", "arr_dedupe_order", "arr_size_range")
 def arr_single_or_list(t):
     rows = t("lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_returnflag"))).alias("x"))
     flags = F.col("x.l_returnflag")
     return rows.select("l_orderkey", V.single_or_list(flags).alias("flags"), F.size(F.array_distinct(flags)).alias("n"))
 
 
-@query("SELECT l_orderkey, string_agg(CASE l_returnflag WHEN 'R' THEN 'returned' WHEN 'A' THEN 'accepted' WHEN 'N' THEN 'none' END, ';' ORDER BY l_linenumber) AS names FROM lineitem GROUP BY 1")
+@query("SELECT l_orderkey, string_agg(CASE l_returnflag WHEN 'R' THEN 'returned' WHEN 'A' THEN 'accepted' WHEN 'N' THEN 'none' END, ';' ORDER BY l_linenumber, l_returnflag) AS names FROM lineitem GROUP BY 1")
 def arr_map_lookup(t):
     rows = t("lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_returnflag"))).alias("x"))
     names = F.create_map(*[F.lit(v) for kv in (("R", "returned"), ("A", "accepted"), ("N", "none")) for v in kv])
