@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import struct
 import zlib
 from collections.abc import Callable, Iterator
@@ -19,8 +20,8 @@ from veinloom.llm.storage import new_path, table
 
 END_ID = 2
 #: Pieces that a worker remembers; the store is emptied when it is full, so memory is bounded.
-MAX_PIECES = 500_000
-MAX_WORDS = 300_000
+MAX_PIECES = 900_000
+MAX_WORDS = 500_000
 #: Signs that form one pre-token when they stand together; no quotation mark, which may begin a contraction, and no "<",
 #: which may begin a special token.
 _SIGNS = ".,;:!?*$%&#|-"
@@ -35,6 +36,21 @@ ORC_OPTIONS = {
 }
 
 
+#: A line end without white space beside it is a token of its own; two white characters together need the longer way.
+_GAP = re.compile(r"\s\s")
+
+
+class _Pieces(dict):
+    """Ids of pieces as bytes, worked out when first asked for; a fixed beginning may be left out of the keys."""
+
+    def __init__(self, encoder: PieceEncoder, beginning: str = ""):
+        self.encoder, self.beginning = encoder, beginning
+
+    def __missing__(self, key: str) -> bytes:
+        self[key] = ids = self.encoder.of_piece(self.beginning + key)
+        return ids
+
+
 class PieceEncoder:
     """The library's encoding, asked for once for each different piece of text.
 
@@ -49,7 +65,8 @@ class PieceEncoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.known: dict[str, bytes] = {}
+        self.pieces = _Pieces(self)
+        self.behind_blank = _Pieces(self, " ")
         self.words: dict[str, bytes] = {}
         spec = json.loads(self.library.to_str())
         pre = spec["pre_tokenizer"] or {}
@@ -88,24 +105,30 @@ class PieceEncoder:
             out = joined
         return out
 
+    def of_piece(self, piece: str) -> bytes:
+        if self.plain and (two := self.parts(piece)):
+            return self.of_word(two[0]) + self.of_word(two[1]) if two[1] else self.of_word(two[0])
+        return np.array(self.library.encode(piece, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def encode(self, text: str | None) -> bytes:
+        """Little-endian 32-bit ids of a text; null is empty."""
+        if not text:
+            return b""
+        if _GAP.search(text):
+            return b"".join(map(self.pieces.__getitem__, self.cut(text)))
+        if "\n" not in text:
+            return self.line(text)
+        return self.pieces["\n"].join([self.line(x) for x in text.split("\n")])
+
+    def line(self, text: str) -> bytes:
+        first, *rest = text.split(" ")
+        return (self.pieces[first] if first else b"") + b"".join(map(self.behind_blank.__getitem__, rest))
+
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text; null is empty."""
-        cut = [self.cut(x) if x else [] for x in texts]
-        if len(self.known) > MAX_PIECES:
-            self.known.clear()
-        known = self.known
-        new = {p for pieces in cut for p in pieces}.difference(known)
-        rest = []
-        for p in new:
-            if self.plain and (two := self.parts(p)):
-                known[p] = self.of_word(two[0]) + self.of_word(two[1]) if two[1] else self.of_word(two[0])
-            else:
-                rest.append(p)
-        for a in range(0, len(rest), 2_000):
-            part = rest[a : a + 2_000]
-            for p, e in zip(part, self.library.encode_batch_fast(part, add_special_tokens=False)):
-                known[p] = np.array(e.ids, dtype="<u4").tobytes()
-        return [b"".join([known[p] for p in pieces]) for pieces in cut]
+        for store in (self.pieces, self.behind_blank):
+            if len(store) > MAX_PIECES:
+                store.clear()
+        return [self.encode(x) for x in texts]
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}
