@@ -293,8 +293,9 @@ def near_components(documents: DataFrame, shingle: int = SHINGLE, percent: int =
     links = cluster_links(members, WordShingles(shingle), percent, block)
     parts = connected_components(links)
     least = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("_least"))
-    in_part = least.join(parts, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    named = in_part.join(in_part.groupBy("root").agg(F.min("_least").alias("component_id")), "root").select("node", "component_id")
+    in_part = written(least.join(parts, "node", "left").withColumn("root", F.coalesce("root", "node")), "parts")
+    names = written(in_part.groupBy("root").agg(F.min("_least").alias("component_id")), "names")  # so Spark can split a hot root
+    named = in_part.join(names, "root").select("node", "component_id")
     return rows.join(named, "node", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 

@@ -159,8 +159,10 @@ def removed_lines(documents: DataFrame, percent: int = PERCENT, block: int = BLO
     members = chosen_lines(documents, chosen).join(clusters, "node").join(sizes, "root").select("node", "root", "size", "text")
     parts = connected_components(cluster_links(written(members, "members"), CharShingles(), percent, block))
     named = rows.select("doc_id", "idx", "node").join(parts, "node", "left").select("doc_id", "idx", F.coalesce("root", "node").alias("part"))
-    first = named.groupBy("part").agg(F.min(at).alias("first"), F.count(F.lit(1)).alias("_n"))
-    judged = named.join(first, "part").select("doc_id", "idx", (F.col("first") != at).alias("gone"))
+    # Only parts of several lines matter further; written, so that Spark can split the hot side of the joins.
+    named = written(named, "named")
+    first = written(named.groupBy("part").agg(F.min(at).alias("first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n"), "first")
+    judged = named.join(first, "part", "left").select("doc_id", "idx", F.coalesce(F.col("first") != at, F.lit(False)).alias("gone"))
     return judged.groupBy("doc_id").agg(F.countDistinct("idx").alias("n_lines"), F.array_sort(F.collect_set(F.when(F.col("gone"), F.col("idx")))).alias("removed"))
 
 

@@ -100,7 +100,8 @@ def removals(documents: DataFrame, min_line_words: int = MIN_LINE_WORDS, min_run
     units = written(unit_rows(documents), "units")
     # Partial aggregation first: a unit of which a third of all rows are copies is one row a task.
     at = F.struct("doc_id", "seq")
-    first = units.groupBy("digest").agg(F.min(at).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Written, so that the join below is one of two plain shuffles, of which Spark splits the hot side.
+    first = written(units.groupBy("digest").agg(F.min(at).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1"), "first")
     later = units.join(first, "digest").where(F.col("first") != at).groupBy("doc_id").agg(F.collect_set("seq").alias("repeated")).withColumnRenamed("doc_id", "_doc")
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     joined = texts.join(later, F.col("doc_id") == F.col("_doc"), "left").select("doc_id", "text", "repeated")

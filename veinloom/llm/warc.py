@@ -57,8 +57,10 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     """
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     rows = rows.withColumn("digest", F.sha2(F.col("html").cast("binary"), 256))
-    # Partial aggregation first, so a payload that a third of all pages share costs little; Spark splits the join's side.
+    # Partial aggregation first, so a payload that a third of all pages share costs little. The result is written, so that
+    # the join is one of two plain shuffles, of which Spark splits the hot side.
     first = rows.where(F.octet_length("html") >= MIN_REVISIT_BYTES).groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("_n")).where("_n > 1 and first is not null").drop("_n")
+    first = written(first, "first")
     joined = rows.join(first, "digest", "left").select("page_id", "url", F.col("html").cast("binary").alias("html"), "digest", "first")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
