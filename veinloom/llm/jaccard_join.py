@@ -1,8 +1,8 @@
 """Exact Jaccard join of word n-gram sets through R-trees over count vectors.
 
 1. Every text becomes its set of shingle hashes. Equal sets are one node. For sets within the threshold, the symmetric
-   difference is at most H, known from the size class; so if the hash range is cut into H + 1 groups, one group at least
-   is equal in both. Each node emits one key a group (for its own size class and the one below), and nodes that share a
+   difference is at most H, known from the size class; so of H + 1 groups of the hash range that a set fills, one at
+   least is equal in both. Each node emits one key a group (for its own size class and the one below), and nodes that share a
    key are possible partners. No pair is lost, and a passage that many texts share makes no common key.
 2. Possible partners form clusters. A cluster is worked on in blocks of bounded size: an R-tree over the counts of
    shingles in 32 hash groups finds the points whose summed coordinate minima reach the overlap needed, and the survivors
@@ -34,7 +34,7 @@ BLOCK = 512
 #: About so many nodes of a large cluster are in each of its blocks.
 PIVOTS = 64
 LEAF = 16
-#: Other ways of cutting the hash range, used by sets that leave a group of the one before empty.
+#: Ways of cutting the hash range; a set goes on to the next if it leaves too many groups of the one before empty.
 SEEDS = 4
 MAX_WORDS_KNOWN = 500_000
 MAX_NODES_KNOWN = 500_000
@@ -95,6 +95,14 @@ def most_different(percent: int, sum_of_sizes: int) -> int:
     return sum_of_sizes * (100 - percent) // (100 + percent)
 
 
+def group_count(needed: int, seed: int) -> int:
+    """Groups for sets that differ in fewer than `needed` shingles, with some to spare for groups that are empty in both.
+
+    Of the groups that a set fills, at least `needed`, one is equal in the other set. So a set that fills enough needs no
+    keys for its empty groups, and no other way of cutting."""
+    return needed + needed // 16 + (4 if needed > 8 else 0) + seed * (needed // 8)
+
+
 def block_keys(s: np.ndarray, percent: int, bounds: np.ndarray) -> np.ndarray:
     """Keys of which two sets within the threshold share one at least."""
     n = len(s)
@@ -106,8 +114,9 @@ def block_keys(s: np.ndarray, percent: int, bounds: np.ndarray) -> np.ndarray:
         for c in (own, own - 1):
             if c < 0:
                 continue
-            groups = most_different(percent, int(bounds[c + 1] - 1 + bounds[c + 2] - 1)) + 1
+            needed = most_different(percent, int(bounds[c + 1] - 1 + bounds[c + 2] - 1)) + 1
             for seed in range(SEEDS):
+                groups = group_count(needed, seed)
                 h = s if not seed else np.sort(mix(s + np.uint64(seed) * _M3))
                 cuts = np.searchsorted(h, (np.arange(1, groups, dtype=np.uint64) * np.uint64((1 << 64) // groups if groups > 1 else 0)), side="left")
                 begin = np.concatenate([[0], cuts])
@@ -116,7 +125,7 @@ def block_keys(s: np.ndarray, percent: int, bounds: np.ndarray) -> np.ndarray:
                 sums = np.add.reduceat(mix(h * _M1 + _M2), begin[full])
                 label = np.uint64(c * 64 + seed) * _M2 + full.astype(np.uint64) * _M3 + count[full].astype(np.uint64)
                 keys.append(mix(mix(sums) + mix(label)))
-                if len(full) == groups:
+                if len(full) >= needed:
                     break
                 if seed == SEEDS - 1:
                     empty = np.setdiff1d(np.arange(groups), full).astype(np.uint64)
@@ -262,7 +271,8 @@ def block_links(rows: DataFrame, shingles, percent: int) -> DataFrame:
 def key_clusters(rows: DataFrame) -> DataFrame:
     """node and root of all nodes that are joined by common keys; rows: node, keys. Each key's nodes are linked to its
     least node only, so a key that very many share gives no pairs; the one shuffle serves both the minimum and the join."""
-    keyed = rows.where(F.size("keys") > 0).select(F.explode("keys").alias("key"), "node").repartition("key")
+    # The filters are those that the join would add on its side; with them here, both sides share one shuffle.
+    keyed = rows.where(F.size("keys") > 0).select(F.explode("keys").alias("key"), "node").where("key is not null and node is not null").repartition("key")
     first = keyed.groupBy("key").agg(F.min("node").alias("to"), F.max("node").alias("_last")).where("to <> _last").drop("_last")
     return written(connected_components(keyed.join(first, "key").where("node <> to").select("node", "to")), "clusters")
 
