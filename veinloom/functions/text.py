@@ -147,6 +147,12 @@ def nfc(x: pd.Series) -> pd.Series:
     return x.map(lambda s: None if s is None else " ".join(unicodedata.normalize("NFC", s).split()))
 
 
+@F.pandas_udf(T.StringType())
+def unicode_escape(x: pd.Series) -> pd.Series:
+    """Control characters and all beyond ASCII as backslash escapes."""
+    return x.map(lambda s: None if s is None else s.encode("unicode_escape").decode("ascii"))
+
+
 @F.pandas_udf(T.DoubleType())
 def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff and Obershelp's ratio, as the standard library has it."""

@@ -58,6 +58,18 @@ def sentence_roles(text: Column) -> Column:
     return F.struct(F.least(F.size(s), F.lit(1)).alias("first"), has(r"\b(aim|aims|goal|goals|objective)\b").alias("goal"), has(r"\b(will|shall|plan)\b").alias("future"), F.size(usable).alias("usable"))
 
 
+# Words of incidence and prevalence.
+EPIDEMIOLOGY = r"\b(prevalence|incidence|per (?:100,?000|million)|epidemiolog\w*|[0-9.]+ ?%|in [0-9]{1,3}(?:,[0-9]{3})+)"
+
+
+def annotate(texts: DataFrame, text: str, score: Column | None = None, threshold: float = 0.5) -> DataFrame:
+    """row, probability and snippet of texts that a classifier takes for epidemiology. A model's score may be handed in as
+    a column; without one a rule on words stands in for it."""
+    rule = F.least(F.lit(1.0), F.regexp_count(F.lower(F.col(text)), F.lit(EPIDEMIOLOGY)) * 0.5)
+    scored = texts.withColumn("probability", rule if score is None else score).where(F.col("probability") >= threshold)
+    return scored.select("row", "probability", F.regexp_extract(F.lower(F.col(text)), EPIDEMIOLOGY, 1).alias("snippet"))
+
+
 def merge_annotations(rows: DataFrame, keys: list[str], place: str) -> DataFrame:
     """One row for each annotation with the sorted set of its places, Title first."""
     order = lambda p: F.concat(F.when(p == "Title", F.lit("0")).otherwise(F.lit("1")), p)

@@ -165,6 +165,13 @@ def dom_target_rank(t):
     return M.rank_targets(t("documents").select(F.col("doc_id").alias("row"), "text"), "text", ["the", "of"], ["and", "tion"])
 
 
+@query("SELECT doc_id AS \"row\", CAST(0.5 * least(2, n) AS DOUBLE) AS probability FROM (SELECT doc_id, len(regexp_extract_all(lower(text), '[0-9.]+ ?%')) AS n FROM documents) WHERE n > 0")
+def dom_epi_annotation(t):
+    """Texts that a classifier takes; here by a score handed in as a column."""
+    score = 0.5 * F.least(F.lit(2), F.regexp_count(F.lower("text"), F.lit("[0-9.]+ ?%")))
+    return M.annotate(t("documents").select(F.col("doc_id").alias("row"), "text"), "text", score).select("row", "probability")
+
+
 @query("SELECT p_partkey, CASE WHEN p_name IN (SELECT p_name FROM part WHERE p_partkey <= 20) THEN 'exact' WHEN split_part(p_name, ' ', 1) IN (SELECT split_part(p_name, ' ', 1) FROM part WHERE p_partkey <= 20) THEN 'words' END AS how FROM part")
 def dom_drug_map(t):
     """By the exact name, else by a word of it, with a flag that says which."""
@@ -249,6 +256,14 @@ def _csv(spark, t):
     return R.read_delimited(spark, path, "s_suppkey long, s_name string, s_nationkey int").select("s_suppkey", "s_name")
 
 
+@_files("scan_zip_json", "SELECT s_suppkey, s_name FROM supplier")
+def _zip(spark, t):
+    path = _scratch(spark, "zip")
+    R.write_zipped_json(t("supplier").select("s_suppkey", "s_name"), path, "results")
+    record = F.from_json("record", "s_suppkey bigint, s_name string").alias("r")
+    return R.read_zipped_json(spark, path + "/*.zip", "results").select(record).select("r.*")
+
+
 @_files("scan_csv_delim", "SELECT s_suppkey, s_name FROM supplier UNION ALL SELECT s_suppkey, s_name FROM supplier WHERE s_suppkey < 5", "sink_append", "scan_csv_badlines")
 def _pipes(spark, t):
     path, rows = _scratch(spark, "pipe"), t("supplier").select(F.col("s_suppkey").cast("string").alias("s_suppkey"), "s_name")

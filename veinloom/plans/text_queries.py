@@ -36,7 +36,7 @@ def str_normalize_phrase(t):
     return _docs(t).select("doc_id", X.normalize_phrase("x").alias("y"))
 
 
-@query(f"SELECT doc_id, trim(regexp_replace(regexp_replace(x, '[^\\x00-\\x7F]', '', 'g'), '\\W+', ' ', 'g')) AS y FROM {_D}", "sink_escape")
+@query(f"SELECT doc_id, trim(regexp_replace(regexp_replace(x, '[^\\x00-\\x7F]', '', 'g'), '\\W+', ' ', 'g')) AS y FROM {_D}")
 def str_ascii_only(t):
     return _docs(t).select("doc_id", X.ascii_only("x").alias("y"))
 
@@ -113,6 +113,11 @@ def str_stem(t):
     return t("part").select("p_name").distinct().select("p_name", stem(F.lower("p_name")).alias("y"))
 
 
+@query()
+def sink_escape(t):
+    return _docs(t).select("doc_id", X.unicode_escape("x").alias("y"))
+
+
 @query()
 def str_nfc(t):
     return _docs(t).select("doc_id", X.nfc("x").alias("y"))

@@ -45,6 +45,46 @@ def read_zipped_json(spark: SparkSession, path: str, field: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("content").mapInPandas(run, "member string, record string")
 
 
+def write_zipped_json(df: DataFrame, path: str, field: str) -> None:
+    """A zip file with one JSON member for each partition, under a path of any store that pyarrow knows."""
+    columns = df.columns
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import uuid
+
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(path)
+        store.create_dir(base, recursive=True)
+        records = [dict(zip(columns, r)) for f in frames for r in f.itertuples(index=False, name=None)]
+        if records:
+            raw = io.BytesIO()
+            with zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED) as z:
+                z.writestr("part.json", json.dumps({field: records}, default=str))
+            with store.open_output_stream(f"{base}/{uuid.uuid4().hex}.zip", compression=None) as out:
+                out.write(raw.getvalue())
+        yield pd.DataFrame({"n": [len(records)]})
+
+    df.mapInPandas(run, "n long").agg(F.sum("n")).first()
+
+
+#: Spreadsheets are lookups; larger ones are refused, as they pass through the driver.
+MAX_SHEET_ROWS = 100_000
+
+
+def read_excel(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A small lookup sheet. Needs one of pandas' spreadsheet engines, which is not installed everywhere."""
+    try:
+        frame = pd.read_excel(path, dtype=str)
+    except ImportError as error:
+        raise RuntimeError("reading spreadsheets needs an engine such as openpyxl") from error
+    if len(frame) > MAX_SHEET_ROWS:
+        raise ValueError(f"more than {MAX_SHEET_ROWS} rows: convert the sheet to delimited text")
+    text = spark.createDataFrame(frame.where(frame.notna(), None))
+    fields = spark.createDataFrame([], schema).schema.fields
+    return text.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in fields])
+
+
 def read_attributes(spark: SparkSession, path: str) -> DataFrame:
     """Attribute tables in subfolders: entity (the folder), attribute and values, parsed from a printed list."""
     from veinloom.functions.text import parse_list
