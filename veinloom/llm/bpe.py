@@ -23,7 +23,8 @@ from veinloom.llm.quality_classifier import in_chunks
 from veinloom.llm.storage import table
 
 #: Pieces that a worker remembers; the store is emptied when it is full, so memory is bounded.
-MAX_PIECES = 700_000
+MAX_PIECES = 400_000
+MAX_WORDS = 250_000
 #: Words of up to so many symbols are merged without a queue.
 SHORT = 40
 _NEVER = 1 << 60
@@ -80,6 +81,7 @@ class SpeculativeBpe:
         for t, r in self.rank.items():
             self.text[r] = t
             self.id_of[r] = vocab[t]
+        self.shared_id: list[int] = self.id_of.tolist()  # one object for each id, however many words hold it
         self.left, self.right = np.arange(n), np.arange(n)
         self.pair_made: dict[tuple[int, int], tuple[int, int]] = {}
         for k, (a, b) in enumerate(merges):
@@ -226,7 +228,8 @@ class SpeculativeBpe:
             fails[owner[inner[~good]]] = True
             single = self.unsure[flat]
             fails[owner[single]] = True
-        return {w: tuple(self.id_of[self.merge(w + _END if self.suffix else w) if f else p].tolist()) for w, p, f in zip(names, proposed, fails)}
+        of = self.shared_id
+        return {w: tuple([of[r] for r in (self.merge(w + _END if self.suffix else w) if f else p)]) for w, p, f in zip(names, proposed, fails)}
 
     def learn(self, pieces: set[str]) -> None:
         """Adds the ids of pieces (texts without inner white space of the plain kinds) to the store."""
@@ -241,12 +244,15 @@ class SpeculativeBpe:
                     parts.extend(self.cut(x))
             cut[piece] = parts
             words.update(p for p in parts if isinstance(p, str))
-        if len(self.words) > MAX_PIECES:
+        if len(self.words) > MAX_WORDS:
             self.words.clear()
         self.words.update(self.learn_words(words.difference(self.words)))
         known = self.words
         for piece, parts in cut.items():
-            self.pieces[piece] = tuple(i for p in parts for i in (known[p] if isinstance(p, str) else (p,)))
+            if len(parts) == 1 and isinstance(parts[0], str):
+                self.pieces[piece] = known[parts[0]]
+            else:
+                self.pieces[piece] = tuple(i for p in parts for i in (known[p] if isinstance(p, str) else (p,)))
 
     def encode_batch(self, texts: list[str | None]) -> list[list[int]]:
         cut = [(x or "").replace("\n", " ").split(" ") for x in texts]
