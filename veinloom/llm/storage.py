@@ -8,12 +8,18 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Folders of our own, by application, for sessions that name none (tests).
+_OWN: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's spark.checkpoint.dir; a local folder of our own only where it is unset (tests)."""
+    """The cluster's spark.checkpoint.dir; a local folder of our own only where it is unset."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not path:
-        path = "file://" + tempfile.mkdtemp(prefix="veinloom-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        application = spark.sparkContext.applicationId
+        if application not in _OWN:
+            _OWN[application] = "file://" + tempfile.mkdtemp(prefix="veinloom-")
+        path = _OWN[application]
     return path.rstrip("/")
 
 
