@@ -169,6 +169,8 @@ class CountTree:
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    if min(len(a), len(b)) * 100 < percent * max(len(a), len(b)):
+        return False
     both = len(np.intersect1d(a, b, assume_unique=True))
     return 100 * both >= percent * (len(a) + len(b) - both)
 
@@ -178,6 +180,9 @@ def tree_links(sets: list[np.ndarray], part: np.ndarray, percent: int = PERCENT,
 
     part: the part each set is in already; sides: if given, only pairs of different sides are compared.
     """
+    if len(sets) == 2:  # a tree of one leaf; most blocks are of this kind
+        apart = part[0] != part[1] and (sides is None or sides[0] != sides[1])
+        return [(0, 1)] if apart and linked(sets[0], sets[1], percent) else []
     tree = CountTree(points_of(sets))
     names, root = np.unique(part, return_inverse=True)
     root = root.copy()
