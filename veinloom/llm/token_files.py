@@ -20,8 +20,8 @@ from veinloom.llm.storage import new_path, table
 
 END_ID = 2
 #: Pieces that a worker remembers; the store is emptied when it is full, so memory is bounded.
-MAX_PIECES = 700_000
-MAX_WORDS = 350_000
+MAX_PIECES = 450_000
+MAX_WORDS = 250_000
 #: Signs that form one pre-token when they stand together; no quotation mark, which may begin a contraction, and no "<",
 #: which may begin a special token.
 _SIGNS = ".,;:!?*$%&#|-"
