@@ -138,6 +138,19 @@ def test_line_dedup(spark, docs):
     assert kept[0]["text"] is None and kept[10]["text"] == "" and kept[20]["text"] == BASE[0] and kept[0]["keys"] == "k"
 
 
+def test_line_dedup_links_short_lines_with_one_changed_character(spark):
+    """With 5-character shingles one change inside a line of 49 characters or more leaves it at 0.8."""
+    r = random.Random(5)
+    lines = ["".join(r.sample("abcdefghijklmnopqrstuvwxyzäöüßéèàçñøåæœłśžšđ0123456789+-*/=<>%&§", n)) for n in (44, 47, 50, 53, 56, 59, 62)]
+    changed = [x[:20] + "#" + x[21:] for x in lines]
+    shingles = lambda x: {x[i : i + 5] for i in range(len(x) - 4)}
+    near = [100 * len(shingles(x) & shingles(y)) >= 80 * len(shingles(x) | shingles(y)) for x, y in zip(lines, changed)]
+    assert near == [False, False, True, True, True, True, True]
+    df = spark.createDataFrame([(1, "\n".join(lines)), (2, "\n".join(changed))], "doc_id long, text string")
+    rows = got(line_dedup.removed_lines(df))
+    assert rows[1]["removed"] == [] and rows[2]["removed"] == [i for i, x in enumerate(near) if x]
+
+
 def test_quality(spark, docs):
     good = [[prose(30, s), prose(20, s + 1000)] for s in range(60)]
     bad = [["|".join(["BUY!!"] * 30)] * 3 for _ in range(60)]
