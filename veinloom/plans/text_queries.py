@@ -14,11 +14,11 @@ from veinloom.plans.base import day, query
 _W, _NW = r"[\p{L}\p{N}\p{M}\p{Pc}]", r"[^\p{L}\p{N}\p{M}\p{Pc}]"
 
 
-def _docs(t, n=200):
-    return t("documents").select("doc_id", F.substring("text", 1, n).alias("x"))
+def _docs(t):
+    return t("documents").select("doc_id", F.col("text").alias("x"))
 
 
-_D = "(SELECT doc_id, substring(text, 1, 200) AS x FROM documents)"
+_D = "(SELECT doc_id, text AS x FROM documents)"
 
 
 @query(f"SELECT doc_id, trim(regexp_replace(lower(x), '{_NW}+', ' ', 'g')) AS y FROM {_D}")
