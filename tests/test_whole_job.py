@@ -1,10 +1,13 @@
 """Queries read all that they are asked about: small tables with what a prefix, a sample or a limit would lose."""
 
 import difflib
+import random
 import unicodedata
+from collections import Counter, defaultdict
 
 import pytest
 
+from veinloom.operators import graph as G
 from veinloom.plans import registry
 
 
@@ -34,3 +37,28 @@ def test_texts_are_read_to_their_end(run):
     assert y("str_stopword_removal") == " ".join(w for w in text.lower().split() if w not in ("the", "of", "and", "le", "de", "die"))
     assert y("str_nfc") == " ".join(unicodedata.normalize("NFC", text).split())
     assert y("sink_escape") == text.encode("unicode_escape").decode("ascii")
+
+
+def test_supplier_graph_has_all_orders(run):
+    """Two suppliers share the orders 1 to 9, every other pair one; none of the order keys is a multiple of 331."""
+    lines = [(o, s) for o in range(1, 10) for s in (10, 11)] + [(100 + 10 * a + b, s) for a in range(1, 6) for b in range(a + 1, 6) for s in (a, b)]
+    found = {tuple(r) for r in run("graph_scc", lineitem=(lines, "l_orderkey long, l_suppkey long")).collect()}
+    assert found == {(10, 10), (11, 10)}
+
+
+def test_communities_stop_only_where_no_move_raises_modularity(spark):
+    r = random.Random(3)
+    edges = {(i, i + 1): r.randint(1, 9) for i in range(149)} | {tuple(sorted(r.sample(range(150), 2))): r.randint(1, 9) for _ in range(60)}
+    found = {x["node"]: x["community"] for x in G.communities(spark.createDataFrame([(a, b, w) for (a, b), w in edges.items()], "a long, b long, weight long")).collect()}
+    k, into = Counter(), defaultdict(Counter)
+    for (a, b), w in edges.items():
+        for x, y in ((a, b), (b, a)):
+            k[x] += w
+            into[x][found[y]] += w
+    total = Counter()
+    for x, c in found.items():
+        total[c] += k[x]
+    two_m = sum(k.values())
+    gain = lambda x, c: into[x][c] - k[x] * (total[c] - (k[x] if c == found[x] else 0)) / two_m
+    assert set(found) == set(k)
+    assert not [x for x in found if max(gain(x, c) for c in list(into[x])) > gain(x, found[x]) + 1e-6]

@@ -97,13 +97,14 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     return labels.toDF("node", "component")
 
 
-def communities(edges: DataFrame, max_rounds: int = 12) -> DataFrame:
+def communities(edges: DataFrame) -> DataFrame:
     """node and community of an undirected weighted graph (a, b, weight) by local modularity moves.
 
     In each round every node works out, from its neighbours' communities, the move of the greatest gain in modularity;
-    to keep moves from crossing, only nodes whose turn it is by a hash move. Ties go to the least community. The source's
-    order-dependent method has no one right result; what holds is that this is a partition of the nodes and that the
-    modularity is not below that of single nodes.
+    to keep moves from crossing, only nodes whose turn it is by a hash move, and where these together do not raise the
+    modularity, only the one that gains most. So it rises in every round, and the rounds go on until no node wants to
+    move. Ties go to the least community. The source's order-dependent method has no one right result; what holds is that
+    this is a partition of the nodes, that the modularity is not below that of single nodes, and that no move raises it.
     """
     both = edges.select("a", "b", F.col("weight").cast("double").alias("w")).where("a <> b")
     both = checkpointed(both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"), "w")).groupBy("a", "b").agg(F.sum("w").alias("w")))
@@ -112,21 +113,32 @@ def communities(edges: DataFrame, max_rounds: int = 12) -> DataFrame:
     now = degree.select("a", F.col("a").alias("c"), "k")
     if not two_m:
         return now.select(F.col("a").alias("node"), F.col("c").alias("community"))
-    quiet = 0
-    for r in range(max_rounds):
+
+    def quality(parts: DataFrame) -> float:
+        c = parts.select("a", "c")
+        inside = both.join(c, "a").join(c.toDF("b", "_c"), "b").where("c = _c").agg(F.coalesce(F.sum("w"), F.lit(0.0))).first()[0]
+        return inside / two_m - parts.groupBy("c").agg(F.sum("k").alias("tot")).agg(F.sum(F.col("tot") * F.col("tot"))).first()[0] / two_m**2
+
+    value, r = quality(now), 0
+    while True:
         totals = now.groupBy("c").agg(F.sum("k").alias("tot"))
-        links = both.join(now.select(F.col("a").alias("b"), "c"), "b").groupBy("a", "c").agg(F.sum("w").alias("into"))
+        # A node's own community counts even where nothing links them, so that what it leaves is known.
+        reach = both.join(now.select(F.col("a").alias("b"), "c"), "b").select("a", "c", "w").unionByName(now.select("a", "c", F.lit(0.0).alias("w")))
+        links = reach.groupBy("a", "c").agg(F.sum("w").alias("into"))
         own = now.select("a", F.col("c").alias("was"), "k")
         scored = links.join(totals, "c").join(own, "a").withColumn("gain", F.col("into") - F.col("k") * (F.col("tot") - F.when(F.col("c") == F.col("was"), F.col("k")).otherwise(0.0)) / two_m)
-        best = scored.groupBy("a").agg(F.max_by("c", F.struct(F.round("gain", 9), -F.col("c"))).alias("to"), F.max("gain").alias("best"), F.coalesce(F.max(F.when(F.col("c") == F.col("was"), F.col("gain"))), F.lit(0.0)).alias("stay"))
-        turn = F.pmod(F.xxhash64("a", F.lit(r)), F.lit(2)) == 0
-        joined = now.join(best, "a", "left").withColumn("new", F.when(turn & (F.col("best") > F.col("stay") + 1e-9), F.col("to")).otherwise(F.col("c")))
-        after = checkpointed(joined.select("a", F.col("new").alias("c"), "k", (F.col("new") != F.col("c")).alias("moved")))
-        moved = after.where("moved").limit(1).count()
-        now = after.drop("moved")
-        quiet = 0 if moved else quiet + 1
-        if quiet == 2:
+        best = scored.groupBy("a").agg(F.max_by("c", F.struct(F.round("gain", 9), -F.col("c"))).alias("to"), F.max("gain").alias("best"), F.max(F.when(F.col("c") == F.col("was"), F.col("gain"))).alias("stay"))
+        wanted = now.join(best, "a").withColumn("more", F.when(F.col("to") != F.col("c"), F.col("best") - F.col("stay")).otherwise(0.0))
+        wanted = checkpointed(wanted.select("a", "c", "k", "to", F.when(F.col("more") > 1e-8, F.col("more")).alias("more")))
+        first = wanted.where("more is not null").orderBy(F.col("more").desc(), "a").select("a").first()
+        if first is None:
             break
+        moved_if = lambda turn: wanted.select("a", F.when(turn & F.col("more").isNotNull(), F.col("to")).otherwise(F.col("c")).alias("c"), "k")  # noqa: E731, B023
+        after = checkpointed(moved_if(F.pmod(F.xxhash64("a", F.lit(r)), F.lit(2)) == 0))
+        if (reached := quality(after)) <= value + 1e-12:
+            after = checkpointed(moved_if(F.col("a") == first[0]))
+            reached = quality(after)
+        now, value, r = after, reached, r + 1
     return now.select(F.col("a").alias("node"), F.col("c").alias("community"))
 
 

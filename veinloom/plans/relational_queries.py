@@ -407,12 +407,17 @@ def load_mapping_file(t):
 
 
 def _strong_pairs(t):
-    """Pairs of suppliers among every eleventh key's orders: a sparse graph, so that components differ."""
-    lines = t("lineitem").where("l_orderkey % 331 = 0")
-    return J.co_participation(lines, "l_orderkey", "l_suppkey")
+    """Pairs of suppliers over all orders whose weight is the mean and one and a half standard deviations or more.
+    Suppliers without such a pair are no nodes of the graph."""
+    pairs = J.co_participation(t("lineitem"), "l_orderkey", "l_suppkey")
+    least = pairs.agg((F.avg("weight") + 1.5 * F.stddev_pop("weight")).alias("least"))
+    return pairs.crossJoin(F.broadcast(least)).where("weight >= least").drop("least")
 
 
-_SPARSE = "SELECT DISTINCT x.l_suppkey AS a, y.l_suppkey AS b FROM lineitem x JOIN lineitem y ON x.l_orderkey = y.l_orderkey AND x.l_suppkey <> y.l_suppkey WHERE x.l_orderkey % 331 = 0"
+_ONCE = "SELECT DISTINCT l_orderkey AS o, l_suppkey AS s FROM lineitem WHERE l_orderkey IS NOT NULL AND l_suppkey IS NOT NULL"
+_PAIRS = f"SELECT x.s AS a, y.s AS b, count(*) AS weight FROM ({_ONCE}) x JOIN ({_ONCE}) y ON x.o = y.o AND x.s < y.s GROUP BY 1, 2"
+_STRONG = f"SELECT a, b FROM ({_PAIRS}) WHERE weight >= (SELECT avg(weight) + 1.5 * stddev_pop(weight) FROM ({_PAIRS}))"
+_SPARSE = f"SELECT a, b FROM ({_STRONG}) UNION ALL SELECT b, a FROM ({_STRONG})"
 
 
 @query(f"WITH RECURSIVE e AS ({_SPARSE}), r(node, other) AS (SELECT a, a FROM e UNION SELECT r.node, e.b FROM r JOIN e ON e.a = r.other) SELECT node, min(other) AS component FROM r GROUP BY 1")
