@@ -62,3 +62,16 @@ def test_communities_stop_only_where_no_move_raises_modularity(spark):
     gain = lambda x, c: into[x][c] - k[x] * (total[c] - (k[x] if c == found[x] else 0)) / two_m
     assert set(found) == set(k)
     assert not [x for x in found if max(gain(x, c) for c in list(into[x])) > gain(x, found[x]) + 1e-6]
+
+
+def test_vectors_meet_all_others(run):
+    """Earlier ones and those of another label too."""
+    vectors = [(i, [float(i % 7), 1.0, float(-i % 5)], i % 3) for i in range(19, 42)]
+    schema = "vec_id long, embedding array<double>, label long"
+    pairs = {(q, o) for q in (20, 40) for o in range(19, 42) if o != q}
+    found = run("vec_cosine", embeddings=(vectors, schema)).collect()
+    assert {(r["vec_id"], r["other"]) for r in found} == pairs and len(found) == len(pairs)
+    e = {i: v for i, v, _ in vectors}
+    dot = lambda x, y: sum(p * q for p, q in zip(x, y))
+    assert all(abs(r["cosine"] - dot(e[r["vec_id"]], e[r["other"]]) / (dot(e[r["vec_id"]], e[r["vec_id"]]) * dot(e[r["other"]], e[r["other"]])) ** 0.5) < 2e-6 for r in found)
+    assert {(r["vec_id"], r["other"]) for r in run("vec_threshold", embeddings=(vectors, schema)).collect()} == pairs
