@@ -75,3 +75,17 @@ def test_vectors_meet_all_others(run):
     dot = lambda x, y: sum(p * q for p, q in zip(x, y))
     assert all(abs(r["cosine"] - dot(e[r["vec_id"]], e[r["other"]]) / (dot(e[r["vec_id"]], e[r["vec_id"]]) * dot(e[r["other"]], e[r["other"]])) ** 0.5) < 2e-6 for r in found)
     assert {(r["vec_id"], r["other"]) for r in run("vec_threshold", embeddings=(vectors, schema)).collect()} == pairs
+
+
+def test_terms_are_found_anywhere_in_a_text(run):
+    """At the start, across characters 60 and 360, and in short texts."""
+    first = "renal cancer. " + "x" * 40 + " renal cancer " + "y" * 30 + ". " + "z " * 119 + "zzz renal cancer and more. End renal cancer"
+    documents = ([(1, first), (2, "renal cancer"), (3, "cancer renal"), (4, "Dr. Who has renal cancer. Then nothing.")], "doc_id long, text string")
+    tables = {"documents": documents, "benchmark": ([(1, "renal cancer of some kind")], "item_id long, text string")}
+    for name in ("dom_gazetteer_match", "join_theta_substring"):
+        assert {tuple(r) for r in run(name, **tables).collect()} == {(1, "renal cancer", first.count("renal cancer")), (2, "renal cancer", 1), (4, "renal cancer", 1)}
+    assert {tuple(r) for r in run("dom_match_cascade", **tables).select("row", "n", "source").collect()} == {(1, 1, "title"), (2, 1, "title"), (4, 1, "title")}
+    lost = "One two. " + "w " * 148 + "renal cancer at 300. Last."
+    assert lost.index("renal cancer") < 9 + 300 < lost.index("renal cancer") + 12
+    tables["documents"] = ([(1, lost)], "doc_id long, text string")
+    assert [tuple(r) for r in run("dom_match_cascade", **tables).select("row", "n", "source").collect()] == [(1, 1, "statement")]

@@ -18,8 +18,14 @@ from veinloom.streaming import incremental as I
 
 _WORDS = r"[\p{L}\p{N}\p{M}\p{Pc}]+"
 _TERMS = f"SELECT DISTINCT w[1] || ' ' || w[2] AS term FROM (SELECT regexp_extract_all(text, '{_WORDS}') AS w FROM benchmark) WHERE len(w) >= 2"
-#: Documents with the first words as title, then the statement, then the abstract.
-_PARTS = "SELECT doc_id AS \"row\", substring(text, 1, 60) AS title, substring(text, 61, 300) AS statement, substring(text, 361) AS abstract FROM documents"
+#: Documents with the first sentence as title, then the statement: the next 300 characters and on to the end of their
+#: sentence, then the abstract. No term has a sentence end inside, so no cut goes through one. The SQL marks sentence ends.
+_ENDS = "regexp_replace(regexp_replace(regexp_replace(text, '([.?])[\\s\\x0b]', '\\1' || chr(57344), 'g'), '([A-Z][a-z]\\.)' || chr(57344), '\\1 ', 'g'), '(\\w\\.\\w[.?])' || chr(57344), '\\1 ', 'g')"
+_TITLED = f"SELECT doc_id, split_part(x, chr(57344), 1) AS title, substring(x, length(split_part(x, chr(57344), 1)) + 2) AS rest FROM (SELECT doc_id, {_ENDS} AS x FROM documents)"
+_PARTS = f"SELECT doc_id AS \"row\", title, CASE WHEN p = 0 THEN rest ELSE substring(rest, 1, 299 + p) END AS statement, CASE WHEN p = 0 THEN '' ELSE substring(rest, 301 + p) END AS abstract FROM (SELECT *, strpos(substring(rest, 301), chr(57344)) AS p FROM ({_TITLED}))"
+_WHOLE = "SELECT doc_id AS \"row\", text FROM documents"
+
+
 def _hit(s: str) -> str:
     return f"contains({s}, term) AND len(list_filter(regexp_extract_all(term, '{_WORDS}'), lambda w: NOT list_contains(regexp_extract_all({s}, '{_WORDS}'), w))) = 0"
 
@@ -34,13 +40,17 @@ def _terms(t) -> DataFrame:
 
 
 def _parts(t) -> DataFrame:
-    return t("documents").select(F.col("doc_id").alias("row"), F.substring("text", 1, 60).alias("title"), F.substring("text", 61, 300).alias("statement"), F.expr("substring(text, 361)").alias("abstract"))
+    end = r"(?<!\w\.\w.)(?<![A-Z][a-z]\.)(?<=[.?])\s"
+    cut = lambda c, n: F.split(F.regexp_replace(c, rf"(?s)^(.{{{n}}}.*?){end}", "$1\ue000"), "\ue000", 2)
+    titled = t("documents").select(F.col("doc_id").alias("row"), cut("text", 0).alias("_t"))
+    rest = titled.select("row", F.col("_t")[0].alias("title"), cut(F.coalesce(F.get("_t", F.lit(1)), F.lit("")), 300).alias("_s"))
+    return rest.select("row", "title", F.col("_s")[0].alias("statement"), F.coalesce(F.get("_s", F.lit(1)), F.lit("")).alias("abstract"))
 
 
-@query(f"SELECT \"row\", term, {_count('abstract')} AS n FROM ({_PARTS}), ({_TERMS}) WHERE {_hit('abstract')}", "join_theta_substring")
+@query(f"SELECT \"row\", term, {_count('text')} AS n FROM ({_WHOLE}), ({_TERMS}) WHERE {_hit('text')}", "join_theta_substring")
 def dom_gazetteer_match(t):
     """Terms that a text contains and of which it has all words as tokens, with the number of occurrences."""
-    return M.match_terms(_parts(t), "abstract", _terms(t), "term")
+    return M.match_terms(t("documents").select(F.col("doc_id").alias("row"), "text"), "text", _terms(t), "term")
 
 
 _CASCADE = " UNION ALL ".join(f"SELECT \"row\", term, {_count(s)} AS n, '{s}' AS source, {k} AS k FROM ({_PARTS}), ({_TERMS}) WHERE {_hit(s)}" for k, s in enumerate(("title", "statement", "abstract")))
