@@ -89,3 +89,12 @@ def test_terms_are_found_anywhere_in_a_text(run):
     assert lost.index("renal cancer") < 9 + 300 < lost.index("renal cancer") + 12
     tables["documents"] = ([(1, lost)], "doc_id long, text string")
     assert [tuple(r) for r in run("dom_match_cascade", **tables).select("row", "n", "source").collect()] == [(1, 1, "statement")]
+
+
+def test_nearest_name_is_the_best_of_all(run):
+    r = random.Random(2)
+    names = sorted({"".join(r.choice("abcd") for _ in range(r.randint(3, 9))) for _ in range(60)})
+    ratio = lambda x, y: round(difflib.SequenceMatcher(None, x, y).ratio(), 6)
+    best = {x: min((-ratio(x, y), y) for y in names if y != x) for x in names}
+    found = run("join_theta_nearest", part=([(x,) for x in names + names[:5]], "p_name string")).select("p_name", "reference", "ratio").collect()
+    assert sorted(map(tuple, found)) == [(x, y, -s) for x, (s, y) in best.items() if -s >= 0.6]

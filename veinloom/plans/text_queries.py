@@ -302,10 +302,10 @@ def scan_html(t):
 
 @query()
 def join_theta_nearest(t):
-    """For each name the most alike one of a reference list, the earlier one on ties. A ratio of at least c implies
+    """For each name the most alike one of all other names, the earlier one on ties. A ratio of at least c implies
     2 * min(lengths) / (sum of lengths) >= c, so other pairs are not compared."""
     names = t("part").select("p_name").distinct()
-    reference = names.where(F.pmod(F.xxhash64("p_name"), F.lit(4)) == 0).select(F.col("p_name").alias("reference"))
+    reference = names.select(F.col("p_name").alias("reference"))
     alike = 2 * F.least(F.length("p_name"), F.length("reference")) >= 0.6 * (F.length("p_name") + F.length("reference"))
-    pairs = names.join(reference, alike).withColumn("ratio", F.round(X.similarity("p_name", "reference"), 6)).where("ratio >= 0.6")
+    pairs = names.join(reference, alike & (F.col("p_name") != F.col("reference"))).withColumn("ratio", F.round(X.similarity("p_name", "reference"), 6)).where("ratio >= 0.6")
     return W.first_per_key(pairs, ["p_name"], [F.col("ratio").desc(), F.col("reference")])
