@@ -98,3 +98,11 @@ def test_nearest_name_is_the_best_of_all(run):
     best = {x: min((-ratio(x, y), y) for y in names if y != x) for x in names}
     found = run("join_theta_nearest", part=([(x,) for x in names + names[:5]], "p_name string")).select("p_name", "reference", "ratio").collect()
     assert sorted(map(tuple, found)) == [(x, y, -s) for x, (s, y) in best.items() if -s >= 0.6]
+
+
+def test_sorts_return_every_row_in_order(run):
+    orders = [(i * 37 % 101, i, float(i % 7)) for i in range(1, 101)]
+    tables = {"orders": (orders, "o_orderkey long, o_custkey long, o_totalprice double")}
+    assert [tuple(r) for r in run("sort_single", **tables).collect()] == [x[:2] for x in sorted(orders)]
+    assert [tuple(r) for r in run("sort_multi", **tables).collect()] == [x[:2] for x in sorted(orders, key=lambda x: (-x[2], x[0]))]
+    assert run("topk", **tables).count() == 20

@@ -330,11 +330,21 @@ def win_argmax(t):
     return t("lineitem").groupBy("l_partkey").agg(F.max_by("l_suppkey", F.struct("l_extendedprice", -F.col("l_suppkey"), -F.col("l_orderkey"))).alias("l_suppkey"))
 
 
-@query("SELECT o_orderkey, o_custkey FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 20", "sort_multi", "sort_single")
+@query("SELECT o_orderkey, o_custkey FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 20")
 def topk(t):
     return t("orders").orderBy(F.col("o_totalprice").desc(), "o_orderkey").limit(20).select("o_orderkey", "o_custkey")
 
 
+@query("SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey")
+def sort_single(t):
+    return t("orders").orderBy("o_orderkey").select("o_orderkey", "o_custkey")
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders ORDER BY o_totalprice DESC, o_orderkey")
+def sort_multi(t):
+    return t("orders").orderBy(F.col("o_totalprice").desc(), "o_orderkey").select("o_orderkey", "o_custkey")
+
+
 @query("SELECT doc_id, lang FROM (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id) AS r FROM documents) WHERE r <= 5")
 def sample_stratified(t):
     return W.stratified(t("documents").select("doc_id", "lang"), "lang", "doc_id", 5)
