@@ -24,13 +24,13 @@ from pyspark.sql import functions as F
 
 from veinloom.llm.components import connected_components
 from veinloom.llm.quality_classifier import in_chunks
-from veinloom.llm.storage import delete_path, table, written, written_at
+from veinloom.llm.storage import Scratch, table, written
 
 SHINGLE = 3
 PERCENT = 90
 GROUPS = 32
-#: Nodes of a block.
-BLOCK = 512
+#: Nodes of a block, and characters of their texts.
+BLOCK, BLOCK_CHARS = 2048, 8_000_000
 #: About so many nodes of a large cluster are in each of its blocks.
 PIVOTS = 64
 LEAF = 16
@@ -155,9 +155,9 @@ class CountTree:
         self.leaf_least = np.array([self.size[x].min() for x in self.leaves])
         self.leaf_most = np.array([self.size[x].max() for x in self.leaves])
 
-    def near(self, q: int, percent: int) -> np.ndarray:
-        """Points whose bound on the overlap with q reaches what the threshold asks for."""
-        p, n = self.points[q], int(self.size[q])
+    def near(self, p: np.ndarray, percent: int) -> np.ndarray:
+        """Points whose bound on the overlap with the point p reaches what the threshold asks for."""
+        n = int(p.sum())
         need = lambda m: -(-percent * (n + m) // (100 + percent))
         ok = (self.leaf_most * 100 >= percent * n) & (self.leaf_least * percent <= 100 * n)
         at = np.flatnonzero(ok)
@@ -178,20 +178,22 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 def tree_links(sets: list[np.ndarray], part: np.ndarray, percent: int = PERCENT, sides: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Links that join what the threshold joins: no pair of nodes that is linked stays in two parts.
 
-    part: the part each set is in already; sides: if given, only pairs of different sides are compared.
+    part: the part each set is in already; sides: if given, 1 or 2 for each set, and only pairs of both sides are compared.
     """
     if len(sets) == 2:  # a tree of one leaf; most blocks are of this kind
         apart = part[0] != part[1] and (sides is None or sides[0] != sides[1])
         return [(0, 1)] if apart and linked(sets[0], sets[1], percent) else []
-    tree = CountTree(points_of(sets))
-    names, root = np.unique(part, return_inverse=True)
-    root = root.copy()
+    points = points_of(sets)
+    inner = np.arange(len(sets)) if sides is None else np.flatnonzero(sides == 1)
+    if not len(inner):
+        return []
+    tree = CountTree(points[inner])
+    root = np.unique(part, return_inverse=True)[1].copy()
     out = []
-    for q in range(len(sets)):
-        near = tree.near(q, percent)
-        near = near[near > q]
-        if sides is not None:
-            near = near[sides[near] != sides[q]]
+    for q in range(len(sets)) if sides is None else np.flatnonzero(sides == 2).tolist():
+        near = inner[tree.near(points[q], percent)]
+        if sides is None:
+            near = near[near > q]
         near = near[root[near] != root[q]]
         while len(near):
             x = near[0]
@@ -204,16 +206,24 @@ def tree_links(sets: list[np.ndarray], part: np.ndarray, percent: int = PERCENT,
     return out
 
 
+def identified(documents: DataFrame) -> DataFrame:
+    """doc_id, h (a hash of the text) and text: rows of one id with different texts are kept apart by h."""
+    text = F.col("text").cast("string")
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), text.alias("text"))
+
+
 def signatures(documents: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """doc_id, size of the set, node (a hash of the whole set; null if empty) and, once for each node in a task, its keys."""
+    """doc_id, h, size of the set, node and check (hashes of the whole set, 128 bits together; null if it is empty) and,
+    once for each node in a task, its keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, nodes, bounds = _Words(), set(), size_class_bounds(percent, 1 << 30)
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
+            texts = batch.column(2).to_pylist()
             for a, b in in_chunks(texts, 1_000_000):
                 sets = shingle_sets(texts[a:b], known, shingle)
-                node = [xxhash.xxh3_64_intdigest(s.tobytes(), seed=len(s)) - (1 << 63) if len(s) else None for s in sets]
+                both = [xxhash.xxh3_128_intdigest(s.tobytes(), seed=len(s)) if len(s) else None for s in sets]
+                node = [None if x is None else (x >> 64) - (1 << 63) for x in both]
                 keys = []
                 for x, s in zip(node, sets):
                     keys.append(block_keys(s, percent, bounds) if x is not None and x not in nodes else np.zeros(0, dtype=np.int64))
@@ -223,10 +233,10 @@ def signatures(documents: DataFrame, shingle: int = SHINGLE, percent: int = PERC
                 offsets = np.zeros(len(keys) + 1, dtype=np.int32)
                 np.cumsum([len(k) for k in keys], out=offsets[1:])
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(keys)))
-                yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()), pa.array(node, pa.int64()), lists], names=["doc_id", "n", "node", "keys"])
+                check = pa.array([None if x is None else (x & ((1 << 64) - 1)) - (1 << 63) for x in both], pa.int64())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()), pa.array(node, pa.int64()), check, lists], names=["doc_id", "h", "n", "node", "check", "keys"])
 
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n long, node long, keys array<long>")
+    return identified(documents).mapInArrow(run, "doc_id long, h long, n long, node long, check long, keys array<long>")
 
 
 _TASK = "task string, node long, part long, side int, text string"
@@ -249,95 +259,112 @@ def block_links(rows: DataFrame, shingles, percent: int) -> DataFrame:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sets_of = shingles.maker()
 
-        def done(block: list[tuple]) -> pd.DataFrame | None:
+        def done(block: list[tuple]) -> list[tuple[int, int]]:
             rows = list({r[1]: r for r in block}.values())
             if len(rows) < 2:
-                return None
-            sets = sets_of([r[4] for r in rows])
+                return []
             sides = np.array([r[3] for r in rows])
-            links = tree_links(sets, np.array([r[2] for r in rows], dtype=np.int64), percent, sides if sides.any() else None)
-            return pd.DataFrame({"a": [rows[i][1] for i, _ in links], "b": [rows[j][1] for _, j in links]}, dtype="int64") if links else None
+            links = tree_links([r[4] for r in rows], np.array([r[2] for r in rows], dtype=np.int64), percent, sides if sides.any() else None)
+            return [(rows[i][1], rows[j][1]) for i, j in links]
 
-        task, block = None, []
+        def frame_of(found: list[tuple[int, int]]) -> pd.DataFrame:
+            return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+        task, block, found = None, [], []
         for frame in frames:
-            for r in frame.itertuples(index=False, name=None):
-                if r[0] != task and block:
-                    if (out := done(block)) is not None:
-                        yield out
+            once = ~frame["node"].duplicated()
+            sets = dict(zip(frame["node"][once], sets_of(frame["text"][once].tolist())))
+            for t, node, part, side in frame[["task", "node", "part", "side"]].itertuples(index=False, name=None):
+                if t != task and block:
+                    found += done(block)
                     block = []
-                task = r[0]
-                block.append(r)
-        if block and (out := done(block)) is not None:
-            yield out
+                task = t
+                block.append((t, node, part, side, sets[node]))
+            if found:
+                yield frame_of(found)
+                found = []
+        if block and (found := done(block)):
+            yield frame_of(found)
 
     return rows.select("task", "node", "part", "side", "text").repartition("task").sortWithinPartitions("task").mapInPandas(run, "a long, b long")
 
 
-def key_clusters(rows: DataFrame) -> DataFrame:
-    """node and root of all nodes that are joined by common keys; rows: node, keys. Each key's nodes are linked to its
-    least node only, so a key that very many share gives no pairs; the one shuffle serves both the minimum and the join."""
+def keyed_nodes(rows: DataFrame) -> DataFrame:
+    """key and node for all keys of rows. Dealt by key once; what groups and what joins by key share that shuffle."""
     # The filters are those that the join would add on its side; with them here, both sides share one shuffle.
-    keyed = rows.where(F.size("keys") > 0).select(F.explode("keys").alias("key"), "node").where("key is not null and node is not null").repartition("key")
-    first = keyed.groupBy("key").agg(F.min("node").alias("to"), F.max("node").alias("_last")).where("to <> _last").drop("_last")
-    return written(connected_components(keyed.join(first, "key").where("node <> to").select("node", "to")), "clusters")
+    return rows.where(F.size("keys") > 0).select(F.explode("keys").alias("key"), "node").where("key is not null and node is not null").repartition("key")
 
 
-def rows_and_clusters(signed: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]:
-    """The rows without their keys, and the clusters of their keys; the keys' table goes as soon as nothing needs it."""
-    full, path = written_at(signed, "keys")
-    rows = written(full.select(*columns), "rows")
-    clusters = key_clusters(full)
-    delete_path(full.sparkSession, path)
-    return rows, clusters
+def key_clusters(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """node and root of all nodes that are joined by common keys; rows: node, keys. Each key's nodes are linked to its
+    least node only, so a key that very many share gives no pairs."""
+    keyed = keyed_nodes(rows)
+    first = keyed.groupBy("key").agg(F.min("node").alias("to"), F.max("node").alias("_last")).where("to <> _last").drop("_last")
+    return connected_components(keyed.join(first, "key").where("node <> to").select("node", "to"), scratch)
 
 
 def near_components(documents: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row.
+    """doc_id, h (hash of the text), n_shingles and component_id of every row.
 
     Null, empty and white texts have no shingles and are linked with nothing: their component is their own id. Rows with
-    equal sets are one node, whatever their ids; the component's name is the least doc_id in it (nulls do not count).
-    Other columns are not read; an empty table gives no rows. Nodes are 64-bit hashes of whole sets.
+    equal sets are one node, whatever their ids; the component's name is the least doc_id in it (nulls do not count, and a
+    component of rows without ids has none). Rows of one id with different texts are told apart by h. Other columns are
+    not read; an empty table gives no rows. Nodes go by 64 bits of a hash of the whole set; another 64 bits are compared
+    before rows count as equal.
     """
-    rows, clusters = rows_and_clusters(signatures(documents, shingle, percent), ["doc_id", "n", "node"])
-    sizes = clusters.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
-    # One document stands for each node; only nodes with a possible partner are read again.
-    chosen = rows.join(clusters, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    members = chosen.join(clusters, "node").join(sizes, "root").select("doc_id", "node", "root", "size")
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    members = written(members.join(texts, "doc_id").select("node", "root", "size", "text"), "members")
-    links = cluster_links(members, WordShingles(shingle), percent, block)
-    parts = connected_components(links)
-    least = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("_least"))
-    in_part = written(least.join(parts, "node", "left").withColumn("root", F.coalesce("root", "node")), "parts")
-    names = written(in_part.groupBy("root").agg(F.min("_least").alias("component_id")), "names")  # so Spark can split a hot root
-    named = in_part.join(names, "root").select("node", "component_id")
-    return rows.join(named, "node", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
-
-
-def cluster_links(members: DataFrame, shingles, percent: int, block: int = BLOCK) -> DataFrame:
-    """Links that join what the threshold joins among the members (node, root, size, text) of clusters. Clusters within a
-    block are compared as one; larger ones in blocks with common pivots, then in pairs of blocks where parts remain."""
-    blocks = F.ceil(F.col("size") / block).cast("int")
+    with Scratch(documents.sparkSession) as scratch:
+        signed = scratch.written(signatures(documents, shingle, percent), "keys")
+        rows = scratch.written(signed.drop("keys"), "rows")
+        clusters = scratch.written(key_clusters(signed, scratch), "clusters")
+        scratch.drop(signed)
+        # One row stands for each node; only nodes with a possible partner are read again.
+        stands = rows.where("node is not null").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h", "check")).alias("at"))
+        chosen = stands.join(clusters, "node").select(F.col("at.doc_id").alias("_doc"), F.col("at.h").alias("_h"), "node", "root")
+        texts = identified(documents)
+        read = texts.join(chosen, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("h") == F.col("_h")))
+        # Repeated rows of one id and text are one member.
+        members = scratch.written(read.groupBy("node", "root").agg(F.max("text").alias("text")), "members")
+        parts = connected_components(cluster_links(members, WordShingles(shingle), percent, scratch, block), scratch)
+        # The least id is taken over rows that are equal by all 128 bits; one with other check bits stands alone.
+        least = rows.where("node is not null").groupBy("node", "check").agg(F.min("doc_id").alias("_least"))
+        in_part = least.join(stands.select("node", F.col("at.check").alias("_c")), "node").withColumn("_own", F.col("check") != F.col("_c")).join(parts, "node", "left")
+        in_part = in_part.withColumn("root", F.when(~F.col("_own"), F.coalesce("root", "node")).otherwise(F.col("node"))).withColumn("_c", F.when(F.col("_own"), F.col("check")))
+        in_part = scratch.written(in_part.select("node", "check", "root", "_c", "_least"), "parts")
+        names = scratch.written(in_part.groupBy("root", "_c").agg(F.min("_least").alias("component_id")), "names")  # so Spark can split a hot root
+        names = names.toDF("_root", "_of", "component_id")
+        named = in_part.join(names, (F.col("root") == F.col("_root")) & F.col("_c").eqNullSafe(F.col("_of"))).select("node", "check", "component_id")
+        done = rows.join(named, ["node", "check"], "left")
+        return written(done.select("doc_id", "h", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")), "components")
+
+
+def cluster_links(members: DataFrame, shingles, percent: int, scratch: Scratch, block: int = BLOCK) -> DataFrame:
+    """Links that join what the threshold joins among the members (node, root, text) of clusters; a node may be in several.
+    Clusters within a block are compared as one; larger ones in blocks with common pivots, then in pairs of blocks where
+    parts remain. A block is bounded in nodes and in characters."""
+    full = lambda n, chars, of: F.ceil(F.greatest(n / of, chars / BLOCK_CHARS)).cast("int")
+    sizes = scratch.written(members.groupBy("root").agg(F.count(F.lit(1)).alias("size"), F.sum(F.length("text")).alias("chars")).where("size > 1").withColumn("blocks", full(F.col("size"), F.col("chars"), block)), "sizes")
+    sized = members.join(sizes, "root")
+    blocks = F.col("blocks")
     own = F.pmod(F.xxhash64("node", F.lit(1)), blocks).cast("int")
     pivot = (F.pmod(F.xxhash64("node", F.lit(2)), F.col("size")) < PIVOTS) & (blocks > 1)
-    dealt = members.withColumn("_k", F.explode(F.when(pivot, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(own))))
-    links = written(block_links(dealt.select(F.concat_ws(":", "root", "_k").alias("task"), "node", F.col("node").alias("part"), F.lit(0).alias("side"), "text"), shingles, percent), "links")
-    large = members.where(F.col("size") > block)
-    if large.limit(1).count():
-        links = links.unionByName(_rest_links(large, links, shingles, percent, block))
+    dealt = sized.withColumn("_k", F.explode(F.when(pivot, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(own))))
+    links = scratch.written(block_links(dealt.select(F.concat_ws(":", "root", "_k").alias("task"), "node", F.col("node").alias("part"), F.lit(0).alias("side"), "text"), shingles, percent), "links")
+    if sizes.where("blocks > 1").limit(1).count():
+        large = sized.where("blocks > 1").select("node", "root", "text")
+        links = links.unionByName(_rest_links(large, links, shingles, percent, scratch, full, max(1, block // 2)))
     return links
 
 
-def _rest_links(large: DataFrame, links: DataFrame, shingles, percent: int, block: int) -> DataFrame:
+def _rest_links(large: DataFrame, links: DataFrame, shingles, percent: int, scratch: Scratch, full, half: int) -> DataFrame:
     """What the dealt blocks cannot see: pairs of different components of a large cluster, one of them not in the largest."""
-    parts = connected_components(links)
+    theirs = links.join(large.select(F.col("node").alias("a")).distinct(), "a", "left_semi")
+    parts = connected_components(theirs, scratch)
     nodes = large.join(parts.withColumnRenamed("root", "part"), "node", "left").withColumn("part", F.coalesce("part", "node"))
-    counts = nodes.groupBy("root", "part").agg(F.count(F.lit(1)).alias("n"))
-    top = counts.groupBy("root").agg(F.max_by("part", F.struct("n", "part")).alias("top"), F.max("n").alias("n_top"), F.sum("n").alias("n_all"), F.count(F.lit(1)).alias("n_parts")).where("n_parts > 1")
-    half = max(1, block // 2)
-    n_top = F.ceil(F.col("n_top") / half).cast("int")
-    n_rest = F.ceil((F.col("n_all") - F.col("n_top")) / half).cast("int")
-    open_ = written(nodes.join(top, "root").withColumn("_top", n_top).withColumn("_rest", n_rest).withColumn("_h", F.xxhash64("node", F.lit(3))), "open")
+    nodes = scratch.written(nodes.withColumn("chars", F.length("text")).withColumn("_h", F.xxhash64("node", F.lit(3))), "open")
+    counts = scratch.written(nodes.groupBy("root", "part").agg(F.count(F.lit(1)).alias("n"), F.sum("chars").alias("c")), "counts")
+    top = counts.groupBy("root").agg(F.max_by(F.struct("part", "n", "c"), F.struct("n", "part")).alias("top"), F.sum("n").alias("n"), F.sum("c").alias("c"), F.count(F.lit(1)).alias("n_parts")).where("n_parts > 1")
+    top = top.select("root", F.col("top.part").alias("top"), full(F.col("top.n"), F.col("top.c"), half).alias("_top"), full(F.col("n") - F.col("top.n"), F.col("c") - F.col("top.c"), half).alias("_rest"))
+    open_ = nodes.join(top, "root")
     is_top = F.col("part") == F.col("top")
     near = open_.where(is_top).withColumn("_i", F.pmod("_h", "_top")).withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_rest") - 1))).withColumn("side", F.lit(1))
     far = open_.where(~is_top).withColumn("_j", F.pmod("_h", "_rest")).withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_top") - 1))).withColumn("side", F.lit(2))
@@ -345,11 +372,15 @@ def _rest_links(large: DataFrame, links: DataFrame, shingles, percent: int, bloc
     other = open_.where(~is_top).withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_rest") - 1)))
     other = other.withColumn("_i", F.least(mine, F.col("_o"))).withColumn("_j", F.greatest(mine, F.col("_o"))).withColumn("side", F.lit(0))
     task = lambda d, kind: d.select(F.concat_ws(":", F.lit(kind), "root", "_i", "_j").alias("task"), "node", "part", "side", "text")
-    return written(block_links(task(near, "t").unionByName(task(far, "t")).unionByName(task(other, "r")), shingles, percent), "links")
+    found = scratch.written(block_links(task(near, "t").unionByName(task(far, "t")).unionByName(task(other, "r")), shingles, percent), "links")
+    scratch.drop(nodes, counts)
+    return found
 
 
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_components(table(spark, sf_dir, "documents"))
+    """One row for each row of documents: doc_id, n_shingles, component_id; see near_components for nulls, ties and
+    repeated rows."""
+    return near_components(table(spark, sf_dir, "documents")).drop("h")
 
 
 #: All pairs that share a shingle, and a recursive walk over the links.

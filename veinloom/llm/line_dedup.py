@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veinloom.llm.components import connected_components
-from veinloom.llm.jaccard_join import MAX_NODES_KNOWN, cluster_links, mix, rows_and_clusters
+from veinloom.llm.jaccard_join import MAX_NODES_KNOWN, cluster_links, identified, keyed_nodes, mix
 from veinloom.llm.quality_classifier import in_chunks
-from veinloom.llm.storage import table, written
+from veinloom.llm.storage import Scratch, table, written
 
 CHARS = 5
 PERCENT = 80
@@ -21,7 +21,7 @@ PERCENT = 80
 #: Lines of one language share many shingles of five characters. Six rows a band keep them apart: of the 404,186 different
 #: lines of 0.10 GB, the largest cluster has 257 (16 bands of five rows: 1,174). A seventh row needs 27 bands.
 BANDS, ROWS = 21, 6
-BLOCK = 1024
+BLOCK = 2048
 _P = np.uint64(0x100000001B3)
 _A = (mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 _B = (mix(np.arange(1001, 1001 + BANDS * ROWS, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
@@ -92,25 +92,32 @@ class CharShingles:
         return sets_of
 
 
+def hashes(line: str) -> tuple[int, int]:
+    """Node and check of a normal line: 128 bits of a hash."""
+    h = xxhash.xxh3_128_intdigest(line.encode("utf-8", "surrogatepass"))
+    return (h >> 64) - (1 << 63), (h & ((1 << 64) - 1)) - (1 << 63)
+
+
 def line_rows(documents: DataFrame) -> DataFrame:
-    """doc_id, idx and node of every line that is not blank; once for each node in a task, its band keys."""
+    """doc_id, h (a hash of the text), idx, node and check of every line that is not blank; once for each node in a task,
+    its band keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            ids, texts_h, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()
             for a, b in in_chunks(texts, 1_000_000):
-                doc, idx, node, new, new_at = [], [], [], [], []
-                for d, x in zip(ids[a:b], texts[a:b]):
+                doc, text_h, idx, node, check, new, new_at = [], [], [], [], [], [], []
+                for d, th, x in zip(ids[a:b], texts_h[a:b], texts[a:b]):
                     for i, line in enumerate((x or "").split("\n")):
                         line = normal(line)
                         if line:
-                            h = xxhash.xxh3_64_intdigest(line.encode("utf-8", "surrogatepass")) - (1 << 63)
+                            h, c = hashes(line)
                             if h not in seen:
                                 seen.add(h)
                                 new.append(line)
                                 new_at.append(len(node))
-                            doc.append(d), idx.append(i), node.append(h)
+                            doc.append(d), text_h.append(th), idx.append(i), node.append(h), check.append(c)
                 if len(seen) > MAX_NODES_KNOWN:
                     seen.clear()
                 if not node:
@@ -120,16 +127,14 @@ def line_rows(documents: DataFrame) -> DataFrame:
                 offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
                 values = band_keys(new).ravel() if new else np.zeros(0, dtype=np.int64)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
-                yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(idx, pa.int32()), pa.array(node, pa.int64()), lists], names=["doc_id", "idx", "node", "keys"])
+                yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(text_h, pa.int64()), pa.array(idx, pa.int32()), pa.array(node, pa.int64()), pa.array(check, pa.int64()), lists], names=["doc_id", "h", "idx", "node", "check", "keys"])
 
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null")
-    return rows.mapInArrow(run, "doc_id long, idx int, node long, keys array<long>")
+    return identified(documents).where("doc_id is not null").mapInArrow(run, "doc_id long, h long, idx int, node long, check long, keys array<long>")
 
 
 def chosen_lines(documents: DataFrame, chosen: DataFrame) -> DataFrame:
-    """node and text of chosen lines (doc_id, idx, node): one join on documents, and only chosen lines go further."""
-    wanted = chosen.groupBy("doc_id").agg(F.collect_list(F.struct("idx", "node")).alias("wanted"))  # bounded by a text
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    """node and text of chosen lines (doc_id, h, idx, node): one join on documents, and only chosen lines go further."""
+    wanted = chosen.groupBy("doc_id", "h").agg(F.collect_list(F.struct("idx", "node")).alias("wanted"))  # bounded by a text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -142,33 +147,58 @@ def chosen_lines(documents: DataFrame, chosen: DataFrame) -> DataFrame:
                         out.append(line)
             yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(out, pa.string())], names=["node", "text"])
 
-    return texts.join(wanted, "doc_id").select("text", "wanted").mapInArrow(run, "node long, text string")
+    found = identified(documents).join(wanted, ["doc_id", "h"]).select("text", "wanted").mapInArrow(run, "node long, text string")
+    return found.groupBy("node").agg(F.max("text").alias("text"))  # a repeated row gives its lines again
+
+
+def buckets(rows: DataFrame) -> DataFrame:
+    """node and root (a key) of all nodes that share a key with another; of keys with the same nodes only one is kept.
+    rows: node, keys."""
+    keyed = keyed_nodes(rows)
+    h = F.xxhash64("node")
+    # What nodes a key has: their number, least and largest, and two sums of their hashes.
+    marks = [F.count(F.lit(1)).alias("n"), F.min("node").alias("low"), F.max("node").alias("high"), F.sum(h.bitwiseAND(0xFFFFFFFF)).alias("x"), F.sum(F.shiftrightunsigned(h, 32)).alias("y")]
+    several = keyed.groupBy("key").agg(*marks).where("low <> high")
+    kept = several.groupBy("n", "low", "high", "x", "y").agg(F.min("key").alias("key")).select("key")
+    return keyed.join(kept, "key").select("node", F.col("key").alias("root")).distinct()
 
 
 def removed_lines(documents: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
-    """doc_id, n_lines (that are not blank) and removed (sorted numbers of lines, from 0) of every id with such lines.
+    """doc_id, h (a hash of the text), n_lines (that are not blank) and removed (sorted numbers of lines, from 0) of every
+    text with such lines that has an id.
 
-    Of each component of lines, that of the least (doc_id, number) stays. Blank lines are never removed. Rows without an
-    id are left alone; rows with the same id count as one document. Null and empty texts have no lines.
+    Of each component of lines, that of the least (doc_id, h, number) stays; equal rows (same id and text) count as one,
+    rows of one id with different texts each for themselves. Blank lines are never removed. Rows without an id are left
+    alone. Null and empty texts have no lines. Every pair of lines that shares a band is verified, unless both are linked
+    already through others. Lines count as equal by 128 bits.
     """
-    rows, clusters = rows_and_clusters(line_rows(documents), ["doc_id", "idx", "node"])
-    sizes = clusters.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
-    at = F.struct("doc_id", "idx")
-    chosen = rows.join(clusters, "node", "left_semi").groupBy("node").agg(F.min(at).alias("at")).select("at.doc_id", "at.idx", "node")
-    members = chosen_lines(documents, chosen).join(clusters, "node").join(sizes, "root").select("node", "root", "size", "text")
-    parts = connected_components(cluster_links(written(members, "members"), CharShingles(), percent, block))
-    named = rows.select("doc_id", "idx", "node").join(parts, "node", "left").select("doc_id", "idx", F.coalesce("root", "node").alias("part"))
-    # Only parts of several lines matter further; written, so that Spark can split the hot side of the joins.
-    named = written(named, "named")
-    first = written(named.groupBy("part").agg(F.min(at).alias("first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n"), "first")
-    judged = named.join(first, "part", "left").select("doc_id", "idx", F.coalesce(F.col("first") != at, F.lit(False)).alias("gone"))
-    return judged.groupBy("doc_id").agg(F.countDistinct("idx").alias("n_lines"), F.array_sort(F.collect_set(F.when(F.col("gone"), F.col("idx")))).alias("removed"))
+    with Scratch(documents.sparkSession) as scratch:
+        keys = scratch.written(line_rows(documents), "keys")
+        rows = scratch.written(keys.drop("keys"), "rows")
+        in_buckets = scratch.written(buckets(keys), "buckets")
+        scratch.drop(keys)
+        at = F.struct("doc_id", "h", "idx", "check")
+        chosen = scratch.written(rows.join(in_buckets.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min(at).alias("at")).select("at.*", "node"), "chosen")
+        texts = scratch.written(chosen_lines(documents, chosen), "texts")
+        members = scratch.written(texts.join(in_buckets, "node"), "members")
+        parts = connected_components(cluster_links(members, CharShingles(), percent, scratch, block), scratch)
+        # A line with a linked node's first 64 bits, but not its others, is not that line.
+        parts = parts.join(chosen.select("node", "check"), "node").select("node", "check", "root")
+        named = rows.join(parts, ["node", "check"], "left").withColumn("check", F.when(F.col("root").isNull(), F.col("check")).otherwise(0)).withColumn("root", F.coalesce("root", "node"))
+        # Only parts of several lines matter further; written, so that Spark can split the hot side of the joins.
+        named = scratch.written(named.select("doc_id", "h", "idx", "root", "check"), "named")
+        place = F.struct("doc_id", "h", "idx")
+        first = scratch.written(named.groupBy("root", "check").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n"), "first")
+        judged = named.join(first, ["root", "check"], "left").select("doc_id", "h", "idx", F.coalesce(F.col("first") != place, F.lit(False)).alias("gone"))
+        found = judged.groupBy("doc_id", "h").agg(F.countDistinct("idx").alias("n_lines"), F.array_sort(F.collect_set(F.when(F.col("gone"), F.col("idx")))).alias("removed"))
+        return written(found, "removed")
 
 
 def dedup_lines(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     """All rows and columns of documents, `text` without the removed lines; a text that loses all lines becomes empty."""
-    gone = removed_lines(documents, percent).where(F.size("removed") > 0).select(F.col("doc_id").alias("_doc"), F.col("removed").alias("_removed"))
-    joined = documents.join(gone, F.col("doc_id").cast("long") == F.col("_doc"), "left").drop("_doc")
+    gone = removed_lines(documents, percent).where(F.size("removed") > 0).select(F.col("doc_id").alias("_doc"), F.col("h").alias("_h"), F.col("removed").alias("_removed"))
+    same = (F.col("doc_id").cast("long") == F.col("_doc")) & (F.xxhash64(F.col("text").cast("string")) == F.col("_h"))
+    joined = documents.join(gone, same, "left").drop("_doc", "_h")
     at, last = documents.columns.index("text"), len(documents.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,10 +213,10 @@ def dedup_lines(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row for each document: its lines, how many go and which."""
+    """One row for each row of documents: its lines, how many go and which. Rows without an id have none counted; see
+    removed_lines for ties, repeated rows and empty texts."""
     documents = table(spark, sf_dir, "documents")
-    gone = removed_lines(documents).withColumnRenamed("doc_id", "_doc")
-    every = documents.select(F.col("doc_id").cast("long").alias("doc_id")).join(gone, F.col("doc_id") == F.col("_doc"), "left").drop("_doc")
+    every = identified(documents).select("doc_id", "h").join(removed_lines(documents), ["doc_id", "h"], "left")
     removed = F.coalesce("removed", F.array().cast("array<int>"))
     return every.select("doc_id", F.coalesce("n_lines", F.lit(0)).cast("long").alias("n_lines"), F.size(removed).cast("long").alias("n_removed"), F.array_join(removed.cast("array<string>"), ",").alias("removed"))
 
