@@ -232,17 +232,58 @@ def test_decontamination(spark, docs):
     assert clean[20]["text"] != TEXTS[20] and clean[25]["text"] == TEXTS[25]
 
 
+def spans_of(df):
+    return {r["doc_id"]: [(x["start"], x["end"]) for x in r["spans"]] for r in df.collect()}
+
+
 def test_units(spark, docs):
     for t in TEXTS.values():
-        for _, s, e, n, _ in unit_dedup.units_of(t or ""):
-            assert len((t or "")[s:e].split()) == n
-    rows = got(unit_dedup.removals(docs))
-    assert rows[10]["text"].strip() == "" and rows[9]["text"] == LONG and rows[0]["text"] is None and rows[0]["spans"] == []
-    assert rows[72]["text"].strip() == "" and rows[23]["text"] == BASE[3]
-    passage = ". ".join(prose(20, 300 + i).replace(".", "") for i in range(4)) + ". "
-    two = spark.createDataFrame([(1, "Alpha beta. " + passage + "Gamma delta."), (2, "Other start. " + passage + "Other end."), (3, None), (4, "Alpha beta.")], "doc_id long, text string")
-    cut = got(unit_dedup.removals(two))
-    assert cut[2]["text"] == "Other start. Other end." and cut[1]["spans"] == [] and cut[4]["spans"] == []
+        at = 0
+        for s, e, _, normal in unit_dedup.units_of(t or ""):
+            assert not t[at:s].strip() and t[s:e].lower().split() == normal.split(" ")
+            at = e
+        assert not (t or "")[at:].strip()
+    spans = spans_of(unit_dedup.removals(docs))
+    assert spans[0] == spans[1] == spans[2] == spans[9] == [] and spans[10] == [(0, len(LONG))]
+    kept = got(unit_dedup.dedup_passages(docs))
+    assert kept[0]["text"] is None and kept[10]["text"] == "" and kept[9]["text"] == LONG and kept[72]["text"].strip() == "" and kept[10]["keys"] == "k" and kept[10]["_text"] == "t"
+
+
+def test_repeated_passages_equal_brute_force(spark):
+    """Windows of 50 words that stand earlier too: all those with a whole unit behind another, whose first occurrence is in
+    the first one of the window, are cut; nothing else is."""
+    r = random.Random(21)
+    passages = [prose(r.randint(50, 90), 700 + i) for i in range(6)]
+    stock = [prose(9, 800 + i) for i in range(5)]
+    texts = {}
+    for k in range(40):
+        words = prose(r.randint(0, 150), 900 + k).split(" ")
+        for piece in r.sample(passages, r.randint(0, 2)) + r.sample(stock, r.randint(0, 3)):
+            at = r.randint(0, len(words))
+            words[at:at] = piece.split(" ") if r.random() < 0.7 else ["\n" + piece.upper() + "\n"]
+        texts[k] = " ".join(words)
+    texts[40] = "Same words here again. " * 60  # repeats itself
+    texts[41], texts[42] = texts[3], texts[3]
+    found = spans_of(unit_dedup.removals(spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)))
+    seen, first, must, may = {}, {}, defaultdict(set), defaultdict(set)
+    for k in sorted(texts):
+        places = [m.span() for m in re.finditer(r"\S+", texts[k])]
+        words = [texts[k][a:b].lower() for a, b in places]
+        units = [(len(texts[k][:s].split()), len(texts[k][:e].split()), normal) for s, e, _, normal in unit_dedup.units_of(texts[k])]
+        for s, _, normal in units:
+            first.setdefault(normal, (k, s))
+        for i in range(len(words) - 49):
+            window = tuple(words[i : i + 50])
+            if window in seen:
+                may[k].update(range(i, i + 50))
+                whole = [(s, normal) for s, e, normal in units if i <= s and e <= i + 50][1:]
+                where, at = seen[window]
+                if any(first[normal] == (where, at + s - i) for s, normal in whole):
+                    must[k].update(range(i, i + 50))
+            seen.setdefault(window, (k, i))
+        cut = {i for i, (a, b) in enumerate(places) if any(s <= a and b <= e for s, e in found[k])}
+        assert must[k] <= cut <= may[k], k
+    assert sum(map(bool, must.values())) > 15
 
 
 def test_token_files(spark, docs):
@@ -367,7 +408,7 @@ def test_repeated_rows(spark):
     assert quality_rules.judge(rows, line_crf.neutral()).count() == 5
     assert decontamination.find_hits(rows, spark.createDataFrame([("a", BASE[0])], "item_id string, text string")).where(F.size("items") == 1).count() == 5
     assert sorted(len(r["text"]) for r in line_dedup.dedup_lines(rows).collect()) == [0, *[len(BASE[0])] * 4]
-    assert unit_dedup.removals(rows).count() == 5
+    assert sorted(len(r["text"]) for r in unit_dedup.dedup_passages(rows).collect()) == [0, *[len(BASE[0])] * 4]
 
 
 def test_rows_of_one_id_are_kept_apart_by_their_texts(spark):

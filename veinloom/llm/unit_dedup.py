@@ -1,11 +1,17 @@
-"""Repeated lines and passages by hashing: units are normalised, digests grouped globally, the earliest occurrence stays.
+"""Repeated passages by hashing lines and the sentences in them: units are normalised, digests grouped globally, the
+earliest occurrence stays, and what repeats it goes, with its offsets in the original text.
 
-Units are lines and, inside a line, sentences. A repeated line goes if it has enough words; a repeated run of sentences
-goes if it has enough words together, so a passage is caught wherever it was put, also in the middle of a line.
+1. A text is cut into units at line and sentence ends. A short sentence joins the next one unless its own hash says
+   otherwise; that depends on the sentence only, so a passage is cut alike wherever it stands.
+2. Digests of all units are grouped; each later occurrence of a unit learns where the first one is. In a text, units that
+   lie as far apart as their first occurrences do in theirs form a core.
+3. Where a passage begins or ends inside a unit, its border words are compared with those around the first occurrence. So
+   cores grow word by word; a core that then has enough words goes, and shorter repetitions (stock lines) stay.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -14,74 +20,130 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from veinloom.llm.jaccard_join import identified
 from veinloom.llm.quality_classifier import in_chunks
-from veinloom.llm.storage import table, written
+from veinloom.llm.storage import Scratch, table, written
 
-#: A repeated line of fewer words stays: by chance alone such lines are equal.
-MIN_LINE_WORDS = 6
-#: A run of repeated sentences, over line ends too, of fewer words stays.
-MIN_RUN_WORDS = 50
-_SENTENCE = regex.compile(r"[^\n.!?]*+(?:[.!?]++(?![ \n]|\Z)[^\n.!?]*+)*+(?:[.!?]++|(?=\n)|\Z)[ ]*+")
+#: A repeated passage of fewer words stays.
+MIN_WORDS = 50
+#: A sentence of so many words ends a unit; of shorter ones, one in SHORT_ENDS does, by its hash.
+UNIT_WORDS, SHORT_ENDS = 6, 4
+#: Border words that are compared beside a core: as many as make a passage by themselves, within so many characters.
+CONTEXT_CHARS = 2_000
+_SENTENCE = regex.compile(r"[^\n.!?]*+(?:[.!?]++(?![ \n]|\Z)[^\n.!?]*+)*+(?:[.!?]++[ ]*+|\n|\Z)")
+_WORD = regex.compile(r"\S+")
+#: Characters of scripts that write no blanks; two count as a word.
+_UNSPACED = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]")
+_UNIT = "doc_id long, h long, seq int, start int, end int, n int, before int, behind int, d1 long, d2 long"
 
 
-def digest(unit: str) -> int:
-    """64 bits of the unit in lower case with white space squeezed."""
-    return xxhash.xxh3_64_intdigest(" ".join(unit.lower().split()).encode("utf-8", "surrogatepass")) - (1 << 63)
-
-
-def units_of(text: str) -> list[tuple[int, int, int, int, int]]:
-    """(line number, start, end, words, level) of a text's units in order: level 0 a line, level 1 a sentence of it."""
-    out, at = [], 0
-    for number, line in enumerate(text.split("\n")):
-        words = len(line.split())
-        if words:
-            out.append((number, at, at + len(line), words, 0))
-            pos = 0
-            while pos < len(line):
-                m = _SENTENCE.match(line, pos)
-                end = m.end() if m and m.end() > pos else len(line)
-                if n := len(line[pos:end].split()):
-                    out.append((number, at + pos, at + end, n, 1))
-                pos = end
-        at += len(line) + 1
+def units_of(text: str) -> list[tuple[int, int, int, str]]:
+    """(start, end, words, normal form) of a text's units in order; they cover the text but for blank ends."""
+    out = []
+    unspaced = _UNSPACED.search(text) is not None
+    parts: list[str] = []
+    start = end = words = 0
+    for m in _SENTENCE.finditer(text):
+        sentence = m.group()
+        own = sentence.lower().split()
+        if not own:
+            continue
+        if not parts:
+            start = m.start() + len(sentence) - len(sentence.lstrip())
+        normal = " ".join(own)
+        parts.append(normal)
+        end = m.start() + len(sentence.rstrip())
+        words += len(own) + (len(_UNSPACED.findall(sentence)) // 2 if unspaced else 0)
+        if len(own) >= UNIT_WORDS or xxhash.xxh3_64_intdigest(normal.encode("utf-8", "surrogatepass")) % SHORT_ENDS == 0:
+            out.append((start, end, words, " ".join(parts)))
+            parts, words = [], 0
+    if parts:
+        out.append((start, end, words, " ".join(parts)))
     return out
 
 
 def unit_rows(documents: DataFrame) -> DataFrame:
-    """doc_id, seq (the unit's place in the text), digest and level of each unit."""
+    """One row for each unit: its text (doc_id, h), place, span, words, where the unit before it begins and the one behind
+    it ends, and its digest of 128 bits. Rows without an id have none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            ids, hashes, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()
             for a, b in in_chunks(texts, 1_000_000):
-                doc, seq, key = [], [], []
-                for d, x in zip(ids[a:b], texts[a:b]):
-                    for i, (_, s, e, _, level) in enumerate(units_of(x or "")):
-                        doc.append(d), seq.append(i), key.append(digest(x[s:e]) ^ level)
-                yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(seq, pa.int32()), pa.array(key, pa.int64())], names=["doc_id", "seq", "digest"])
-
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null")
-    return rows.mapInArrow(run, "doc_id long, seq int, digest long")
-
-
-def spans_to_remove(text: str, repeated: set[int], min_line_words: int, min_run_words: int) -> list[tuple[int, int]]:
-    """Merged spans (code points, end exclusive) that go, from the places of repeated units."""
-    units = units_of(text)
-    spans = [(s, e) for i, (_, s, e, n, level) in enumerate(units) if level == 0 and i in repeated and n >= min_line_words]
-    run: list[tuple[int, int, int]] = []
-
-    def close() -> None:
-        if sum(n for _, _, n in run) >= min_run_words:
-            spans.append((run[0][0], run[-1][1]))
-        run.clear()
-
-    for i, (_, s, e, n, level) in enumerate(units):
-        if level == 1:
-            if i in repeated:
-                run.append((s, e, n))
-            else:
-                close()
-    close()
+                rows: list[list] = [[] for _ in range(10)]
+                for d, h, x in zip(ids[a:b], hashes[a:b], texts[a:b]):
+                    units = units_of(x) if x else []
+                    for i, (s, e, n, normal) in enumerate(units):
+                        digest = xxhash.xxh3_128_intdigest(normal.encode("utf-8", "surrogatepass"))
+                        row = (d, h, i, s, e, n, units[i - 1][0] if i else s, units[i + 1][1] if i + 1 < len(units) else e, (digest >> 64) - (1 << 63), (digest & ((1 << 64) - 1)) - (1 << 63))
+                        for column, value in zip(rows, row):
+                            column.append(value)
+                types = [pa.int64()] * 2 + [pa.int32()] * 6 + [pa.int64()] * 2
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, types)], names=["doc_id", "h", "seq", "start", "end", "n", "before", "behind", "d1", "d2"])
+
+    return identified(documents).where("doc_id is not null").mapInArrow(run, _UNIT)
+
+
+def cores_of(units: list[dict], min_words: int) -> list[dict]:
+    """Cores of a text from its repeated units (seq, start, end, n, before, behind, and a: doc_id, h, seq, start, end of the
+    first occurrence). A core's units are all repeated, and its ends keep the same distance from their first occurrences.
+    Characters beside it that may belong to the passage are counted as left and right, as many as min_words may need."""
+    units = sorted(units, key=lambda u: u["seq"])
+    out = []
+    begin = 0
+    while begin < len(units):
+        stop = begin + 1
+        while stop < len(units) and units[stop]["seq"] == units[stop - 1]["seq"] + 1:
+            stop += 1
+        chain = units[begin:stop]
+        begin = stop
+        groups: dict[tuple, list[int]] = defaultdict(list)
+        for i, u in enumerate(chain):
+            groups[u["a"]["doc_id"], u["a"]["h"], u["seq"] - u["a"]["seq"]].append(i)
+        for places in groups.values():
+            i, j = places[0], places[-1]
+            first, last = chain[i], chain[j]
+            words = sum(u["n"] for u in chain[i : j + 1])
+            k, room = i, 0
+            while k > 0 and room < min_words:
+                k -= 1
+                room += chain[k]["n"]
+            left = first["start"] - (chain[k]["start"] if room >= min_words else chain[k]["before"])
+            k, room = j, 0
+            while k < len(chain) - 1 and room < min_words:
+                k += 1
+                room += chain[k]["n"]
+            right = (chain[k]["end"] if room >= min_words else chain[k]["behind"]) - last["end"]
+            left, right = min(left, CONTEXT_CHARS), min(right, CONTEXT_CHARS)
+            # Two characters make a word at least, a letter and a blank; in scripts without blanks, borders don't grow.
+            if words + left // 2 + right // 2 + 2 >= min_words:
+                out.append({"start": first["start"], "end": last["end"], "n": words, "left": left, "right": right, "a_doc": first["a"]["doc_id"], "a_h": first["a"]["h"], "a_start": first["a"]["start"], "a_end": last["a"]["end"]})
+    return out
+
+
+_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+_CORE = pa.struct([(k, pa.int64()) for k in ("start", "end", "n", "left", "right", "a_doc", "a_h", "a_start", "a_end")])
+
+
+def grown(start: int, end: int, n: int, left: str, right: str, a_left: str, a_right: str) -> tuple[int, int, int]:
+    """start, end and words of a core after its borders have grown over equal words; left and right are the text beside it,
+    a_left and a_right that beside its first occurrence."""
+    mine, theirs = list(_WORD.finditer(left)), a_left.lower().split()
+    k = 0
+    while k < min(len(mine), len(theirs)) and mine[-1 - k].group().lower() == theirs[-1 - k]:
+        k += 1
+    if k:
+        start -= len(left) - mine[-k].start()
+    ahead, theirs = list(_WORD.finditer(right)), a_right.lower().split()
+    j = 0
+    while j < min(len(ahead), len(theirs)) and ahead[j].group().lower() == theirs[j]:
+        j += 1
+    if j:
+        end += ahead[j - 1].end()
+    return start, end, n + k + j
+
+
+def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for s, e in sorted(spans):
         if out and s <= out[-1][1]:
@@ -91,49 +153,106 @@ def spans_to_remove(text: str, repeated: set[int], min_line_words: int, min_run_
     return out
 
 
-def removals(documents: DataFrame, min_line_words: int = MIN_LINE_WORDS, min_run_words: int = MIN_RUN_WORDS) -> DataFrame:
-    """doc_id, n_units (lines), n_chars, spans to remove and the text without them, of every row.
+def passages(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """doc_id, h (hash of the text) and spans (start, end; code points, end exclusive, merged) of all texts with an id in
+    which a passage of min_words or more repeats an earlier one.
 
-    The earliest occurrence of a unit, by (doc_id, place), stays. Null texts are empty and have no spans; rows without an
-    id keep all; rows of the same id count as one document. Other columns are not read; an empty table gives no rows.
+    Earlier is by (doc_id, h, place), so the first occurrence of everything stays. Rows of equal id and text are one; rows
+    of one id with different texts are told apart. Null and empty texts have no units. Not found are passages without a
+    whole unit in them (one unbroken sentence), and those whose units are no later ones.
     """
-    units = written(unit_rows(documents), "units")
-    # Partial aggregation first: a unit of which a third of all rows are copies is one row a task.
-    at = F.struct("doc_id", "seq")
-    # Written, so that the join below is one of two plain shuffles, of which Spark splits the hot side.
-    first = written(units.groupBy("digest").agg(F.min(at).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1"), "first")
-    later = units.join(first, "digest").where(F.col("first") != at).groupBy("doc_id").agg(F.collect_set("seq").alias("repeated")).withColumnRenamed("doc_id", "_doc")
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    joined = texts.join(later, F.col("doc_id") == F.col("_doc"), "left").select("doc_id", "text", "repeated")
-    span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    with Scratch(documents.sparkSession) as scratch:
+        units = scratch.written(unit_rows(documents), "units")
+        # Partial aggregation first: a unit of which a third of all rows are copies is one row a task.
+        at = F.struct("doc_id", "h", "seq", "start", "end")
+        # Written, so that the join below is one of two plain shuffles, of which Spark splits the hot side.
+        first = scratch.written(units.groupBy("d1", "d2").agg(F.min(at).alias("a"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n"), "first")
+        place = F.struct("doc_id", "h", "seq")
+        later = units.join(first, ["d1", "d2"]).where(F.struct("a.doc_id", "a.h", "a.seq") != place)
+        repeated = later.groupBy("doc_id", "h").agg(F.collect_set(F.struct("seq", "start", "end", "n", "before", "behind", "a")).alias("units"))  # bounded by a text
+
+        def cores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                found = [cores_of(u, min_words) for u in batch.column(2).to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(_CORE))], names=["doc_id", "h", "cores"])
+
+        fields = ", ".join(f"{f.name}: long" for f in _CORE)
+        found = scratch.written(repeated.mapInArrow(cores, f"doc_id long, h long, cores array<struct<{fields}>>").select("doc_id", "h", F.explode("cores").alias("c")).select("doc_id", "h", "c.*"), "cores")
+        scratch.drop(units, first)
+        spans = found.where("left = 0 and right = 0").select("doc_id", "h", "start", "end").unionByName(_grown_cores(documents, found.where("left > 0 or right > 0"), min_words))
+        listed = spans.groupBy("doc_id", "h").agg(F.collect_set(F.struct("start", "end")).alias("spans"))  # bounded by a text
+
+        def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                out = [[{"start": s, "end": e} for s, e in merged([(x["start"], x["end"]) for x in r])] for r in batch.column(2).to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, _SPANS)], names=["doc_id", "h", "spans"])
+
+        return written(listed.mapInArrow(join, "doc_id long, h long, spans array<struct<start: long, end: long>>"), "passages")
+
+
+def _grown_cores(documents: DataFrame, cores: DataFrame, min_words: int) -> DataFrame:
+    """doc_id, h, start, end of the cores that reach min_words with their borders. Only pieces of text beside the cores
+    and beside their first occurrences are shuffled, not texts."""
+    named = cores.withColumn("rid", F.xxhash64("doc_id", "h", "start", "end", "a_doc", "a_h", "a_start"))
+    own = ["rid", "doc_id", "h", "start", "end", "n"]
+    mine = named.select(*own, F.col("doc_id").alias("_d"), F.col("h").alias("_h"), F.col("start").alias("_s"), F.col("end").alias("_e"), "left", "right", F.lit(True).alias("mine"))
+    # A little more of the other text, for white space that differs.
+    theirs = named.select(*own, F.col("a_doc").alias("_d"), F.col("a_h").alias("_h"), F.col("a_start").alias("_s"), F.col("a_end").alias("_e"), (F.col("left") + 64).alias("left"), (F.col("right") + 64).alias("right"), F.lit(False).alias("mine"))
+    texts = identified(documents).toDF("_d", "_h", "_text")
+    piece = mine.unionByName(theirs).join(texts, ["_d", "_h"])
+    begin = F.greatest(F.col("_s") - F.col("left"), F.lit(0))
+    piece = piece.select(*own, "mine", F.substring("_text", (begin + 1).cast("int"), (F.col("_s") - begin).cast("int")).alias("l"), F.substring("_text", (F.col("_e") + 1).cast("int"), F.col("right").cast("int")).alias("r"))
+    side = lambda c, mine: F.max(F.when(F.col("mine") == mine, F.col(c)))
+    pairs = piece.groupBy(*own).agg(side("l", True).alias("l"), side("r", True).alias("r"), side("l", False).alias("al"), side("r", False).alias("ar"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts, repeated = batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_pylist()
-            for a, b in in_chunks(texts, 1_000_000):
-                spans, lines, rest = [], [], []
-                for x, r in zip(texts[a:b], repeated[a:b]):
-                    found = spans_to_remove(x, set(r), min_line_words, min_run_words) if x and r else []
-                    spans.append(found)
-                    lines.append(sum(1 for line in (x or "").split("\n") if line and not line.isspace()))
-                    pieces, at = [], 0
-                    for s, e in found:
-                        pieces.append(x[at:s])
-                        at = e
-                    rest.append(x if x is None or not found else "".join(pieces) + x[at:])
-                yield pa.RecordBatch.from_arrays(
-                    [ids.slice(a, b - a), pa.array(lines, pa.int64()), pa.array([len(x or "") for x in texts[a:b]], pa.int64()), pa.array([[{"start": s, "end": e} for s, e in f] for f in spans], span), pa.array(rest, pa.string())],
-                    names=["doc_id", "n_units", "n_chars", "spans", "text"],
-                )
-
-    return joined.mapInArrow(run, "doc_id long, n_units long, n_chars long, spans array<struct<start: long, end: long>>, text string")
+            columns = [c.to_pylist() for c in batch.columns]
+            out = [(d, h, s, e) for d, h, (s, e, n) in ((d, h, grown(s, e, n, l or "", r or "", al or "", ar or "")) for _, d, h, s, e, n, l, r, al, ar in zip(*columns)) if n >= min_words]
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in range(4)], names=["doc_id", "h", "start", "end"])
+
+    return pairs.mapInArrow(run, "doc_id long, h long, start long, end long")
+
+
+def removals(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """doc_id, n_chars and spans to remove of every row; see passages. Rows without an id keep all. Other columns are not
+    read; an empty table gives no rows."""
+    every = identified(documents).select("doc_id", "h", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_chars"))
+    none = F.array().cast("array<struct<start: bigint, end: bigint>>")
+    return every.join(passages(documents, min_words), ["doc_id", "h"], "left").select("doc_id", "n_chars", F.coalesce("spans", none).alias("spans"))
+
+
+def dedup_passages(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """All rows and columns of documents, `text` without the repeated passages."""
+    found = passages(documents, min_words).select(F.col("doc_id").alias("_doc"), F.col("h").alias("_h"), F.col("spans").alias("_spans"))
+    same = (F.col("doc_id").cast("long") == F.col("_doc")) & (F.xxhash64(F.col("text").cast("string")) == F.col("_h"))
+    joined = documents.join(found, same, "left").drop("_doc", "_h")
+    at, last = documents.columns.index("text"), len(documents.columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            new = [without(x, [(s["start"], s["end"]) for s in r]) if r else x for x, r in zip(batch.column(at).to_pylist(), batch.column(last).to_pylist())]
+            columns = [batch.column(i) for i in range(last)]
+            columns[at] = pa.array(new, columns[at].type)
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:last])
+
+    return joined.mapInArrow(run, documents.schema)
+
+
+def without(text: str, spans: list[tuple[int, int]]) -> str:
+    out, at = [], 0
+    for s, e in spans:
+        out.append(text[at:s])
+        at = e
+    return "".join(out) + text[at:]
 
 
 def op5_unit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each row of documents: the spans that repeat an earlier passage, and their number and size."""
     found = removals(table(spark, sf_dir, "documents"))
     listed = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",")
     cut = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
-    return found.select("doc_id", "n_units", "n_chars", F.size("spans").cast("long").alias("n_spans"), cut.alias("n_removed_chars"), listed.alias("spans"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+    return found.select("doc_id", "n_chars", F.size("spans").cast("long").alias("n_spans"), cut.alias("n_removed_chars"), listed.alias("spans"))
 
 
 QUERIES: dict[str, Callable] = {"op5_unit_dedup": op5_unit_dedup}
