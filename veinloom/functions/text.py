@@ -54,14 +54,14 @@ def trim_special(x: Text) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(_c(x), r"^[^A-Za-z0-9]+", ""), r"[^A-Za-z0-9]+$", ""))
 
 
-# Compounds that are written as one word in labels.
-COMPOUNDS = ("celltype", "cellline", "tissuetype", "agegroup", "timepoint", "treatmentgroup", "sampletype", "diseasestate")
-_SPLITS = (("cell", "type"), ("cell", "line"), ("tissue", "type"), ("age", "group"), ("time", "point"), ("treatment", "group"), ("sample", "type"), ("disease", "state"))
+# Compounds that are written as one word in labels, with the place of the blank.
+COMPOUNDS = "subject id|patient id|sample id|cell type|tissue type|disease state|organism part|time point|data type|bio material|lab version|treatment short|control id|plate simple|software version|sequencing batch|flow cell"
 
 
 def camel_split(x: Text) -> Column:
-    apart = F.regexp_replace(_c(x), r"([a-z0-9])([A-Z])", "$1 $2")
-    return reduce(lambda c, p: F.regexp_replace(c, f"(?i)({p[0]})({p[1]})", "$1 $2"), _SPLITS, apart)
+    """Blanks where a small letter meets a capital, and inside known compounds, of which the first word becomes lower case."""
+    apart = F.regexp_replace(_c(x), "([a-z])([A-Z])", "$1 $2")
+    return reduce(lambda c, p: F.regexp_replace(c, f"(?i){p[0]}({p[1]})", f"{p[0]} $1"), [p.split(" ") for p in COMPOUNDS.split("|")], apart)
 
 
 def split_multi(x: Text) -> Column:
@@ -77,9 +77,14 @@ def occurrences(x: Text, term: str) -> Column:
     return ((F.length(_c(x)) - F.length(F.replace(_c(x), F.lit(term), F.lit("")))) / len(term)).cast("long")
 
 
-def sentences(x: Text) -> Column:
-    """Split behind . or ?, but not after an abbreviation of one capital and letters, or of letters with points."""
-    return F.filter(F.split(_c(x), r"(?<!\w\.\w.)(?<![A-Z][a-z]\.)(?<=[.?])\s"), lambda s: F.trim(s) != "")
+# Where sentences end, in its two forms; no end is behind letters with points or a short capitalised word.
+SENTENCE_END = r"(?<!\w\.\w.)(?<![A-Z][a-z]\.)(?<=[.?])\s"
+SENTENCE_END_BANG = r"(?<!\w\.\w.)(?<![A-Z][a-z]\.)(?<=[.?!])\s"
+
+
+def sentences(x: Text, end: str = SENTENCE_END_BANG) -> Column:
+    """The sentences that are not blank."""
+    return F.filter(F.split(_c(x), end), lambda s: F.trim(s) != "")
 
 
 def sentences_with(x: Text, word: str) -> Column:
@@ -123,11 +128,26 @@ def parse_bool(x: Text) -> Column:
 
 
 def meaningful_label(x: Text) -> Column:
-    """Rules for labels worth keeping: length, letters, no runs of one letter, few digits and signs, no id or URL."""
-    c, n = F.trim(_c(x)), F.length(F.trim(_c(x)))
-    count = lambda cls: n - F.length(F.regexp_replace(c, cls, ""))
-    rules = [n >= 3, n <= 60, c.rlike("[A-Za-z]"), ~c.rlike(r"^[0-9.,\-\s]+$"), ~c.rlike(r"^(.)\1+$"), count("[0-9]") * 2 <= n, count(r"[^A-Za-z0-9\s]") * 3 <= n, ~c.rlike("(?i)^(gsm|gse|srr|err|id)[0-9]+"), ~c.rlike("(?i)https?:"), c.rlike("(?i)[aeiouy]"), ~c.rlike("[bcdfghjklmnpqrstvwxz]{6,}"), word_count(c) <= 8]
-    return reduce(lambda a, b: a & b, rules)
+    """Labels worth keeping: of 2 to 100 characters, with paired brackets, and none of: mostly numbers or signs, a path or
+    URL, signs at an end (but "%"), a gene construct, a code in capitals with digits, or mostly underscores or dashes."""
+    c = F.regexp_replace(_c(x), r"(?U)^\s+|\s+$", "")
+    n, low = F.length(c), F.lower(c)
+    of = lambda sign: n - F.length(F.replace(c, F.lit(sign), F.lit("")))
+    bad = [
+        n < 2,
+        n > 100,
+        (of("(") != of(")")) | (of("[") != of("]")),
+        c.rlike(r"(?U)^[\d.\-+\s]+$"),
+        F.length(F.regexp_replace(c, r"(?U)[a-zA-Z0-9\s]", "")) * 2 > n,
+        of("/") >= 2,
+        low.contains("http") | low.contains("www."),
+        c.rlike(r"(?U)^[^\w\s]+$"),
+        c.rlike(r"(?U)^[^\w\s]|[^\w\s]$") & ~low.rlike(r"(?U)(%|\w)$"),
+        c.rlike(r"(?U)^[A-Z]{1,5}\d+\s*\(") | c.contains("Tg("),
+        (n > 5) & (c == F.upper(c)) & (c != low) & c.rlike(r"(?U)\d"),
+        (of("_") * 10 > n * 3) | (of("-") * 10 > n * 3),
+    ]
+    return ~reduce(lambda a, b: a | b, bad)
 
 
 def short_single_word(x: Text) -> Column:

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from veinloom.operators.lineage import checkpointed
+
 POLICIES = ("keep", "coalesce", "overwrite")
 
 
@@ -70,22 +70,13 @@ def undirected_degree(edges: DataFrame, a: str, b: str) -> DataFrame:
     return both.where("node <> other").groupBy("node").agg(F.countDistinct("other").alias("degree"))
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cuts the lineage in the cluster's checkpoint folder; a folder of our own only where none is set."""
-    spark: SparkSession = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        path = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="veinloom-")
-        spark.sparkContext.setCheckpointDir(path)
-    return df.checkpoint()
-
-
-def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """node and component (its least node): labels go to neighbours and then to the label's own label, so long paths need
-    few rounds."""
+    few rounds. Rounds go on until no label changes."""
     both = edges.toDF("a", "b").where("a is not null and b is not null")
     both = checkpointed(both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = checkpointed(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label")))
-    for _ in range(max_rounds):
+    while True:
         near = both.join(labels.select(F.col("a").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("near"))
         stepped = labels.join(near, "a").select("a", "label", F.least("label", "near").alias("new"))
         jump = labels.select(F.col("a").alias("new"), F.col("label").alias("far"))
@@ -93,8 +84,44 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
         moved = now.where("moved").limit(1).count()
         labels = now.select("a", "label")
         if not moved:
-            break
-    return labels.toDF("node", "component")
+            return labels.toDF("node", "component")
+
+
+def strong_components(edges: DataFrame) -> DataFrame:
+    """node and component (its least node) of a directed graph (a, b): two nodes are in one if each reaches the other.
+
+    In each turn the greatest node that reaches a node, and the greatest that it reaches, spread to the fixed point; nodes
+    for which both are the same form a component with it and leave. Edges between nodes whose two values differ can lie in
+    no component and leave too. Each turn settles at least one component in every part that is left.
+    """
+    left = checkpointed(edges.toDF("a", "b").where("a is not null and b is not null").distinct())
+    nodes = checkpointed(left.select("a").union(left.select("b")).distinct().toDF("node"))
+    done = None
+    while nodes.limit(1).count():
+        values = spread(nodes, left).join(spread(nodes, left.select(F.col("b").alias("a"), F.col("a").alias("b"))).withColumnRenamed("top", "back"), "node")
+        values = checkpointed(values)
+        found = values.where("top = back").select("node", F.col("top").alias("name"))
+        done = found if done is None else done.unionByName(found)
+        rest = values.where("top <> back")
+        one, two = rest.toDF("a", "_ta", "_ba"), rest.toDF("b", "_tb", "_bb")
+        left = checkpointed(left.join(one, "a").join(two, "b").where("_ta = _tb and _ba = _bb").select("a", "b"))
+        nodes = checkpointed(rest.select("node"))
+    if done is None:
+        return nodes.select("node", F.col("node").alias("component"))
+    least = done.groupBy("name").agg(F.min("node").alias("component"))
+    return done.join(least, "name").select("node", "component")
+
+
+def spread(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """node and top, the greatest node from which a path of edges (a, b) leads to it, itself included."""
+    now = checkpointed(nodes.select("node", F.col("node").alias("top")))
+    while True:
+        come = edges.join(now.toDF("a", "_t"), "a").groupBy("b").agg(F.max("_t").alias("come")).withColumnRenamed("b", "node")
+        after = now.join(come, "node", "left").select("node", F.greatest("top", F.coalesce("come", "top")).alias("top"), F.coalesce(F.col("come") > F.col("top"), F.lit(False)).alias("moved"))
+        after = checkpointed(after)
+        now = after.select("node", "top")
+        if not after.where("moved").limit(1).count():
+            return now
 
 
 def communities(edges: DataFrame) -> DataFrame:

@@ -43,11 +43,24 @@ def referenced_by_any(base: DataFrame, key: str, links: list[DataFrame]) -> Data
     return base.join(every, key, "left_semi")
 
 
+#: Members of a part of a group; a larger group is paired part by part.
+PART = 1_000
+
+
 def co_participation(membership: DataFrame, group: str, member: str) -> DataFrame:
-    """a < b and in how many groups both are. Groups are small by nature; memberships are made distinct before pairing."""
+    """a < b and in how many groups both are. Memberships are made distinct before pairing.
+
+    The pairs are the result, so their number is the square of a group's size; but a large group is dealt into parts by a
+    hash of the member, and each pair of parts is a task of its own, so no task pairs more than PART with PART."""
     once = membership.select(group, member).where(F.col(group).isNotNull() & F.col(member).isNotNull()).distinct()
-    a, b = once.withColumnRenamed(member, "a"), once.withColumnRenamed(member, "b")
-    return a.join(b, group).where("a < b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("weight"))
+    parts = once.groupBy(group).agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("_k"))
+    dealt = once.join(parts, group).withColumn("_p", F.pmod(F.xxhash64(member), F.col("_k")).cast("int"))
+    met = dealt.withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)))
+    cell = met.select(group, member, "_p", F.least("_p", "_o").alias("_i"), F.greatest("_p", "_o").alias("_j"))
+    a, b = cell.withColumnsRenamed({member: "a", "_p": "_pa"}), cell.withColumnsRenamed({member: "b", "_p": "_pb"})
+    # In the cell (i, j) only members of different parts meet, in (i, i) all of the part.
+    pairs = a.join(b, [group, "_i", "_j"]).where("a < b and (_i = _j or _pa <> _pb)")
+    return pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("weight"))
 
 
 def endpoints_missing(edges: DataFrame, end: str, nodes: DataFrame, key: str) -> DataFrame:
@@ -60,18 +73,5 @@ def with_both_ends(edges: DataFrame, src: str, src_nodes: DataFrame, dst: str, d
     return edges.join(src_nodes.toDF(src), src, "left_semi").join(dst_nodes.toDF(dst), dst, "left_semi")
 
 
-def contains_join(texts: DataFrame, text: str, terms: DataFrame, term: str) -> DataFrame:
-    """Pairs where the text contains the term and has each of the term's words as a token.
-
-    An equi-join on the term's first rare word would do for one-word terms; here tokens are joined with the words of the
-    terms, pairs with all words are kept, and containment is verified, so no text meets all terms. `texts` needs a `row`.
-    """
-    tokens = texts.select("row", F.explode(F.array_distinct(F.expr(f"regexp_extract_all({text}, '(?U)\\\\w+', 0)"))).alias("_w"))
-    words = terms.select(term, F.array_distinct(F.expr(f"regexp_extract_all({term}, '(?U)\\\\w+', 0)")).alias("_ws"))
-    words = words.select(term, F.size("_ws").alias("_n"), F.explode("_ws").alias("_w"))
-    pairs = tokens.join(words, "_w").groupBy("row", term, "_n").agg(F.count(F.lit(1)).alias("_c")).where("_c = _n").select("row", term)
-    return pairs.join(texts, "row").where(F.col(text).contains(F.col(term)))
-
-
 def all_of(conditions: list[Column]) -> Column:
     return reduce(lambda x, y: x & y, conditions)

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from veinloom.functions import text as X
 from veinloom.functions import values as V
-from veinloom.operators.joins import contains_join
+from veinloom.functions.stem import stem
 
 
 def term_dictionary(entities: DataFrame, key: str, name: str, synonyms: str, common_words: DataFrame) -> DataFrame:
@@ -18,44 +19,125 @@ def term_dictionary(entities: DataFrame, key: str, name: str, synonyms: str, com
     return terms.join(common_words.select(F.col("word").alias("term")), "term", "left_anti").select(key, "term")
 
 
-def match_terms(texts: DataFrame, text: str, terms: DataFrame, term: str) -> DataFrame:
-    """row, term and how often the term occurs. `texts` has a unique `row`; matching is on the text as it is."""
-    found = contains_join(texts.select("row", text), text, terms.select(term).distinct(), term)
-    count = (F.length(text) - F.length(F.replace(F.col(text), F.col(term), F.lit("")))) / F.length(term)
-    return found.select("row", term, count.cast("long").alias("n"))
+#: A dictionary of up to so many characters is broadcast, so texts stay where they are.
+BROADCAST_CHARS = 16_000_000
+
+
+def match_terms(texts: DataFrame, keys: list[str], text: str, terms: DataFrame, name: str, term: str) -> DataFrame:
+    """keys, name and n: how often a name's terms occur in a text, in lower case on both sides.
+
+    A term is in a text that contains it and has each of its words as a token. Terms of one word are counted as tokens,
+    longer ones wherever they stand. A text meets only terms whose longest word it has; that join is on a broadcast
+    dictionary if this is small, by its measured size, else on the word, and texts are then joined by `keys`, which have
+    to be unique.
+    """
+    low = texts.select(*keys, F.lower(F.col(text)).alias("_text")).withColumn("_tokens", X.tokens("_text"))
+    words = X.tokens("_term")
+    dictionary = terms.select(F.col(name).alias("_name"), F.lower(F.col(term)).alias("_term")).distinct().withColumn("_words", F.array_distinct(words)).where(F.size("_words") > 0)
+    dictionary = dictionary.withColumn("_word", F.array_max(F.transform("_words", lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"])
+    chars = dictionary.agg(F.sum(F.length("_term") + F.length(F.col("_name").cast("string")))).first()[0] or 0
+    if chars <= BROADCAST_CHARS:
+        met = low.select(*keys, "_text", "_tokens", F.explode(F.array_distinct("_tokens")).alias("_word")).join(F.broadcast(dictionary), "_word")
+    else:
+        places = low.select(*keys, F.explode(F.array_distinct("_tokens")).alias("_word")).join(dictionary, "_word")
+        met = low.join(places, keys)
+    hit = F.col("_text").contains(F.col("_term")) & (F.size(F.array_except("_words", "_tokens")) == 0)
+    one = ~F.col("_term").contains(" ")
+    as_tokens = F.size(F.filter("_tokens", lambda w: w == F.col("_term")))
+    anywhere = (F.length("_text") - F.length(F.replace(F.col("_text"), F.col("_term"), F.lit("")))) / F.length("_term")
+    n = F.when(one, as_tokens.cast("long")).otherwise(anywhere.cast("long"))
+    return met.where(hit).select(*keys, F.col("_name").alias(name), n.alias("n")).where("n > 0").groupBy(*keys, name).agg(F.sum("n").alias("n"))
+
+
+def match_variants(texts: DataFrame, keys: list[str], text: str, terms: DataFrame, name: str, term: str, stems: bool = False) -> DataFrame:
+    """match_terms on terms in both word orders; with stems also on stemmed texts and terms, whose counts then take the
+    place of the exact ones. A stemmed text is its tokens' stems with blanks between."""
+    in_orders = lambda c: terms.select(F.col(name).alias("_of"), F.explode(X.term_orders(c)).alias("_variant")).distinct()
+    exact = match_terms(texts, keys, text, in_orders(F.lower(F.col(term))), "_of", "_variant")
+    if stems:
+        stemmed = lambda c: stem(F.array_join(X.tokens(F.lower(F.col(c))), " "))
+        by_stem = match_terms(texts.withColumn(text, stemmed(text)), keys, text, in_orders(stemmed(term)), "_of", "_variant")
+        exact = exact.join(by_stem.withColumnRenamed("n", "_n"), [*keys, "_of"], "full_outer").withColumn("n", F.coalesce("_n", "n")).drop("_n")
+    return exact.withColumnRenamed("_of", name)
+
+
+# Weights of a statement's first sentence, of those on goals, on the future and all others, and the factors of
+# the sources.
+ROLE_WEIGHTS = {"first": 5, "goal": 7, "future": 3, "present": 1}
+SOURCE_FACTORS = {"title": 20, "statement": 2, "abstract": 1}
+
+
+def weighted_sentences(texts: DataFrame, key: str, sources: list[str]) -> DataFrame:
+    """key, rank of the source, source, place and weight of its sentences. The first source, a title, counts as it is; of
+    the others only sentences that are neither negated nor past count, by their role."""
+    title = texts.select(key, F.lit(0).alias("rank"), F.lit(sources[0]).alias("source"), F.lit(0).alias("place"), F.lit(1).alias("weight"), F.col(sources[0]).alias("sentence"))
+    every = title
+    for k, s in enumerate(sources[1:], 1):
+        one = texts.select(key, F.lit(k).alias("rank"), F.lit(s).alias("source"), F.posexplode(X.sentences(s)).alias("place", "sentence"))
+        role = sentence_role("sentence", F.col("place") == 0)
+        weight = F.coalesce(*[F.when(role == r, F.lit(w)) for r, w in ROLE_WEIGHTS.items()])
+        every = every.unionByName(one.withColumn("weight", weight).where("weight is not null"))
+    return every
+
+
+def match_cascade(texts: DataFrame, key: str, sources: list[str], terms: DataFrame, name: str, term: str, stems: bool = False) -> DataFrame:
+    """key, name, n (weighted count) and source: matches in the first of the sources that has any, for each key."""
+    found = match_variants(weighted_sentences(texts, key, sources), [key, "rank", "source", "place", "weight"], "sentence", terms, name, term, stems)
+    summed = found.groupBy(key, "rank", "source", name).agg(F.sum(F.col("weight") * F.col("n")).alias("n"))
+    first = F.min("rank").over(Window.partitionBy(key))
+    return summed.withColumn("_first", first).where("rank = _first").select(key, name, "n", "source")
+
+
+def confidence_score(n: Column, source: Column) -> Column:
+    """Title hits score 1; others by their halved weighted count, twice as much in the statement, on a logarithmic scale."""
+    raw = F.when(source == "title", F.lit(SOURCE_FACTORS["title"])).when(source == "statement", V.halved_score(n, SOURCE_FACTORS["statement"])).otherwise(V.halved_score(n, SOURCE_FACTORS["abstract"]))
+    return V.log_normalized(raw)
 
 
-def match_cascade(texts: DataFrame, sources: list[str], terms: DataFrame, term: str) -> DataFrame:
-    """Matches in the first of the sources that has any, for each row; source says which."""
-    every = None
-    for k, s in enumerate(sources):
-        part = match_terms(texts, s, terms, term).withColumn("rank", F.lit(k)).withColumn("source", F.lit(s))
-        every = part if every is None else every.unionByName(part)
-    first = every.groupBy("row").agg(F.min("rank").alias("rank"))
-    return every.join(first, ["row", "rank"]).drop("rank")
+def rule_list(rules: list[tuple[str, list[str], list[str], list[str]]]) -> list[tuple[str, str, str, str]]:
+    """(kind, text, category, confidence) in order of precedence, from (category, exact words, keywords, patterns).
 
+    Category after category: exact words HIGH, keywords MEDIUM, patterns MEDIUM if they are about ids or ages and LOW
+    otherwise; but an exact match of the category behind it outdoes a pattern."""
+    out, patterns = [], []
+    for name, exact, keywords, own in rules:
+        out += [("exact", e.lower(), name, "HIGH") for e in exact]
+        out += patterns
+        out += [("keyword", k.lower(), name, "MEDIUM") for k in keywords]
+        patterns = [("pattern", p, name, "MEDIUM" if "id" in p or "age" in p else "LOW") for p in own]
+    return out + patterns
 
-def confidence_score(n: Column, source: Column, title: str, strong: str) -> Column:
-    """Title hits score 1; others by their halved count, twice as much in the strong source, on a logarithmic scale."""
-    raw = F.when(source == title, F.lit(20)).when(source == strong, V.halved_score(n, 2)).otherwise(V.halved_score(n, 1))
-    return V.log_normalized(raw)
+
+def categorize(label: Column, rules: list[tuple[str, list[str], list[str], list[str]]]) -> Column:
+    """A struct of category, confidence and what matched of the first rule that takes the label; null if none does. An
+    exact word has to be the label or one of its words, a keyword a part of it, a pattern is searched for in it."""
+    low = F.trim(F.lower(label))
+    words = F.split(low, r"\s+")
+    named = ("kind", "text", "category", "confidence")
+    every = F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in zip(named, rule)]) for rule in rule_list(rules)])
+    takes = lambda r: F.when(r["kind"] == "exact", (low == r["text"]) | F.array_contains(words, r["text"])).when(r["kind"] == "keyword", low.contains(r["text"])).otherwise(F.regexp_like(low, r["text"]))
+    return F.get(F.transform(F.filter(every, takes), lambda r: F.struct(r["category"].alias("category"), r["confidence"].alias("confidence"), r["text"].alias("match"))), F.lit(0))
+
+
+# Words that stand in for a tagger: of negation, of the past, of goals and of the future.
+_OUT = r"[^\p{L}\p{N}\p{M}\p{Pc}]"
+NEGATED, PAST = rf"(^|{_OUT})(not|no|never|without|cannot)({_OUT}|$)|n't({_OUT}|$)", rf"(^|{_OUT})(was|were|had|did)({_OUT}|$)"
+GOAL, FUTURE = "the goal of|aim", rf"(^|{_OUT})(will|shall|going to)({_OUT}|$)"
 
 
-def categorize(label: Column, rules: list[tuple[str, list[str], list[str], str]]) -> Column:
-    """The first category whose exact words, else keywords, else pattern match; rules: (category, exact, keywords, regex)."""
-    steps = [F.when(label.isin(*exact), F.lit(name)) for name, exact, _, _ in rules if exact]
-    steps += [F.when(label.contains(k), F.lit(name)) for name, _, keys, _ in rules for k in keys]
-    steps += [F.when(label.rlike(pattern), F.lit(name)) for name, _, _, pattern in rules if pattern]
-    return F.coalesce(*steps)
+def sentence_role(sentence: str, is_first: Column) -> Column:
+    """first, goal, future or present; null for a sentence that is negated or past."""
+    low = F.lower(F.col(sentence))
+    return F.when(low.rlike(NEGATED) | low.rlike(PAST), None).when(is_first, "first").when(low.rlike(GOAL), "goal").when(low.rlike(FUTURE), "future").otherwise("present")
 
 
 def sentence_roles(text: Column) -> Column:
-    """Counts of first, goal, future and present sentences that are neither negated nor past, as a struct; an
-    approximation by words, where the source uses a tagger."""
+    """The text of the sentences of each role, as a struct; an approximation by words, where a tagger would be better."""
     s = X.sentences(text)
-    usable = F.filter(s, lambda x: ~F.lower(x).rlike(r"\b(not|no|never|without|was|were|had)\b"))
-    has = lambda p: F.size(F.filter(usable, lambda x: F.lower(x).rlike(p)))
-    return F.struct(F.least(F.size(s), F.lit(1)).alias("first"), has(r"\b(aim|aims|goal|goals|objective)\b").alias("goal"), has(r"\b(will|shall|plan)\b").alias("future"), F.size(usable).alias("usable"))
+    usable = F.filter(s, lambda x: ~F.lower(x).rlike(NEGATED) & ~F.lower(x).rlike(PAST))
+    kept = F.filter(F.transform(s, lambda x, i: F.struct(i.alias("i"), x.alias("x"))), lambda x: F.array_contains(usable, x["x"]))
+    role = lambda x: F.when(x["i"] == 0, "first").when(F.lower(x["x"]).rlike(GOAL), "goal").when(F.lower(x["x"]).rlike(FUTURE), "future").otherwise("present")
+    return F.struct(*[F.array_join(F.transform(F.filter(kept, lambda x: role(x) == r), lambda x: x["x"]), " ").alias(r) for r in ROLE_WEIGHTS])  # noqa: B023
 
 
 # Words of incidence and prevalence.
@@ -73,7 +155,7 @@ def annotate(texts: DataFrame, text: str, score: Column | None = None, threshold
 def merge_annotations(rows: DataFrame, keys: list[str], place: str) -> DataFrame:
     """One row for each annotation with the sorted set of its places, Title first."""
     order = lambda p: F.concat(F.when(p == "Title", F.lit("0")).otherwise(F.lit("1")), p)
-    return rows.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_set(order(F.col(place)))), lambda x: F.substring(x, 2, 1_000)).alias(f"{place}s"))
+    return rows.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_set(order(F.col(place)))), lambda x: F.substring(x, F.lit(2), F.length(x))).alias(f"{place}s"))
 
 
 def rank_targets(texts: DataFrame, text: str, first: list[str], second: list[str]) -> DataFrame:

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from veinloom.operators.lineage import checkpointed
+
 
 def first_per_key(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     w = Window.partitionBy(*keys).orderBy(*order)
@@ -17,15 +19,17 @@ def position_in_key(rows: DataFrame, keys: list[str], order: list[Column], name:
 
 
 def numbered(rows: DataFrame, order: list[str], name: str = "number") -> DataFrame:
-    """Consecutive numbers from 0 in the given total order, without one task for all rows: rows are ranged over
-    partitions and sorted there, the counts of the partitions before are added."""
+    """Consecutive numbers from 0 in the given total order, without one task for all rows.
+
+    Rows are ranged over partitions, sorted there and checkpointed, so that all that follows sees the same partitions;
+    the sizes of the partitions before are added to the place in one's own. Rows that are equal in `order` get different
+    numbers, in no given order."""
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a given number is not coalesced
-    ranged = rows.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id())
-    local = Window.partitionBy("_part").orderBy(*order)
-    placed = ranged.withColumn("_at", F.row_number().over(local) - 1)
-    counts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))  # one row a partition
-    other = counts.select(F.col("_part").alias("_p"), F.col("_n").alias("_m"))
-    before = counts.join(F.broadcast(other), F.col("_p") < F.col("_part"), "left").groupBy("_part").agg(F.coalesce(F.sum("_m"), F.lit(0)).alias("_before"))
+    ranged = checkpointed(rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)).withColumn("_id", F.monotonically_increasing_id())
+    # The id is the partition's number, and in its 33 low bits the row's place in the partition.
+    placed = ranged.withColumn("_part", F.shiftrightunsigned("_id", 33)).withColumn("_at", F.col("_id").bitwiseAND((1 << 33) - 1)).drop("_id")
+    sizes = placed.groupBy("_part").agg((F.max("_at") + 1).alias("_n"))  # one row a partition, so it may be broadcast
+    before = sizes.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
     return placed.join(F.broadcast(before), "_part").withColumn(name, F.col("_before") + F.col("_at")).drop("_part", "_at", "_before")
 
 

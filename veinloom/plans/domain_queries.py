@@ -2,75 +2,95 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veinloom.functions import text as X
+from veinloom.functions.label_words import RULES
 from veinloom.operators import joins as J
 from veinloom.operators import matching as M
 from veinloom.operators import windows as W
+from veinloom.operators.lineage import shared_dir
 from veinloom.plans.base import ORACLES, QUERIES, day, money, query
 from veinloom.sources import readers as R
 from veinloom.streaming import incremental as I
 
 _WORDS = r"[\p{L}\p{N}\p{M}\p{Pc}]+"
-_TERMS = f"SELECT DISTINCT w[1] || ' ' || w[2] AS term FROM (SELECT regexp_extract_all(text, '{_WORDS}') AS w FROM benchmark) WHERE len(w) >= 2"
+#: Names of the dictionary: the first two words of each benchmark item, and its third if it is long enough.
+_NAMES = f"SELECT w[1] || ' ' || w[2] AS term FROM (SELECT regexp_extract_all(lower(text), '{_WORDS}') AS w FROM benchmark) WHERE len(w) >= 2 UNION SELECT w[3] FROM (SELECT regexp_extract_all(lower(text), '{_WORDS}') AS w FROM benchmark) WHERE length(w[3]) > 4"
 #: Documents with the first sentence as title, then the statement: the next 300 characters and on to the end of their
-#: sentence, then the abstract. No term has a sentence end inside, so no cut goes through one. The SQL marks sentence ends.
-_ENDS = "regexp_replace(regexp_replace(regexp_replace(text, '([.?])[\\s\\x0b]', '\\1' || chr(57344), 'g'), '([A-Z][a-z]\\.)' || chr(57344), '\\1 ', 'g'), '(\\w\\.\\w[.?])' || chr(57344), '\\1 ', 'g')"
+#: sentence, then the abstract. No cut goes through a sentence. The SQL marks sentence ends.
+_ENDS = "regexp_replace(regexp_replace(regexp_replace(text, '([.?!])[\\s\\x0b]', '\\1' || chr(57344), 'g'), '([A-Z][a-z]\\.)' || chr(57344), '\\1 ', 'g'), '(\\w\\.\\w[.?!])' || chr(57344), '\\1 ', 'g')"
 _TITLED = f"SELECT doc_id, split_part(x, chr(57344), 1) AS title, substring(x, length(split_part(x, chr(57344), 1)) + 2) AS rest FROM (SELECT doc_id, {_ENDS} AS x FROM documents)"
 _PARTS = f"SELECT doc_id AS \"row\", title, CASE WHEN p = 0 THEN rest ELSE substring(rest, 1, 299 + p) END AS statement, CASE WHEN p = 0 THEN '' ELSE substring(rest, 301 + p) END AS abstract FROM (SELECT *, strpos(substring(rest, 301), chr(57344)) AS p FROM ({_TITLED}))"
-_WHOLE = "SELECT doc_id AS \"row\", text FROM documents"
-
-
-def _hit(s: str) -> str:
-    return f"contains({s}, term) AND len(list_filter(regexp_extract_all(term, '{_WORDS}'), lambda w: NOT list_contains(regexp_extract_all({s}, '{_WORDS}'), w))) = 0"
-
-
-def _count(s: str) -> str:
-    return f"CAST((length({s}) - length(replace({s}, term, ''))) / length(term) AS BIGINT)"
 
 
 def _terms(t) -> DataFrame:
-    w = X.tokens("text")
-    return t("benchmark").where(F.size(w) >= 2).select(F.concat_ws(" ", w[0], w[1]).alias("term")).distinct()
+    w = X.tokens(F.lower("text"))
+    both = t("benchmark").where(F.size(w) >= 2).select(F.concat_ws(" ", w[0], w[1]).alias("term"))
+    return both.unionByName(t("benchmark").select(F.get(w, F.lit(2)).alias("term")).where(F.length("term") > 4)).distinct()
 
 
 def _parts(t) -> DataFrame:
-    end = r"(?<!\w\.\w.)(?<![A-Z][a-z]\.)(?<=[.?])\s"
-    cut = lambda c, n: F.split(F.regexp_replace(c, rf"(?s)^(.{{{n}}}.*?){end}", "$1\ue000"), "\ue000", 2)
+    cut = lambda c, n: F.split(F.regexp_replace(c, rf"(?s)^(.{{{n}}}.*?){X.SENTENCE_END_BANG}", "$1\ue000"), "\ue000", 2)
     titled = t("documents").select(F.col("doc_id").alias("row"), cut("text", 0).alias("_t"))
     rest = titled.select("row", F.col("_t")[0].alias("title"), cut(F.coalesce(F.get("_t", F.lit(1)), F.lit("")), 300).alias("_s"))
     return rest.select("row", "title", F.col("_s")[0].alias("statement"), F.coalesce(F.get("_s", F.lit(1)), F.lit("")).alias("abstract"))
 
 
-@query(f"SELECT \"row\", term, {_count('text')} AS n FROM ({_WHOLE}), ({_TERMS}) WHERE {_hit('text')}", "join_theta_substring")
+def _matches(texts: str, keys: str, variants: str) -> str:
+    """Rows of texts (keys, s) that have a term: all its words as tokens, and itself; and how often."""
+    hits = f"SELECT {keys}, term, CASE WHEN contains(v, ' ') THEN (length(x) - length(replace(x, v, ''))) // length(v) ELSE len(list_filter(tk, lambda w: w = v)) END AS n FROM (SELECT {keys}, lower(s) AS x, regexp_extract_all(lower(s), '{_WORDS}') AS tk FROM ({texts})), ({variants}) WHERE contains(x, v) AND len(list_filter(regexp_extract_all(v, '{_WORDS}'), lambda w: NOT list_contains(tk, w))) = 0"
+    return f"SELECT {keys}, term, CAST(sum(n) AS BIGINT) AS n FROM ({hits}) WHERE n > 0 GROUP BY ALL"
+
+
+_PLAIN = f"SELECT term, term AS v FROM ({_NAMES})"
+_ORDERS = f"{_PLAIN} UNION SELECT term, split_part(term, ' ', 2) || ' ' || split_part(term, ' ', 1) FROM ({_NAMES}) WHERE contains(term, ' ')"
+
+
+@query(_matches('SELECT doc_id AS "row", text AS s FROM documents', '"row"', _PLAIN), "join_theta_substring")
 def dom_gazetteer_match(t):
     """Terms that a text contains and of which it has all words as tokens, with the number of occurrences."""
-    return M.match_terms(t("documents").select(F.col("doc_id").alias("row"), "text"), "text", _terms(t), "term")
+    return M.match_terms(t("documents").select(F.col("doc_id").alias("row"), "text"), ["row"], "text", _terms(t), "term", "term")
+
+
+def _role(place: str) -> str:
+    q = lambda p: p.replace("'", "''")
+    return f"CASE WHEN regexp_matches(lower(s), '{q(M.NEGATED)}') OR regexp_matches(lower(s), '{q(M.PAST)}') THEN NULL WHEN {place} = 0 THEN 5 WHEN regexp_matches(lower(s), '{q(M.GOAL)}') THEN 7 WHEN regexp_matches(lower(s), '{q(M.FUTURE)}') THEN 3 ELSE 1 END"
 
 
-_CASCADE = " UNION ALL ".join(f"SELECT \"row\", term, {_count(s)} AS n, '{s}' AS source, {k} AS k FROM ({_PARTS}), ({_TERMS}) WHERE {_hit(s)}" for k, s in enumerate(("title", "statement", "abstract")))
-_FIRST_HITS = f"SELECT \"row\", term, n, source FROM (SELECT *, min(k) OVER (PARTITION BY \"row\") AS m FROM ({_CASCADE})) WHERE k = m"
+_SENTENCES = " UNION ALL ".join(
+    f"SELECT \"row\", {k} AS rank, '{c}' AS source, place, {_role('place')} AS weight, s FROM (SELECT \"row\", list_filter(string_split({c}, chr(57344)), lambda z: trim(z, ' ') <> '') AS l, unnest(range(len(l))) AS place, l[place + 1] AS s FROM ({_PARTS}))" for k, c in ((1, "statement"), (2, "abstract"))
+)
+_SENTENCES = f"SELECT \"row\", 0 AS rank, 'title' AS source, 0 AS place, 1 AS weight, title AS s FROM ({_PARTS}) UNION ALL SELECT * FROM ({_SENTENCES}) WHERE weight IS NOT NULL"
+_CASCADE = f"SELECT \"row\", rank, source, term, CAST(sum(weight * n) AS BIGINT) AS n FROM ({_matches(_SENTENCES, '"row", rank, source, place, weight', _ORDERS)}) GROUP BY ALL"
+_FIRST_HITS = f"SELECT \"row\", term, n, source FROM (SELECT *, min(rank) OVER (PARTITION BY \"row\") AS m FROM ({_CASCADE})) WHERE rank = m"
+_SOURCES = ["title", "statement", "abstract"]
 
 
 @query(_FIRST_HITS)
 def dom_match_cascade(t):
-    return M.match_cascade(_parts(t), ["title", "statement", "abstract"], _terms(t), "term")
+    """Weighted matches, in both word orders, in the first of title, statement and abstract that has any."""
+    return M.match_cascade(_parts(t), "row", _SOURCES, _terms(t), "term", "term")
 
 
-@query(f"SELECT \"row\", term, round(CASE WHEN raw < 20 THEN ln(raw) / ln(20) ELSE 1 END, 6) AS score FROM (SELECT \"row\", term, CASE source WHEN 'title' THEN 20 WHEN 'statement' THEN 1 + floor(2 * n / 2) ELSE 1 + floor(n / 2) END AS raw FROM ({_FIRST_HITS}))")
+@query()
+def dom_match_cascade_stems(t):
+    """The same with a further pass over stems."""
+    return M.match_cascade(_parts(t), "row", _SOURCES, _terms(t), "term", "term", stems=True)
+
+
+@query(f"SELECT \"row\", term, round(CASE WHEN raw < 20 THEN ln(raw) / ln(20) ELSE 1 END, 6) AS score FROM (SELECT \"row\", term, CASE source WHEN 'title' THEN 20 WHEN 'statement' THEN 1 + (2 * n) // 2 ELSE 1 + n // 2 END AS raw FROM ({_FIRST_HITS}))")
 def dom_conf_score(t):
-    hits = M.match_cascade(_parts(t), ["title", "statement", "abstract"], _terms(t), "term")
-    return hits.select("row", "term", F.round(M.confidence_score(F.col("n"), F.col("source"), "title", "statement"), 6).alias("score"))
+    hits = M.match_cascade(_parts(t), "row", _SOURCES, _terms(t), "term", "term")
+    return hits.select("row", "term", F.round(M.confidence_score(F.col("n"), F.col("source")), 6).alias("score"))
 
 
 @query(f"SELECT \"row\", term FROM ({_FIRST_HITS}) a WHERE NOT EXISTS (SELECT 1 FROM ({_FIRST_HITS}) b WHERE b.\"row\" = a.\"row\" AND b.term <> a.term AND contains(b.term, a.term))")
 def win_longest_match(t):
-    hits = M.match_cascade(_parts(t), ["title", "statement", "abstract"], _terms(t), "term").select("row", "term")
+    hits = M.match_cascade(_parts(t), "row", _SOURCES, _terms(t), "term", "term").select("row", "term")
     return W.maximal_terms(hits, "row", "term")
 
 
@@ -82,12 +102,26 @@ def dom_term_dictionary(t):
     return M.term_dictionary(parts, "p_partkey", "p_name", "synonyms", common)
 
 
-_RULES = [("age", ["age"], ["year", "old"], "^age[ _]"), ("commerce", ["purchase"], ["cart", "buy"], "^pur"), ("browse", ["view"], ["click", "scroll"], None), ("account", [], ["log", "sign"], "user$")]
+def _categories() -> str:
+    test = {"exact": "x = '{0}' OR list_contains(ws, '{0}')", "keyword": "contains(x, '{0}')", "pattern": "regexp_matches(x, '{0}')"}
+    return "CASE " + " ".join(f"WHEN {test[kind].format(text)} THEN '{name}:{confidence}'" for kind, text, name, confidence in M.rule_list(RULES)) + " END"
+
+
+#: Labels: part names after words that labels are made of, so that all kinds of rules meet.
+_LABEL_HEADS = ["age at", "Patient", "donor sex", "tissue", "stage_of", "cell line", "racetrack", "subgroup", "mouse", "daytime", "dose", "unknown"]
+_LABELS_SQL = f"SELECT DISTINCT {_LABEL_HEADS}[p_partkey % {len(_LABEL_HEADS)} + 1] || ' ' || p_name AS label FROM part"
 
 
-@query("SELECT event_type, CASE WHEN event_type = 'age' THEN 'age' WHEN event_type = 'purchase' THEN 'commerce' WHEN event_type = 'view' THEN 'browse' WHEN contains(event_type, 'year') OR contains(event_type, 'old') THEN 'age' WHEN contains(event_type, 'cart') OR contains(event_type, 'buy') THEN 'commerce' WHEN contains(event_type, 'click') OR contains(event_type, 'scroll') THEN 'browse' WHEN contains(event_type, 'log') OR contains(event_type, 'sign') THEN 'account' END AS category, count(*) AS n FROM events GROUP BY 1, 2")
+def _part_labels(t) -> DataFrame:
+    heads = F.array(*[F.lit(x) for x in _LABEL_HEADS])
+    return t("part").select(F.concat_ws(" ", F.get(heads, (F.col("p_partkey") % len(_LABEL_HEADS)).cast("int")), "p_name").alias("label")).distinct()
+
+
+@query(f"SELECT label, split_part(c, ':', 1) AS category, split_part(c, ':', 2) AS confidence FROM (SELECT label, {_categories()} AS c FROM (SELECT label, lower(trim(label)) AS x, regexp_split_to_array(lower(trim(label)), '\\s+') AS ws FROM ({_LABELS_SQL}))) WHERE c IS NOT NULL")
 def dom_keyword_categorize(t):
-    return t("events").select("event_type", M.categorize(F.col("event_type"), _RULES).alias("category")).groupBy("event_type", "category").agg(F.count(F.lit(1)).alias("n"))
+    """Labels that a category's words, keywords or patterns take, with the confidence."""
+    found = _part_labels(t).select("label", M.categorize(F.col("label"), RULES).alias("c")).where("c is not null")
+    return found.select("label", "c.category", "c.confidence")
 
 
 @query("SELECT l_orderkey, max(l_partkey) AS l_partkey FROM lineitem JOIN part ON p_partkey = l_partkey WHERE contains(lower(p_name), substring(lower(p_type), 1, 2)) GROUP BY 1")
@@ -97,11 +131,13 @@ def dom_orphan_drug_map(t):
     return hits.groupBy("l_orderkey").agg(F.max("l_partkey").alias("l_partkey"))
 
 
-@query(f"SELECT \"row\", term, CASE WHEN bool_or(source = 'title') AND bool_or(source = 'abstract') THEN 'Title,abstract' WHEN bool_or(source = 'title') THEN 'Title' ELSE 'abstract' END AS places FROM ({_CASCADE}) WHERE source <> 'statement' GROUP BY 1, 2")
+_PLACED = " UNION ALL ".join(f"SELECT \"row\", term, '{p}' AS place FROM ({_matches(f'SELECT "row", replace({c}, chr(57344), chr(32)) AS s FROM ({_PARTS})', '"row"', _PLAIN)})" for c, p in (("title", "Title"), ("abstract", "abstract")))
+
+
+@query(f"SELECT \"row\", term, string_agg(place, ',' ORDER BY place) AS places FROM ({_PLACED}) GROUP BY 1, 2")
 def dom_annotation_merge(t):
-    a = M.match_terms(_parts(t), "title", _terms(t), "term").withColumn("place", F.lit("Title"))
-    b = M.match_terms(_parts(t), "abstract", _terms(t), "term").withColumn("place", F.lit("abstract"))
-    merged = M.merge_annotations(a.unionByName(b), ["row", "term"], "place")
+    of = lambda c, place: M.match_terms(_parts(t), ["row"], c, _terms(t), "term", "term").withColumn("place", F.lit(place))
+    merged = M.merge_annotations(of("title", "Title").unionByName(of("abstract", "abstract")), ["row", "term"], "place")
     return merged.select("row", "term", F.array_join("places", ",").alias("places"))
 
 
@@ -159,10 +195,10 @@ def dom_eav_to_nodes(t):
     return R.attributes_to_nodes(rows.select("id", "x.*"), "id", "attribute", "value", ["name", "brand", "kind"])
 
 
-@query("SELECT doc_id, CASE WHEN len(string_split(trim(regexp_replace(substring(text, 1, 150), '\\s+', ' ', 'g')), ' ')) > 20 THEN 'PHR' WHEN length(text) > 150 THEN 'ABSTRACT' ELSE 'AIM' END AS source FROM documents")
+@query(f"SELECT \"row\" AS doc_id, CASE WHEN len(string_split(trim(regexp_replace(replace(statement, chr(57344), ' '), '\\s+', ' ', 'g')), ' ')) > 20 THEN 'PHR' WHEN abstract <> '' THEN 'ABSTRACT' ELSE 'TITLE' END AS source FROM ({_PARTS})")
 def dom_source_select(t):
-    start = F.substring("text", 1, 150)
-    return t("documents").select("doc_id", F.when(X.word_count(start) > 20, "PHR").when(F.length("text") > 150, "ABSTRACT").otherwise("AIM").alias("source"))
+    """The statement if it has more than 20 words, else the abstract if there is one, else the title."""
+    return _parts(t).select(F.col("row").alias("doc_id"), F.when(X.word_count("statement") > 20, "PHR").when(F.col("abstract") != "", "ABSTRACT").otherwise("TITLE").alias("source"))
 
 
 @query()
@@ -241,8 +277,7 @@ def rename_substring(t):
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="veinloom-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def _files(name: str, sql: str, *more: str):

@@ -51,9 +51,23 @@ def str_trim_special(t):
     return _docs(t).select("doc_id", X.trim_special("x").alias("y"))
 
 
-@query("SELECT p_partkey, regexp_replace(regexp_replace(regexp_replace(replace(p_name, ' ', 'CellType'), '([a-z0-9])([A-Z])', '\\1 \\2', 'g'), '(?i)(cell)(type)', '\\1 \\2', 'g'), '(?i)(age)(group)', '\\1 \\2', 'g') AS y FROM part")
+def _camel() -> str:
+    sql = "regexp_replace(x, '([a-z])([A-Z])', '\\1 \\2', 'g')"
+    for first, second in (p.split(" ") for p in X.COMPOUNDS.split("|")):
+        sql = f"regexp_replace({sql}, '(?i){first}({second})', '{first} \\1', 'g')"
+    return sql
+
+
+#: Part names with each of the compounds in turn between their words, in three spellings.
+_COMPOUND = f"[replace(c, ' ', '') FOR c IN string_split('{X.COMPOUNDS}', '|')][p_partkey % {len(X.COMPOUNDS.split('|'))} + 1]"
+
+
+@query(f"SELECT p_partkey, {_camel()} AS y FROM (SELECT p_partkey, replace(p_name, ' ', CASE p_partkey % 3 WHEN 0 THEN upper({_COMPOUND}) WHEN 1 THEN {_COMPOUND} ELSE upper(substring({_COMPOUND}, 1, 1)) || substring({_COMPOUND}, 2) || 'X' END) AS x FROM part)")
 def str_camel_split(t):
-    return t("part").select("p_partkey", X.camel_split(F.replace("p_name", F.lit(" "), F.lit("CellType"))).alias("y"))
+    words = [c.replace(" ", "") for c in X.COMPOUNDS.split("|")]
+    word = F.get(F.array(*[F.lit(w) for w in words]), (F.col("p_partkey") % len(words)).cast("int"))
+    spelt = F.when(F.col("p_partkey") % 3 == 0, F.upper(word)).when(F.col("p_partkey") % 3 == 1, word).otherwise(F.concat(F.upper(F.substring(word, 1, 1)), F.substring(word, 2, 100), F.lit("X")))
+    return t("part").select("p_partkey", X.camel_split(F.replace("p_name", F.lit(" "), spelt)).alias("y"))
 
 
 @query("SELECT p_partkey, array_to_string(string_split(lower(p_brand) || ' ' || upper(p_name), ' '), '|') AS y, upper(substring(p_name, 1, 1)) || substring(lower(p_name), 2, 3) AS z FROM part", "str_replace", "str_substring_slice")
@@ -83,17 +97,22 @@ def str_occurrence_count(t):
     return t("documents").select("doc_id", X.occurrences("text", "the").alias("n"), F.contains("text", F.lit("tion")).alias("has"))
 
 
-@query()
+#: Sentences in SQL, which has no look-behind: ends are marked, and the marks behind abbreviations taken back.
+_MARKED = "regexp_replace(regexp_replace(regexp_replace(text, '([.?!])([\\s\\x0b])', '\\1' || chr(57344) || '\\2', 'g'), '([A-Z][a-z]\\.)' || chr(57344), '\\1', 'g'), '(\\w\\.\\w[.?!])' || chr(57344), '\\1', 'g')"
+_SENT = f"(SELECT doc_id, list_filter(list_transform(string_split({_MARKED}, chr(57344)), lambda z, i: CASE WHEN i > 1 THEN substring(z, 2) ELSE z END), lambda z: trim(z, ' ') <> '') AS l FROM documents)"
+
+
+@query(f"SELECT doc_id, CAST(len(l) AS BIGINT) AS n, l[1] AS first_sentence FROM {_SENT}")
 def str_sentence_split(t):
-    return t("documents").select("doc_id", F.size(X.sentences("text")).alias("n"), F.element_at(X.sentences("text"), 1).alias("first_sentence"))
+    return t("documents").select("doc_id", F.size(X.sentences("text")).cast("long").alias("n"), F.get(X.sentences("text"), F.lit(0)).alias("first_sentence"))
 
 
-@query()
+@query(f"SELECT doc_id, array_to_string(list_filter(l, lambda z: contains(lower(z), 'the')), ' ') AS y FROM {_SENT}")
 def str_sentence_with_word(t):
     return t("documents").select("doc_id", X.sentences_with("text", "the").alias("y"))
 
 
-@query()
+@query(f"SELECT doc_id, coalesce(array_to_string(l[list_position(list_transform(l, lambda z: contains(lower(z), 'tion')), true):], ' '), '') AS y FROM (SELECT doc_id, CASE WHEN len(list_filter(l, lambda z: contains(lower(z), 'tion'))) > 0 THEN l END AS l FROM {_SENT})")
 def str_aim_extract(t):
     return t("documents").select("doc_id", X.from_sentence_with("text", "tion").alias("y"))
 
@@ -159,9 +178,24 @@ def filter_short_single(t):
     return _labels(t).select("label", X.term_long_enough("label").alias("long_enough"), X.short_single_word("label").alias("is_short"), X.acronym("label").alias("acronym"))
 
 
-@query(f"SELECT label FROM ({_LABELS}) WHERE length(label) BETWEEN 3 AND 60 AND regexp_matches(label, '[A-Za-z]') AND NOT regexp_matches(label, '^[0-9.,\\-\\s]+$') AND length(replace(label, substring(label, 1, 1), '')) > 0 AND length(regexp_replace(label, '[^0-9]', '', 'g')) * 2 <= length(label) AND length(regexp_replace(label, '[A-Za-z0-9\\s]', '', 'g')) * 3 <= length(label) AND NOT regexp_matches(label, '(?i)^(gsm|gse|srr|err|id)[0-9]+') AND regexp_matches(label, '(?i)[aeiouy]') AND NOT regexp_matches(label, '[bcdfghjklmnpqrstvwxz]{{6,}}')")
+#: Labels as files have them: words of the texts, with signs around them by the word's length, and whole lines.
+_RAW_LABELS = f"SELECT DISTINCT label FROM (SELECT CASE length(label) % 6 WHEN 0 THEN label || '(x' WHEN 1 THEN '-' || label WHEN 2 THEN label || '_12/a' WHEN 3 THEN translate(label, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') || '7' WHEN 4 THEN label || '%' ELSE ' ' || label || ' ' END AS label FROM ({_LABELS}) UNION ALL SELECT label FROM ({_LABELS}) UNION ALL SELECT unnest(string_split(text, chr(10))) FROM documents)"
+_BAD_LABEL = (
+    "length(x) < 2", "length(x) > 100", "length(replace(x, '(', '')) <> length(replace(x, ')', ''))", "length(replace(x, '[', '')) <> length(replace(x, ']', ''))", "regexp_matches(x, '^[0-9.\\-+\\s]+$')",
+    "length(regexp_replace(x, '[a-zA-Z0-9\\s]', '', 'g')) * 2 > length(x)", "length(x) - length(replace(x, '/', '')) >= 2", "contains(lower(x), 'http') OR contains(lower(x), 'www.')",
+    f"(regexp_matches(x, '^[^\\p{{L}}\\p{{N}}\\p{{M}}\\p{{Pc}}\\s]') OR regexp_matches(x, '[^\\p{{L}}\\p{{N}}\\p{{M}}\\p{{Pc}}\\s]$')) AND NOT regexp_matches(lower(x), '(%|{_W})$')", "regexp_matches(x, '^[A-Z]{1,5}[0-9]+\\s*\\(') OR contains(x, 'Tg(')",
+    "length(x) > 5 AND x = upper(x) AND x <> lower(x) AND regexp_matches(x, '[0-9]')", "(length(x) - length(replace(x, '_', ''))) * 10 > length(x) * 3", "(length(x) - length(replace(x, '-', ''))) * 10 > length(x) * 3",
+)
+
+
+@query(f"SELECT label FROM (SELECT label, regexp_replace(regexp_replace(label, '^\\s+', ''), '\\s+$', '') AS x FROM ({_RAW_LABELS})) WHERE NOT ({' OR '.join(f'({b})' for b in _BAD_LABEL)})")
 def filter_meaningful_label(t):
-    return _labels(t).where(X.meaningful_label("label"))
+    """Words of the texts with signs around them, and whole lines, that are labels worth keeping."""
+    n, x = F.length("label") % 6, F.col("label")
+    signed = F.when(n == 0, F.concat(x, F.lit("(x"))).when(n == 1, F.concat(F.lit("-"), x)).when(n == 2, F.concat(x, F.lit("_12/a"))).when(n == 3, F.concat(F.translate(x, "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"), F.lit("7"))).when(n == 4, F.concat(x, F.lit("%"))).otherwise(F.concat(F.lit(" "), x, F.lit(" ")))
+    lines = t("documents").select(F.explode(F.split("text", "\n")).alias("label"))
+    every = _labels(t).select(F.explode(F.array(signed, x)).alias("label")).unionByName(lines).distinct()
+    return every.where(X.meaningful_label("label"))
 
 
 @query(f"SELECT doc_id, bool_and(w IN (SELECT lower(unnest(string_split(p_name, ' '))) FROM part)) AS known FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '{_W}+')) AS w FROM documents) GROUP BY 1", "filter_dictionary_word")
