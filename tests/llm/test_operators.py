@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from veinloom.llm import bpe, components, decontamination, fm_index, jaccard_join, line_crf, line_dedup, pii, quality_classifier, quality_rules, storage, token_files, training, unit_dedup, warc
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row long, node string, n int, keys string, _text string"
+SF = "/root/testdata/sf0.01"
 rng = random.Random(7)
 VOCABULARY = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 8))) for _ in range(400)]
 
@@ -166,7 +167,12 @@ def test_quality(spark, docs):
         hit = {j for i in range(len(words) - 2) if windows[tuple(words[i : i + 3])] > 1 for j in range(i, i + 3)}
         r = judged[k]
         assert (r["n_words"], r["word_chars"], r["n_repeat_words"]) == (len(words), sum(map(len, words)), len(hit)), k
+        lines = (t or "").split("\n")
+        dup = sum(1 for i, x in enumerate(lines) if re.search(r"[^\x20\x09-\x0D]", x) and x in lines[:i]) if len(lines) < 5_000 else r["n_dup_lines"]
+        assert (r["n_symbols"], r["n_dup_lines"]) == (len(re.findall(r"[#*$%&|<>]", t or "")), dup), k
         assert r["base_failed"] == (len(words) < 50 or 100 * len(hit) > 50 * len(words))
+        own = [x for x in lines if x.strip()]
+        assert len(own) == len(r["states"]) and r["kept"] == (not r["base_failed"] and 2 * sum(len(x) for x, y in zip(own, r["states"]) if y == "1") >= sum(map(len, own)))
     kept = {r["doc_id"] for r in quality_rules.keep_good(docs, model).collect()}
     assert kept == {k for k, r in judged.items() if r["kept"]} and 20 in kept
 
@@ -184,6 +190,39 @@ def test_crf_marginals_and_viterbi_equal_enumeration():
         assert v[a:b].tolist() == paths[int(scores.argmax())]
 
 
+def test_crf_gradient_equals_finite_differences():
+    r = np.random.default_rng(3)
+    bounds, weight = np.array([0, 1, 5, 8]), np.array([0.5, 0.2, 0.3])
+    z, theta, y, both = r.normal(size=(8, 4)), r.normal(size=9), r.random(8), r.dirichlet(np.ones(4), 5).reshape(5, 2, 2)
+    _, grad = line_crf.objective(theta, z, y, both, bounds, weight, 0.01)
+    for k in range(len(theta)):
+        step = np.zeros_like(theta)
+        step[k] = 1e-6
+        up, down = (line_crf.objective(theta + d * step, z, y, both, bounds, weight, 0.01)[0] for d in (1, -1))
+        assert abs((up - down) / 2e-6 - grad[k]) < 1e-6
+
+
+def test_line_states_are_learnt_from_document_labels():
+    """Good documents with a line of boilerplate: that line is labelled bad, though the document's label is good."""
+    junk = "|".join(["BUY!!"] * 30)
+    good = [[prose(30, s), prose(20, s + 1000), junk, prose(25, s + 2000)] if s % 3 else [prose(30, s), prose(20, s + 1000)] for s in range(90)]
+    bad = [[junk] * r for r in (3, 4, 5) for _ in range(30)]
+    model = line_crf.fit(good + bad, np.array([1] * 90 + [0] * 90))
+    _, _, states = line_crf.content_shares(model, [[prose(30, 1), prose(20, 2), junk, prose(30, 3)]])
+    assert states == [[1, 1, 0, 1]] and model.pair[0, 0] + model.pair[1, 1] > model.pair[0, 1] + model.pair[1, 0]
+
+
+def test_quality_on_held_out_documents(spark):
+    rows = quality_classifier.op3_quality_classifier(spark, SF).where("held_out").collect()
+    truth = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    known = [(r["score"], truth[r["doc_id"]]) for r in rows if truth.get(r["doc_id"]) is not None]
+    good, bad = [s for s, y in known if y == 1], [s for s, y in known if y == 0]
+    assert len(bad) > 10 and sum((a > b) + 0.5 * (a == b) for a in good for b in bad) > 0.97 * len(good) * len(bad)
+    verdict = {r["doc_id"]: r["kept"] for r in quality_rules.op7_quality_rules(spark, SF).collect()}
+    held = {r["doc_id"] for r in rows}
+    assert sum(verdict[k] for k in held if truth.get(k) == 0) < 0.1 * len(bad)
+
+
 def test_fit_without_labels(spark, docs):
     empty = spark.createDataFrame([], "doc_id long, quality int")
     assert training.fit_quality(docs, empty).bias == line_crf.neutral().bias
@@ -211,13 +250,15 @@ def test_decontamination(spark, docs):
     windows = defaultdict(set)
     for i, t in items:
         w = cut(t)
-        if i is not None and w:
-            for k in range(max(1, len(w) - 9)):
-                windows[tuple(w[k : k + 10])].add(i)
+        for k in range(max(1, len(w) - 9)) if w else ():
+            windows[tuple(w[k : k + 10])] |= {i} - {None}  # an item without an id hits, but is not listed
     rows = got(decontamination.find_hits(docs, benchmark))
     clean = got(decontamination.decontaminate(docs, benchmark))
-    blocks = decontamination.phrase_blocks(benchmark, block_chars=100)
+    blocks = list(decontamination.phrase_blocks(benchmark, block_chars=100))
     assert len(blocks) > 1 and sum(len(b.owners) for b in blocks) >= len(windows)
+    in_blocks = got(decontamination.find_hits(docs, benchmark, block_chars=100))
+    assert all(in_blocks[k] == rows[k] for k in TEXTS)
+    assert {k: r["text"] for k, r in got(decontamination.decontaminate(docs, benchmark, block_chars=100)).items()} == {k: r["text"] for k, r in clean.items()}
     for k, t in TEXTS.items():
         w = cut(t)
         hit, which = set(), set()

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from veinloom.llm.quality_classifier import in_chunks
 from veinloom.llm.storage import table
+from veinloom.llm.worker_cache import kept
 
 #: Pieces that a worker remembers; the store is emptied when it is full, so memory is bounded.
 MAX_PIECES = 400_000
@@ -109,7 +110,7 @@ class SpeculativeBpe:
         self.special_split = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.token_of = {i: t for t, i in model["vocab"].items()} | {i: t for t, i in self.special.items()}
         self.pattern = _own_pattern(spec)
-        self.pieces: dict[str, tuple[int, ...]] = {}
+        self.pieces: dict[str, tuple[int, str, str]] = {}
         self.words: dict[str, tuple[int, ...]] = {}
 
     def propose(self, word: str) -> list[int]:
@@ -249,20 +250,28 @@ class SpeculativeBpe:
         self.words.update(self.learn_words(words.difference(self.words)))
         known = self.words
         for piece, parts in cut.items():
-            if len(parts) == 1 and isinstance(parts[0], str):
-                self.pieces[piece] = known[parts[0]]
-            else:
-                self.pieces[piece] = tuple(i for p in parts for i in (known[p] if isinstance(p, str) else (p,)))
+            ids = [i for p in parts for i in (known[p] if isinstance(p, str) else (p,))]
+            self.pieces[piece] = (len(ids), " ".join(map(str, ids)), self.decode(ids))
 
-    def encode_batch(self, texts: list[str | None]) -> list[list[int]]:
+    def encode_texts(self, texts: list[str | None]) -> list[tuple[int, str, str]]:
+        """Number of ids, the ids in decimal with blanks between, and the decoded text, of each text. All three are put
+        together from those of the pieces between blanks."""
         cut = [(x or "").replace("\n", " ").split(" ") for x in texts]
         if len(self.pieces) > MAX_PIECES:
             self.pieces.clear()
         new = {p for pieces in cut for p in pieces}.difference(self.pieces)
         if new:
             self.learn(new)
-        known = self.pieces
-        return [[i for p in pieces for i in known[p]] for pieces in cut]
+        of = self.pieces.__getitem__
+        out = []
+        for pieces in cut:
+            sizes, ids, decoded = zip(*map(of, pieces))
+            # Pieces without ids, and ids unknown to the decoder, leave no blank behind.
+            out.append((sum(sizes), " ".join(filter(None, ids)), " ".join(filter(None, decoded))))
+        return out
+
+    def encode_batch(self, texts: list[str | None]) -> list[list[int]]:
+        return [list(map(int, ids.split())) for _, ids, _ in self.encode_texts(texts)]
 
     def decode(self, ids: list[int]) -> str:
         """As the library does without a decoder: the tokens with blanks between; unknown ids are left out."""
@@ -270,13 +279,8 @@ class SpeculativeBpe:
         return " ".join([of[i] for i in ids if i in of])
 
 
-_ENCODERS: dict[str, SpeculativeBpe] = {}
-
-
 def encoder(path: str) -> SpeculativeBpe:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = SpeculativeBpe(path)
-    return _ENCODERS[path]
+    return kept(("bpe", path), lambda: SpeculativeBpe(path))
 
 
 def encode_documents(documents: DataFrame, path: str, with_ids: bool = True) -> DataFrame:
@@ -289,17 +293,16 @@ def encode_documents(documents: DataFrame, path: str, with_ids: bool = True) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(path)
-        text_of = {i: str(i) for i in bpe.token_of}
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1).to_pylist()
             for a, b in in_chunks(texts, 500_000):
-                ids = bpe.encode_batch(texts[a:b])
+                encoded = bpe.encode_texts(texts[a:b])
                 columns = [
                     keys.slice(a, b - a),
-                    pa.array([len(x) for x in ids], pa.int64()),
-                    pa.array([hashlib.sha256(" ".join([text_of[i] for i in x]).encode()).hexdigest() for x in ids]),
-                    pa.array([hashlib.sha256(bpe.decode(x).encode("utf-8")).hexdigest() for x in ids]),
-                ] + ([pa.array(ids, pa.list_(pa.int32()))] if with_ids else [])
+                    pa.array([n for n, _, _ in encoded], pa.int64()),
+                    pa.array([hashlib.sha256(ids.encode()).hexdigest() for _, ids, _ in encoded]),
+                    pa.array([hashlib.sha256(decoded.encode("utf-8")).hexdigest() for _, _, decoded in encoded]),
+                ] + ([pa.array([list(map(int, ids.split())) for _, ids, _ in encoded], pa.list_(pa.int32()))] if with_ids else [])
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids)
 
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
@@ -312,6 +315,7 @@ def vocabulary(name: str) -> str:
 
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each row of documents; see encode_documents for nulls, empty texts and repeated rows."""
     return encode_documents(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), with_ids=False)
 
 

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from veinloom.llm.components import connected_components
 from veinloom.llm.quality_classifier import in_chunks
 from veinloom.llm.storage import Scratch, table, written
+from veinloom.llm.worker_cache import forget
 
 SHINGLE = 3
 PERCENT = 90
@@ -168,10 +169,11 @@ class CountTree:
         return inside[np.minimum(self.points[inside], p).sum(axis=1) >= need(self.size[inside])]
 
 
-def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+def linked(a, b, percent: int) -> bool:
+    """Whether two sets reach the threshold; both are sorted arrays, or both are Python's sets."""
     if min(len(a), len(b)) * 100 < percent * max(len(a), len(b)):
         return False
-    both = len(np.intersect1d(a, b, assume_unique=True))
+    both = len(np.intersect1d(a, b, assume_unique=True)) if isinstance(a, np.ndarray) else len(a & b)
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
@@ -206,6 +208,19 @@ def tree_links(sets: list[np.ndarray], part: np.ndarray, percent: int = PERCENT,
     return out
 
 
+def plain_links(members: list[frozenset], part: list[int], percent: int) -> list[tuple[int, int]]:
+    """The same for a few sets, without a tree: each set against one after the other that is in another part."""
+    root = list(part)
+    out = []
+    for q in range(1, len(members)):
+        for x in range(q):
+            if root[x] != root[q] and linked(members[q], members[x], percent):
+                out.append((q, x))
+                old, new = root[x], root[q]
+                root = [new if r == old else r for r in root]
+    return out
+
+
 def identified(documents: DataFrame) -> DataFrame:
     """doc_id, h (a hash of the text) and text: rows of one id with different texts are kept apart by h."""
     text = F.col("text").cast("string")
@@ -217,6 +232,7 @@ def signatures(documents: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     once for each node in a task, its keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         known, nodes, bounds = _Words(), set(), size_class_bounds(percent, 1 << 30)
         for batch in batches:
             texts = batch.column(2).to_pylist()
@@ -245,6 +261,9 @@ _TASK = "task string, node long, part long, side int, text string"
 class WordShingles:
     """Makes the sets of word shingles of texts; one for each task, for what it remembers."""
 
+    #: Blocks of up to so many nodes are compared without a tree: none.
+    plain = 0
+
     def __init__(self, n: int = SHINGLE):
         self.n = n
 
@@ -257,14 +276,18 @@ def block_links(rows: DataFrame, shingles, percent: int) -> DataFrame:
     """Links (a, b) found in each task's block of rows; a block is bounded by how tasks are dealt."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget()
         sets_of = shingles.maker()
 
         def done(block: list[tuple]) -> list[tuple[int, int]]:
             rows = list({r[1]: r for r in block}.values())
             if len(rows) < 2:
                 return []
-            sides = np.array([r[3] for r in rows])
-            links = tree_links([r[4] for r in rows], np.array([r[2] for r in rows], dtype=np.int64), percent, sides if sides.any() else None)
+            if len(rows) <= shingles.plain and not rows[0][3]:
+                links = plain_links([frozenset(r[4].tolist()) for r in rows], [r[2] for r in rows], percent)
+            else:
+                sides = np.array([r[3] for r in rows])
+                links = tree_links([np.unique(r[4]) for r in rows], np.array([r[2] for r in rows], dtype=np.int64), percent, sides if sides.any() else None)
             return [(rows[i][1], rows[j][1]) for i, j in links]
 
         def frame_of(found: list[tuple[int, int]]) -> pd.DataFrame:
@@ -273,8 +296,8 @@ def block_links(rows: DataFrame, shingles, percent: int) -> DataFrame:
         task, block, found = None, [], []
         for frame in frames:
             once = ~frame["node"].duplicated()
-            sets = dict(zip(frame["node"][once], sets_of(frame["text"][once].tolist())))
-            for t, node, part, side in frame[["task", "node", "part", "side"]].itertuples(index=False, name=None):
+            sets = dict(zip(frame["node"][once].tolist(), sets_of(frame["text"][once].tolist())))
+            for t, node, part, side in zip(*(frame[c].tolist() for c in ("task", "node", "part", "side"))):
                 if t != task and block:
                     found += done(block)
                     block = []

@@ -14,13 +14,15 @@ from veinloom.llm.components import connected_components
 from veinloom.llm.jaccard_join import MAX_NODES_KNOWN, cluster_links, identified, keyed_nodes, mix
 from veinloom.llm.quality_classifier import in_chunks
 from veinloom.llm.storage import Scratch, table, written
+from veinloom.llm.worker_cache import forget
 
 CHARS = 5
 PERCENT = 80
-#: At the threshold 1 - (1 - 0.8 ** 6) ** 21 = 0.998 of the pairs share a band; a cluster compares more than such pairs.
-#: Lines of one language share many shingles of five characters. Six rows a band keep them apart: of the 404,186 different
-#: lines of 0.10 GB, the largest cluster has 257 (16 bands of five rows: 1,174). A seventh row needs 27 bands.
-BANDS, ROWS = 21, 6
+#: At the threshold 1 - (1 - 0.8 ** 5) ** 16 = 0.998 of the pairs share a band. As lines are compared within buckets and not
+#: in the clusters that buckets form, five rows a band suffice: of the 404,186 different lines of 0.10 GB, the largest
+#: bucket has 111. Six rows (21 bands for the same recall) give buckets of 106 and a third more keys; a corpus in which far
+#: more unrelated lines meet wants them.
+BANDS, ROWS = 16, 5
 BLOCK = 2048
 _P = np.uint64(0x100000001B3)
 _A = (mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
@@ -84,10 +86,13 @@ def band_keys(lines: list[str]) -> np.ndarray:
 class CharShingles:
     """Makes the sets of character shingles of lines."""
 
+    #: Buckets of up to so many lines are compared without a tree.
+    plain = 64
+
     def maker(self) -> Callable[[list], list[np.ndarray]]:
         def sets_of(lines: list[str]) -> list[np.ndarray]:
             h, starts = shingle_hashes(lines)
-            return [np.unique(x) for x in np.split(h, starts[1:])]
+            return np.split(h, starts[1:])
 
         return sets_of
 
@@ -103,6 +108,7 @@ def line_rows(documents: DataFrame) -> DataFrame:
     its band keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         seen: set[int] = set()
         for batch in batches:
             ids, texts_h, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()
@@ -137,6 +143,7 @@ def chosen_lines(documents: DataFrame, chosen: DataFrame) -> DataFrame:
     wanted = chosen.groupBy("doc_id", "h").agg(F.collect_list(F.struct("idx", "node")).alias("wanted"))  # bounded by a text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             nodes, out = [], []
             for text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -202,6 +209,7 @@ def dedup_lines(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     at, last = documents.columns.index("text"), len(documents.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             texts = batch.column(at).to_pylist()
             new = [x if x is None or r is None else "\n".join(line for i, line in enumerate(x.split("\n")) if i not in set_) for x, r, set_ in ((x, r, set(r or ())) for x, r in zip(texts, batch.column(last).to_pylist()))]

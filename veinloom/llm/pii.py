@@ -5,7 +5,7 @@ Candidates are the matches of the base patterns and of wider ones (local phone n
 words, secrets, account and social security numbers). What the base rules accept always stays; wider candidates are added
 if the classifier accepts them and they touch no base span.
 
-Fitting works on counts of vote patterns, of which there are at most KINDS * 3 ** LABELERS, so that table is bounded
+Fitting works on counts of vote patterns, of which there are at most SOURCES * 3 ** LABELERS * 2 ** SPAN_FEATURES, so that table is bounded
 whatever the corpus, and is fetched.
 """
 
@@ -16,6 +16,7 @@ from collections import defaultdict
 from collections.abc import Callable
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -63,6 +64,13 @@ FOR = {
 }
 AGAINST = "version|section|chapter|figure|fig|page|isbn|doi|line|lines|release|build|pp|vol|ratio|score"
 LABELERS = ("shape", "check", "gazetteer", "context", "border")
+#: What the classifier sees of a span itself, beside the votes: yes or no each, so that patterns stay bounded.
+SPAN_FEATURES = {
+    "long": lambda t: F.length(t) >= 20,
+    "mixed": lambda t: t.rlike("[0-9]") & t.rlike("[A-Za-z]"),
+    "parted": lambda t: t.rlike(r"[\x20().-]"),
+    "quoted": lambda t: t.rlike("[\"=:@]"),
+}
 #: A candidate beyond the base rules is a span if the classifier gives it this probability.
 ACCEPT = 0.5
 
@@ -127,7 +135,8 @@ def votes(spans: DataFrame) -> DataFrame:
     gazetteer = F.when(kind == "email", vote(top.isin(*TOP_DOMAINS), top.rlike("^[0-9]+$"))).when(kind == "card", vote(d.rlike("^(4|5[1-5]|2[2-7]|3[47]|6)") & n.between(13, 19), ~n.between(12, 19))).when(kind == "phone", vote(d.rlike("^(00)?(1|33|34|44|49)") | (s == "local_phone"))).when(kind == "ip", vote(~t.rlike(r"^(0|255)\."), t.rlike(r"^(0|255)\."))).when(kind == "secret", vote(F.lower(t).rlike("^(token|password|api)"))).when(kind == "iban", vote(t.rlike("^(DE|FR|ES|IT|NL|BE|AT|CH|GB|PT|IE|PL)"))).otherwise(zero)
     border = F.when(F.col("before").rlike(r"(?U)[\w.]$") & ~kind.isin("email"), minus).when(F.col("after").rlike(r"(?U)^[\w@]"), minus).otherwise(plus)
     named = dict(zip(LABELERS, (shape, check, gazetteer, context.otherwise(zero), border)))
-    return spans.withColumns({"kind": kind, "base": F.coalesce(base, F.lit(False))} | {f"v_{k}": F.coalesce(v, zero).cast("int") for k, v in named.items()})
+    seen = {f"f_{k}": F.coalesce(f(t), F.lit(False)) for k, f in SPAN_FEATURES.items()}
+    return spans.withColumns({"kind": kind, "base": F.coalesce(base, F.lit(False))} | {f"v_{k}": F.coalesce(v, zero).cast("int") for k, v in named.items()} | seen)
 
 
 def fit_labelers(patterns: list[tuple[str, tuple[int, ...], int]], rounds: int = 40) -> dict[tuple[str, tuple[int, ...]], float]:
@@ -154,39 +163,40 @@ def fit_labelers(patterns: list[tuple[str, tuple[int, ...], int]], rounds: int =
     return posterior
 
 
-def features(source: str, v: tuple[int, ...]) -> list[float]:
-    return [1.0, *[float(x > 0) for x in v], *[float(x < 0) for x in v], *[float(source == name) for name, *_ in SOURCES]]
+def features(source: str, v: tuple[int, ...], f: tuple[bool, ...]) -> list[float]:
+    return [1.0, *[float(x > 0) for x in v], *[float(x < 0) for x in v], *[float(x) for x in f], *[float(source == name) for name, *_ in SOURCES]]
 
 
-def fit_classifier(patterns: list[tuple[str, tuple[int, ...], int]], posterior: dict, rounds: int = 400, rate: float = 0.3, penalty: float = 1e-3) -> list[float]:
-    """Logistic regression on the posteriors. A pattern counts by the root of its number, each source the same in sum."""
-    rows = [(features(s, v), posterior[s, v], math.sqrt(n), s) for s, v, n in patterns]
+def fit_classifier(patterns: list[tuple[str, tuple[int, ...], tuple[bool, ...], int]], posterior: dict, rounds: int = 400, rate: float = 0.3, penalty: float = 1e-3) -> list[float]:
+    """Logistic regression of the posteriors on votes, span features and source. A pattern counts by the root of its
+    number, each source the same in sum."""
+    rows = [(features(s, v, f), posterior[s, v], math.sqrt(n), s) for s, v, f, n in patterns]
+    width = len(features("", (0,) * len(LABELERS), (False,) * len(SPAN_FEATURES)))
     if not rows:
-        return [0.0] * len(features("", (0,) * len(LABELERS)))
+        return [0.0] * width
     total: dict[str, float] = defaultdict(float)
     for _, _, n, s in rows:
         total[s] += n
-    width = len(rows[0][0])
-    w, memory = [0.0] * width, [1e-8] * width
+    x, y = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
+    share = np.array([n / total[s] / len(total) for _, _, n, s in rows])
+    w, memory = np.zeros(width), np.full(width, 1e-8)
     for _ in range(rounds):
-        g = [penalty * x for x in w]
-        for x, y, n, s in rows:
-            e = (1 / (1 + math.exp(-max(-30.0, min(30.0, sum(a * b for a, b in zip(w, x)))))) - y) * n / total[s] / len(total)
-            for k, a in enumerate(x):
-                g[k] += e * a
-        memory = [m + a * a for m, a in zip(memory, g)]
-        w = [a - rate * b / math.sqrt(m) for a, b, m in zip(w, g, memory)]
-    return w
+        g = penalty * w + x.T @ ((1 / (1 + np.exp(-np.clip(x @ w, -30, 30))) - y) * share)
+        memory += g * g
+        w -= rate * g / np.sqrt(memory)
+    return w.tolist()
 
 
 def probability(weights: list[float]) -> Column:
-    """The classifier as one expression of the votes."""
-    k = len(LABELERS)
+    """The classifier as one expression of votes, span features and source."""
+    k, n = len(LABELERS), len(SPAN_FEATURES)
     z = F.lit(weights[0])
     for i, name in enumerate(LABELERS):
         z = z + F.when(F.col(f"v_{name}") > 0, F.lit(weights[1 + i])).when(F.col(f"v_{name}") < 0, F.lit(weights[1 + k + i])).otherwise(F.lit(0.0))
+    for i, name in enumerate(SPAN_FEATURES):
+        z = z + F.when(F.col(f"f_{name}"), F.lit(weights[1 + 2 * k + i])).otherwise(F.lit(0.0))
     for i, (name, *_) in enumerate(SOURCES):
-        z = z + F.when(F.col("source") == name, F.lit(weights[1 + 2 * k + i])).otherwise(F.lit(0.0))
+        z = z + F.when(F.col("source") == name, F.lit(weights[1 + 2 * k + n + i])).otherwise(F.lit(0.0))
     return 1 / (1 + F.exp(-z))
 
 
@@ -197,10 +207,14 @@ def find_spans(documents: DataFrame, accept: float = ACCEPT) -> DataFrame:
     A null text is empty. A null id is kept. Repeated rows are searched each; other columns are not read; an empty table
     gives no rows. Shuffled once by row: candidates with 40 characters of context, not texts.
     """
-    voted = written(votes(candidates(documents)).select("row", "doc_id", "source", "kind", "start", "end", "base", *[f"v_{k}" for k in LABELERS]), "spans")
-    counted = voted.where("source is not null").groupBy("source", *[f"v_{k}" for k in LABELERS]).agg(F.count(F.lit(1)).alias("n")).collect()
-    patterns = sorted((r["source"], tuple(r[f"v_{k}"] for k in LABELERS), r["n"]) for r in counted)
-    weights = fit_classifier(patterns, fit_labelers(patterns))
+    seen = [*[f"v_{k}" for k in LABELERS], *[f"f_{k}" for k in SPAN_FEATURES]]
+    voted = written(votes(candidates(documents)).select("row", "doc_id", "source", "kind", "start", "end", "base", *seen), "spans")
+    counted = voted.where("source is not null").groupBy("source", *seen).agg(F.count(F.lit(1)).alias("n")).collect()
+    patterns = sorted((r["source"], tuple(r[f"v_{k}"] for k in LABELERS), tuple(r[f"f_{k}"] for k in SPAN_FEATURES), r["n"]) for r in counted)
+    votes_only: dict[tuple, int] = defaultdict(int)
+    for s, v, _, n in patterns:
+        votes_only[s, v] += n
+    weights = fit_classifier(patterns, fit_labelers([(s, v, n) for (s, v), n in votes_only.items()]))
     scored = voted.withColumn("probability", F.when(F.col("source").isNotNull(), probability(weights)))
     by_row = Window.partitionBy("row").orderBy("start", "end", "source")
     wide = (~F.col("source").isin(*BASE)) & (F.col("probability") >= accept)
@@ -217,6 +231,7 @@ def find_spans(documents: DataFrame, accept: float = ACCEPT) -> DataFrame:
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each row of documents: counts of base spans by kind, all spans, and how many of them are secrets."""
     spans = find_spans(table(spark, sf_dir, "documents"))
     order = F.coalesce(*[F.when(F.col("kind") == k, F.lit(i)) for i, k in enumerate(KIND_ORDER)])
     item = F.struct(F.col("start"), order.alias("o"), F.col("end"), F.col("kind"))
@@ -224,7 +239,8 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     is_base = F.col("base") & F.col("kind").isNotNull()
     counts = [F.count(F.when(is_base & (F.col("kind") == k), 1)).alias(f"n_{k}") for k in BASE]
     grouped = spans.groupBy("row").agg(F.first("doc_id").alias("doc_id"), *counts, F.collect_list(F.when(is_base, item)).alias("_base"), F.collect_list(F.when(F.col("kind").isNotNull(), item)).alias("_all"))
-    return grouped.select("doc_id", *[f"n_{k}" for k in BASE], F.sha2(listed("_base"), 256).alias("base_sha256"), listed("_all").alias("spans"))
+    secrets = F.size(F.filter("_all", lambda x: x["kind"] == "secret")).cast("long")
+    return grouped.select("doc_id", *[f"n_{k}" for k in BASE], F.sha2(listed("_base"), 256).alias("base_sha256"), listed("_all").alias("spans"), F.size("_all").cast("long").alias("n_spans"), secrets.alias("n_secret"))
 
 
 QUERIES: dict[str, Callable] = {"op1_pii": op1_pii}

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from veinloom.llm import line_crf, training
 from veinloom.llm.storage import table
+from veinloom.llm.worker_cache import forget
 
 #: Rows of a batch are cut into runs of about so many characters, so that memory is bounded by one text plus this.
 CHUNK_CHARS = 2_000_000
@@ -35,6 +36,7 @@ def score_quality(documents: DataFrame, model: line_crf.Model) -> DataFrame:
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).to_pylist()
             for a, b in in_chunks(texts):

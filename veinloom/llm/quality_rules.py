@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from veinloom.llm import line_crf, training
 from veinloom.llm.quality_classifier import in_chunks
 from veinloom.llm.storage import table
+from veinloom.llm.worker_cache import forget
 
 #: A document is kept if at least this share of its characters lies in content lines.
 MIN_CONTENT = 0.5
@@ -63,6 +64,7 @@ def judge(documents: DataFrame, model: line_crf.Model, min_content: float = MIN_
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).to_pylist()
             for a, b in in_chunks(texts):
@@ -86,6 +88,7 @@ def keep_good(documents: DataFrame, model: line_crf.Model, min_content: float =
     at = documents.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             texts = batch.column(at).to_pylist()
             for a, b in in_chunks(texts):

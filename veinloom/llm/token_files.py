@@ -13,12 +13,16 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from veinloom.llm.bpe import _BYTES, vocabulary
 from veinloom.llm.quality_classifier import in_chunks
 from veinloom.llm.storage import new_path, table
+from veinloom.llm.worker_cache import forget, kept
 
 END_ID = 2
+#: Files of a group whose sizes are summed together; one task sees the groups' sums, a thousandth of the number of files.
+GROUP = 1_000
 #: Pieces that a worker remembers; the store is emptied when it is full, so memory is bounded.
 MAX_PIECES = 450_000
 MAX_WORDS = 250_000
@@ -131,9 +135,6 @@ class PieceEncoder:
         return [self.encode(x) for x in texts]
 
 
-_ENCODERS: dict[str, PieceEncoder] = {}
-
-
 def write_tokens(documents: DataFrame, vocab_path: str, path: str, end_id: int = END_ID) -> None:
     """Writes ORC files under path: one row a document, in ascending order of doc_id over the files and within them.
 
@@ -146,9 +147,7 @@ def write_tokens(documents: DataFrame, vocab_path: str, path: str, end_id: int =
     ordered = jdocs.repartitionByRange("doc_id", "_h").sortWithinPartitions("doc_id", "_h").select("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if vocab_path not in _ENCODERS:
-            _ENCODERS[vocab_path] = PieceEncoder(vocab_path)
-        encoder = _ENCODERS[vocab_path]
+        encoder = kept(("pieces", vocab_path), lambda: PieceEncoder(vocab_path))
         shard, at = TaskContext.get().partitionId(), 0
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1).to_pylist()
@@ -169,9 +168,13 @@ def read_tokens(spark: SparkSession, path: str, doc_ids: list[int] | None = None
     """The rows of such files with each document's start among all ids. With doc_ids only these documents are read:
     the filter reaches the files, where stripes and row groups go by their ranges and Bloom filters."""
     rows = spark.read.schema(SCHEMA).orc(path)
-    # One row for each file: bounded by the number of files, so one task and a broadcast can hold them.
-    totals = rows.groupBy("shard").agg(F.sum("n_tokens").alias("_n"))
-    before = totals.alias("a").join(F.broadcast(totals.alias("b")), F.col("b.shard") < F.col("a.shard"), "left").groupBy(F.col("a.shard").alias("shard")).agg(F.coalesce(F.sum("b._n"), F.lit(0)).alias("_before"))
+    # One row of 12 bytes for each file, of which 100 TB have some hundred thousand, so it may be broadcast: a running sum
+    # over groups of files, then one over the groups' sums.
+    totals = rows.groupBy("shard").agg(F.sum("n_tokens").alias("_n")).withColumn("_g", F.floor(F.col("shard") / GROUP))
+    within = F.coalesce(F.sum("_n").over(Window.partitionBy("_g").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    groups = totals.groupBy("_g").agg(F.sum("_n").alias("_all"))
+    ahead = F.coalesce(F.sum("_all").over(Window.orderBy("_g").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    before = totals.withColumn("_within", within).join(groups.select("_g", ahead.alias("_ahead")), "_g").select("shard", (F.col("_within") + F.col("_ahead")).alias("_before"))
     chosen = rows if doc_ids is None else rows.where(F.col("doc_id").isin(list(doc_ids)))
     return chosen.join(F.broadcast(before), "shard").select("doc_id", (F.col("_before") + F.col("local_start")).alias("start"), "ids")
 
@@ -180,7 +183,7 @@ def digests(tokens: DataFrame) -> DataFrame:
     """n_tokens and the CRC-32 of each document's ids, computed from the ids that were read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _ENCODERS.clear()  # a worker that reads has no use for what it remembered when it wrote
+        forget()  # a worker that reads has no use for what it remembered when it wrote
         for batch in batches:
             lists = batch.column(2)
             flat = memoryview(lists.flatten().to_numpy(zero_copy_only=False).astype("<i4", copy=False)).cast("B")
@@ -193,6 +196,7 @@ def digests(tokens: DataFrame) -> DataFrame:
 
 
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each row of documents, from the files; see write_tokens for nulls, repeated ids and empty texts."""
     path = new_path(spark, "tokens")
     write_tokens(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), path)
     return digests(read_tokens(spark, path))

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from veinloom.llm.jaccard_join import identified
 from veinloom.llm.quality_classifier import in_chunks
 from veinloom.llm.storage import Scratch, table, written
+from veinloom.llm.worker_cache import forget
 
 #: A repeated passage of fewer words stays.
 MIN_WORDS = 50
@@ -67,6 +68,7 @@ def unit_rows(documents: DataFrame) -> DataFrame:
     it ends, and its digest of 128 bits. Rows without an id have none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             ids, hashes, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()
             for a, b in in_chunks(texts, 1_000_000):
@@ -172,6 +174,7 @@ def passages(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         repeated = later.groupBy("doc_id", "h").agg(F.collect_set(F.struct("seq", "start", "end", "n", "before", "behind", "a")).alias("units"))  # bounded by a text
 
         def cores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            forget()
             for batch in batches:
                 found = [cores_of(u, min_words) for u in batch.column(2).to_pylist()]
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(_CORE))], names=["doc_id", "h", "cores"])
@@ -183,6 +186,7 @@ def passages(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         listed = spans.groupBy("doc_id", "h").agg(F.collect_set(F.struct("start", "end")).alias("spans"))  # bounded by a text
 
         def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            forget()
             for batch in batches:
                 out = [[{"start": s, "end": e} for s, e in merged([(x["start"], x["end"]) for x in r])] for r in batch.column(2).to_pylist()]
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, _SPANS)], names=["doc_id", "h", "spans"])
@@ -206,6 +210,7 @@ def _grown_cores(documents: DataFrame, cores: DataFrame, min_words: int) -> Data
     pairs = piece.groupBy(*own).agg(side("l", True).alias("l"), side("r", True).alias("r"), side("l", False).alias("al"), side("r", False).alias("ar"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             columns = [c.to_pylist() for c in batch.columns]
             out = [(d, h, s, e) for d, h, (s, e, n) in ((d, h, grown(s, e, n, l or "", r or "", al or "", ar or "")) for _, d, h, s, e, n, l, r, al, ar in zip(*columns)) if n >= min_words]
@@ -230,6 +235,7 @@ def dedup_passages(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFram
     at, last = documents.columns.index("text"), len(documents.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             new = [without(x, [(s["start"], s["end"]) for s in r]) if r else x for x, r in zip(batch.column(at).to_pylist(), batch.column(last).to_pylist())]
             columns = [batch.column(i) for i in range(last)]
