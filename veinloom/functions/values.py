@@ -68,6 +68,18 @@ def has_key(schema: T.DataType, name: str) -> bool:
     return False
 
 
+def key_path(schema: T.DataType, name: str) -> str | None:
+    """Where a key stands in a schema, with points between; the first such place, None if there is none."""
+    if isinstance(schema, T.ArrayType):
+        return key_path(schema.elementType, name)
+    for f in schema.fields if isinstance(schema, T.StructType) else ():
+        if f.name == name:
+            return name
+        if deeper := key_path(f.dataType, name):
+            return f"{f.name}.{deeper}"
+    return None
+
+
 def confidence(score: Column) -> Column:
     return F.when(score >= 0.9, "HIGH").otherwise("MEDIUM")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veinloom.operators.lineage import checkpointed
@@ -176,3 +176,22 @@ def modularity(edges: DataFrame, parts: DataFrame) -> DataFrame:
     inside = named.where("ca = cb").agg(F.coalesce(F.sum("weight"), F.lit(0)).cast("double").alias("inside"))
     spread = named.groupBy("ca").agg(F.sum("weight").cast("double").alias("d")).agg(F.sum(F.col("d") * F.col("d")).alias("squares"))
     return two_m.crossJoin(inside).crossJoin(spread).select((F.col("inside") / F.col("two_m") - F.col("squares") / F.col("two_m") / F.col("two_m")).alias("modularity"))
+
+
+def detach_delete(nodes: DataFrame, edges: DataFrame, key: str, src: str, dst: str, gone: Column) -> tuple[DataFrame, DataFrame]:
+    """Nodes without those for which `gone` holds, and edges without those that end in one of them."""
+    out = nodes.where(gone).select(F.col(key).alias("_gone")).distinct()
+    left = nodes.where(~F.coalesce(gone, F.lit(False)))
+    kept = edges.join(out, F.col(src) == F.col("_gone"), "left_anti").join(out, F.col(dst) == F.col("_gone"), "left_anti")
+    return left, kept
+
+
+def describe(tables: dict[str, DataFrame]) -> DataFrame:
+    """label, property, type and how many nodes have the property, of each node table; one pass over each."""
+    out = None
+    for label, df in tables.items():
+        counted = df.agg(*[F.count(c).alias(c) for c in df.columns])
+        rows = F.array(*[F.struct(F.lit(label).alias("label"), F.lit(f.name).alias("property"), F.lit(f.dataType.simpleString()).alias("type"), F.col(f.name).alias("n")) for f in df.schema.fields])
+        one = counted.select(F.explode(rows).alias("r")).select("r.*")
+        out = one if out is None else out.unionByName(one)
+    return out

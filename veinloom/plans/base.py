@@ -18,6 +18,8 @@ def query(sql: str | None = None, *more: str):
 
         run.__doc__ = f.__doc__
         for name in (f.__name__, *more):
+            if name in QUERIES:
+                raise ValueError(f"two queries are called {name}")
             QUERIES[name] = run
             if sql:
                 ORACLES[name] = sql

@@ -227,14 +227,6 @@ def dom_drug_map(t):
     return t("part").withColumn("w", F.split("p_name", " ")[0]).join(exact, "p_name", "left").join(words, "w", "left").select("p_partkey", F.coalesce("a", "b").alias("how"))
 
 
-@query("SELECT c_custkey, coalesce(n_name, '') AS country, coalesce(r_name, '') AS area FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey AND n_nationkey % 2 = 0 LEFT JOIN region ON r_regionkey = n_regionkey")
-def dom_researcher_address(t):
-    """An address key resolved to country and area by lookups; what is unknown is empty."""
-    places = t("nation").where("n_nationkey % 2 = 0").join(t("region"), F.col("r_regionkey") == F.col("n_regionkey"))
-    rows = t("customer").join(places, F.col("n_nationkey") == F.col("c_nationkey"), "left")
-    return rows.select("c_custkey", F.coalesce("n_name", F.lit("")).alias("country"), F.coalesce("r_name", F.lit("")).alias("area"))
-
-
 _NEWS = "SELECT o_custkey AS topic, 'orders' AS kind, CAST(o_orderdate AS DATE) AS d FROM orders UNION ALL SELECT o_custkey, 'lines', CAST(l_shipdate AS DATE) FROM lineitem JOIN orders ON o_orderkey = l_orderkey"
 
 
@@ -287,7 +279,10 @@ def _files(name: str, sql: str, *more: str):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             return f(spark, lambda n: spark.read.parquet(f"{sf_dir}/{n}.parquet"))
 
+        run.__doc__ = f.__doc__
         for n in (name, *more):
+            if n in QUERIES:
+                raise ValueError(f"two queries are called {n}")
             QUERIES[n], ORACLES[n] = run, sql
         return f
 
@@ -309,7 +304,7 @@ def _zip(spark, t):
     return R.read_zipped_json(spark, path + "/*.zip", "results").select(record).select("r.*")
 
 
-@_files("scan_csv_delim", "SELECT s_suppkey, s_name FROM supplier UNION ALL SELECT s_suppkey, s_name FROM supplier WHERE s_suppkey < 5", "sink_append", "scan_csv_badlines")
+@_files("scan_csv_delim", "SELECT s_suppkey, s_name FROM supplier UNION ALL SELECT s_suppkey, s_name FROM supplier WHERE s_suppkey < 5", "sink_append")
 def _pipes(spark, t):
     path, rows = _scratch(spark, "pipe"), t("supplier").select(F.col("s_suppkey").cast("string").alias("s_suppkey"), "s_name")
     R.write_delimited(rows, path, separator="pipe")
@@ -318,23 +313,6 @@ def _pipes(spark, t):
     return R.read_delimited(spark, path, "s_suppkey long, s_name string", separator="pipe", drop_bad_lines=True).where("s_suppkey is not null")
 
 
-@_files("scan_csv_encoding", "SELECT doc_id, lang FROM documents WHERE lang = 'fr'")
-def _latin(spark, t):
-    path = _scratch(spark, "latin")
-    t("documents").where("lang = 'fr'").select("doc_id", "lang").write.option("header", True).option("encoding", "ISO-8859-1").csv(path)
-    return R.read_delimited(spark, path, "doc_id long, lang string", encoding="ISO-8859-1")
-
-
-@_files("scan_multi_file", "SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS n FROM orders GROUP BY 1", "scan_graph_csv")
-def _years(spark, t):
-    """Files by year are read as one, with the year from the path."""
-    path = _scratch(spark, "years")
-    R.write_delimited(t("orders").select("o_orderkey", F.year("o_orderdate").alias("y")), path, by="y")
-    rows = spark.read.schema("o_orderkey long").option("header", True).csv(f"{path}/y=*/*.csv")
-    year = F.regexp_extract(F.col("_metadata.file_path"), r"y=(\d{4})", 1).cast("int")
-    return rows.select(year.alias("year")).groupBy("year").agg(F.count(F.lit(1)).alias("n"))
-
-
 @_files("sink_json_records", "SELECT l_orderkey, l_partkey, count(*) AS n FROM lineitem GROUP BY 1, 2")
 def _json(spark, t):
     edges = t("lineitem").groupBy("l_orderkey", "l_partkey").agg(F.count(F.lit(1)).alias("n"))

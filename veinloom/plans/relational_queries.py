@@ -21,7 +21,7 @@ def agg_count_zero_default(t):
     return G.neighbour_counts(t("part"), "p_partkey", edges, "l_partkey", "o_orderkey", "n_orders")
 
 
-@query("SELECT o_custkey, count(*) AS n FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1996-06-30' GROUP BY o_custkey", "filter_date_list", "scan_graph")
+@query("SELECT o_custkey, count(*) AS n FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1996-06-30' GROUP BY o_custkey", "filter_date_list")
 def agg_count(t):
     return t("orders").where(day("o_orderdate").between("1996-01-01", "1996-06-30")).groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
 
@@ -125,7 +125,7 @@ def agg_weighted_sum(t):
 _PAIRS = "SELECT x.l_suppkey AS a, y.l_suppkey AS b, count(*) AS weight FROM (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem) x JOIN (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem) y ON x.l_orderkey = y.l_orderkey AND x.l_suppkey < y.l_suppkey GROUP BY 1, 2"
 
 
-@query(f"SELECT a, b, weight % 1000 AS weight FROM ({_PAIRS})", "agg_edge_multiplicity", "graph_undirected_dedupe", "dom_coauthor_network", "num_modulo")
+@query(f"SELECT a, b, weight % 1000 AS weight FROM ({_PAIRS})", "agg_edge_multiplicity", "graph_undirected_dedupe", "num_modulo")
 def join_self_coparticipation(t):
     """Pairs of suppliers and the orders they share; each pair once, smaller key first."""
     return J.co_participation(t("lineitem"), "l_orderkey", "l_suppkey").withColumn("weight", F.col("weight") % 1000)
@@ -194,7 +194,7 @@ def filter_isin(t):
     return t("customer").join(t("nation").where("n_regionkey = 1"), F.col("c_nationkey") == F.col("n_nationkey"), "left_semi").select("c_custkey", "c_name")
 
 
-@query("SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)", "join_anti", "filter_not_exists_edge", "set_except", "resume_scan")
+@query("SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)", "join_anti", "filter_not_exists_edge", "set_except")
 def filter_not_in(t):
     return t("orders").join(t("lineitem"), F.col("o_orderkey") == F.col("l_orderkey"), "left_anti").select("o_orderkey")
 
@@ -257,7 +257,7 @@ def join_outer_indicator(t):
 _RECOMPUTED = "SELECT l_orderkey AS o_orderkey, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS price FROM lineitem GROUP BY 1"
 
 
-@query(f"SELECT o_orderkey, CAST(CASE WHEN price IS NOT NULL THEN price ELSE CAST(o_totalprice AS DECIMAL(18,2)) END AS DOUBLE) AS price FROM (SELECT o_orderkey, o_totalprice FROM orders) LEFT JOIN ({_RECOMPUTED}) USING (o_orderkey)", "sink_set_props")
+@query(f"SELECT o_orderkey, CAST(CASE WHEN price IS NOT NULL THEN price ELSE CAST(o_totalprice AS DECIMAL(18,2)) END AS DOUBLE) AS price FROM (SELECT o_orderkey, o_totalprice FROM orders) LEFT JOIN ({_RECOMPUTED}) USING (o_orderkey)")
 def join_overwrite(t):
     orders = t("orders").select("o_orderkey", money("o_totalprice").cast("decimal(38,2)").alias("price"))
     news = t("lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.sum(money("l_extendedprice")).cast("decimal(38,2)").alias("price"))
@@ -291,7 +291,7 @@ def join_cross(t):
     return t("region").select("r_name", F.explode(F.array(*[F.lit(c) for c in (10, 20, 30)])).alias("cutoff"))
 
 
-@query("SELECT o_orderkey, o_custkey, l_partkey FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN customer ON c_custkey = o_custkey GROUP BY 1, 2, 3", "graph_merge_edge", "sink_edge_batch")
+@query("SELECT o_orderkey, o_custkey, l_partkey FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN customer ON c_custkey = o_custkey GROUP BY 1, 2, 3", "graph_merge_edge")
 def join_graph_pattern(t):
     """Edges between nodes that exist, each once."""
     edges = t("lineitem").select("l_orderkey", "l_partkey").join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey")).select("o_orderkey", "o_custkey", "l_partkey")
@@ -314,14 +314,15 @@ def win_head_tail(t):
     return rows.groupBy("o_custkey").agg(F.count(F.when(F.col("position") == 1, 1)).alias("kept"), F.count(F.when(F.col("position") > 1, 1)).alias("merged"))
 
 
-@query("SELECT o_orderkey, 'PRJ-' || CASE WHEN n < 100000 THEN lpad(CAST(n AS VARCHAR), 5, '0') ELSE CAST(n AS VARCHAR) END AS key FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS n FROM orders)")
+@query("SELECT o_orderkey, o_custkey, o_orderstatus, 'PRJ-' || CASE WHEN n < 100000 THEN lpad(CAST(n AS VARCHAR), 5, '0') ELSE CAST(n AS VARCHAR) END AS key FROM (SELECT *, row_number() OVER (ORDER BY o_orderkey) - 1 AS n FROM orders)")
 def win_surrogate_key(t):
-    return W.surrogate_keys(t("orders").select("o_orderkey"), ["o_orderkey"], "PRJ-")
+    """Keys by number for whole rows."""
+    return W.surrogate_keys(t("orders").select("o_orderkey", "o_custkey", "o_orderstatus"), ["o_orderkey"], "PRJ-")
 
 
-@query("SELECT o_orderkey, CAST(floor((row_number() OVER (ORDER BY o_orderkey) - 1) / 1000) AS BIGINT) AS batch FROM orders")
+@query("SELECT o_orderkey, o_orderstatus, CAST(floor((row_number() OVER (ORDER BY o_orderkey) - 1) / 1000) AS BIGINT) AS batch FROM orders")
 def batch_ids(t):
-    return W.batches(t("orders").select("o_orderkey"), ["o_orderkey"], 1000)
+    return W.batches(t("orders").select("o_orderkey", "o_orderstatus"), ["o_orderkey"], 1000)
 
 
 @query("SELECT l_partkey, l_suppkey FROM (SELECT l_partkey, l_suppkey, row_number() OVER (PARTITION BY l_partkey ORDER BY l_extendedprice DESC, l_suppkey, l_orderkey) AS r FROM lineitem) WHERE r = 1")
@@ -368,7 +369,7 @@ def _old_new(t):
     return old, new
 
 
-@query(f"SELECT k, coalesce(n.name, o.name) AS name, coalesce(n.seg, o.seg) AS seg FROM ({_OLD}) o FULL JOIN ({_NEW}) n USING (k)", "sink_upsert")
+@query(f"SELECT k, coalesce(n.name, o.name) AS name, coalesce(n.seg, o.seg) AS seg FROM ({_OLD}) o FULL JOIN ({_NEW}) n USING (k)")
 def graph_upsert_coalesce(t):
     return G.upsert(*_old_new(t), "k", "coalesce")
 
@@ -378,7 +379,7 @@ def graph_upsert_overwrite(t):
     return G.upsert(*_old_new(t), "k", "overwrite")
 
 
-@query(f"SELECT * FROM ({_OLD}) UNION ALL SELECT * FROM ({_NEW}) WHERE k NOT IN (SELECT k FROM ({_OLD}))", "sink_node_batch")
+@query(f"SELECT * FROM ({_OLD}) UNION ALL SELECT * FROM ({_NEW}) WHERE k NOT IN (SELECT k FROM ({_OLD}))")
 def graph_merge_node(t):
     return G.merge_nodes(*_old_new(t), "k")
 
@@ -389,11 +390,6 @@ def graph_update_new_flag(t):
     return new.join(old.select("k", F.lit(True).alias("known")), "k", "left").select("k", F.when(F.col("known"), "update").otherwise("create").alias("action"))
 
 
-@query(f"SELECT * FROM ({_OLD}) WHERE k % 9 <> 0", "delete_edges")
-def delete_nodes(t):
-    return _old_new(t)[0].where("k % 9 <> 0")
-
-
 @query("SELECT child, parent FROM (SELECT n_name AS child, r_name AS parent FROM nation JOIN region ON r_regionkey = n_regionkey UNION SELECT r_name, 'WORLD' FROM region)")
 def graph_hierarchy(t):
     """Child to parent edges from rows of (node, parent, child)."""
@@ -402,20 +398,12 @@ def graph_hierarchy(t):
     return G.hierarchy(rows, "node", "parent", "child")
 
 
-@query("SELECT DISTINCT l_orderkey AS src, l_partkey AS dst, l_returnflag AS kind FROM lineitem", "sink_mapping_file")
+@query("SELECT DISTINCT l_orderkey AS src, l_partkey AS dst, l_returnflag AS kind FROM lineitem")
 def dom_mapping_edges(t):
     """Edges whose key has a property: one for each value of it."""
     return G.merge_edges(t("lineitem").select(F.col("l_orderkey").alias("src"), F.col("l_partkey").alias("dst"), F.col("l_returnflag").alias("kind")), "src", "dst", ["kind"])
 
 
-@query("SELECT src, dst FROM (SELECT DISTINCT l_orderkey AS src, l_suppkey AS dst FROM lineitem WHERE l_suppkey >= 20) UNION ALL SELECT o_orderkey, CAST(-1 AS BIGINT) FROM orders WHERE o_orderkey < 100")
-def load_mapping_file(t):
-    """The edges of one kind are replaced: those of the old load go, those of the file come."""
-    old = G.merge_edges(t("lineitem").select(F.col("l_orderkey").alias("src"), F.col("l_suppkey").alias("dst")), "src", "dst")
-    news = t("orders").where("o_orderkey < 100").select(F.col("o_orderkey").alias("src"), F.lit(-1).cast("long").alias("dst"))
-    return old.where("dst >= 20").unionByName(news)
-
-
 def _strong_pairs(t):
     """Pairs of suppliers over all orders whose weight is the mean and one and a half standard deviations or more.
     Suppliers without such a pair are no nodes of the graph."""
@@ -431,8 +419,8 @@ _SPARSE = f"SELECT a, b FROM ({_STRONG}) UNION ALL SELECT b, a FROM ({_STRONG})"
 
 
 @query(f"WITH RECURSIVE e AS ({_SPARSE}), r(node, other) AS (SELECT a, a FROM e UNION SELECT r.node, e.b FROM r JOIN e ON e.a = r.other) SELECT node, min(other) AS component FROM r GROUP BY 1")
-def graph_scc(t):
-    """Connected components; edges are symmetric, so they are the strongly connected ones too."""
+def graph_components(t):
+    """Connected components of an undirected graph."""
     return G.components(_strong_pairs(t).select("a", "b"))
 
 
@@ -451,13 +439,6 @@ def graph_modularity(t):
     return G.modularity(pairs, parts).withColumn("kind", F.lit("communities")).unionByName(G.modularity(pairs, single).withColumn("kind", F.lit("single")))
 
 
-@query("SELECT table_name, n FROM (SELECT 'nation' AS table_name, count(*) AS n FROM nation UNION ALL SELECT 'region', count(*) FROM region)")
-def graph_schema_introspect(t):
-    """Labels of the graph with the number of their nodes."""
-    one = lambda name: t(name).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), "n")
-    return one("nation").unionByName(one("region"))
-
-
 @query("SELECT o_custkey, o_orderkey, count(*) OVER (PARTITION BY o_custkey) AS n FROM orders")
 def win_group_total(t):
     return t("orders").select("o_custkey", "o_orderkey", F.count(F.lit(1)).over(Window.partitionBy("o_custkey")).alias("n"))

@@ -22,9 +22,10 @@ def read_delimited(spark: SparkSession, path: str | list[str], schema: str, sepa
 
 
 def read_years(spark: SparkSession, pattern: str, schema: str, **options) -> DataFrame:
-    """All files of a pattern with the year in their names as a column."""
+    """All files of a pattern with the year in their names as a column; a table's folder counts as its file."""
     rows = read_delimited(spark, pattern, schema, **options)
-    return rows.withColumn("year", F.regexp_extract(F.col("_metadata.file_name"), r"((?:19|20)\d\d)", 1).cast("int"))
+    name = F.regexp_replace(F.col("_metadata.file_path"), "/part-[^/]*$", "")
+    return rows.withColumn("year", F.regexp_extract(name, r"((?:19|20)\d\d)[^/]*$", 1).cast("int"))
 
 
 def read_json(spark: SparkSession, path: str, schema: str, multiline: bool = True) -> DataFrame:
