@@ -1,12 +1,15 @@
 """Operators on small rows with nulls, ties, repeated rows and empty tables."""
 
+import random
 import zipfile
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from veinloom.functions import text as X
 from veinloom.functions import values as V
+from veinloom.functions.label_words import RULES
 from veinloom.functions.stem import stem_word
 from veinloom.operators import graph as G
 from veinloom.operators import joins as J
@@ -86,7 +89,8 @@ def test_text(spark):
     assert one(X.parse_list("x"), "['a', \"b c\"]") == ["a", "b c"]
     assert one(X.parse_list("x"), "nonsense") == []
     assert one(X.parse_list("x"), None) == []
-    assert one(X.sentences("x"), "Dr. Who is 3.5 m. He left? Yes.") == ["Dr. Who is 3.5 m.", "He left?", "Yes."]
+    assert one(X.sentences("x"), "Dr. Who is 3.5 m. He left? Yes! No.") == ["Dr. Who is 3.5 m.", "He left?", "Yes!", "No."]
+    assert one(X.sentences("x", X.SENTENCE_END), "He left! Yes. No.") == ["He left! Yes.", "No."]
     assert one(X.from_sentence_with("x", "aim 1"), "First. Aim 1 is this. Then that.") == "Aim 1 is this. Then that."
     assert one(X.parse_bool("x"), " YES") is True and one(X.parse_bool("x"), "maybe") is None
     assert one(X.similarity("x", F.lit("abce")), "abcd") == 0.75
@@ -102,15 +106,74 @@ def test_values(spark):
     assert v.select(V.cosine(F.col("a"), F.col("a")), V.cosine(F.col("a"), F.col("b"))).first()[:] == (1.0, None)
 
 
-def test_matching_has_the_nested_loop_s_result(spark):
-    texts = ["the renal cancer, cancer", "recancer", "cancer renal", "a-b", None]
-    terms = ["renal cancer", "cancer", "a-b", "b"]
-    t = spark.createDataFrame(list(enumerate(texts)), "row long, text string")
-    got = {(r["row"], r["term"]): r["n"] for r in M.match_terms(t, "text", spark.createDataFrame([(x,) for x in terms], "term string"), "term").collect()}
+@pytest.mark.parametrize("most", [10**9, 0])  # a broadcast dictionary, and one that is too large for that
+def test_matching_has_the_nested_loop_s_result(spark, monkeypatch, most):
     import re
 
-    want = {(i, s): x.count(s) for i, x in enumerate(texts) if x for s in terms if s in x and set(re.findall(r"\w+", s)) <= set(re.findall(r"\w+", x))}
-    assert got == want
+    monkeypatch.setattr(M, "BROADCAST_CHARS", most)
+    texts = ["the Renal cancer, CANCER", "recancer cancerous", "cancer renal", "a-b b b", None, "Cancer of the renal cancer"]
+    terms = ["renal cancer", "Cancer", "a-b", "b"]
+    t = spark.createDataFrame(list(enumerate(texts)), "row long, text string")
+    names = spark.createDataFrame([(x,) for x in terms], "term string")
+    got = {(r["row"], r["term"]): r["n"] for r in M.match_terms(t, ["row"], "text", names, "term", "term").collect()}
+    want = {}
+    for i, x in enumerate(texts):
+        for s in terms:
+            low, tokens = s.lower(), re.findall(r"\w+", (x or "").lower())
+            if x and low in x.lower() and set(re.findall(r"\w+", low)) <= set(tokens):
+                want[i, s] = x.lower().count(low) if " " in low else tokens.count(low)
+    assert got == {k: n for k, n in want.items() if n}
+    both = {(r["row"], r["term"]): r["n"] for r in M.match_variants(t, ["row"], "text", names, "term", "term").collect()}
+    assert both[2, "renal cancer"] == 1 and both[5, "renal cancer"] == 1
+
+
+def test_stems_take_the_place_of_exact_counts(spark):
+    t = spark.createDataFrame([(1, "Renal cancers, and renal cancer."), (2, "nothing")], "row long, text string")
+    names = spark.createDataFrame([("renal cancer",)], "term string")
+    assert rows(M.match_variants(t, ["row"], "text", names, "term", "term", stems=True)) == [(1, "renal cancer", 2)]
+
+
+def test_numbers_of_rows_with_more_columns(spark):
+    n = 100_000
+    d = spark.range(n).select(((F.col("id") * 7919) % n).alias("k"), F.concat(F.lit("row "), "id").alias("text"), F.lit(None).cast("string").alias("empty")).repartition(8)
+    got = W.numbered(d, ["k"]).cache()
+    assert got.where("number <> k").count() == 0 and got.count() == n and got.columns == ["k", "text", "empty", "number"]
+
+
+def test_strong_components(spark):
+    r = random.Random(4)
+    edges = {(r.randrange(60), r.randrange(60)) for _ in range(75)} | {(100, 101), (101, 102), (102, 100), (102, 103)}
+    got = {x["node"]: x["component"] for x in G.strong_components(spark.createDataFrame(list(edges), "a long, b long")).collect()}
+    after = {}
+    for v in {x for e in edges for x in e}:
+        seen, todo = {v}, [v]
+        while todo:
+            x = todo.pop()
+            for a, b in edges:
+                if a == x and b not in seen:
+                    seen.add(b)
+                    todo.append(b)
+        after[v] = seen
+    assert got == {v: min(x for x in seen if v in after[x]) for v, seen in after.items()}
+
+
+def test_co_participation_deals_large_groups(spark, monkeypatch):
+    monkeypatch.setattr(J, "PART", 3)
+    m = [(1, x) for x in range(10)] + [(2, x) for x in range(5, 12)]
+    got = {(r["a"], r["b"]): r["weight"] for r in J.co_participation(spark.createDataFrame(m, "g int, p int"), "g", "p").collect()}
+    want = Counter((a, b) for g in (1, 2) for a in (x for h, x in m if h == g) for b in (x for h, x in m if h == g) if a < b)
+    assert got == dict(want)
+
+
+def test_labels(spark):
+    good = ["ph", "tissue type", "dose %", "age", "Cell-line", "a/b", "RNA", "-start"]
+    bad = ["", "x", "(open", "12.5 - 3", "a/b/c", "www.x", "!!", "end;", "Tg(x)", "AB12 (x)", "ABC123", "a____", "y" * 101, "http x"]
+    d = spark.createDataFrame([(x,) for x in good + bad], "x string")
+    assert {r["x"] for r in d.where(X.meaningful_label("x")).collect()} == set(good)
+    one = lambda v: spark.createDataFrame([(v,)], "label string").select(M.categorize(F.col("label"), RULES).alias("c")).first()["c"]
+    assert one("Patient barcode")[:2] == ("External_sample_id", "MEDIUM") and one("the age")[:2] == ("Biospecimen Age", "HIGH")
+    assert one("stage x")[:2] == ("Biospecimen Age", "MEDIUM") and one("subgroup")[:2] == ("Treatment", "LOW") and one("qqq") is None
+    assert one("strain dose")[:2] == ("Biospecimen Organism", "HIGH") and one("mystrain tissue")[:2] == ("Biospecimen Type", "HIGH")
 
 
 def test_files(spark, tmp_path):

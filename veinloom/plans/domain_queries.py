@@ -13,6 +13,7 @@ from veinloom.operators import joins as J
 from veinloom.operators import matching as M
 from veinloom.operators import windows as W
 from veinloom.operators.lineage import shared_dir
+from veinloom.pipelines import labels as L
 from veinloom.plans.base import ORACLES, QUERIES, day, money, query
 from veinloom.sources import readers as R
 from veinloom.streaming import incremental as I
@@ -250,13 +251,28 @@ def dom_change_detect(t):
 ORACLES["dom_change_detect"] = ORACLES["dom_change_detect"].replace("CAST(s_acctbal AS BIGINT)", "CAST(round_even(s_acctbal, 0) AS BIGINT)")
 
 
-@query(f"SELECT label, count(*) AS n FROM (SELECT trim(regexp_replace(lower(unnest(regexp_extract_all(text, '{_WORDS}'))), '[_-]', ' ', 'g')) AS label FROM documents) WHERE label IN (SELECT lower(unnest(string_split(p_name, ' '))) FROM part) OR regexp_matches(label, '^the') GROUP BY 1")
+_KNOWN_WORDS = "SELECT unnest(string_split(lower(p_name), ' ')) AS word FROM part WHERE p_partkey % 10 < 7 UNION SELECT unnest(string_split('age at patient donor sex tissue cell line mouse dose unknown', ' '))"
+_FORMS = " UNION ALL ".join(["SELECT label, w, w AS form FROM parts", *[f"SELECT label, w, substring(w, 1, length(w) - {len(s)}) FROM parts WHERE w LIKE '%{s}' AND length(w) >= {len(s) + 3}" for s in L.SUFFIXES]])
+
+
+@query(f"WITH known AS MATERIALIZED ({_KNOWN_WORDS}), counted AS MATERIALIZED (SELECT {_LABEL_HEADS}[p_partkey % {len(_LABEL_HEADS)} + 1] || ' ' || p_name AS label, count(*) AS n FROM part GROUP BY 1), parts AS MATERIALIZED (SELECT DISTINCT label, regexp_replace(unnest(regexp_split_to_array(lower(label), '[\\s\\-_/\\.]+')), '[^A-Za-z0-9]', '', 'g') AS w FROM counted), good AS (SELECT label FROM (SELECT label, w, bool_or(form IN (SELECT word FROM known)) AS hit FROM ({_FORMS}) GROUP BY 1, 2) GROUP BY 1 HAVING bool_and(hit)) SELECT label, n, split_part(c, ':', 1) AS category, split_part(c, ':', 2) AS confidence FROM (SELECT label, n, {_categories()} AS c FROM (SELECT label, n, lower(trim(label)) AS x, regexp_split_to_array(lower(trim(label)), '\\s+') AS ws FROM counted JOIN good USING (label))) WHERE c IS NOT NULL")
 def dom_label_pipeline(t):
-    """Labels cleaned, counted, and kept if they are known words or a rule's pattern takes them; the occurrences are
-    grouped before the word list is looked up."""
-    labels = t("documents").select(F.explode(X.tokens("text")).alias("x")).groupBy(X.normalize_label("x").alias("label")).agg(F.count(F.lit(1)).alias("n"))
-    known = t("part").select(F.explode(F.split(F.lower("p_name"), " ")).alias("label")).distinct().withColumn("known", F.lit(True))
-    return labels.join(known, "label", "left").where(F.col("known") | F.col("label").rlike("^the")).select("label", "n")
+    """Labels counted, kept by rules and by known words, and put into categories by keywords, step by step."""
+    tables = {"occurrences": _part_labels_all(t), "words": _known_words(t)}
+    for step in (L.count_labels, L.filter_by_rules, L.filter_by_words, L.categorize_by_keywords):
+        tables |= step(tables)
+    return tables["categorized"]
+
+
+def _part_labels_all(t) -> DataFrame:
+    heads = F.array(*[F.lit(x) for x in _LABEL_HEADS])
+    return t("part").select(F.concat_ws(" ", F.get(heads, (F.col("p_partkey") % len(_LABEL_HEADS)).cast("int")), "p_name").alias("label"))
+
+
+def _known_words(t) -> DataFrame:
+    words = t("part").where("p_partkey % 10 < 7").select(F.explode(F.split(F.lower("p_name"), " ")).alias("word"))
+    heads = F.explode(F.array(*[F.lit(w) for w in "age at patient donor sex tissue cell line mouse dose unknown".split()]))
+    return words.unionByName(t("part").sparkSession.range(1).select(heads.alias("word"))).distinct()
 
 
 @query("SELECT c_custkey AS customer_custkey, c_name AS customer_name FROM customer")

@@ -329,10 +329,22 @@ def scan_html(t):
 
 @query()
 def join_theta_nearest(t):
-    """For each name the most alike one of all other names, the earlier one on ties. A ratio of at least c implies
-    2 * min(lengths) / (sum of lengths) >= c, so other pairs are not compared."""
-    names = t("part").select("p_name").distinct()
-    reference = names.select(F.col("p_name").alias("reference"))
-    alike = 2 * F.least(F.length("p_name"), F.length("reference")) >= 0.6 * (F.length("p_name") + F.length("reference"))
-    pairs = names.join(reference, alike & (F.col("p_name") != F.col("reference"))).withColumn("ratio", F.round(X.similarity("p_name", "reference"), 6)).where("ratio >= 0.6")
-    return W.first_per_key(pairs, ["p_name"], [F.col("ratio").desc(), F.col("reference")])
+    """For each name the most alike one of all other names, the earlier one on ties.
+
+    A ratio of at least c implies 2 * min(lengths) >= c * (sum of lengths), so names are joined on the lengths that a
+    partner may have; and twice the letters in common, whatever their order, must reach c * (sum of lengths) before the
+    ratio is worked out."""
+    least = 0.6
+    letters = F.array(*[F.lit(x) for x in "abcdefghijklmnopqrstuvwxyz "])
+    counts = F.transform(letters, lambda x: F.length("p_name") - F.length(F.replace(F.col("p_name"), x, F.lit(""))))
+    names = t("part").select("p_name").distinct().withColumn("n", F.length("p_name")).withColumn("counts", counts)
+    reach = F.sequence(F.ceil(F.col("n") * least / (2 - least)).cast("int"), F.floor(F.col("n") * (2 - least) / least).cast("int"))
+    wanted = names.where("n > 0").withColumn("m", F.explode(reach))
+    reference = names.select(F.col("p_name").alias("reference"), F.col("n").alias("m"), F.col("counts").alias("counts2"))
+    add = lambda xs: F.aggregate(xs, F.lit(0), lambda a, x: a + x)
+    # Letters beyond the list count as if all of them were in common.
+    other = F.least(F.col("n") - add("counts"), F.col("m") - add("counts2"))
+    common = add(F.zip_with("counts", "counts2", lambda a, b: F.least(a, b))) + other
+    pairs = wanted.join(reference, "m").where((F.col("p_name") != F.col("reference")) & (2 * common >= least * (F.col("n") + F.col("m"))))
+    scored = pairs.withColumn("ratio", F.round(X.similarity("p_name", "reference"), 6)).where(F.col("ratio") >= least)
+    return W.first_per_key(scored.select("p_name", "reference", "ratio"), ["p_name"], [F.col("ratio").desc(), F.col("reference")])
