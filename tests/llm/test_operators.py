@@ -107,10 +107,10 @@ def test_em_tells_labelers_apart():
     assert p["email", (1, 1, -1, 1, -1)] > 0.9 > 0.1 > p["email", (-1, -1, 1, -1, 1)]
 
 
-def test_line_dedup(spark, docs):
-    rows = got(line_dedup.removed_lines(docs))
+def brute_lines(texts):
+    """texts: (sort key, text) -> the numbers of the lines that go, all pairs of lines compared."""
     occurrences = defaultdict(list)
-    for k, t in TEXTS.items():
+    for k, t in texts.items():
         for i, line in enumerate((t or "").split("\n")):
             if n := line_dedup.normal(line):
                 occurrences[n].append((k, i))
@@ -125,15 +125,21 @@ def test_line_dedup(spark, docs):
 
     for i in range(len(lines)):
         for j in range(i):
-            if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+            if 80 * max(len(sets[i]), len(sets[j])) <= 100 * min(len(sets[i]), len(sets[j])) and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
                 root[find(i)] = find(j)
     groups = defaultdict(list)
     for i, x in enumerate(lines):
         groups[find(i)] += occurrences[x]
-    gone = defaultdict(list)
+    gone = defaultdict(set)
     for g in groups.values():
         for k, i in sorted(g)[1:]:
-            gone[k].append(i)
+            gone[k].add(i)
+    return gone
+
+
+def test_line_dedup(spark, docs):
+    rows = got(line_dedup.removed_lines(docs))
+    gone = brute_lines(TEXTS)
     assert {k: r["removed"] for k, r in rows.items() if r["removed"]} == {k: sorted(v) for k, v in gone.items()}
     kept = got(line_dedup.dedup_lines(docs))
     assert kept[0]["text"] is None and kept[10]["text"] == "" and kept[20]["text"] == BASE[0] and kept[0]["keys"] == "k"
@@ -487,3 +493,70 @@ def test_line_dedup_recall_at_the_threshold(spark):
     df = spark.createDataFrame([(1, "\n".join(x for x, _ in lines)), (2, "\n".join(y for _, y in lines))], "doc_id long, text string")
     rows = got(line_dedup.removed_lines(df))
     assert not rows[1]["removed"] and len(rows[2]["removed"]) >= 0.97 * len(lines)
+
+
+def brute_hits(text, windows):
+    """Numbers of the words of a text that lie in windows, and the words' places."""
+    places = [m.span() for m in re.finditer("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", text)]
+    low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    w = [text[a:b].translate(low) for a, b in places]
+    return sorted({j for n in set(map(len, windows)) for i in range(len(w) - n + 1) if tuple(w[i : i + n]) in windows for j in range(i, i + n)}), places
+
+
+def test_pipeline_equals_brute_force(spark, tmp_path):
+    """All five stages on rows with nulls, empty and repeated ones, several texts under one id and clashing columns."""
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline
+
+    good = {200 + i: "\n".join(prose(r, 3000 + 10 * i + r) for r in (40, 30, 25)) for i in range(30)}
+    bad = {300 + i: "\n".join(["|".join(["BUY!!"] * 30)] * 3) for i in range(30)}
+    test = " ".join(prose(40, 9000).split(" ")[5:20])
+    rows = [*TEXTS.items(), *good.items(), *bad.items()]
+    rows += [(400, good[200]), (401, near(good[201], 2, 1)), (402, good[202] + "\n" + good[203].split("\n")[0]), (403, prose(60, 9100) + " " + test + " " + prose(30, 9101))]
+    rows += [(404, prose(70, 9200)), (404, prose(80, 9201)), (404, prose(80, 9201)), (None, prose(60, 9300)), (None, prose(60, 9300)), (None, None), (405, near(prose(80, 9201), 3, 5))]
+    extra = ("en", "s", 1, 5, "x", 3, "k", "t")
+    folder = f"file://{tmp_path}"
+    documents = spark.createDataFrame([(k, t, *extra) for k, t in rows], SCHEMA)
+    documents.write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(k, int(k in good)) for k in [*good, *bad]] + [(None, 1), (200, None)], "doc_id long, quality int").write.parquet(f"{folder}/labels.parquet")
+    items = [("a", test), (None, "x y"), ("b", None)]
+    spark.createDataFrame(items, "item_id string, text string").write.parquet(f"{folder}/benchmark.parquet")
+    found = Counter((r["doc_id"], r["n_tokens"], r["ids_sha256"]) for r in corpus_pipeline.run(spark, folder).collect())
+
+    model = training.fit_quality(documents, spark.read.parquet(f"{folder}/labels.parquet"))
+    share = lambda t: line_crf.content_shares(model, [line_crf.split_lines(t)])[0][0]
+
+    def good_enough(t):
+        words = re.findall(r"[^\x20\x09-\x0D]+", t or "")
+        windows = Counter(zip(words, words[1:], words[2:]))
+        hit = {j for i in range(len(words) - 2) if windows[tuple(words[i : i + 3])] > 1 for j in range(i, i + 3)}
+        return len(words) >= 50 and 100 * len(hit) <= 50 * len(words) and share(t) >= 0.5
+
+    left = [(k, t) for k, t in rows if good_enough(t)]
+    h = {t: x for t, x in spark.createDataFrame([(t,) for t in {t for _, t in left}], "t string").select("t", F.xxhash64("t")).collect()}
+    gone = brute_lines({(k, h[t]): t for k, t in left if k is not None})
+    left = [(k, "\n".join(x for i, x in enumerate(t.split("\n")) if k is None or i not in gone[k, h[t]])) for k, t in left]
+    numbered = {(k, t): n for n, (k, t) in enumerate(sorted({(k, t) for k, t in left if k is not None}))}
+    component = brute_components({n: t for (_, t), n in numbered.items()}, 5, 80)
+    least = defaultdict(lambda: 10**9)
+    for (k, t), n in numbered.items():
+        least[component[n][1]] = min(least[component[n][1]], k)
+    left = [(k, t) for k, t in left if k is None or k == least[component[numbered[k, t]][1]] or not t.split()]
+    words = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
+    windows = set()
+    for _, t in items:
+        w = [x.lower() for x in words.findall(t or "")]
+        windows |= {tuple(w[i : i + 10]) for i in range(max(1, len(w) - 9))} if w else set()
+    tokenizer = Tokenizer.from_file(bpe.vocabulary("word_bpe_49k.json"))
+    want = Counter()
+    for k, t in left:
+        hit, places = brute_hits(t, windows)
+        runs = [(a, b) for a, b in zip([j for j in hit if j - 1 not in hit], [j for j in hit if j + 1 not in hit])]
+        for a, b in reversed(runs):
+            t = t[: places[a][0]] + t[places[b][1] :]
+        ids = tokenizer.encode(t, add_special_tokens=False).ids
+        want[k, len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()] += 1
+    assert found == want
+    kept = {k for k, *_ in found}
+    assert {403, 404, None} <= kept and not kept & set(bad)

@@ -47,6 +47,8 @@ def score_quality(documents: DataFrame, model: line_crf.Model) -> DataFrame:
 
 
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each row of documents; see score_quality for nulls, empty texts and repeated rows, and fit_quality for
+    what is learnt from. A null id is in no test fold."""
     documents = table(spark, sf_dir, "documents")
     model = training.fit_quality(documents, table(spark, sf_dir, "labels"))
     return score_quality(documents, model).select("doc_id", F.coalesce(training.held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_lines")

@@ -104,6 +104,7 @@ def keep_good(documents: DataFrame, model: line_crf.Model, min_content: float =
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each row of documents; see judge for nulls, empty texts and repeated rows."""
     documents = table(spark, sf_dir, "documents")
     return judge(documents, training.fit_quality(documents, table(spark, sf_dir, "labels"))).drop("states")
 

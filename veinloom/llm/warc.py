@@ -152,6 +152,7 @@ def read_records(index: DataFrame, folder: str, with_payload: bool = True) -> Da
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each row of pages, from the archives; see write_archives for nulls, repeated ids and empty payloads."""
     folder = new_path(spark, "warc")
     index = write_archives(table(spark, sf_dir, "pages"), folder)
     return read_records(index, folder, with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
