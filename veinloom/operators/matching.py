@@ -158,9 +158,41 @@ def merge_annotations(rows: DataFrame, keys: list[str], place: str) -> DataFrame
     return rows.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_set(order(F.col(place)))), lambda x: F.substring(x, F.lit(2), F.length(x))).alias(f"{place}s"))
 
 
-def rank_targets(texts: DataFrame, text: str, first: list[str], second: list[str]) -> DataFrame:
-    """Pairs of aliases that share a sentence, by the number of texts in which they do; `texts` has a unique `row`."""
-    sentences = texts.select("row", F.explode(X.sentences(text)).alias("s"))
-    pairs = [F.when(F.col("s").contains(a) & F.col("s").contains(b), F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"))) for a in first for b in second]
-    met = sentences.select("row", F.explode(F.filter(F.array(*pairs), lambda p: p.isNotNull())).alias("p"))
-    return met.groupBy("p.a", "p.b").agg(F.countDistinct("row").alias("texts")).orderBy(F.col("texts").desc(), "a", "b")
+def rank_targets(texts: DataFrame, key: str, text: str, first: DataFrame, second: DataFrame, also: DataFrame | None = None) -> DataFrame:
+    """Pairs of entities that share a sentence, by the number of texts in which they do, and with `also` in how many of
+    these a third entity is named anywhere.
+
+    first, second and also are tables of (entity, alias); an alias is found as match_terms finds terms."""
+    sentences = texts.select(key, F.posexplode(X.sentences(text)).alias("_s", "_sentence"))
+    places = [key, "_s"]
+    a = match_terms(sentences, places, "_sentence", first, *first.columns).toDF(*places, "a", "_na")
+    b = match_terms(sentences, places, "_sentence", second, *second.columns).toDF(*places, "b", "_nb")
+    pairs = a.join(b, places).select(key, "a", "b").distinct()
+    if also is None:
+        return pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("texts")).orderBy(F.col("texts").desc(), "a", "b")
+    named = match_terms(texts, [key], text, also, *also.columns).select(key).distinct().withColumn("_also", F.lit(1))
+    counted = pairs.join(named, key, "left").groupBy("a", "b").agg(F.count(F.lit(1)).alias("texts"), F.count("_also").alias("with_also"))
+    return counted.orderBy(F.col("texts").desc(), "a", "b")
+
+
+def cluster_profiles(members: DataFrame, cluster: str, item: str, text: str, top: int) -> DataFrame:
+    """cluster, size, text (its members' texts in order of the item) and its `top` most frequent words, ties by the word.
+    Words are counted by partial aggregation, before a cluster's are put in order."""
+    sizes = members.groupBy(cluster).agg(F.count(F.lit(1)).alias("size"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(item, text))), lambda x: x[text]), " ").alias("text"))
+    words = members.select(cluster, F.explode(X.tokens(F.lower(text))).alias("_w")).groupBy(cluster, "_w").agg(F.count(F.lit(1)).alias("_n"))
+    best = words.withColumn("_r", F.row_number().over(Window.partitionBy(cluster).orderBy(F.col("_n").desc(), "_w"))).where(F.col("_r") <= top)
+    terms = best.groupBy(cluster).agg(F.transform(F.array_sort(F.collect_list(F.struct("_r", "_w"))), lambda x: x["_w"]).alias("terms"))
+    return sizes.join(terms, cluster, "left").select(cluster, "size", "text", "terms")
+
+
+def map_names(rows: DataFrame, key: str, name: str, dictionary: DataFrame, entity: str, term: str) -> DataFrame:
+    """key, entity, how (exact or span) and the matched term: entities whose term is the name, in lower case, else those
+    of the longest terms inside it."""
+    low = rows.select(key, F.lower(F.trim(name)).alias("_low"))
+    exact = low.join(dictionary.select(F.col(entity), F.lower(term).alias("_low")).distinct(), "_low").select(key, entity, F.lit("exact").alias("how"), F.col("_low").alias("term"))
+    left = low.join(exact.select(key).distinct(), key, "left_anti")
+    every = dictionary.select(F.col(entity), F.lower(term).alias("_term")).distinct()
+    inside = match_terms(left, [key], "_low", every.select("_term", F.col("_term").alias("_t")), "_term", "_t").select(key, "_term")
+    longest = inside.withColumn("_m", F.max(F.length("_term")).over(Window.partitionBy(key))).where(F.length("_term") == F.col("_m"))
+    spans = longest.join(every, "_term").select(key, entity, F.lit("span").alias("how"), F.col("_term").alias("term"))
+    return exact.unionByName(spans)

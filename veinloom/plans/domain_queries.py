@@ -207,9 +207,40 @@ def dom_sentence_roles(t):
     return t("documents").select("doc_id", M.sentence_roles(F.col("text")).alias("r")).select("doc_id", "r.*")
 
 
-@query()
+#: Aliases of three kinds of entities: the longer words of the benchmark, by their lengths.
+_ALIASES = f"SELECT DISTINCT 'e' || CAST(length(w) % 4 AS VARCHAR) AS entity, w AS alias, length(w) % 3 AS kind FROM (SELECT unnest(regexp_extract_all(lower(text), '{_WORDS}')) AS w FROM benchmark) WHERE length(w) > 5"
+_NOTED = f"SELECT doc_id, place, s FROM (SELECT doc_id, l, unnest(range(len(l))) AS place, l[place + 1] AS s FROM (SELECT doc_id, list_filter(string_split({_ENDS}, chr(57344)), lambda z: trim(z, ' ') <> '') AS l FROM documents))"
+
+
+def _named(kind: int, keys: str, texts: str) -> str:
+    return _matches(texts, keys, f"SELECT entity AS term, alias AS v FROM ({_ALIASES}) WHERE kind = {kind}")
+
+
+@query(f"WITH p AS (SELECT DISTINCT a.doc_id, a.term AS a, b.term AS b FROM ({_named(0, 'doc_id, place', _NOTED)}) a JOIN ({_named(1, 'doc_id, place', _NOTED)}) b USING (doc_id, place)), g AS (SELECT DISTINCT doc_id, 1 AS g FROM ({_named(2, 'doc_id', 'SELECT doc_id, text AS s FROM documents')})) SELECT a, b, count(*) AS texts, count(g) AS with_also FROM p LEFT JOIN g USING (doc_id) GROUP BY 1, 2")
 def dom_target_rank(t):
-    return M.rank_targets(t("documents").select(F.col("doc_id").alias("row"), "text"), "text", ["the", "of"], ["and", "tion"])
+    """Pairs of entities of two kinds that share a sentence, with the number of texts, and of those that name a third."""
+    words = t("benchmark").select(F.explode(X.tokens(F.lower("text"))).alias("w")).where(F.length("w") > 5).distinct()
+    aliases = words.select(F.concat(F.lit("e"), F.length("w") % 4).alias("entity"), F.col("w").alias("alias"), (F.length("w") % 3).alias("kind"))
+    of = lambda k: aliases.where(F.col("kind") == k).select("entity", "alias")
+    return M.rank_targets(t("documents").select("doc_id", "text"), "doc_id", "text", of(0), of(1), of(2))
+
+
+@query("SELECT o_orderkey, c_custkey FROM (SELECT o_orderkey, unnest(['Cond ' || o_custkey, '  COND-' || (o_custkey + 1)]) AS x FROM orders WHERE o_orderkey % 5 = 0) JOIN customer ON trim(regexp_replace(lower(x), '[^\\p{L}\\p{N}\\p{M}\\p{Pc}]+', ' ', 'g')) = 'cond ' || c_custkey GROUP BY 1, 2")
+def dom_condition_map(t):
+    """Conditions of a trial, in any spelling, mapped to entities by their normalised names; each pair once."""
+    listed = t("orders").where("o_orderkey % 5 = 0").select("o_orderkey", F.explode(F.array(F.concat(F.lit("Cond "), "o_custkey"), F.concat(F.lit("  COND-"), F.col("o_custkey") + 1))).alias("x"))
+    names = t("customer").select("c_custkey", F.concat(F.lit("cond "), "c_custkey").alias("term"))
+    return listed.select("o_orderkey", X.normalize_term("x").alias("term")).join(names, "term").select("o_orderkey", "c_custkey").distinct()
+
+
+_MEMBERS = "SELECT p_size AS cluster, p_partkey, p_name FROM part"
+
+
+@query(f"SELECT cluster, size, txt AS text, list_aggregate(terms, 'string_agg', ',') AS terms FROM (SELECT cluster, count(*) AS size, string_agg(p_name, ' ' ORDER BY p_partkey) AS txt FROM ({_MEMBERS}) GROUP BY 1) JOIN (SELECT cluster, list(w ORDER BY r) AS terms FROM (SELECT cluster, w, row_number() OVER (PARTITION BY cluster ORDER BY count(*) DESC, w) AS r FROM (SELECT cluster, unnest(string_split(lower(p_name), ' ')) AS w FROM ({_MEMBERS})) GROUP BY 1, 2) WHERE r <= 3 GROUP BY 1) USING (cluster)")
+def dom_cluster_profile(t):
+    """Size, text and most frequent words of each cluster."""
+    found = M.cluster_profiles(t("part").select(F.col("p_size").alias("cluster"), "p_partkey", "p_name"), "cluster", "p_partkey", "p_name", 3)
+    return found.withColumn("terms", F.array_join("terms", ","))
 
 
 @query("SELECT doc_id AS \"row\", CAST(0.5 * least(2, n) AS DOUBLE) AS probability FROM (SELECT doc_id, len(regexp_extract_all(lower(text), '[0-9.]+ ?%')) AS n FROM documents) WHERE n > 0")
@@ -219,13 +250,16 @@ def dom_epi_annotation(t):
     return M.annotate(t("documents").select(F.col("doc_id").alias("row"), "text"), "text", score).select("row", "probability")
 
 
-@query("SELECT p_partkey, CASE WHEN p_name IN (SELECT p_name FROM part WHERE p_partkey <= 20) THEN 'exact' WHEN split_part(p_name, ' ', 1) IN (SELECT split_part(p_name, ' ', 1) FROM part WHERE p_partkey <= 20) THEN 'words' END AS how FROM part")
+_DRUGS = "SELECT 'D' || p_partkey AS drug, lower(p_name) AS v FROM part WHERE p_partkey <= 40 UNION ALL SELECT 'W' || p_partkey, lower(split_part(p_name, ' ', 1)) FROM part WHERE p_partkey <= 20"
+
+
+@query(f"WITH d AS MATERIALIZED ({_DRUGS}), n AS MATERIALIZED (SELECT p_partkey, lower(p_name) AS x FROM part), e AS (SELECT DISTINCT p_partkey, drug, 'exact' AS how, v AS term FROM n JOIN d ON v = x), s AS (SELECT DISTINCT p_partkey, v FROM n JOIN (SELECT DISTINCT v FROM d) ON contains(x, v) AND len(list_filter(string_split(v, ' '), lambda w: NOT list_contains(string_split(x, ' '), w))) = 0 WHERE p_partkey NOT IN (SELECT p_partkey FROM e)), l AS (SELECT p_partkey, v FROM (SELECT *, max(length(v)) OVER (PARTITION BY p_partkey) AS m FROM s) WHERE length(v) = m) SELECT * FROM e UNION ALL SELECT DISTINCT p_partkey, drug, 'span', v FROM l JOIN d USING (v)")
 def dom_drug_map(t):
-    """By the exact name, else by a word of it, with a flag that says which."""
-    known = t("part").where("p_partkey <= 20")
-    exact = known.select("p_name", F.lit("exact").alias("a")).distinct()
-    words = known.select(F.split("p_name", " ")[0].alias("w"), F.lit("words").alias("b")).distinct()
-    return t("part").withColumn("w", F.split("p_name", " ")[0]).join(exact, "p_name", "left").join(words, "w", "left").select("p_partkey", F.coalesce("a", "b").alias("how"))
+    """By the exact name, else by the longest names inside it, with a flag that says which."""
+    part = t("part")
+    drugs = part.where("p_partkey <= 40").select(F.concat(F.lit("D"), "p_partkey").alias("drug"), F.col("p_name").alias("v"))
+    drugs = drugs.unionByName(part.where("p_partkey <= 20").select(F.concat(F.lit("W"), "p_partkey").alias("drug"), F.split("p_name", " ")[0].alias("v")))
+    return M.map_names(part, "p_partkey", "p_name", drugs, "drug", "v").distinct()
 
 
 _NEWS = "SELECT o_custkey AS topic, 'orders' AS kind, CAST(o_orderdate AS DATE) AS d FROM orders UNION ALL SELECT o_custkey, 'lines', CAST(l_shipdate AS DATE) FROM lineitem JOIN orders ON o_orderkey = l_orderkey"

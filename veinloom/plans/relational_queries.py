@@ -68,7 +68,7 @@ def graph_repoint_edges(t):
     return edges.groupBy("l_orderkey", "l_suppkey").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT c_nationkey, string_agg(c_name, ', ' ORDER BY c_custkey) AS names FROM customer WHERE c_acctbal > 0 GROUP BY 1", "dom_cluster_profile")
+@query("SELECT c_nationkey, string_agg(c_name, ', ' ORDER BY c_custkey) AS names FROM customer WHERE c_acctbal > 0 GROUP BY 1")
 def agg_string_concat(t):
     rows = t("customer").where("c_acctbal > 0").groupBy("c_nationkey").agg(F.array_sort(F.collect_list(F.struct("c_custkey", "c_name"))).alias("x"))
     return rows.select("c_nationkey", F.array_join("x.c_name", ", ").alias("names"))
@@ -279,7 +279,7 @@ def join_lookup_fallback(t):
     return J.lookup_with_fallback(t("customer"), fine, coarse, ["c_nationkey", "c_mktsegment"], ["c_nationkey"], "v").select("c_custkey", "v")
 
 
-@query("SELECT p_partkey, n FROM part JOIN (SELECT upper(p_name) AS u, count(*) AS n FROM part GROUP BY 1) d ON lower(p_name) = lower(u)", "dom_condition_map")
+@query("SELECT p_partkey, n FROM part JOIN (SELECT upper(p_name) AS u, count(*) AS n FROM part GROUP BY 1) d ON lower(p_name) = lower(u)")
 def join_case_insensitive(t):
     names = t("part").groupBy(F.upper("p_name").alias("u")).agg(F.count(F.lit(1)).alias("n"))
     return t("part").join(names, F.lower("p_name") == F.lower("u")).select("p_partkey", "n")
