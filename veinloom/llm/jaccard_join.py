@@ -5,10 +5,11 @@
    least is equal in both. Each node emits one key a group (for its own size class and the one below), and nodes that share a
    key are possible partners. No pair is lost, and a passage that many texts share makes no common key.
 2. Possible partners form clusters. A cluster is worked on in blocks of bounded size: an R-tree over the counts of
-   shingles in 32 hash groups finds the points whose summed coordinate minima reach the overlap needed, and the survivors
+   shingles in 128 hash groups finds the points whose summed coordinate minima reach the overlap needed, and the survivors
    are verified on the sets. Within a block, nodes that are linked already are not compared again.
 3. Clusters larger than a block are dealt into several, with common pivots; what these leave in more than one component
-   is then compared block by block, the rest of the cluster against its largest component, which makes it exact.
+   is then compared block by block, the rest of the cluster against its largest component, which makes it exact. There the
+   trees see count vectors only; sets are made again, and verified, for the nodes that have a possible partner.
 """
 
 from __future__ import annotations
@@ -29,7 +30,8 @@ from veinloom.llm.worker_cache import forget
 
 SHINGLE = 3
 PERCENT = 90
-GROUPS = 32
+#: Groups of hashes that are counted; with about as many groups as shingles the summed minima of unlike sets stay low.
+GROUPS = 128
 #: Nodes of a block, and characters of their texts.
 BLOCK, BLOCK_CHARS = 2048, 8_000_000
 #: About so many nodes of a large cluster are in each of its blocks.
@@ -137,7 +139,7 @@ def block_keys(s: np.ndarray, percent: int, bounds: np.ndarray) -> np.ndarray:
 def points_of(sets: list[np.ndarray]) -> np.ndarray:
     out = np.zeros((len(sets), GROUPS), dtype=np.int32)
     for i, s in enumerate(sets):
-        out[i] = np.bincount((s >> np.uint64(59)).astype(np.int64), minlength=GROUPS)
+        out[i] = np.bincount((s >> np.uint64(57)).astype(np.int64), minlength=GROUPS)
     return out
 
 
@@ -272,6 +274,20 @@ class WordShingles:
         return lambda texts: shingle_sets(texts, known, self.n)
 
 
+def by_task(frames: Iterator[pd.DataFrame], columns: list[str]) -> Iterator[list[tuple]]:
+    """The rows of one task after the other, of frames that are sorted by task; a node that comes twice counts once."""
+    task, block = None, {}
+    for frame in frames:
+        for r in zip(*(frame[c].tolist() for c in columns)):
+            if r[0] != task and block:
+                yield list(block.values())
+                block = {}
+            task = r[0]
+            block[r[1]] = r
+    if block:
+        yield list(block.values())
+
+
 def block_links(rows: DataFrame, shingles, percent: int) -> DataFrame:
     """Links (a, b) found in each task's block of rows; a block is bounded by how tasks are dealt."""
 
@@ -279,37 +295,66 @@ def block_links(rows: DataFrame, shingles, percent: int) -> DataFrame:
         forget()
         sets_of = shingles.maker()
 
-        def done(block: list[tuple]) -> list[tuple[int, int]]:
-            rows = list({r[1]: r for r in block}.values())
-            if len(rows) < 2:
-                return []
-            if len(rows) <= shingles.plain and not rows[0][3]:
-                links = plain_links([frozenset(r[4].tolist()) for r in rows], [r[2] for r in rows], percent)
+        def with_sets() -> Iterator[pd.DataFrame]:
+            for frame in frames:
+                once = ~frame["node"].duplicated()
+                sets = dict(zip(frame["node"][once].tolist(), sets_of(frame["text"][once].tolist())))
+                yield frame.drop(columns="text").assign(set=[sets[n] for n in frame["node"].tolist()])
+
+        found = []
+        for block in by_task(with_sets(), ["task", "node", "part", "side", "set"]):
+            if len(block) < 2:
+                continue
+            if len(block) <= shingles.plain and not block[0][3]:
+                links = plain_links([frozenset(r[4].tolist()) for r in block], [r[2] for r in block], percent)
             else:
-                sides = np.array([r[3] for r in rows])
-                links = tree_links([np.unique(r[4]) for r in rows], np.array([r[2] for r in rows], dtype=np.int64), percent, sides if sides.any() else None)
-            return [(rows[i][1], rows[j][1]) for i, j in links]
+                sides = np.array([r[3] for r in block])
+                links = tree_links([np.unique(r[4]) for r in block], np.array([r[2] for r in block], dtype=np.int64), percent, sides if sides.any() else None)
+            found += [(block[i][1], block[j][1]) for i, j in links]
+            if len(found) > 10_000:
+                yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+                found = []
+        if found:
+            yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return rows.select("task", "node", "part", "side", "text").repartition("task").sortWithinPartitions("task").mapInPandas(run, "a long, b long")
 
-        def frame_of(found: list[tuple[int, int]]) -> pd.DataFrame:
-            return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-        task, block, found = None, [], []
+def count_vectors(rows: DataFrame, shingles) -> DataFrame:
+    """node, root, part and text of rows, and counts, the count vectors of the texts' sets."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget()
+        sets_of = shingles.maker()
         for frame in frames:
-            once = ~frame["node"].duplicated()
-            sets = dict(zip(frame["node"][once].tolist(), sets_of(frame["text"][once].tolist())))
-            for t, node, part, side in zip(*(frame[c].tolist() for c in ("task", "node", "part", "side"))):
-                if t != task and block:
-                    found += done(block)
-                    block = []
-                task = t
-                block.append((t, node, part, side, sets[node]))
-            if found:
-                yield frame_of(found)
-                found = []
-        if block and (found := done(block)):
-            yield frame_of(found)
+            points = points_of([np.unique(s) for s in sets_of(frame["text"].tolist())])
+            yield frame.assign(counts=[p.tobytes() for p in points.astype("<i4")])
 
-    return rows.select("task", "node", "part", "side", "text").repartition("task").sortWithinPartitions("task").mapInPandas(run, "a long, b long")
+    return rows.select("node", "root", "part", "text").mapInPandas(run, "node long, root long, part long, text string, counts binary")
+
+
+def possible_nodes(rows: DataFrame, percent: int) -> DataFrame:
+    """task, node, part and side of the rows (with counts) that have a possible partner of another part in their task."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget()
+        for block in by_task(frames, ["task", "node", "part", "side", "counts"]):
+            points = np.frombuffer(b"".join(r[4] for r in block), dtype="<i4").reshape(len(block), GROUPS)
+            part, sides = np.array([r[2] for r in block]), np.array([r[3] for r in block])
+            inner = np.flatnonzero(sides < 2)
+            hit = np.zeros(len(block), dtype=bool)
+            if len(inner):
+                tree = CountTree(points[inner])
+                for q in range(len(block)) if not sides.any() else np.flatnonzero(sides == 2).tolist():
+                    near = inner[tree.near(points[q], percent)]
+                    near = near[part[near] != part[q]]
+                    if len(near):
+                        hit[q] = True
+                        hit[near] = True
+            if hit.any():
+                yield pd.DataFrame([block[i][:4] for i in np.flatnonzero(hit)], columns=["task", "node", "part", "side"])
+
+    return rows.select("task", "node", "part", "side", "counts").repartition("task").sortWithinPartitions("task").mapInPandas(run, "task string, node long, part long, side int")
 
 
 def keyed_nodes(rows: DataFrame) -> DataFrame:
@@ -339,7 +384,7 @@ def near_components(documents: DataFrame, shingle: int = SHINGLE, percent: int =
         signed = scratch.written(signatures(documents, shingle, percent), "keys")
         rows = scratch.written(signed.drop("keys"), "rows")
         clusters = scratch.written(key_clusters(signed, scratch), "clusters")
-        scratch.drop(signed)
+        scratch.drop(signed, collect=True)
         # One row stands for each node; only nodes with a possible partner are read again.
         stands = rows.where("node is not null").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h", "check")).alias("at"))
         chosen = stands.join(clusters, "node").select(F.col("at.doc_id").alias("_doc"), F.col("at.h").alias("_h"), "node", "root")
@@ -383,20 +428,22 @@ def _rest_links(large: DataFrame, links: DataFrame, shingles, percent: int, scra
     theirs = links.join(large.select(F.col("node").alias("a")).distinct(), "a", "left_semi")
     parts = connected_components(theirs, scratch)
     nodes = large.join(parts.withColumnRenamed("root", "part"), "node", "left").withColumn("part", F.coalesce("part", "node"))
-    nodes = scratch.written(nodes.withColumn("chars", F.length("text")).withColumn("_h", F.xxhash64("node", F.lit(3))), "open")
+    nodes = scratch.written(count_vectors(nodes, shingles).withColumn("chars", F.length("text")).withColumn("_h", F.xxhash64("node", F.lit(3))), "open")
     counts = scratch.written(nodes.groupBy("root", "part").agg(F.count(F.lit(1)).alias("n"), F.sum("chars").alias("c")), "counts")
     top = counts.groupBy("root").agg(F.max_by(F.struct("part", "n", "c"), F.struct("n", "part")).alias("top"), F.sum("n").alias("n"), F.sum("c").alias("c"), F.count(F.lit(1)).alias("n_parts")).where("n_parts > 1")
     top = top.select("root", F.col("top.part").alias("top"), full(F.col("top.n"), F.col("top.c"), half).alias("_top"), full(F.col("n") - F.col("top.n"), F.col("c") - F.col("top.c"), half).alias("_rest"))
-    open_ = nodes.join(top, "root")
+    open_ = nodes.select("node", "root", "part", "counts", "_h").join(top, "root")
     is_top = F.col("part") == F.col("top")
     near = open_.where(is_top).withColumn("_i", F.pmod("_h", "_top")).withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_rest") - 1))).withColumn("side", F.lit(1))
     far = open_.where(~is_top).withColumn("_j", F.pmod("_h", "_rest")).withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_top") - 1))).withColumn("side", F.lit(2))
     mine = F.pmod("_h", "_rest")
     other = open_.where(~is_top).withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_rest") - 1)))
     other = other.withColumn("_i", F.least(mine, F.col("_o"))).withColumn("_j", F.greatest(mine, F.col("_o"))).withColumn("side", F.lit(0))
-    task = lambda d, kind: d.select(F.concat_ws(":", F.lit(kind), "root", "_i", "_j").alias("task"), "node", "part", "side", "text")
-    found = scratch.written(block_links(task(near, "t").unionByName(task(far, "t")).unionByName(task(other, "r")), shingles, percent), "links")
-    scratch.drop(nodes, counts)
+    task = lambda d, kind: d.select(F.concat_ws(":", F.lit(kind), "root", "_i", "_j").alias("task"), "node", "part", "side", "counts")
+    possible = possible_nodes(task(near, "t").unionByName(task(far, "t")).unionByName(task(other, "r")), percent)
+    possible = scratch.written(possible, "possible")
+    found = scratch.written(block_links(possible.join(nodes.select("node", "text").dropDuplicates(["node"]), "node"), shingles, percent), "links")
+    scratch.drop(nodes, counts, possible)
     return found
 
 

@@ -183,11 +183,12 @@ def removed_lines(documents: DataFrame, percent: int = PERCENT, block: int = BLO
         keys = scratch.written(line_rows(documents), "keys")
         rows = scratch.written(keys.drop("keys"), "rows")
         in_buckets = scratch.written(buckets(keys), "buckets")
-        scratch.drop(keys)
+        scratch.drop(keys, collect=True)
         at = F.struct("doc_id", "h", "idx", "check")
         chosen = scratch.written(rows.join(in_buckets.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min(at).alias("at")).select("at.*", "node"), "chosen")
         texts = scratch.written(chosen_lines(documents, chosen), "texts")
         members = scratch.written(texts.join(in_buckets, "node"), "members")
+        scratch.drop(texts, in_buckets, collect=True)
         parts = connected_components(cluster_links(members, CharShingles(), percent, scratch, block), scratch)
         # A line with a linked node's first 64 bits, but not its others, is not that line.
         parts = parts.join(chosen.select("node", "check"), "node").select("node", "check", "root")

@@ -60,9 +60,12 @@ class Scratch:
         self._of[id(table_)] = (table_, path)
         return table_
 
-    def drop(self, *tables: DataFrame) -> None:
+    def drop(self, *tables: DataFrame, collect: bool = False) -> None:
+        """Deletes tables that nothing reads any more; with collect, also the shuffle files of finished work."""
         for t in tables:
             delete_path(self.spark, self._of.pop(id(t))[1])
+        if collect:
+            self.collect_garbage()
 
     def collect_garbage(self) -> None:
         self.spark.sparkContext._jvm.System.gc()
