@@ -213,13 +213,19 @@ def tree_links(sets: list[np.ndarray], part: np.ndarray, percent: int = PERCENT,
 def plain_links(members: list[frozenset], part: list[int], percent: int) -> list[tuple[int, int]]:
     """The same for a few sets, without a tree: each set against one after the other that is in another part."""
     root = list(part)
+    sizes = [len(m) for m in members]
     out = []
     for q in range(1, len(members)):
+        a, n = members[q], sizes[q]
+        low, high = percent * n, 100 * n
         for x in range(q):
-            if root[x] != root[q] and linked(members[q], members[x], percent):
-                out.append((q, x))
-                old, new = root[x], root[q]
-                root = [new if r == old else r for r in root]
+            m = sizes[x]
+            if root[x] != root[q] and 100 * m >= low and percent * m <= high:
+                both = len(a & members[x])
+                if 100 * both >= percent * (n + m - both):
+                    out.append((q, x))
+                    old, new = root[x], root[q]
+                    root = [new if r == old else r for r in root]
     return out
 
 
@@ -274,15 +280,17 @@ class WordShingles:
         return lambda texts: shingle_sets(texts, known, self.n)
 
 
-def by_task(frames: Iterator[pd.DataFrame], columns: list[str]) -> Iterator[list[tuple]]:
-    """The rows of one task after the other, of frames that are sorted by task; a node that comes twice counts once."""
+def by_task(columns: Iterator[tuple[list, ...]]) -> Iterator[list[tuple]]:
+    """The rows of one task after the other, of columns (task, node, ...) that are sorted by task; a node that comes twice
+    counts once."""
     task, block = None, {}
-    for frame in frames:
-        for r in zip(*(frame[c].tolist() for c in columns)):
-            if r[0] != task and block:
-                yield list(block.values())
-                block = {}
-            task = r[0]
+    for batch in columns:
+        for r in zip(*batch):
+            if r[0] != task:
+                if block:
+                    yield list(block.values())
+                    block = {}
+                task = r[0]
             block[r[1]] = r
     if block:
         yield list(block.values())
@@ -291,18 +299,22 @@ def by_task(frames: Iterator[pd.DataFrame], columns: list[str]) -> Iterator[list
 def block_links(rows: DataFrame, shingles, percent: int) -> DataFrame:
     """Links (a, b) found in each task's block of rows; a block is bounded by how tasks are dealt."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
         sets_of = shingles.maker()
 
-        def with_sets() -> Iterator[pd.DataFrame]:
-            for frame in frames:
-                once = ~frame["node"].duplicated()
-                sets = dict(zip(frame["node"][once].tolist(), sets_of(frame["text"][once].tolist())))
-                yield frame.drop(columns="text").assign(set=[sets[n] for n in frame["node"].tolist()])
+        def with_sets() -> Iterator[tuple[list, ...]]:
+            for batch in batches:
+                task, node, part, side, texts = (batch.column(i).to_pylist() for i in range(5))
+                once = dict(zip(node, texts))
+                sets = dict(zip(once, sets_of(list(once.values()))))
+                yield task, node, part, side, [sets[n] for n in node]
+
+        def out(found: list[tuple[int, int]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-        found = []
-        for block in by_task(with_sets(), ["task", "node", "part", "side", "set"]):
+        found: list[tuple[int, int]] = []
+        for block in by_task(with_sets()):
             if len(block) < 2:
                 continue
             if len(block) <= shingles.plain and not block[0][3]:
@@ -312,12 +324,11 @@ def block_links(rows: DataFrame, shingles, percent: int) -> DataFrame:
                 links = tree_links([np.unique(r[4]) for r in block], np.array([r[2] for r in block], dtype=np.int64), percent, sides if sides.any() else None)
             found += [(block[i][1], block[j][1]) for i, j in links]
             if len(found) > 10_000:
-                yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+                yield out(found)
                 found = []
-        if found:
-            yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+        yield out(found)
 
-    return rows.select("task", "node", "part", "side", "text").repartition("task").sortWithinPartitions("task").mapInPandas(run, "a long, b long")
+    return rows.select("task", "node", "part", "side", "text").repartition("task").sortWithinPartitions("task").mapInArrow(run, "a long, b long")
 
 
 def count_vectors(rows: DataFrame, shingles) -> DataFrame:
@@ -338,7 +349,7 @@ def possible_nodes(rows: DataFrame, percent: int) -> DataFrame:
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         forget()
-        for block in by_task(frames, ["task", "node", "part", "side", "counts"]):
+        for block in by_task(tuple(f[c].tolist() for c in ("task", "node", "part", "side", "counts")) for f in frames):
             points = np.frombuffer(b"".join(r[4] for r in block), dtype="<i4").reshape(len(block), GROUPS)
             part, sides = np.array([r[2] for r in block]), np.array([r[3] for r in block])
             inner = np.flatnonzero(sides < 2)

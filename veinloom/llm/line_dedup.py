@@ -18,11 +18,10 @@ from veinloom.llm.worker_cache import forget
 
 CHARS = 5
 PERCENT = 80
-#: At the threshold 1 - (1 - 0.8 ** 5) ** 16 = 0.998 of the pairs share a band. As lines are compared within buckets and not
-#: in the clusters that buckets form, five rows a band suffice: of the 404,186 different lines of 0.10 GB, the largest
-#: bucket has 111. Six rows (21 bands for the same recall) give buckets of 106 and a third more keys; a corpus in which far
-#: more unrelated lines meet wants them.
-BANDS, ROWS = 16, 5
+#: At the threshold 1 - (1 - 0.8 ** 6) ** 21 = 0.998 of the pairs share a band. Five rows (16 bands for the same recall) need
+#: fewer keys, but unrelated lines then meet so often that buckets grow with the square of the input: 1,255,909 rows in
+#: buckets at 0.51 GB, with six rows 716,683.
+BANDS, ROWS = 21, 6
 BLOCK = 2048
 _P = np.uint64(0x100000001B3)
 _A = (mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
@@ -184,22 +183,28 @@ def removed_lines(documents: DataFrame, percent: int = PERCENT, block: int = BLO
         rows = scratch.written(keys.drop("keys"), "rows")
         in_buckets = scratch.written(buckets(keys), "buckets")
         scratch.drop(keys, collect=True)
-        at = F.struct("doc_id", "h", "idx", "check")
-        chosen = scratch.written(rows.join(in_buckets.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min(at).alias("at")).select("at.*", "node"), "chosen")
+        place = F.struct("doc_id", "h", "idx")
+        # Equal lines, by all 128 bits: how many and which is first.
+        equal = scratch.written(rows.groupBy("node", "check").agg(F.min(place).alias("at"), F.count(F.lit(1)).alias("n")), "equal")
+        stands = equal.join(in_buckets.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min(F.struct("at", "check")).alias("s"))
+        chosen = scratch.written(stands.select("s.at.*", "node", "s.check"), "chosen")
         texts = scratch.written(chosen_lines(documents, chosen), "texts")
         members = scratch.written(texts.join(in_buckets, "node"), "members")
         scratch.drop(texts, in_buckets, collect=True)
         parts = connected_components(cluster_links(members, CharShingles(), percent, scratch, block), scratch)
         # A line with a linked node's first 64 bits, but not its others, is not that line.
         parts = parts.join(chosen.select("node", "check"), "node").select("node", "check", "root")
-        named = rows.join(parts, ["node", "check"], "left").withColumn("check", F.when(F.col("root").isNull(), F.col("check")).otherwise(0)).withColumn("root", F.coalesce("root", "node"))
-        # Only parts of several lines matter further; written, so that Spark can split the hot side of the joins.
-        named = scratch.written(named.select("doc_id", "h", "idx", "root", "check"), "named")
-        place = F.struct("doc_id", "h", "idx")
-        first = scratch.written(named.groupBy("root", "check").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n"), "first")
-        judged = named.join(first, ["root", "check"], "left").select("doc_id", "h", "idx", F.coalesce(F.col("first") != place, F.lit(False)).alias("gone"))
-        found = judged.groupBy("doc_id", "h").agg(F.countDistinct("idx").alias("n_lines"), F.array_sort(F.collect_set(F.when(F.col("gone"), F.col("idx")))).alias("removed"))
-        return written(found, "removed")
+        named = equal.join(parts, ["node", "check"], "left").withColumn("_own", F.when(F.col("root").isNull(), F.col("check"))).withColumn("root", F.coalesce("root", "node"))
+        # Groups of more than one line, equal or linked; only their lines matter further.
+        linked_ = scratch.written(named.where("_own is null"), "linked")
+        first = scratch.written(linked_.groupBy("root").agg(F.min("at").alias("first")), "first")
+        groups = linked_.join(first, "root").select("node", "check", "first").unionByName(named.where("_own is not null and n > 1").select("node", "check", F.col("at").alias("first")))
+        # Written, so that the join with rows is one of two plain shuffles, of which Spark splits the hot side.
+        groups = scratch.written(groups, "groups")
+        gone = rows.join(groups, ["node", "check"]).where(F.col("first") != place).groupBy("doc_id", "h").agg(F.array_sort(F.collect_set("idx")).alias("removed"))
+        counted = rows.groupBy("doc_id", "h").agg(F.countDistinct("idx").alias("n_lines"))
+        none = F.array().cast("array<int>")
+        return written(counted.join(gone, ["doc_id", "h"], "left").select("doc_id", "h", "n_lines", F.coalesce("removed", none).alias("removed")), "removed")
 
 
 def dedup_lines(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
