@@ -194,11 +194,12 @@ def removed_lines(documents: DataFrame, percent: int = PERCENT, block: int = BLO
         parts = connected_components(cluster_links(members, CharShingles(), percent, scratch, block), scratch)
         # A line with a linked node's first 64 bits, but not its others, is not that line.
         parts = parts.join(chosen.select("node", "check"), "node").select("node", "check", "root")
-        named = equal.join(parts, ["node", "check"], "left").withColumn("_own", F.when(F.col("root").isNull(), F.col("check"))).withColumn("root", F.coalesce("root", "node"))
+        parts = scratch.written(parts, "parts")
         # Groups of more than one line, equal or linked; only their lines matter further.
-        linked_ = scratch.written(named.where("_own is null"), "linked")
+        linked_ = scratch.written(equal.join(parts, ["node", "check"]), "linked")
         first = scratch.written(linked_.groupBy("root").agg(F.min("at").alias("first")), "first")
-        groups = linked_.join(first, "root").select("node", "check", "first").unionByName(named.where("_own is not null and n > 1").select("node", "check", F.col("at").alias("first")))
+        alone = equal.where("n > 1").join(parts, ["node", "check"], "left_anti")
+        groups = linked_.join(first, "root").select("node", "check", "first").unionByName(alone.select("node", "check", F.col("at").alias("first")))
         # Written, so that the join with rows is one of two plain shuffles, of which Spark splits the hot side.
         groups = scratch.written(groups, "groups")
         gone = rows.join(groups, ["node", "check"]).where(F.col("first") != place).groupBy("doc_id", "h").agg(F.array_sort(F.collect_set("idx")).alias("removed"))
