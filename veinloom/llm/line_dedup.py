@@ -55,7 +55,7 @@ def band_keys(lines: list[str]) -> np.ndarray:
     """BANDS keys of each line."""
     h, starts = shingle_hashes(lines)
     low = (h >> np.uint64(32)).astype(np.uint32)
-    least = np.empty((len(lines), BANDS * ROWS), dtype=np.uint32)
+    least = np.empty((BANDS * ROWS, len(lines)), dtype=np.uint32)
     step = 1 << 17
     cuts = [0]
     for i in range(len(starts)):  # runs of whole lines that stay in the processor's cache
@@ -72,12 +72,12 @@ def band_keys(lines: list[str]) -> np.ndarray:
             for k in range(BANDS * ROWS):
                 np.multiply(part, _A[k], out=buffer)
                 np.add(buffer, _B[k], out=buffer)
-                least[a:b, k] = np.minimum.reduceat(buffer, at)
+                np.minimum.reduceat(buffer, at, out=least[k, a:b])
         keys = np.zeros((len(lines), BANDS), dtype=np.uint64)
         for band in range(BANDS):
             x = np.full(len(lines), band + 1, dtype=np.uint64)
             for r in range(ROWS):
-                x = mix(x * _P + least[:, band * ROWS + r].astype(np.uint64))
+                x = mix(x * _P + least[band * ROWS + r].astype(np.uint64))
             keys[:, band] = x
     return keys.view(np.int64)
 
