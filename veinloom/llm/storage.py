@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -68,7 +69,10 @@ class Scratch:
             self.collect_garbage()
 
     def collect_garbage(self) -> None:
-        self.spark.sparkContext._jvm.System.gc()
+        """Twice, a moment apart: the events of a job that has just ended hold its plan until listeners have seen them."""
+        for _ in range(2):
+            time.sleep(0.5)
+            self.spark.sparkContext._jvm.System.gc()
 
     def __enter__(self) -> Scratch:
         return self
