@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ("quality_classifier", "quality_rules", "bpe", "token_files", "jaccard_join", "decontamination", "warc", "pii", "line_dedup", "unit_dedup")
+_MODULES = ("quality_classifier", "quality_rules", "bpe", "token_files", "jaccard_join", "decontamination", "warc", "pii", "line_dedup", "unit_dedup", "simhash", "vector_codes", "hard_negatives")
 
 
 def queries() -> dict:
