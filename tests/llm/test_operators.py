@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from veinloom.llm import bpe, components, decontamination, fm_index, jaccard_join, line_crf, line_dedup, pii, quality_classifier, quality_rules, storage, token_files, training, unit_dedup, warc
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row long, node string, n int, keys string, _text string"
+#: Names that operators use inside, on columns of documents.
+CLASHING = "_h long, _doc long, _copy long, _removed string, _spans string, _runs int, _beside_0 string, _Beside_1 int, h string, spans string, shard int, start long"
 SF = "/root/testdata/sf0.01"
 rng = random.Random(7)
 VOCABULARY = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 8))) for _ in range(400)]
@@ -446,6 +448,65 @@ def test_empty_tables(spark):
     model = line_crf.neutral()
     for df in (quality_classifier.score_quality(none, model), quality_rules.judge(none, model), decontamination.find_hits(none, benchmark), unit_dedup.removals(none), line_dedup.dedup_lines(none), jaccard_join.near_components(none), bpe.encode_documents(none, bpe.vocabulary("word_bpe_49k.json")), pii.find_spans(none)):
         assert df.count() == 0
+    path = spark.conf.get("spark.checkpoint.dir") + "/no-tokens"
+    token_files.write_tokens(none, bpe.vocabulary("byte_bpe_50k.json"), path)
+    assert token_files.read_tokens(spark, path).count() == 0
+
+
+def test_pipeline_over_an_empty_table(spark, tmp_path):
+    import corpus_pipeline
+
+    for name in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{SF}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_columns_with_the_operators_own_names(spark, tmp_path):
+    import corpus_pipeline
+
+    repeated = "\n".join([BASE[0], BASE[1]])
+    rows = [(k, t, 1, 2, 3, "x", "y", 4, "z", 5, "w", "v", 6, 7) for k, t in [(1, repeated), (2, repeated), (3, BASE[2]), (None, BASE[0]), (4, None)]]
+    df = spark.createDataFrame(rows, "doc_id long, text string, " + CLASHING)
+    benchmark = spark.createDataFrame([("a", " ".join(BASE[2].split()[:12])), ("b", " ".join(BASE[2].split()[20:40]))], "item_id string, text string")
+    for found in (line_dedup.dedup_lines(df), unit_dedup.dedup_passages(df), decontamination.decontaminate(df, benchmark), decontamination.decontaminate(df, benchmark, block_chars=60), corpus_pipeline.keep_one_of_each_group(spark, df, str(tmp_path))):
+        assert found.columns == df.columns
+        out = [tuple(r)[:2] for r in found.collect()]
+        assert {tuple(r)[2:] for r in found.collect()} == {rows[0][2:]} and (None, BASE[0]) in out and (4, None) in out and any(t and k == 3 for k, t in out)
+    cut = {k: t for k, t in ((r["doc_id"], r["text"]) for r in decontamination.decontaminate(df, benchmark, block_chars=60).collect())}
+    assert cut[3] == decontamination.decontaminate(df.where("doc_id = 3"), benchmark).first()["text"] and len(cut[3]) < len(BASE[2])
+    assert {k for k, t in ((r["doc_id"], r["text"]) for r in unit_dedup.dedup_passages(df).collect()) if t == ""} == {2}
+
+
+def test_long_unbroken_passages_go_whole(spark, monkeypatch):
+    """Sentences of 600 and of 3,000 words beside a short common one, with other words before and behind them."""
+    words = lambda n, seed: prose(n, seed).replace(".", "")
+    for n, context in ((600, 2_000), (3_000, 2_000), (600, 70)):
+        monkeypatch.setattr(unit_dedup, "CONTEXT_CHARS", context)
+        long_, short = words(n, 61), "A short sentence that both of them share for certain."
+        one = long_ + ". " + short
+        two = words(30, 62) + " " + long_.replace(" ", "  ", 40) + ". " + short + " " + words(25, 63)
+        back = short + " " + long_ + " and then " + words(40, 64)
+        found = spans_of(unit_dedup.removals(spark.createDataFrame([(1, one), (2, two), (3, back)], "doc_id long, text string")))
+        assert not found[1]
+        kept = unit_dedup.without(two, found[2])
+        assert kept.split() == (words(30, 62) + " " + words(25, 63)).split()
+        assert len(found[3]) <= 1
+
+
+def test_lookups_read_the_manifest_and_few_rows(spark):
+    path = spark.conf.get("spark.checkpoint.dir") + "/lookup"
+    rows = spark.createDataFrame([(k, f"text number {k} " * (k % 7)) for k in range(4000)], "doc_id long, text string").repartition(4)
+    token_files.write_tokens(rows, bpe.vocabulary("byte_bpe_50k.json"), path)
+    every = {r["doc_id"]: r["start"] for r in token_files.read_tokens(spark, path).collect()}
+    chosen = token_files.read_tokens(spark, path, [5, 3999])
+    assert {r["doc_id"]: r["start"] for r in chosen.collect()} == {k: every[k] for k in (5, 3999)}
+    plan = chosen._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Format: ORC") == 1 and "In(doc_id" in plan and "-totals" in plan
+    # The ids of one chunk of rows (orc.row.index.stride) a document are read at most, of 4,000 rows.
+    scan = spark.read.schema(token_files.SCHEMA).orc(path).where("doc_id in (5, 3999)").select("doc_id", "ids")
+    scan.collect()
+    leaf = scan._jdf.queryExecution().executedPlan().collectLeaves().head()
+    assert leaf.metrics().apply("numOutputRows").value() <= 2_000
 
 
 def test_repeated_rows(spark):

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veinloom.llm.fm_index import FmIndex
-from veinloom.llm.jaccard_join import identified
+from veinloom.llm.jaccard_join import beside, identified
 from veinloom.llm.quality_classifier import in_chunks
 from veinloom.llm.storage import table, written
 from veinloom.llm.worker_cache import forget
@@ -208,9 +208,7 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = WIND
         return documents.mapInArrow(cut, documents.schema)
 
     hits = find_hits(documents, benchmark, window, block_chars).where(F.size("runs") > 0).dropDuplicates(["doc_id", "h"])
-    hits = hits.select(F.col("doc_id").alias("_doc"), F.col("h").alias("_h"), F.col("runs").alias("_runs"))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")) & (F.xxhash64(F.col("text").cast("string")) == F.col("_h"))
-    joined = documents.join(hits, same, "left").drop("_doc", "_h")
+    joined = beside(documents, hits, "runs")
 
     def cut_found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()

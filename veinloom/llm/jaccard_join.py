@@ -235,6 +235,21 @@ def identified(documents: DataFrame) -> DataFrame:
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), text.alias("text"))
 
 
+def free_names(documents: DataFrame, n: int) -> list[str]:
+    """Names that no column of documents has."""
+    taken = {c.lower() for c in documents.columns}
+    return [name for name in (f"_beside_{i}" for i in range(n + len(taken))) if name not in taken][:n]
+
+
+def beside(documents: DataFrame, found: DataFrame, value: str) -> DataFrame:
+    """The columns of documents and, as the last one, what `found` (doc_id, h, value) has for their id and text, or null.
+    Columns of documents may have any names."""
+    doc, h, last = free_names(documents, 3)
+    named = found.select(F.col("doc_id").alias(doc), F.col("h").alias(h), F.col(value).alias(last))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(doc)) & (F.xxhash64(F.col("text").cast("string")) == F.col(h))
+    return documents.join(named, same, "left").drop(doc, h)
+
+
 def signatures(documents: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, h, size of the set, node and check (hashes of the whole set, 128 bits together; null if it is empty) and,
     once for each node in a task, its keys."""

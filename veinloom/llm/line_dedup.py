@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veinloom.llm.components import connected_components
-from veinloom.llm.jaccard_join import MAX_NODES_KNOWN, cluster_links, identified, keyed_nodes, mix
+from veinloom.llm.jaccard_join import beside, cluster_links, identified, keyed_nodes, MAX_NODES_KNOWN, mix
 from veinloom.llm.quality_classifier import in_chunks
 from veinloom.llm.storage import Scratch, table, written
 from veinloom.llm.worker_cache import forget
@@ -210,9 +210,7 @@ def removed_lines(documents: DataFrame, percent: int = PERCENT, block: int = BLO
 
 def dedup_lines(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     """All rows and columns of documents, `text` without the removed lines; a text that loses all lines becomes empty."""
-    gone = removed_lines(documents, percent).where(F.size("removed") > 0).select(F.col("doc_id").alias("_doc"), F.col("h").alias("_h"), F.col("removed").alias("_removed"))
-    same = (F.col("doc_id").cast("long") == F.col("_doc")) & (F.xxhash64(F.col("text").cast("string")) == F.col("_h"))
-    joined = documents.join(gone, same, "left").drop("_doc", "_h")
+    joined = beside(documents, removed_lines(documents, percent).where(F.size("removed") > 0), "removed")
     at, last = documents.columns.index("text"), len(documents.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

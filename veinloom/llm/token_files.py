@@ -23,6 +23,8 @@ from veinloom.llm.worker_cache import forget, kept
 END_ID = 2
 #: Files of a group whose sizes are summed together; one task sees the groups' sums, a thousandth of the number of files.
 GROUP = 1_000
+#: The manifest is broadcast up to so many files (24 MB), and joined beyond.
+MAX_FILES = 1_000_000
 #: Pieces that a worker remembers; the store is emptied when it is full, so memory is bounded.
 MAX_PIECES = 450_000
 MAX_WORDS = 250_000
@@ -162,21 +164,30 @@ def write_tokens(documents: DataFrame, vocab_path: str, path: str, end_id: int =
                 yield pa.RecordBatch.from_arrays([keys.slice(a, b - a), pa.array(np.full(len(raw), shard, dtype=np.int32)), pa.array(starts), pa.array(sizes), ids], names=["doc_id", "shard", "local_start", "n_tokens", "ids"])
 
     ordered.mapInArrow(run, SCHEMA).write.options(**ORC_OPTIONS).orc(path)
+    spark = documents.sparkSession
+    spark.read.schema(SCHEMA).orc(path).groupBy("shard").agg(F.sum("n_tokens").alias("n")).coalesce(1).write.parquet(totals_path(path))
+
+
+def totals_path(path: str) -> str:
+    """The manifest of token files: how many ids each has, one row of a few bytes a file."""
+    return path.rstrip("/") + "-totals"
 
 
 def read_tokens(spark: SparkSession, path: str, doc_ids: list[int] | None = None) -> DataFrame:
     """The rows of such files with each document's start among all ids. With doc_ids only these documents are read:
-    the filter reaches the files, where stripes and row groups go by their ranges and Bloom filters."""
+    the filter reaches the files, where stripes and row groups go by their ranges and Bloom filters; where files begin
+    comes from the manifest, so that no other column of any file is read."""
     rows = spark.read.schema(SCHEMA).orc(path)
-    # One row of 12 bytes for each file, of which 100 TB have some hundred thousand, so it may be broadcast: a running sum
-    # over groups of files, then one over the groups' sums.
-    totals = rows.groupBy("shard").agg(F.sum("n_tokens").alias("_n")).withColumn("_g", F.floor(F.col("shard") / GROUP))
-    within = F.coalesce(F.sum("_n").over(Window.partitionBy("_g").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    groups = totals.groupBy("_g").agg(F.sum("_n").alias("_all"))
+    # A running sum over groups of files, then one over the groups' sums.
+    totals = spark.read.schema("shard int, n long").parquet(totals_path(path)).withColumn("_g", F.floor(F.col("shard") / GROUP))
+    within = F.coalesce(F.sum("n").over(Window.partitionBy("_g").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    groups = totals.groupBy("_g").agg(F.sum("n").alias("_all"))
     ahead = F.coalesce(F.sum("_all").over(Window.orderBy("_g").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     before = totals.withColumn("_within", within).join(groups.select("_g", ahead.alias("_ahead")), "_g").select("shard", (F.col("_within") + F.col("_ahead")).alias("_before"))
+    if totals.count() <= MAX_FILES:
+        before = F.broadcast(before)
     chosen = rows if doc_ids is None else rows.where(F.col("doc_id").isin(list(doc_ids)))
-    return chosen.join(F.broadcast(before), "shard").select("doc_id", (F.col("_before") + F.col("local_start")).alias("start"), "ids")
+    return chosen.join(before, "shard").select("doc_id", (F.col("_before") + F.col("local_start")).alias("start"), "ids")
 
 
 def digests(tokens: DataFrame) -> DataFrame:

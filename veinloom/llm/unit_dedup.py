@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veinloom.llm.jaccard_join import identified
+from veinloom.llm.jaccard_join import beside, identified
 from veinloom.llm.quality_classifier import in_chunks
 from veinloom.llm.storage import Scratch, table, written
 from veinloom.llm.worker_cache import forget
@@ -29,8 +29,9 @@ from veinloom.llm.worker_cache import forget
 MIN_WORDS = 50
 #: A sentence of so many words ends a unit; of shorter ones, one in SHORT_ENDS does, by its hash.
 UNIT_WORDS, SHORT_ENDS = 6, 4
-#: Border words that are compared beside a core: as many as make a passage by themselves, within so many characters.
-CONTEXT_CHARS = 2_000
+#: Characters beside a core whose words are compared first; a core whose border is equal all along is compared again with
+#: MORE times as many, up to the first difference or the end of the text.
+CONTEXT_CHARS, MORE = 2_000, 8
 _SENTENCE = regex.compile(r"[^\n.!?]*+(?:[.!?]++(?![ \n]|\Z)[^\n.!?]*+)*+(?:[.!?]++[ ]*+|\n|\Z)")
 _WORD = regex.compile(r"\S+")
 #: Characters of scripts that write no blanks; two count as a word.
@@ -116,7 +117,6 @@ def cores_of(units: list[dict], min_words: int) -> list[dict]:
                 k += 1
                 room += chain[k]["n"]
             right = (chain[k]["end"] if room >= min_words else chain[k]["behind"]) - last["end"]
-            left, right = min(left, CONTEXT_CHARS), min(right, CONTEXT_CHARS)
             # Two characters make a word at least, a letter and a blank; in scripts without blanks, borders don't grow.
             if words + left // 2 + right // 2 + 2 >= min_words:
                 out.append({"start": first["start"], "end": last["end"], "n": words, "left": left, "right": right, "a_doc": first["a"]["doc_id"], "a_h": first["a"]["h"], "a_start": first["a"]["start"], "a_end": last["a"]["end"]})
@@ -127,22 +127,34 @@ _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 _CORE = pa.struct([(k, pa.int64()) for k in ("start", "end", "n", "left", "right", "a_doc", "a_h", "a_start", "a_end")])
 
 
-def grown(start: int, end: int, n: int, left: str, right: str, a_left: str, a_right: str) -> tuple[int, int, int]:
-    """start, end and words of a core after its borders have grown over equal words; left and right are the text beside it,
-    a_left and a_right that beside its first occurrence."""
-    mine, theirs = list(_WORD.finditer(left)), a_left.lower().split()
+def equal_words(mine: list[str], theirs: list[str], cut: bool, other_cut: bool) -> tuple[int, bool]:
+    """How many words are equal from the first on, and whether there may be more behind the end of what was fetched; the
+    last word of a side that was cut may be part of one and does not count."""
+    mine, theirs = mine[: len(mine) - cut], theirs[: len(theirs) - other_cut]
     k = 0
-    while k < min(len(mine), len(theirs)) and mine[-1 - k].group().lower() == theirs[-1 - k]:
+    while k < min(len(mine), len(theirs)) and mine[k].lower() == theirs[k].lower():
         k += 1
+    ended = lambda side, was_cut: k == len(side) and not was_cut
+    return k, k in (len(mine), len(theirs)) and not ended(mine, cut) and not ended(theirs, other_cut)
+
+
+def grown(core: dict, left: str, right: str, a_left: str, a_right: str, block: int) -> dict:
+    """The core after its borders have grown over equal words. left and right are up to `block` characters beside it,
+    a_left and a_right up to block + 64 beside its first occurrence. With `more`, growing is to go on."""
+    core = dict(core)
+    mine, theirs = list(_WORD.finditer(left)), list(_WORD.finditer(a_left))
+    words = lambda found: [m.group() for m in found]
+    k, more_left = equal_words(words(mine)[::-1], words(theirs)[::-1], core["left"] > block, core["a_start"] > block + 64)
     if k:
-        start -= len(left) - mine[-k].start()
-    ahead, theirs = list(_WORD.finditer(right)), a_right.lower().split()
-    j = 0
-    while j < min(len(ahead), len(theirs)) and ahead[j].group().lower() == theirs[j]:
-        j += 1
+        by = len(left) - mine[-k].start()
+        core |= {"start": core["start"] - by, "left": core["left"] - by, "a_start": core["a_start"] - (len(a_left) - theirs[-k].start())}
+    mine, theirs = list(_WORD.finditer(right)), list(_WORD.finditer(a_right))
+    j, more_right = equal_words(words(mine), words(theirs), core["right"] > block, len(a_right) == block + 64)
     if j:
-        end += ahead[j - 1].end()
-    return start, end, n + k + j
+        by = mine[j - 1].end()
+        core |= {"end": core["end"] + by, "right": core["right"] - by, "a_end": core["a_end"] + theirs[j - 1].end()}
+    core["left"], core["right"] = core["left"] if more_left else 0, core["right"] if more_right else 0
+    return core | {"n": core["n"] + k + j, "more": more_left or more_right}
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -182,7 +194,7 @@ def passages(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         fields = ", ".join(f"{f.name}: long" for f in _CORE)
         found = scratch.written(repeated.mapInArrow(cores, f"doc_id long, h long, cores array<struct<{fields}>>").select("doc_id", "h", F.explode("cores").alias("c")).select("doc_id", "h", "c.*"), "cores")
         scratch.drop(units, first)
-        spans = found.where("left = 0 and right = 0").select("doc_id", "h", "start", "end").unionByName(_grown_cores(documents, found.where("left > 0 or right > 0"), min_words))
+        spans = found.where("left = 0 and right = 0").select("doc_id", "h", "start", "end").unionByName(_grown_cores(documents, found.where("left > 0 or right > 0"), min_words, scratch))
         listed = spans.groupBy("doc_id", "h").agg(F.collect_set(F.struct("start", "end")).alias("spans"))  # bounded by a text
 
         def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,29 +206,41 @@ def passages(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         return written(listed.mapInArrow(join, "doc_id long, h long, spans array<struct<start: long, end: long>>"), "passages")
 
 
-def _grown_cores(documents: DataFrame, cores: DataFrame, min_words: int) -> DataFrame:
+def _grown_cores(documents: DataFrame, cores: DataFrame, min_words: int, scratch: Scratch) -> DataFrame:
     """doc_id, h, start, end of the cores that reach min_words with their borders. Only pieces of text beside the cores
-    and beside their first occurrences are shuffled, not texts."""
-    named = cores.withColumn("rid", F.xxhash64("doc_id", "h", "start", "end", "a_doc", "a_h", "a_start"))
-    own = ["rid", "doc_id", "h", "start", "end", "n"]
-    mine = named.select(*own, F.col("doc_id").alias("_d"), F.col("h").alias("_h"), F.col("start").alias("_s"), F.col("end").alias("_e"), "left", "right", F.lit(True).alias("mine"))
+    and beside their first occurrences are shuffled, not texts; few cores need a second, longer piece."""
+    done, block = None, CONTEXT_CHARS
+    while True:
+        step = scratch.written(_grown_once(documents, cores, block), "grown")
+        ready = step.where(~F.col("more") & (F.col("n") >= min_words)).select("doc_id", "h", "start", "end")
+        done = ready if done is None else done.unionByName(ready)
+        cores = step.where("more").drop("more")
+        if not cores.limit(1).count():
+            return done
+        block *= MORE
+
+
+def _grown_once(documents: DataFrame, cores: DataFrame, block: int) -> DataFrame:
+    own = cores.columns
+    at = {"_d": "doc_id", "_h": "h", "_s": "start", "_e": "end"}
+    mine = cores.select(*own, *[F.col(v).alias(k) for k, v in at.items()], F.least("left", F.lit(block)).alias("_l"), F.least("right", F.lit(block)).alias("_r"), F.lit(True).alias("mine"))
     # A little more of the other text, for white space that differs.
-    theirs = named.select(*own, F.col("a_doc").alias("_d"), F.col("a_h").alias("_h"), F.col("a_start").alias("_s"), F.col("a_end").alias("_e"), (F.col("left") + 64).alias("left"), (F.col("right") + 64).alias("right"), F.lit(False).alias("mine"))
+    theirs = cores.select(*own, *[F.col(v).alias(k) for k, v in {"_d": "a_doc", "_h": "a_h", "_s": "a_start", "_e": "a_end"}.items()], F.when(F.col("left") > 0, block + 64).otherwise(0).alias("_l"), F.when(F.col("right") > 0, block + 64).otherwise(0).alias("_r"), F.lit(False).alias("mine"))
     texts = identified(documents).toDF("_d", "_h", "_text")
     piece = mine.unionByName(theirs).join(texts, ["_d", "_h"])
-    begin = F.greatest(F.col("_s") - F.col("left"), F.lit(0))
-    piece = piece.select(*own, "mine", F.substring("_text", (begin + 1).cast("int"), (F.col("_s") - begin).cast("int")).alias("l"), F.substring("_text", (F.col("_e") + 1).cast("int"), F.col("right").cast("int")).alias("r"))
-    side = lambda c, mine: F.max(F.when(F.col("mine") == mine, F.col(c)))
-    pairs = piece.groupBy(*own).agg(side("l", True).alias("l"), side("r", True).alias("r"), side("l", False).alias("al"), side("r", False).alias("ar"))
+    begin = F.greatest(F.col("_s") - F.col("_l"), F.lit(0))
+    piece = piece.select(*own, "mine", F.substring("_text", (begin + 1).cast("int"), (F.col("_s") - begin).cast("int")).alias("l"), F.substring("_text", (F.col("_e") + 1).cast("int"), F.col("_r").cast("int")).alias("r"))
+    side = lambda c, mine: F.max(F.when(F.col("mine") == mine, F.col(c))).alias(f"{c}_{mine}")
+    pairs = piece.groupBy(*own).agg(side("l", True), side("r", True), side("l", False), side("r", False))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
         for batch in batches:
-            columns = [c.to_pylist() for c in batch.columns]
-            out = [(d, h, s, e) for d, h, (s, e, n) in ((d, h, grown(s, e, n, l or "", r or "", al or "", ar or "")) for _, d, h, s, e, n, l, r, al, ar in zip(*columns)) if n >= min_words]
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in range(4)], names=["doc_id", "h", "start", "end"])
+            rows = batch.to_pylist()
+            out = [grown({c: x[c] for c in own}, x["l_True"] or "", x["r_True"] or "", x["l_False"] or "", x["r_False"] or "", block) for x in rows]
+            yield pa.RecordBatch.from_arrays([*[pa.array([x[c] for x in out], pa.int64()) for c in own], pa.array([x["more"] for x in out], pa.bool_())], names=[*own, "more"])
 
-    return pairs.mapInArrow(run, "doc_id long, h long, start long, end long")
+    return pairs.mapInArrow(run, ", ".join([*[f"`{c}` long" for c in own], "more boolean"]))
 
 
 def removals(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -229,9 +253,7 @@ def removals(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 def dedup_passages(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """All rows and columns of documents, `text` without the repeated passages."""
-    found = passages(documents, min_words).select(F.col("doc_id").alias("_doc"), F.col("h").alias("_h"), F.col("spans").alias("_spans"))
-    same = (F.col("doc_id").cast("long") == F.col("_doc")) & (F.xxhash64(F.col("text").cast("string")) == F.col("_h"))
-    joined = documents.join(found, same, "left").drop("_doc", "_h")
+    joined = beside(documents, passages(documents, min_words), "spans")
     at, last = documents.columns.index("text"), len(documents.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
