@@ -1,4 +1,4 @@
-"""Node and edge tables: merging, upserts, entity resolution, degrees, hierarchy, communities."""
+"""Node and edge tables: merging, upserts, entity resolution, degrees, hierarchy, components, communities."""
 
 from __future__ import annotations
 
@@ -124,49 +124,111 @@ def spread(nodes: DataFrame, edges: DataFrame) -> DataFrame:
             return now
 
 
-def communities(edges: DataFrame) -> DataFrame:
-    """node and community of an undirected weighted graph (a, b, weight) by local modularity moves.
+#: Local moves, contraction and refinement go on while the modularity rises by more than this.
+LEAST_GAIN = 1e-7
+
 
-    In each round every node works out, from its neighbours' communities, the move of the greatest gain in modularity;
-    to keep moves from crossing, only nodes whose turn it is by a hash move, and where these together do not raise the
-    modularity, only the one that gains most. So it rises in every round, and the rounds go on until no node wants to
-    move. Ties go to the least community. The source's order-dependent method has no one right result; what holds is that
-    this is a partition of the nodes, that the modularity is not below that of single nodes, and that no move raises it.
+def communities(edges: DataFrame) -> DataFrame:
+    """node and community (its least node) of an undirected weighted graph (a, b, weight), by Louvain's method.
+
+    On each level nodes move to the neighbouring community of the greatest gain in modularity, until none wants to; then
+    communities become the nodes of a smaller graph, whose edges have the summed weights, and whose degrees keep what lies
+    inside. When a level changes nothing, the nodes of each level below may move between what has been found, down to the
+    first graph, and the levels start from there again, as long as that raises the modularity. Edges of a pair are added, self-loops and edges
+    with a null end or weight count for nothing, weights have to be positive. An empty graph gives no rows. The method's
+    result depends on an order, here on hashes, so that it is the same at every run.
     """
-    both = edges.select("a", "b", F.col("weight").cast("double").alias("w")).where("a <> b")
+    both = edges.select("a", "b", F.col("weight").cast("double").alias("w")).where("a <> b and w > 0")
     both = checkpointed(both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"), "w")).groupBy("a", "b").agg(F.sum("w").alias("w")))
-    degree = checkpointed(both.groupBy("a").agg(F.sum("w").alias("k")))
-    two_m = degree.agg(F.sum("k")).first()[0]
-    now = degree.select("a", F.col("a").alias("c"), "k")
+    nodes = checkpointed(both.groupBy("a").agg(F.sum("w").alias("k")))
+    two_m = nodes.agg(F.sum("k")).first()[0]
     if not two_m:
-        return now.select(F.col("a").alias("node"), F.col("c").alias("community"))
+        return nodes.select(F.col("a").alias("node"), F.col("a").alias("community"))
+    value, found = None, nodes.select("a", F.col("a").alias("c"))
+    while True:
+        found, moved = _local_moves(both, nodes.join(found, "a"), two_m)
+        if value is not None and not moved:
+            break
+        levels = [(*contracted(both, nodes.join(found, "a")), found)]
+        while True:
+            links, level, of = levels[-1]
+            parts, moved = _local_moves(links, level.withColumn("c", F.col("a")), two_m)
+            if not moved:
+                break
+            levels.append((*contracted(links, level.join(parts, "a")), _through(of, parts)))
+        found = levels[-1][2]
+        for links, level, of in levels[-2::-1]:
+            start = of.join(found.toDF("a", "_c"), "a").groupBy("c").agg(F.first("_c").alias("_c")).toDF("a", "c")
+            parts, moved = _local_moves(links, level.join(start, "a"), two_m)
+            found = _through(of, parts) if moved else found
+        reached = _modularity(*contracted(both, nodes.join(found, "a")), two_m)
+        if value is not None and reached <= value + LEAST_GAIN:
+            break
+        value, best = reached, found
+    named = best.groupBy("c").agg(F.min("a").alias("community"))
+    return best.join(named, "c").select(F.col("a").alias("node"), "community")
+
+
+def _through(of: DataFrame, parts: DataFrame) -> DataFrame:
+    """a and c: from a node by its node on a level to that one's community."""
+    return checkpointed(of.join(parts.toDF("c", "_to"), "c").select("a", F.col("_to").alias("c")))
 
-    def quality(parts: DataFrame) -> float:
-        c = parts.select("a", "c")
-        inside = both.join(c, "a").join(c.toDF("b", "_c"), "b").where("c = _c").agg(F.coalesce(F.sum("w"), F.lit(0.0))).first()[0]
-        return inside / two_m - parts.groupBy("c").agg(F.sum("k").alias("tot")).agg(F.sum(F.col("tot") * F.col("tot"))).first()[0] / two_m**2
 
-    value, r = quality(now), 0
+def _modularity(links: DataFrame, level: DataFrame, two_m: float) -> float:
+    """Of communities as nodes: what is left of the degrees once the links between them are taken off, less what chance gives."""
+    between = links.agg(F.coalesce(F.sum("w"), F.lit(0.0))).first()[0]
+    return 1 - between / two_m - level.agg(F.sum(F.col("k") * F.col("k"))).first()[0] / two_m**2
+
+
+def contracted(links: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The weighted graph of communities: links (a, b, w) between them in both directions, and nodes (a, k) with their
+    degrees, to which links inside count as before. nodes: a, k and c, the community."""
+    of = nodes.select("a", "c")
+    joined = links.join(of.toDF("a", "_ca"), "a").join(of.toDF("b", "_cb"), "b").where("_ca <> _cb")
+    return checkpointed(joined.groupBy(F.col("_ca").alias("a"), F.col("_cb").alias("b")).agg(F.sum("w").alias("w"))), checkpointed(nodes.groupBy(F.col("c").alias("a")).agg(F.sum("k").alias("k")))
+
+
+def _local_moves(links: DataFrame, nodes: DataFrame, two_m: float) -> tuple[DataFrame, int]:
+    """a and c after moves that raise the modularity, and how many there were. nodes: a, k and c.
+
+    Moves of a round go from communities that only lose nodes in it to such that only gain some, by a hash; so of two moves
+    at once each has at least its own gain, less the product of the two degrees where they share an end. A move whose gain
+    is above its half of all such losses is made, which keeps the sum of all above zero. Where none is, those are made
+    that are the best of both communities that they touch, which are then all apart. So each round raises the modularity,
+    and many nodes move in it, also to one hub.
+    """
+    now, total, r = nodes.select("a", "k", "c"), 0, 0
     while True:
+        salt = F.lit(str(r))  # a string, so that the compiled code of all rounds is the same
         totals = now.groupBy("c").agg(F.sum("k").alias("tot"))
-        # A node's own community counts even where nothing links them, so that what it leaves is known.
-        reach = both.join(now.select(F.col("a").alias("b"), "c"), "b").select("a", "c", "w").unionByName(now.select("a", "c", F.lit(0.0).alias("w")))
-        links = reach.groupBy("a", "c").agg(F.sum("w").alias("into"))
+        reach = links.join(now.select(F.col("a").alias("b"), "c"), "b").select("a", "c", "w").unionByName(now.select("a", "c", F.lit(0.0).alias("w")))
+        into = reach.groupBy("a", "c").agg(F.sum("w").alias("into"))
         own = now.select("a", F.col("c").alias("was"), "k")
-        scored = links.join(totals, "c").join(own, "a").withColumn("gain", F.col("into") - F.col("k") * (F.col("tot") - F.when(F.col("c") == F.col("was"), F.col("k")).otherwise(0.0)) / two_m)
-        best = scored.groupBy("a").agg(F.max_by("c", F.struct(F.round("gain", 9), -F.col("c"))).alias("to"), F.max("gain").alias("best"), F.max(F.when(F.col("c") == F.col("was"), F.col("gain"))).alias("stay"))
-        wanted = now.join(best, "a").withColumn("more", F.when(F.col("to") != F.col("c"), F.col("best") - F.col("stay")).otherwise(0.0))
-        wanted = checkpointed(wanted.select("a", "c", "k", "to", F.when(F.col("more") > 1e-8, F.col("more")).alias("more")))
-        first = wanted.where("more is not null").orderBy(F.col("more").desc(), "a").select("a").first()
-        if first is None:
-            break
-        moved_if = lambda turn: wanted.select("a", F.when(turn & F.col("more").isNotNull(), F.col("to")).otherwise(F.col("c")).alias("c"), "k")  # noqa: E731, B023
-        after = checkpointed(moved_if(F.pmod(F.xxhash64("a", F.lit(r)), F.lit(2)) == 0))
-        if (reached := quality(after)) <= value + 1e-12:
-            after = checkpointed(moved_if(F.col("a") == first[0]))
-            reached = quality(after)
-        now, value, r = after, reached, r + 1
-    return now.select(F.col("a").alias("node"), F.col("c").alias("community"))
+        scored = into.join(totals, "c").join(own, "a").withColumn("score", F.col("into") - F.col("k") * (F.col("tot") - F.when(F.col("c") == F.col("was"), F.col("k")).otherwise(0.0)) / two_m)
+        best = scored.groupBy("a", "was", "k").agg(F.max_by("c", F.struct(F.round("score", 9), F.xxhash64("c", salt))).alias("to"), F.max("score").alias("_best"), F.max(F.when(F.col("c") == F.col("was"), F.col("score"))).alias("_stay"))
+        gain = F.col("_best") - F.col("_stay")
+        side = lambda c: F.pmod(F.xxhash64(c, salt), F.lit(2))  # noqa: E731, B023
+        wants = best.select("a", "k", "was", "to", gain.alias("gain"), ((F.col("to") != F.col("was")) & (gain > LEAST_GAIN * F.least(F.col("k"), F.lit(1.0)))).alias("wants"))
+        wants = checkpointed(wants.withColumn("may", F.col("wants") & (side("was") == 0) & (side("to") == 1)))
+        may = wants.where("may")
+        left, come = may.groupBy("was").agg(F.sum("k").alias("_out")), may.groupBy("to").agg(F.sum("k").alias("_in"))
+        loss = F.col("k") * (F.col("_out") + F.col("_in") - 2 * F.col("k")) / (2 * two_m)
+        after, made = _moved(wants.join(left, "was", "left").join(come, "to", "left").withColumn("goes", F.col("may") & (F.col("gain") > loss)))
+        if not made:
+            order = F.struct(F.round("gain", 9), F.xxhash64("a", salt), "a")
+            ends = wants.where("wants").select(F.explode(F.array("was", "to")).alias("c"), order.alias("o")).groupBy("c").agg(F.max("o").alias("o"))
+            apart = wants.withColumn("o", order).join(ends.toDF("was", "_w"), "was", "left").join(ends.toDF("to", "_t"), "to", "left")
+            after, made = _moved(apart.withColumn("goes", F.col("wants") & (F.col("o") == F.col("_w")) & (F.col("o") == F.col("_t"))))
+        if not made:
+            return now.select("a", "c"), total
+        now, total, r = after, total + made, r + 1
+
+
+def _moved(marked: DataFrame) -> tuple[DataFrame, int]:
+    """a, k and c after the moves that are marked to go, and how many these are."""
+    goes = F.coalesce("goes", F.lit(False))
+    after = checkpointed(marked.select("a", "k", F.when(goes, F.col("to")).otherwise(F.col("was")).alias("c"), goes.alias("_goes")))
+    return after.drop("_goes"), after.where("_goes").count()
 
 
 def modularity(edges: DataFrame, parts: DataFrame) -> DataFrame:

@@ -20,8 +20,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """df as a checkpoint in the shared folder: what reads it later sees the same rows in the same partitions."""
+    """df as a checkpoint in the shared folder: what reads it later sees the same rows in the same partitions.
+
+    It is given back as a plain table of rows: a checkpoint by itself keeps what the optimizer has concluded about its
+    columns, and in a loop these conclusions double with each round."""
     spark: SparkSession = df.sparkSession
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint()
+    kept = df.checkpoint()._jdf
+    return DataFrame(spark._jsparkSession.createDataFrame(kept.toJavaRDD(), kept.schema()), spark)

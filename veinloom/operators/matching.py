@@ -2,8 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import re
+import uuid
+from collections.abc import Iterator
+from functools import partial
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from veinloom.functions import text as X
@@ -19,73 +26,172 @@ def term_dictionary(entities: DataFrame, key: str, name: str, synonyms: str, com
     return terms.join(common_words.select(F.col("word").alias("term")), "term", "left_anti").select(key, "term")
 
 
-#: A dictionary of up to so many characters is broadcast, so texts stay where they are.
-BROADCAST_CHARS = 16_000_000
+#: Characters of the terms that an automaton is made of, some 100 MB of it; a larger dictionary is searched for in blocks.
+BLOCK_CHARS = 2_000_000
+
+
+class TermFinder:
+    """Counts all terms of a dictionary in one pass over a text.
+
+    A term is in a text that contains it and has each of its words as a token. Terms without a blank are counted as tokens,
+    others wherever they stand, without overlaps from the left. Names and terms are parallel; a term may have several names,
+    and a name several terms, whose counts are added.
+    """
+
+    def __init__(self, names: list[int], terms: list[str]):
+        import ahocorasick
+
+        of: dict[str, list[int]] = {}
+        for name, term in zip(names, terms):
+            of.setdefault(term, []).append(name)
+        self.words = re.compile(r"\w+")
+        self.terms = [(term, own, self.words.findall(term)) for term, own in of.items()]
+        self.automaton = ahocorasick.Automaton()
+        for i, (term, _, words) in enumerate(self.terms):
+            if words and (" " in term or words == [term]):  # a term without a blank is a token, or nowhere
+                self.automaton.add_word(term, i)
+        if len(self.automaton):
+            self.automaton.make_automaton()
+
+    def count(self, text: str) -> dict[int, int]:
+        """Number of the name to its count; only names that occur."""
+        if not len(self.automaton):
+            return {}
+        found: dict[int, list[int]] = {}  # number of the term: its count, the end of its last occurrence
+        for last, i in self.automaton.iter(text):
+            term = self.terms[i][0]
+            start = last + 1 - len(term)
+            if " " in term:
+                seen = found.setdefault(i, [0, 0])
+                if start >= seen[1]:
+                    seen[0] += 1
+                    seen[1] = last + 1
+            elif not (start and _of_word(text[start - 1])) and not (last + 1 < len(text) and _of_word(text[last + 1])):
+                found.setdefault(i, [0, 0])[0] += 1
+        tokens, out = None, {}
+        for i, (n, _) in found.items():
+            term, names, words = self.terms[i]
+            if " " in term:
+                tokens = tokens or set(self.words.findall(text))
+                if not tokens.issuperset(words):
+                    continue
+            for name in names:
+                out[name] = out.get(name, 0) + n
+        return out
+
+
+def _of_word(c: str) -> bool:
+    return c.isalnum() or c == "_"
+
+
+#: The automaton that a worker made last, by the block it is of.
+_FINDER: dict = {}
+
+
+def _finder(sent) -> tuple[pa.Array, TermFinder]:
+    if sent.id not in _FINDER:
+        _FINDER.clear()
+        names, of, terms = sent.value
+        _FINDER[sent.id] = names, TermFinder(of, terms)
+    return _FINDER[sent.id]
+
+
+class _Sent:
+    """A broadcast block of a dictionary, with a name that workers know it by."""
+
+    def __init__(self, spark: SparkSession, block: tuple):
+        self.id, self._sent = uuid.uuid4().hex, spark.sparkContext.broadcast(block)
+
+    @property
+    def value(self) -> tuple:
+        return self._sent.value
 
 
 def match_terms(texts: DataFrame, keys: list[str], text: str, terms: DataFrame, name: str, term: str) -> DataFrame:
-    """keys, name and n: how often a name's terms occur in a text, in lower case on both sides.
+    """keys, name and n: how often a name's terms occur in each text, in lower case on both sides; see TermFinder.
 
-    A term is in a text that contains it and has each of its words as a token. Terms of one word are counted as tokens,
-    longer ones wherever they stand. A text meets only terms whose longest word it has; that join is on a broadcast
-    dictionary if this is small, by its measured size, else on the word, and texts are then joined by `keys`, which have
-    to be unique.
+    Map-only: the dictionary is broadcast, in blocks of a bounded number of characters by a hash of the name, each of which
+    is one more pass over the texts; a text is read once for all terms of a block. Null texts have no terms, null names and
+    terms are left out. Rows of equal keys are texts of their own.
     """
-    low = texts.select(*keys, F.lower(F.col(text)).alias("_text")).withColumn("_tokens", X.tokens("_text"))
-    words = X.tokens("_term")
-    dictionary = terms.select(F.col(name).alias("_name"), F.lower(F.col(term)).alias("_term")).distinct().withColumn("_words", F.array_distinct(words)).where(F.size("_words") > 0)
-    dictionary = dictionary.withColumn("_word", F.array_max(F.transform("_words", lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"])
-    chars = dictionary.agg(F.sum(F.length("_term") + F.length(F.col("_name").cast("string")))).first()[0] or 0
-    if chars <= BROADCAST_CHARS:
-        met = low.select(*keys, "_text", "_tokens", F.explode(F.array_distinct("_tokens")).alias("_word")).join(F.broadcast(dictionary), "_word")
-    else:
-        places = low.select(*keys, F.explode(F.array_distinct("_tokens")).alias("_word")).join(dictionary, "_word")
-        met = low.join(places, keys)
-    hit = F.col("_text").contains(F.col("_term")) & (F.size(F.array_except("_words", "_tokens")) == 0)
-    one = ~F.col("_term").contains(" ")
-    as_tokens = F.size(F.filter("_tokens", lambda w: w == F.col("_term")))
-    anywhere = (F.length("_text") - F.length(F.replace(F.col("_text"), F.col("_term"), F.lit("")))) / F.length("_term")
-    n = F.when(one, as_tokens.cast("long")).otherwise(anywhere.cast("long"))
-    return met.where(hit).select(*keys, F.col("_name").alias(name), n.alias("n")).where("n > 0").groupBy(*keys, name).agg(F.sum("n").alias("n"))
-
-
-def match_variants(texts: DataFrame, keys: list[str], text: str, terms: DataFrame, name: str, term: str, stems: bool = False) -> DataFrame:
-    """match_terms on terms in both word orders; with stems also on stemmed texts and terms, whose counts then take the
-    place of the exact ones. A stemmed text is its tokens' stems with blanks between."""
-    in_orders = lambda c: terms.select(F.col(name).alias("_of"), F.explode(X.term_orders(c)).alias("_variant")).distinct()
-    exact = match_terms(texts, keys, text, in_orders(F.lower(F.col(term))), "_of", "_variant")
+    spark = texts.sparkSession
+    low = texts.select(*keys, F.lower(F.col(text)).alias("_text"))
+    dictionary = terms.where(F.col(name).isNotNull() & F.col(term).isNotNull()).select(F.col(name).alias("_name"), F.lower(F.col(term)).alias("_term")).distinct()
+    blocks = 1 + (dictionary.agg(F.sum(F.length("_term") + F.length(F.col("_name").cast("string")))).first()[0] or 0) // BLOCK_CHARS
+    kind = T.StructType([*low.drop("_text").schema.fields, T.StructField(name, dictionary.schema["_name"].dataType), T.StructField("n", T.LongType())])
+    out = None
+    for k in range(blocks):
+        block = dictionary.where(F.pmod(F.xxhash64("_name"), F.lit(blocks)) == k).toArrow() if blocks > 1 else dictionary.toArrow()
+        names = block.column(0).combine_chunks().dictionary_encode()
+        sent = _Sent(spark, (names.dictionary, names.indices.to_pylist(), block.column(1).to_pylist()))
+        found = low.mapInArrow(partial(_count_terms, sent=sent), kind)
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+def _count_terms(batches: Iterator[pa.RecordBatch], sent: _Sent) -> Iterator[pa.RecordBatch]:
+    names, finder = _finder(sent)
+    for batch in batches:
+        rows, of, n = [], [], []
+        for row, text in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
+            for i, count in finder.count(text).items() if text else ():
+                rows.append(row), of.append(i), n.append(count)
+        at = pa.array(rows, pa.int64())
+        columns = [c.take(at) for c in batch.columns[:-1]]
+        yield pa.RecordBatch.from_arrays([*columns, names.take(pa.array(of, pa.int64())), pa.array(n, pa.int64())], names=[*batch.schema.names[:-1], "_name", "n"])
+
+
+def stemmed(x: Column) -> Column:
+    """In lower case, without punctuation, each word's stem."""
+    return stem(F.regexp_replace(F.lower(x), r"(?U)[^\w\s]", ""))
+
+
+def match_both(texts: DataFrame, keys: list[str], text: str, terms: DataFrame, name: str, term: str, stems: bool = True, orders: bool = False) -> DataFrame:
+    """keys, name and n: counts of the terms as they are, to which those of stemmed terms in the stemmed text are added;
+    with orders, terms of two words count in both orders. `keys` have to be unique."""
+    of = lambda c: F.array_distinct(X.term_orders(c)) if orders else F.array(c)
+    variants = lambda c: terms.select(F.col(name).alias("_of"), F.explode(of(c)).alias("_variant")).where("_variant <> ''").distinct()
+    found = match_terms(texts, keys, text, variants(F.lower(F.col(term))), "_of", "_variant")
     if stems:
-        stemmed = lambda c: stem(F.array_join(X.tokens(F.lower(F.col(c))), " "))
-        by_stem = match_terms(texts.withColumn(text, stemmed(text)), keys, text, in_orders(stemmed(term)), "_of", "_variant")
-        exact = exact.join(by_stem.withColumnRenamed("n", "_n"), [*keys, "_of"], "full_outer").withColumn("n", F.coalesce("_n", "n")).drop("_n")
-    return exact.withColumnRenamed("_of", name)
+        by_stem = match_terms(texts.withColumn(text, stemmed(F.col(text))), keys, text, variants(stemmed(F.col(term))), "_of", "_variant")
+        found = found.unionByName(by_stem).groupBy(*keys, "_of").agg(F.sum("n").alias("n"))
+    return found.select(*keys, F.col("_of").alias(name), "n")
 
 
-# Weights of a statement's first sentence, of those on goals, on the future and all others, and the factors of
-# the sources.
-ROLE_WEIGHTS = {"first": 5, "goal": 7, "future": 3, "present": 1}
-SOURCE_FACTORS = {"title": 20, "statement": 2, "abstract": 1}
+def without_contained(found: DataFrame, keys: list[str], name: str, always: bool = False) -> DataFrame:
+    """Rows whose name is in no other name of the same keys that has at least their count; with always, whatever its count.
+    What is compared are the few names that a text has."""
+    own = F.struct(F.col(name).alias("name"), F.col("n").alias("n"))
+    listed = found.groupBy(*keys).agg(F.collect_list(own).alias("_all"))
+    inside = lambda x, y: (x["name"] != y["name"]) & y["name"].contains(x["name"]) & (F.lit(always) | (x["n"] <= y["n"]))
+    kept = F.filter("_all", lambda x: ~F.exists("_all", lambda y: inside(x, y)))
+    return listed.select(*keys, F.explode(kept).alias("_one")).select(*keys, F.col("_one.name").alias(name), F.col("_one.n").alias("n"))
 
 
-def weighted_sentences(texts: DataFrame, key: str, sources: list[str]) -> DataFrame:
-    """key, rank of the source, source, place and weight of its sentences. The first source, a title, counts as it is; of
-    the others only sentences that are neither negated nor past count, by their role."""
-    title = texts.select(key, F.lit(0).alias("rank"), F.lit(sources[0]).alias("source"), F.lit(0).alias("place"), F.lit(1).alias("weight"), F.col(sources[0]).alias("sentence"))
-    every = title
-    for k, s in enumerate(sources[1:], 1):
-        one = texts.select(key, F.lit(k).alias("rank"), F.lit(s).alias("source"), F.posexplode(X.sentences(s)).alias("place", "sentence"))
-        role = sentence_role("sentence", F.col("place") == 0)
-        weight = F.coalesce(*[F.when(role == r, F.lit(w)) for r, w in ROLE_WEIGHTS.items()])
-        every = every.unionByName(one.withColumn("weight", weight).where("weight is not null"))
-    return every
+# Weights of a text's first sentence, of those on goals, on the future and all others, and the factors of the
+# sources.
+ROLE_WEIGHTS = {"first": 5, "goal": 7, "future": 3, "present": 1}
+SOURCE_FACTORS = {"title": 20, "statement": 2, "abstract": 1}
 
 
 def match_cascade(texts: DataFrame, key: str, sources: list[str], terms: DataFrame, name: str, term: str, stems: bool = False) -> DataFrame:
-    """key, name, n (weighted count) and source: matches in the first of the sources that has any, for each key."""
-    found = match_variants(weighted_sentences(texts, key, sources), [key, "rank", "source", "place", "weight"], "sentence", terms, name, term, stems)
-    summed = found.groupBy(key, "rank", "source", name).agg(F.sum(F.col("weight") * F.col("n")).alias("n"))
-    first = F.min("rank").over(Window.partitionBy(key))
-    return summed.withColumn("_first", first).where("rank = _first").select(key, name, "n", "source")
+    """key, name, n and source: matches in the first of the sources that has any, for each key.
+
+    The first source is a title: names count once, terms of two words in both orders, and a name inside another one goes.
+    The others are cut into the sentences of each role, joined; terms count as they are there, a name inside another goes if
+    it has not the larger count, and what is left is weighted by the role and added up. With stems the counts of stemmed
+    terms are added in each text. `key` has to be unique.
+    """
+    title = match_both(texts, [key], sources[0], terms, name, term, stems, orders=True)
+    found = without_contained(title, [key], name, always=True).select(key, name, F.lit(1).cast("long").alias("n"), F.lit(0).alias("_rank"))
+    roled = texts.select(key, *[_with_role(F.col(c)).alias(f"_roles_{k}") for k, c in enumerate(sources[1:], 1)])
+    place = F.array(*[F.struct(F.lit(k).alias("_rank"), F.lit(w).alias("_weight"), _of_role(F.col(f"_roles_{k}"), r).alias("_text")) for k in range(1, len(sources)) for r, w in ROLE_WEIGHTS.items()])
+    parts = roled.select(key, F.explode(place).alias("_p")).select(key, "_p.*").where("_text <> ''")
+    several = without_contained(match_both(parts, [key, "_rank", "_weight"], "_text", terms, name, term, stems), [key, "_rank", "_weight"], name)
+    summed = several.groupBy(key, "_rank", name).agg(F.sum(F.col("_weight") * F.col("n")).alias("n"))
+    every = found.unionByName(summed.select(key, name, "n", "_rank"))
+    of = F.element_at(F.array(*map(F.lit, sources)), F.col("_rank") + 1)
+    return every.withColumn("_first", F.min("_rank").over(Window.partitionBy(key))).where("_rank = _first").select(key, name, "n", of.alias("source"))
 
 
 def confidence_score(n: Column, source: Column) -> Column:
@@ -125,19 +231,21 @@ NEGATED, PAST = rf"(^|{_OUT})(not|no|never|without|cannot)({_OUT}|$)|n't({_OUT}|
 GOAL, FUTURE = "the goal of|aim", rf"(^|{_OUT})(will|shall|going to)({_OUT}|$)"
 
 
-def sentence_role(sentence: str, is_first: Column) -> Column:
-    """first, goal, future or present; null for a sentence that is negated or past."""
-    low = F.lower(F.col(sentence))
-    return F.when(low.rlike(NEGATED) | low.rlike(PAST), None).when(is_first, "first").when(low.rlike(GOAL), "goal").when(low.rlike(FUTURE), "future").otherwise("present")
+def _with_role(text: Column) -> Column:
+    """The sentences as structs of role and x: first, goal, future or present; null for one that is negated or past."""
+    low = F.lower
+    role = lambda x, i: F.when(low(x).rlike(NEGATED) | low(x).rlike(PAST), None).when(i == 0, "first").when(low(x).rlike(GOAL), "goal").when(low(x).rlike(FUTURE), "future").otherwise("present")
+    return F.transform(X.sentences(text), lambda x, i: F.struct(role(x, i).alias("role"), x.alias("x")))
+
+
+def _of_role(sentences: Column, role: str) -> Column:
+    return F.array_join(F.transform(F.filter(sentences, lambda s: s["role"] == role), lambda s: s["x"]), " ")
 
 
-def sentence_roles(text: Column) -> Column:
-    """The text of the sentences of each role, as a struct; an approximation by words, where a tagger would be better."""
-    s = X.sentences(text)
-    usable = F.filter(s, lambda x: ~F.lower(x).rlike(NEGATED) & ~F.lower(x).rlike(PAST))
-    kept = F.filter(F.transform(s, lambda x, i: F.struct(i.alias("i"), x.alias("x"))), lambda x: F.array_contains(usable, x["x"]))
-    role = lambda x: F.when(x["i"] == 0, "first").when(F.lower(x["x"]).rlike(GOAL), "goal").when(F.lower(x["x"]).rlike(FUTURE), "future").otherwise("present")
-    return F.struct(*[F.array_join(F.transform(F.filter(kept, lambda x: role(x) == r), lambda x: x["x"]), " ").alias(r) for r in ROLE_WEIGHTS])  # noqa: B023
+def sentence_roles(texts: DataFrame, key: str, text: str) -> DataFrame:
+    """key, and the joined sentences of each role; an approximation by words, where a tagger would be better."""
+    roled = texts.select(key, _with_role(F.col(text)).alias("_roles"))
+    return roled.select(key, *[_of_role(F.col("_roles"), r).alias(r) for r in ROLE_WEIGHTS])
 
 
 # Words of incidence and prevalence.

@@ -65,34 +65,39 @@ def _role(place: str) -> str:
 _SENTENCES = " UNION ALL ".join(
     f"SELECT \"row\", {k} AS rank, '{c}' AS source, place, {_role('place')} AS weight, s FROM (SELECT \"row\", list_filter(string_split({c}, chr(57344)), lambda z: trim(z, ' ') <> '') AS l, unnest(range(len(l))) AS place, l[place + 1] AS s FROM ({_PARTS}))" for k, c in ((1, "statement"), (2, "abstract"))
 )
-_SENTENCES = f"SELECT \"row\", 0 AS rank, 'title' AS source, 0 AS place, 1 AS weight, title AS s FROM ({_PARTS}) UNION ALL SELECT * FROM ({_SENTENCES}) WHERE weight IS NOT NULL"
-_CASCADE = f"SELECT \"row\", rank, source, term, CAST(sum(weight * n) AS BIGINT) AS n FROM ({_matches(_SENTENCES, '"row", rank, source, place, weight', _ORDERS)}) GROUP BY ALL"
-_FIRST_HITS = f"SELECT \"row\", term, n, source FROM (SELECT *, min(rank) OVER (PARTITION BY \"row\") AS m FROM ({_CASCADE})) WHERE rank = m"
+_ROLED = f"SELECT \"row\", rank, source, weight, string_agg(s, ' ' ORDER BY place) AS s FROM ({_SENTENCES}) WHERE weight IS NOT NULL GROUP BY ALL"
+
+
+def _maximal(hits: str, keys: list[str], always: bool = False) -> str:
+    """Without names inside others of the same keys, whose count is at least theirs."""
+    same = " AND ".join(f"b.{k} = a.{k}" for k in keys)
+    return f"SELECT a.* FROM ({hits}) a WHERE NOT EXISTS (SELECT 1 FROM ({hits}) b WHERE {same} AND b.term <> a.term AND contains(b.term, a.term){'' if always else ' AND a.n <= b.n'})"
+
+
+_IN_TITLES = f"SELECT \"row\", 0 AS rank, 'title' AS source, term, 1 AS n FROM ({_maximal('SELECT * FROM title_hits', ['"row"'], always=True)})"
+_IN_ROLES = f"SELECT \"row\", rank, source, term, CAST(sum(weight * n) AS BIGINT) AS n FROM ({_maximal('SELECT * FROM role_hits', ['"row"', 'rank', 'weight'])}) GROUP BY ALL"
+_HIT_TABLES = f"""title_hits AS MATERIALIZED ({_matches(f'SELECT "row", title AS s FROM ({_PARTS})', '"row"', _ORDERS)}), role_hits AS MATERIALIZED ({_matches(_ROLED, '"row", rank, source, weight', _PLAIN)})"""
+_FIRST_HITS = f"WITH {_HIT_TABLES} SELECT \"row\", term, n, source FROM (SELECT *, min(rank) OVER (PARTITION BY \"row\") AS m FROM ({_IN_TITLES} UNION ALL {_IN_ROLES})) WHERE rank = m"
 _SOURCES = ["title", "statement", "abstract"]
 
 
 @query(_FIRST_HITS)
 def dom_match_cascade(t):
-    """Weighted matches, in both word orders, in the first of title, statement and abstract that has any."""
+    """Weighted matches in the first of title, statement and abstract that has any; names inside others go."""
     return M.match_cascade(_parts(t), "row", _SOURCES, _terms(t), "term", "term")
 
 
 @query()
 def dom_match_cascade_stems(t):
-    """The same with a further pass over stems."""
+    """The same with the counts of stemmed terms added."""
     return M.match_cascade(_parts(t), "row", _SOURCES, _terms(t), "term", "term", stems=True)
 
 
-@query(f"SELECT \"row\", term, round(CASE WHEN raw < 20 THEN ln(raw) / ln(20) ELSE 1 END, 6) AS score FROM (SELECT \"row\", term, CASE source WHEN 'title' THEN 20 WHEN 'statement' THEN 1 + (2 * n) // 2 ELSE 1 + n // 2 END AS raw FROM ({_FIRST_HITS}))")
-def dom_conf_score(t):
-    hits = M.match_cascade(_parts(t), "row", _SOURCES, _terms(t), "term", "term")
-    return hits.select("row", "term", F.round(M.confidence_score(F.col("n"), F.col("source")), 6).alias("score"))
-
-
-@query(f"SELECT \"row\", term FROM ({_FIRST_HITS}) a WHERE NOT EXISTS (SELECT 1 FROM ({_FIRST_HITS}) b WHERE b.\"row\" = a.\"row\" AND b.term <> a.term AND contains(b.term, a.term))")
+@query(f"WITH hits AS MATERIALIZED ({_matches('SELECT doc_id AS "row", text AS s FROM documents', '"row"', _PLAIN)}) {_maximal('SELECT * FROM hits', ['"row"'])}")
 def win_longest_match(t):
-    hits = M.match_cascade(_parts(t), "row", _SOURCES, _terms(t), "term", "term").select("row", "term")
-    return W.maximal_terms(hits, "row", "term")
+    """Terms of a text without those inside another one that is found at least as often."""
+    hits = M.match_both(t("documents").select(F.col("doc_id").alias("row"), "text"), ["row"], "text", _terms(t), "term", "term", stems=False)
+    return M.without_contained(hits, ["row"], "term")
 
 
 @query("SELECT DISTINCT p_partkey, term FROM (SELECT p_partkey, lower(p_name) AS term FROM part UNION SELECT p_partkey, lower(unnest(string_split(p_name, ' '))) FROM part) WHERE length(term) > 4 AND term NOT IN (SELECT lower(split_part(p_name, ' ', 1)) FROM part WHERE p_partkey <= 30)")
@@ -202,9 +207,14 @@ def dom_source_select(t):
     return _parts(t).select(F.col("row").alias("doc_id"), F.when(X.word_count("statement") > 20, "PHR").when(F.col("abstract") != "", "ABSTRACT").otherwise("TITLE").alias("source"))
 
 
-@query()
+_NOTED_ALL = f"SELECT doc_id, place, l[place + 1] AS s FROM (SELECT doc_id, l, unnest(range(len(l))) AS place FROM (SELECT doc_id, list_filter(string_split({_ENDS}, chr(57344)), lambda z: trim(z, ' ') <> '') AS l FROM documents))"
+
+
+@query("SELECT d.doc_id, " + ", ".join(f"trim(regexp_replace(coalesce(string_agg(s, ' ' ORDER BY place) FILTER (WHERE weight = {w}), ''), '\\s+', ' ', 'g'), ' ') AS \"{r}\"" for r, w in M.ROLE_WEIGHTS.items()) + f" FROM documents d LEFT JOIN (SELECT doc_id, place, s, {_role('place')} AS weight FROM ({_NOTED_ALL})) USING (doc_id) GROUP BY 1")
 def dom_sentence_roles(t):
-    return t("documents").select("doc_id", M.sentence_roles(F.col("text")).alias("r")).select("doc_id", "r.*")
+    """The sentences of each role that are neither negated nor past, with single blanks."""
+    roles = M.sentence_roles(t("documents"), "doc_id", "text")
+    return roles.select("doc_id", *[F.trim(F.regexp_replace(c, r"\s+", " ")).alias(c) for c in roles.columns[1:]])
 
 
 #: Aliases of three kinds of entities: the longer words of the benchmark, by their lengths.
