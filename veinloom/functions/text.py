@@ -65,7 +65,8 @@ def camel_split(x: Text) -> Column:
 
 
 def split_multi(x: Text) -> Column:
-    parts = F.transform(F.split(_c(x), r"[\s\-_/\.]+"), lambda p: F.regexp_replace(p, r"[^A-Za-z0-9]", ""))
+    """Words between blanks, dashes, underscores, slashes and points, without punctuation at their ends."""
+    parts = F.transform(F.split(_c(x), r"[\s\-_/\.]+"), lambda p: F.regexp_replace(p, r"^\p{Punct}+|\p{Punct}+$", ""))
     return F.filter(parts, lambda p: p != "")
 
 

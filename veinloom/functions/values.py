@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -80,6 +83,36 @@ def key_path(schema: T.DataType, name: str) -> str | None:
     return None
 
 
+def _found(value, name: str) -> tuple[str, object] | None:
+    """Path and value of the first place of a key, from the outside inwards in each branch; lists count as their elements."""
+    if isinstance(value, list):
+        return next(filter(None, (_found(x, name) for x in value)), None)
+    for k, v in value.items() if isinstance(value, dict) else ():
+        if k == name:
+            return name, v
+        if deeper := _found(v, name):
+            return f"{k}.{deeper[0]}", deeper[1]
+    return None
+
+
+def find_key(text: Column, name: str) -> Column:
+    """path and value (a text as it is, all else as JSON) of a key in a JSON text, however deep; nulls if it is nowhere, or
+    the text null or no JSON. Depth is unknown, so the text is parsed in Python, batch by batch."""
+
+    @F.pandas_udf("path string, value string")
+    def find(texts: pd.Series) -> pd.DataFrame:
+        out = []
+        for x in texts:
+            try:
+                hit = _found(json.loads(x), name) if x is not None else None
+            except ValueError:
+                hit = None
+            out.append((None, None) if hit is None else (hit[0], hit[1] if isinstance(hit[1], str) else json.dumps(hit[1])))
+        return pd.DataFrame(out, columns=["path", "value"])
+
+    return find(text)
+
+
 def confidence(score: Column) -> Column:
     return F.when(score >= 0.9, "HIGH").otherwise("MEDIUM")
 

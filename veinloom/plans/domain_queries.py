@@ -100,11 +100,11 @@ def win_longest_match(t):
     return M.without_contained(hits, ["row"], "term")
 
 
-@query("SELECT DISTINCT p_partkey, term FROM (SELECT p_partkey, lower(p_name) AS term FROM part UNION SELECT p_partkey, lower(unnest(string_split(p_name, ' '))) FROM part) WHERE length(term) > 4 AND term NOT IN (SELECT lower(split_part(p_name, ' ', 1)) FROM part WHERE p_partkey <= 30)")
+@query("SELECT DISTINCT p_partkey, term FROM (SELECT p_partkey, lower(p_name) AS term FROM part UNION SELECT p_partkey, lower(unnest(string_split(p_name, ' '))) FROM part) WHERE length(term) > 4 AND term NOT IN (SELECT lower(p_type) FROM part)")
 def dom_term_dictionary(t):
     """Names and synonyms without short words and without single words of a word list."""
     parts = t("part").select("p_partkey", "p_name", F.split("p_name", " ").alias("synonyms"))
-    common = t("part").where("p_partkey <= 30").select(F.lower(F.split("p_name", " ")[0]).alias("word")).distinct()
+    common = t("part").select(F.lower("p_type").alias("word")).distinct()
     return M.term_dictionary(parts, "p_partkey", "p_name", "synonyms", common)
 
 
@@ -235,10 +235,10 @@ def dom_target_rank(t):
     return M.rank_targets(t("documents").select("doc_id", "text"), "doc_id", "text", of(0), of(1), of(2))
 
 
-@query("SELECT o_orderkey, c_custkey FROM (SELECT o_orderkey, unnest(['Cond ' || o_custkey, '  COND-' || (o_custkey + 1)]) AS x FROM orders WHERE o_orderkey % 5 = 0) JOIN customer ON trim(regexp_replace(lower(x), '[^\\p{L}\\p{N}\\p{M}\\p{Pc}]+', ' ', 'g')) = 'cond ' || c_custkey GROUP BY 1, 2")
+@query("SELECT o_orderkey, c_custkey FROM (SELECT o_orderkey, unnest(['Cond ' || o_custkey, '  COND-' || (o_custkey + 1)]) AS x FROM orders) JOIN customer ON trim(regexp_replace(lower(x), '[^\\p{L}\\p{N}\\p{M}\\p{Pc}]+', ' ', 'g')) = 'cond ' || c_custkey GROUP BY 1, 2")
 def dom_condition_map(t):
     """Conditions of a trial, in any spelling, mapped to entities by their normalised names; each pair once."""
-    listed = t("orders").where("o_orderkey % 5 = 0").select("o_orderkey", F.explode(F.array(F.concat(F.lit("Cond "), "o_custkey"), F.concat(F.lit("  COND-"), F.col("o_custkey") + 1))).alias("x"))
+    listed = t("orders").select("o_orderkey", F.explode(F.array(F.concat(F.lit("Cond "), "o_custkey"), F.concat(F.lit("  COND-"), F.col("o_custkey") + 1))).alias("x"))
     names = t("customer").select("c_custkey", F.concat(F.lit("cond "), "c_custkey").alias("term"))
     return listed.select("o_orderkey", X.normalize_term("x").alias("term")).join(names, "term").select("o_orderkey", "c_custkey").distinct()
 
@@ -260,16 +260,18 @@ def dom_epi_annotation(t):
     return M.annotate(t("documents").select(F.col("doc_id").alias("row"), "text"), "text", score).select("row", "probability")
 
 
-_DRUGS = "SELECT 'D' || p_partkey AS drug, lower(p_name) AS v FROM part WHERE p_partkey <= 40 UNION ALL SELECT 'W' || p_partkey, lower(split_part(p_name, ' ', 1)) FROM part WHERE p_partkey <= 20"
+_DRUGS = "SELECT 'D' || min(p_partkey) AS drug, lower(p_name) AS v FROM part GROUP BY 2 UNION ALL SELECT 'W' || min(p_partkey), lower(split_part(p_name, ' ', 1)) FROM part GROUP BY 2"
+_GIVEN = "SELECT p_partkey, CASE WHEN p_size > 25 THEN p_name WHEN p_size > 12 THEN 'Oral ' || p_name || ' ' || p_type ELSE split_part(p_name, ' ', 1) || ' ' || p_brand END AS given FROM part"
 
 
-@query(f"WITH d AS MATERIALIZED ({_DRUGS}), n AS MATERIALIZED (SELECT p_partkey, lower(p_name) AS x FROM part), e AS (SELECT DISTINCT p_partkey, drug, 'exact' AS how, v AS term FROM n JOIN d ON v = x), s AS (SELECT DISTINCT p_partkey, v FROM n JOIN (SELECT DISTINCT v FROM d) ON contains(x, v) AND len(list_filter(string_split(v, ' '), lambda w: NOT list_contains(string_split(x, ' '), w))) = 0 WHERE p_partkey NOT IN (SELECT p_partkey FROM e)), l AS (SELECT p_partkey, v FROM (SELECT *, max(length(v)) OVER (PARTITION BY p_partkey) AS m FROM s) WHERE length(v) = m) SELECT * FROM e UNION ALL SELECT DISTINCT p_partkey, drug, 'span', v FROM l JOIN d USING (v)")
+@query(f"WITH d AS MATERIALIZED ({_DRUGS}), n AS MATERIALIZED (SELECT p_partkey, lower(given) AS x FROM ({_GIVEN})), e AS (SELECT DISTINCT p_partkey, drug, 'exact' AS how, v AS term FROM n JOIN d ON v = x), s AS (SELECT DISTINCT p_partkey, v FROM n JOIN (SELECT DISTINCT v FROM d) ON contains(x, v) AND len(list_filter(string_split(v, ' '), lambda w: NOT list_contains(string_split(x, ' '), w))) = 0 WHERE p_partkey NOT IN (SELECT p_partkey FROM e)), l AS (SELECT p_partkey, v FROM (SELECT *, max(length(v)) OVER (PARTITION BY p_partkey) AS m FROM s) WHERE length(v) = m) SELECT * FROM e UNION ALL SELECT DISTINCT p_partkey, drug, 'span', v FROM l JOIN d USING (v)")
 def dom_drug_map(t):
     """By the exact name, else by the longest names inside it, with a flag that says which."""
     part = t("part")
-    drugs = part.where("p_partkey <= 40").select(F.concat(F.lit("D"), "p_partkey").alias("drug"), F.col("p_name").alias("v"))
-    drugs = drugs.unionByName(part.where("p_partkey <= 20").select(F.concat(F.lit("W"), "p_partkey").alias("drug"), F.split("p_name", " ")[0].alias("v")))
-    return M.map_names(part, "p_partkey", "p_name", drugs, "drug", "v").distinct()
+    given = F.when(F.col("p_size") > 25, F.col("p_name")).when(F.col("p_size") > 12, F.concat(F.lit("Oral "), "p_name", F.lit(" "), "p_type")).otherwise(F.concat(F.split("p_name", " ")[0], F.lit(" "), F.col("p_brand")))
+    named = lambda letter, v: part.groupBy(v.alias("v")).agg(F.concat(F.lit(letter), F.min("p_partkey")).alias("drug")).select("drug", "v")
+    drugs = named("D", F.lower("p_name")).unionByName(named("W", F.lower(F.split("p_name", " ")[0])))
+    return M.map_names(part.select("p_partkey", given.alias("given")), "p_partkey", "given", drugs, "drug", "v").distinct()
 
 
 _NEWS = "SELECT o_custkey AS topic, 'orders' AS kind, CAST(o_orderdate AS DATE) AS d FROM orders UNION ALL SELECT o_custkey, 'lines', CAST(l_shipdate AS DATE) FROM lineitem JOIN orders ON o_orderkey = l_orderkey"
@@ -284,6 +286,14 @@ def dom_alert_counts(t):
     return I.alert_counts(subs, "c_nationkey", "topic", news.unionByName(lines), "kind", "d", "1997-01-01", "1997-03-31", ["orders", "lines"])
 
 
+@query("SELECT s_suppkey FROM supplier WHERE date_diff('day', DATE '1998-08-02' - CAST(s_suppkey * 7 % 90 AS INTEGER), DATE '1998-08-02') > 20 + s_nationkey")
+def dom_update_due(t):
+    """Sources of a control table whose last update is longer ago than their own interval."""
+    today = F.lit("1998-08-02").cast("date")
+    control = t("supplier").select("s_suppkey", F.date_sub(today, (F.col("s_suppkey") * 7 % 90).cast("int")).alias("last"), (F.lit(20) + F.col("s_nationkey")).alias("interval"))
+    return I.due(control, "s_suppkey", "last", "interval", "1998-08-02")
+
+
 @query("SELECT s_suppkey, CAST(s_acctbal AS BIGINT) + 1 AS stamp FROM supplier WHERE s_suppkey % 10 = 0")
 def dom_change_detect(t):
     """Dumps whose stamp is not the one kept; those without a kept stamp only set the baseline."""
@@ -299,7 +309,7 @@ _KNOWN_WORDS = "SELECT unnest(string_split(lower(p_name), ' ')) AS word FROM par
 _FORMS = " UNION ALL ".join(["SELECT label, w, w AS form FROM parts", *[f"SELECT label, w, substring(w, 1, length(w) - {len(s)}) FROM parts WHERE w LIKE '%{s}' AND length(w) >= {len(s) + 3}" for s in L.SUFFIXES]])
 
 
-@query(f"WITH known AS MATERIALIZED ({_KNOWN_WORDS}), counted AS MATERIALIZED (SELECT {_LABEL_HEADS}[p_partkey % {len(_LABEL_HEADS)} + 1] || ' ' || p_name AS label, count(*) AS n FROM part GROUP BY 1), parts AS MATERIALIZED (SELECT DISTINCT label, regexp_replace(unnest(regexp_split_to_array(lower(label), '[\\s\\-_/\\.]+')), '[^A-Za-z0-9]', '', 'g') AS w FROM counted), good AS (SELECT label FROM (SELECT label, w, bool_or(form IN (SELECT word FROM known)) AS hit FROM ({_FORMS}) GROUP BY 1, 2) GROUP BY 1 HAVING bool_and(hit)) SELECT label, n, split_part(c, ':', 1) AS category, split_part(c, ':', 2) AS confidence FROM (SELECT label, n, {_categories()} AS c FROM (SELECT label, n, lower(trim(label)) AS x, regexp_split_to_array(lower(trim(label)), '\\s+') AS ws FROM counted JOIN good USING (label))) WHERE c IS NOT NULL")
+@query(f"WITH known AS MATERIALIZED ({_KNOWN_WORDS}), counted AS MATERIALIZED (SELECT {_LABEL_HEADS}[p_partkey % {len(_LABEL_HEADS)} + 1] || ' ' || p_name AS label, count(*) AS n FROM part GROUP BY 1), parts AS MATERIALIZED (SELECT DISTINCT label, regexp_replace(unnest(regexp_split_to_array(lower(label), '[\\s\\-_/\\.]+')), '^[[:punct:]]+|[[:punct:]]+$', '', 'g') AS w FROM counted), good AS (SELECT label FROM (SELECT label, w, bool_or(form IN (SELECT word FROM known)) AS hit FROM ({_FORMS}) GROUP BY 1, 2) GROUP BY 1 HAVING bool_and(hit)) SELECT label, n, split_part(c, ':', 1) AS category, split_part(c, ':', 2) AS confidence FROM (SELECT label, n, {_categories()} AS c FROM (SELECT label, n, lower(trim(label)) AS x, regexp_split_to_array(lower(trim(label)), '\\s+') AS ws FROM counted JOIN good USING (label))) WHERE c IS NOT NULL")
 def dom_label_pipeline(t):
     """Labels counted, kept by rules and by known words, and put into categories by keywords, step by step."""
     tables = {"occurrences": _part_labels_all(t), "words": _known_words(t)}
@@ -308,6 +318,16 @@ def dom_label_pipeline(t):
     return tables["categorized"]
 
 
+@query()
+def dom_label_assign(t):
+    """All six steps: what no keyword takes gets the category of the most alike term, and samples their properties."""
+    values = t("part").select(F.col("p_brand").alias("sample"), "p_partkey", F.concat_ws(" ", F.get(F.array(*[F.lit(x) for x in _LABEL_HEADS]), (F.col("p_partkey") % len(_LABEL_HEADS)).cast("int")), "p_name").alias("label"), F.col("p_type").alias("value"), F.col("p_partkey").alias("place"))
+    tables = {"occurrences": _part_labels_all(t), "words": _known_words(t), "values": values}
+    for step in (L.count_labels, L.filter_by_rules, L.filter_by_words, L.categorize_by_keywords, L.assign_by_likeness, L.prepare_properties):
+        tables |= step(tables)
+    return tables["properties"]
+
+
 def _part_labels_all(t) -> DataFrame:
     heads = F.array(*[F.lit(x) for x in _LABEL_HEADS])
     return t("part").select(F.concat_ws(" ", F.get(heads, (F.col("p_partkey") % len(_LABEL_HEADS)).cast("int")), "p_name").alias("label"))

@@ -157,20 +157,19 @@ def graph_scc(t):
 def _years(spark, t):
     """Files with a year in their names are read as one, with the year as a column."""
     path = _scratch(spark, "years")
-    years = [r["y"] for r in t("orders").select(F.year("o_orderdate").alias("y")).distinct().collect()]  # a row a year
-    for y in years:
-        R.write_delimited(t("orders").where(F.year("o_orderdate") == y).select("o_orderkey"), f"{path}/PROJECTS_FY{y}.csv")
-    return R.read_years(spark, f"{path}/PROJECTS_FY*.csv", "o_orderkey long").groupBy("year").agg(F.count(F.lit(1)).alias("n"))
+    named = t("orders").select("o_orderkey", F.year("o_orderdate").alias("PROJECTS_FY"))
+    R.write_delimited(named.repartition("PROJECTS_FY"), path, by="PROJECTS_FY")
+    return R.read_years(spark, f"{path}/PROJECTS_FY=*", "o_orderkey long").groupBy("year").agg(F.count(F.lit(1)).alias("n"))
 
 
-@_files("scan_csv_encoding", "SELECT doc_id, line FROM (SELECT doc_id, trim(regexp_replace(string_split(text, chr(10))[1], '\\s+', ' ', 'g')) AS line FROM documents WHERE lang = 'fr') WHERE line <> '' AND NOT regexp_matches(line, '[^\\x00-\\x7F\\x{00A0}-\\x{00FF}]')")
+@_files("scan_csv_encoding", "SELECT doc_id, place, line FROM (SELECT doc_id, place - 1 AS place, trim(regexp_replace(regexp_replace(l[place], '\\s+', ' ', 'g'), '[^\\x00-\\xFF]', '?', 'g'), ' ') AS line FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS place FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE lang = 'fr'))) WHERE line <> ''")
 def _latin(spark, t):
-    """French lines with accents, through a file in Latin-1."""
+    """All lines of French texts, through a file in Latin-1, where other letters become question marks."""
     path = _scratch(spark, "latin")
-    line = F.trim(F.regexp_replace(F.split("text", "\n")[0], r"\s+", " "))
-    rows = t("documents").where("lang = 'fr'").select("doc_id", line.alias("line")).where((F.col("line") != "") & ~F.col("line").rlike(r"[^\x00-\x7F\xA0-\xFF]"))
+    lines = t("documents").where("lang = 'fr'").select("doc_id", F.posexplode(F.split("text", "\n")).alias("place", "line"))
+    rows = lines.select("doc_id", F.col("place").cast("long").alias("place"), F.trim(F.regexp_replace("line", r"\s+", " ")).alias("line")).where("line <> ''")
     rows.write.option("header", True).option("encoding", "ISO-8859-1").option("escape", '"').csv(path)
-    return R.read_delimited(spark, path, "doc_id long, line string", encoding="ISO-8859-1")
+    return R.read_delimited(spark, path, "doc_id long, place long, line string", encoding="ISO-8859-1")
 
 
 @_files("scan_csv_badlines", "SELECT s_suppkey, s_name FROM supplier WHERE s_suppkey % 4 > 1")
@@ -212,12 +211,14 @@ def default_missing_json(t):
     return t("part").select("p_partkey", F.coalesce(p["about"]["maker"]["size"], F.lit(-1)).alias("size"), F.coalesce(p["about"]["maker"]["colour"], F.lit("none")).alias("colour"))
 
 
-@query("SELECT * FROM (VALUES ('size', 'about.maker.size'), ('name', 'about.name'), ('colour', NULL)) v(key, path)")
+@query("SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'about.maker.size' WHEN 1 THEN 'size' END AS path, CASE WHEN p_partkey % 3 < 2 THEN CAST(p_size AS VARCHAR) END AS value FROM part")
 def json_find_key(t):
-    """Where a key stands in a schema, however deep; null if nowhere."""
-    parsed = t("part").select(F.from_json(_part_json(), "id bigint, about struct<name: string, maker: struct<brand: string, size: int>>").alias("p")).select("p.*")
-    found = [(k, V.key_path(parsed.schema, k)) for k in ("size", "name", "colour")]
-    return parsed.sparkSession.createDataFrame(found, "key string, path string")
+    """Where a key stands in each text, however deep, and its value; null if nowhere."""
+    deep = F.concat(F.lit('{"id": 1, "about": {"name": "'), "p_name", F.lit('", "maker": {"size": '), "p_size", F.lit("}}}"))
+    flat = F.concat(F.lit('{"size": '), "p_size", F.lit(', "about": {"name": "'), "p_name", F.lit('"}}'))
+    text = F.when(F.col("p_partkey") % 3 == 0, deep).when(F.col("p_partkey") % 3 == 1, flat).otherwise(F.lit('{"about": []}'))
+    found = V.find_key(text, "size").alias("f")
+    return t("part").select("p_partkey", found).select("p_partkey", "f.path", "f.value")
 
 
 @query("SELECT p_partkey, '{\"name\": \"' || p_name || '\"}' AS y FROM part")

@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from veinloom.functions import values as V
+from veinloom.operators import aggregates as A
 from veinloom.operators import graph as G
 from veinloom.operators import joins as J
 from veinloom.operators import windows as W
@@ -142,11 +143,16 @@ def agg_confusion_matrix(t):
     return rows.agg(n(y & g).alias("tp"), n(~y & g).alias("fp"), n(y & ~g).alias("fn"), n(~y & ~g).alias("tn"), F.round(F.avg((y == g).cast("int")), 6).alias("accuracy"))
 
 
-@query("SELECT c AS cutoff, round(avg(((n_chars >= c) = (quality = 1))::INT), 6) AS accuracy FROM labels JOIN documents USING (doc_id), (SELECT unnest([200, 500, 1000, 2000, 4000]) AS c) GROUP BY 1")
+_GRID = (0.125, 0.25, 0.5, 0.75)
+_COMBINED = {"alone": "a", "product": "a * b", "mean": "(a + b) / 2"}
+_SWEEP = ", ".join(f"struct_pack(combiner := '{k}', score := {v})" for k, v in _COMBINED.items())
+
+
+@query(f"SELECT combiner, cutoff, round(avg(((score >= cutoff) = (quality = 1))::INT), 6) AS accuracy, count(*) FILTER (WHERE score >= cutoff) AS reached FROM (SELECT quality, unnest([{_SWEEP}], recursive := true) FROM (SELECT quality, least(n_chars, 4096) / 4096.0::DOUBLE AS a, CASE WHEN lang = 'en' THEN 1.0 ELSE 0.5 END::DOUBLE AS b FROM labels JOIN documents USING (doc_id))), (SELECT unnest({list(_GRID)}::DOUBLE[]) AS cutoff) GROUP BY 1, 2")
 def agg_threshold_sweep(t):
-    """One scan for all cutoffs: the grid is an array in the plan."""
-    rows = t("labels").join(t("documents").select("doc_id", "n_chars"), "doc_id").withColumn("cutoff", F.explode(F.array(*[F.lit(c) for c in (200, 500, 1000, 2000, 4000)])))
-    return rows.groupBy("cutoff").agg(F.round(F.avg(((F.col("n_chars") >= F.col("cutoff")) == (F.col("quality") == 1)).cast("int")), 6).alias("accuracy"))
+    """Two scores combined in three ways, against a grid of cutoffs, in one scan."""
+    docs = t("documents").select("doc_id", (F.least(F.col("n_chars"), F.lit(4096)) / 4096.0).alias("a"), F.when(F.col("lang") == "en", 1.0).otherwise(0.5).alias("b"))
+    return A.threshold_sweep(t("labels").join(docs, "doc_id"), F.col("quality") == 1, {k: F.expr(v) for k, v in _COMBINED.items()}, list(_GRID))
 
 
 @query("SELECT c AS cutoff, count(*) FILTER (WHERE n_chars >= c) AS labels, sum(CASE WHEN n_chars >= c THEN n_chars ELSE 0 END)::BIGINT AS occurrences, round(100.0 * count(*) FILTER (WHERE n_chars >= c) / count(*), 4) AS coverage FROM documents, (SELECT unnest([200, 500, 1000, 2000, 4000]) AS c) GROUP BY 1")

@@ -8,6 +8,8 @@ from veinloom.functions import text as X
 from veinloom.functions import values as V
 from veinloom.functions.stem import stem
 from veinloom.operators import windows as W
+from veinloom.operators.nearest import nearest
+from veinloom.pipelines.labels import SUFFIXES, word_forms
 from veinloom.plans.base import day, query
 
 # In DuckDB's regular expressions \w is ASCII; these classes are what Python's and Spark's Unicode \w and \W are here.
@@ -76,9 +78,12 @@ def str_lower_upper_title(t):
     return t("part").select("p_partkey", F.replace(both, F.lit(" "), F.lit("|")).alias("y"), F.substring(F.initcap("p_name"), 1, 4).alias("z"))
 
 
-@query("SELECT p_partkey, array_to_string([regexp_replace(w, '[^A-Za-z0-9]', '', 'g') for w in regexp_split_to_array(p_brand || '-' || replace(p_name, ' ', '_') || '/x.y', '[\\s\\-_/\\.]+') if w <> ''], '|') AS y FROM part")
+_STRIPPED = "regexp_replace({0}, '^[[:punct:]]+|[[:punct:]]+$', '', 'g')"
+
+
+@query(f"SELECT p_partkey, array_to_string(list_filter([{_STRIPPED.format('w')} for w in regexp_split_to_array('(naïve-it''s) ' || p_brand || '-' || replace(p_name, ' ', '_') || '/x.y;,', '[\\s\\-_/\\.]+')], lambda w: w <> ''), '|') AS y FROM part")
 def str_split_multi(t):
-    text = F.concat("p_brand", F.lit("-"), F.replace("p_name", F.lit(" "), F.lit("_")), F.lit("/x.y"))
+    text = F.concat(F.lit("(naïve-it's) "), "p_brand", F.lit("-"), F.replace("p_name", F.lit(" "), F.lit("_")), F.lit("/x.y;,"))
     return t("part").select("p_partkey", F.array_join(X.split_multi(text), "|").alias("y"))
 
 
@@ -198,11 +203,24 @@ def filter_meaningful_label(t):
     return every.where(X.meaningful_label("label"))
 
 
-@query(f"SELECT doc_id, bool_and(w IN (SELECT lower(unnest(string_split(p_name, ' '))) FROM part)) AS known FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '{_W}+')) AS w FROM documents) GROUP BY 1", "filter_dictionary_word")
+_FORMS = " OR ".join(["w IN (SELECT word FROM known)", *[f"w LIKE '%{e}' AND length(w) >= {len(e) + 3} AND substring(w, 1, length(w) - {len(e)}) IN (SELECT word FROM known)" for e in SUFFIXES]])
+
+
+@query(f"WITH known AS MATERIALIZED (SELECT DISTINCT unnest(string_split(lower(p_name), ' ')) AS word FROM part UNION SELECT unnest(regexp_extract_all(lower(text), '{_W}+')) FROM benchmark) SELECT doc_id, bool_and({_FORMS}) AS known FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '{_W}+')) AS w FROM documents) GROUP BY 1")
 def filter_all_words_known(t):
-    known = t("part").select(F.explode(F.split(F.lower("p_name"), " ")).alias("w")).distinct().withColumn("hit", F.lit(True))
+    """Texts all of whose words, with or without an ending, are known."""
+    known = t("part").select(F.explode(F.split(F.lower("p_name"), " ")).alias("form")).unionByName(t("benchmark").select(F.explode(X.tokens(F.lower("text"))).alias("form"))).distinct().withColumn("hit", F.lit(True))
     words = t("documents").select("doc_id", F.explode(F.array_distinct(X.tokens(F.lower("text")))).alias("w"))
-    return words.join(known, "w", "left").groupBy("doc_id").agg(F.bool_and(F.coalesce("hit", F.lit(False))).alias("known"))
+    different = words.select("w").distinct().select("w", F.explode(word_forms(F.col("w"))).alias("form")).join(known, "form").select("w", "hit").distinct()
+    return words.join(different, "w", "left").groupBy("doc_id").agg(F.bool_and(F.coalesce("hit", F.lit(False))).alias("known"))
+
+
+@query("SELECT term FROM (SELECT p_name AS term FROM part UNION SELECT unnest(string_split(p_name, ' ')) FROM part UNION SELECT lower(p_brand) FROM part) WHERE contains(term, ' ') OR term NOT IN (SELECT lower(p_type) FROM part)")
+def filter_dictionary_word(t):
+    """Terms without those that are a single word of the dictionary; a term of several words stays, whatever they are."""
+    part = t("part")
+    terms = part.select(F.col("p_name").alias("term")).unionByName(part.select(F.explode(F.split("p_name", " ")).alias("term"))).unionByName(part.select(F.lower("p_brand").alias("term"))).distinct()
+    return terms.join(part.select(F.lower("p_type").alias("term")).distinct(), "term", "left_anti")
 
 
 # ---- numbers, vectors, dates
@@ -226,25 +244,25 @@ def num_round_cast(t):
 
 
 _COS = "SELECT a.vec_id, b.vec_id AS other, round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6) AS cosine FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0"
+_NEAR = f"SELECT * FROM ({_COS}) QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY cosine DESC, other) <= 10"
 
 
-def _cosines(t):
+def _cosines(t, k: int, least: float):
     e = t("embeddings")
-    other = e.select(F.col("vec_id").alias("other"), F.col("embedding").alias("e2"))
-    pairs = e.where("vec_id % 20 = 0").crossJoin(other).where("vec_id <> other")
-    return pairs.select("vec_id", "other", F.round(V.cosine(F.col("embedding"), F.col("e2")), 6).alias("cosine"))
+    return nearest(e.where("vec_id % 20 = 0"), e, "vec_id", "embedding", k, least).withColumnRenamed("query", "vec_id")
 
 
-@query(_COS)
+@query(_NEAR)
 def vec_cosine(t):
-    """Cosines of every twentieth vector with every other one: queries against all rows."""
-    return _cosines(t)
+    """The ten nearest of all other vectors for every twentieth one: queries against all rows."""
+    return _cosines(t, 10, -1.0)
 
 
-@query(f"SELECT vec_id, other, cosine > 0.1 AS alone, 0.5 * cosine > 0.1 AS product, (0.5 + cosine) / 2 > 0.3 AS mean FROM ({_COS})")
+@query(f"SELECT vec_id, other, 0.5 * cosine > 0.1 AS product, (0.5 + cosine) / 2 > 0.4 AS mean FROM ({_NEAR}) WHERE cosine >= 0.3")
 def vec_threshold(t):
+    """Those of them that reach a cosine alone, and whether they do by two other rules."""
     c = F.col("cosine")
-    return _cosines(t).select("vec_id", "other", (c > 0.1).alias("alone"), (0.5 * c > 0.1).alias("product"), ((0.5 + c) / 2 > 0.3).alias("mean"))
+    return _cosines(t, 10, 0.3).select("vec_id", "other", (0.5 * c > 0.1).alias("product"), ((0.5 + c) / 2 > 0.4).alias("mean"))
 
 
 @query("SELECT o_orderkey, strftime(o_orderdate, '%m/%d/%y') AS short, strftime(o_orderdate, '%Y%m%d') AS tight, CAST(year(o_orderdate) AS VARCHAR) AS year, strftime(o_orderdate, '%Y-%m-%d') AS parsed FROM orders", "date_year")
@@ -253,15 +271,17 @@ def date_parse_format(t):
     return t("orders").select("o_orderkey", F.date_format(d, "MM/dd/yy").alias("short"), F.date_format(d, "yyyyMMdd").alias("tight"), F.year(d).cast("string").alias("year"), V.parse_date(F.date_format(d, "yyyy/MM/dd")).cast("string").alias("parsed"))
 
 
-@query("SELECT o_orderkey, date_diff('day', CAST(o_orderdate AS DATE), DATE '1998-08-02') > 90 AS due, strftime(CAST(o_orderdate AS DATE) - INTERVAL 5 YEAR, '%Y-%m-%d') AS earlier FROM orders", "date_shift_years", "dom_update_due")
+@query("SELECT o_orderkey, date_diff('day', CAST(o_orderdate AS DATE), DATE '1998-08-02') > 90 AS due, strftime(CAST(o_orderdate AS DATE) - INTERVAL 5 YEAR, '%Y-%m-%d') AS earlier FROM orders", "date_shift_years")
 def date_diff_due(t):
     d = day("o_orderdate")
     return t("orders").select("o_orderkey", V.is_due(d, F.lit("1998-08-02").cast("date"), 90).alias("due"), V.years_back(d, 5).cast("string").alias("earlier"))
 
 
-@query("SELECT strftime(unnest(generate_series(DATE '1996-02-25', DATE '1996-03-05', INTERVAL 1 DAY)), '%Y-%m-%d') AS day")
+@query("SELECT o_custkey, strftime(unnest(generate_series(a, b, INTERVAL 1 DAY)), '%Y-%m-%d') AS day FROM (SELECT o_custkey, max(CAST(o_orderdate AS DATE)) - INTERVAL 9 DAY AS a, max(CAST(o_orderdate AS DATE)) AS b FROM orders GROUP BY 1)")
 def date_daily_sequence(t):
-    return t("region").sparkSession.range(1).select(F.explode(F.sequence(F.lit("1996-02-25").cast("date"), F.lit("1996-03-05").cast("date"))).alias("day")).select(F.col("day").cast("string").alias("day"))
+    """The ten days up to each customer's last order, one by one."""
+    last = t("orders").groupBy("o_custkey").agg(F.max(day("o_orderdate")).alias("b"))
+    return last.select("o_custkey", F.explode(F.sequence(F.date_sub("b", 9), F.col("b"))).alias("day")).select("o_custkey", F.col("day").cast("string").alias("day"))
 
 
 # ---- arrays and JSON
@@ -288,11 +308,11 @@ def arr_map_lookup(t):
     return rows.select("l_orderkey", F.array_join(F.transform("x.l_returnflag", lambda c: F.element_at(names, c)), ";").alias("names"))
 
 
-@query("SELECT p_partkey, string_agg(w, ' ' ORDER BY w) AS synonyms FROM (SELECT DISTINCT p_partkey, unnest(string_split(p_name, ' ')) AS w FROM part) WHERE w NOT IN (SELECT split_part(p_name, ' ', 1) FROM part WHERE p_partkey < 20) GROUP BY 1")
+@query("SELECT p_partkey, string_agg(w, ' ' ORDER BY w) AS synonyms FROM (SELECT DISTINCT p_partkey, unnest(string_split(p_name, ' ')) AS w FROM part) WHERE w NOT IN (SELECT split_part(p_name, ' ', 1) FROM part) GROUP BY 1")
 def arr_remove_dups_across_rows(t):
     """Synonyms that are another entity's main name go."""
     words = t("part").select("p_partkey", F.explode(F.array_distinct(F.split("p_name", " "))).alias("w"))
-    main = t("part").where("p_partkey < 20").select(F.split("p_name", " ")[0].alias("w")).distinct()
+    main = t("part").select(F.split("p_name", " ")[0].alias("w")).distinct()
     return words.join(main, "w", "left_anti").groupBy("p_partkey").agg(F.array_join(F.array_sort(F.collect_list("w")), " ").alias("synonyms"))
 
 

@@ -1,11 +1,11 @@
-"""Readers and writers of the source formats: delimited text, JSON, zipped JSON, attribute tables, scraped pages."""
+"""Readers and writers of the source formats: delimited text, JSON, zipped JSON, attribute tables."""
 
 from __future__ import annotations
 
 import io
 import json
 import zipfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -69,23 +69,6 @@ def write_zipped_json(df: DataFrame, path: str, field: str) -> None:
     df.mapInPandas(run, "n long").agg(F.sum("n")).first()
 
 
-#: Spreadsheets are lookups; larger ones are refused, as they pass through the driver.
-MAX_SHEET_ROWS = 100_000
-
-
-def read_excel(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A small lookup sheet. Needs one of pandas' spreadsheet engines, which is not installed everywhere."""
-    try:
-        frame = pd.read_excel(path, dtype=str)
-    except ImportError as error:
-        raise RuntimeError("reading spreadsheets needs an engine such as openpyxl") from error
-    if len(frame) > MAX_SHEET_ROWS:
-        raise ValueError(f"more than {MAX_SHEET_ROWS} rows: convert the sheet to delimited text")
-    text = spark.createDataFrame(frame.where(frame.notna(), None))
-    fields = spark.createDataFrame([], schema).schema.fields
-    return text.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in fields])
-
-
 def read_attributes(spark: SparkSession, path: str) -> DataFrame:
     """Attribute tables in subfolders: entity (the folder), attribute and values, parsed from a printed list."""
     from veinloom.functions.text import parse_list
@@ -100,11 +83,6 @@ def attributes_to_nodes(rows: DataFrame, key: str, attribute: str, value: str, c
     return rows.groupBy(key).pivot(attribute, columns).agg(F.min(value))
 
 
-def from_records(spark: SparkSession, records: Iterable[tuple], schema: str) -> DataFrame:
-    """What a paged service returns, fed from an iterator; small by contract, as one page at a time is landed."""
-    return spark.createDataFrame(list(records), schema)
-
-
 def write_delimited(df: DataFrame, path: str, by: str | None = None, append: bool = False, separator: str = "comma") -> None:
     writer = df.write.mode("append" if append else "overwrite").option("header", True).option("sep", _SEPARATORS[separator])
     (writer.partitionBy(by) if by else writer).csv(path)
