@@ -47,11 +47,13 @@ def add_terms(t):
     return {"terms": M.term_dictionary(t["diseases"], "disease", "name", "synonyms", t["common_words"])}
 
 
-@GRANTS.step("costed terms", "about")
+@GRANTS.step("costed terms diseases", "about")
 def map_diseases(t):
-    """Edges of projects to diseases, with a confidence, from the first of title, statement and abstract with a match."""
-    hits = M.match_cascade(t["costed"], "project", ["title", "statement", "abstract"], t["terms"], "disease", "term", stems=True)
-    return {"about": hits.select("project", "disease", "source", F.round(M.confidence_score(F.col("n"), F.col("source")), 6).alias("confidence"))}
+    """Edges of projects to diseases, with a confidence, from the first of title, statement and abstract with a match. Terms
+    are matched under the disease's name, as names inside others go; diseases of one name share its matches."""
+    names = t["diseases"].select("disease", F.lower(F.trim("name")).alias("_name")).where("_name is not null")
+    hits = M.match_cascade(t["costed"], "project", ["title", "statement", "abstract"], t["terms"].join(names, "disease"), "_name", "term", stems=True)
+    return {"about": hits.join(names, "_name").select("project", "disease", "source", F.round(M.confidence_score(F.col("n"), F.col("source")), 6).alias("confidence"))}
 
 
 @GRANTS.step("costed", "sources")
