@@ -47,20 +47,22 @@ def referenced_by_any(base: DataFrame, key: str, links: list[DataFrame]) -> Data
 PART = 1_000
 
 
-def co_participation(membership: DataFrame, group: str, member: str) -> DataFrame:
-    """a < b and in how many groups both are. Memberships are made distinct before pairing.
+def co_participation(membership: DataFrame, group: str, member: str, since: str | None = None) -> DataFrame:
+    """a < b and in how many groups both are (weight); with since, a column of the groups, also its least value in these.
+    Memberships are made distinct before pairing.
 
     The pairs are the result, so their number is the square of a group's size; but a large group is dealt into parts by a
     hash of the member, and each pair of parts is a task of its own, so no task pairs more than PART with PART."""
-    once = membership.select(group, member).where(F.col(group).isNotNull() & F.col(member).isNotNull()).distinct()
+    more = [since] if since else []
+    once = membership.select(group, member, *more).where(F.col(group).isNotNull() & F.col(member).isNotNull()).distinct()
     parts = once.groupBy(group).agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("_k"))
     dealt = once.join(parts, group).withColumn("_p", F.pmod(F.xxhash64(member), F.col("_k")).cast("int"))
     met = dealt.withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)))
-    cell = met.select(group, member, "_p", F.least("_p", "_o").alias("_i"), F.greatest("_p", "_o").alias("_j"))
-    a, b = cell.withColumnsRenamed({member: "a", "_p": "_pa"}), cell.withColumnsRenamed({member: "b", "_p": "_pb"})
+    cell = met.select(group, member, *more, "_p", F.least("_p", "_o").alias("_i"), F.greatest("_p", "_o").alias("_j"))
+    a, b = cell.withColumnsRenamed({member: "a", "_p": "_pa"}), cell.drop(*more).withColumnsRenamed({member: "b", "_p": "_pb"})
     # In the cell (i, j) only members of different parts meet, in (i, i) all of the part.
     pairs = a.join(b, [group, "_i", "_j"]).where("a < b and (_i = _j or _pa <> _pb)")
-    return pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("weight"))
+    return pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("weight"), *[F.min(c).alias(c) for c in more])
 
 
 def endpoints_missing(edges: DataFrame, end: str, nodes: DataFrame, key: str) -> DataFrame:

@@ -194,13 +194,6 @@ def dom_funding_merge(t):
     return early.unionByName(orders.where("y >= 1995")).select("o_orderkey", F.col("price").cast("double").alias("price"))
 
 
-@query("SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS name, p_brand AS brand, p_type AS kind FROM part", "scan_eav")
-def dom_eav_to_nodes(t):
-    """Parts as attribute-value rows, and back to nodes."""
-    rows = t("part").select(F.col("p_partkey").cast("string").alias("id"), F.explode(F.array(*[F.struct(F.lit(a).alias("attribute"), F.col(c).alias("value")) for a, c in (("name", "p_name"), ("brand", "p_brand"), ("kind", "p_type"))])).alias("x"))
-    return R.attributes_to_nodes(rows.select("id", "x.*"), "id", "attribute", "value", ["name", "brand", "kind"])
-
-
 @query(f"SELECT \"row\" AS doc_id, CASE WHEN len(string_split(trim(regexp_replace(replace(statement, chr(57344), ' '), '\\s+', ' ', 'g')), ' ')) > 20 THEN 'PHR' WHEN abstract <> '' THEN 'ABSTRACT' ELSE 'TITLE' END AS source FROM ({_PARTS})")
 def dom_source_select(t):
     """The statement if it has more than 20 words, else the abstract if there is one, else the title."""

@@ -266,17 +266,6 @@ def str_split_list(t):
     return t("part").select("p_partkey", F.array_join(X.parse_list(printed), "|").alias("y"))
 
 
-@query("SELECT x.s AS a, y.s AS b, count(*) AS papers, strftime(min(d), '%Y-%m-%d') AS first_day FROM (SELECT DISTINCT l_orderkey AS o, l_suppkey AS s, CAST(o_orderdate AS DATE) AS d FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE o_orderstatus = 'F') x JOIN (SELECT DISTINCT l_orderkey AS o, l_suppkey AS s FROM lineitem) y ON x.o = y.o AND x.s < y.s GROUP BY 1, 2")
-def dom_coauthor_network(t):
-    """Pairs of suppliers of one finished order: in how many they meet, and since when."""
-    done = t("orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("l_orderkey"), F.to_date("o_orderdate").alias("d"))
-    shared = t("lineitem").join(done, "l_orderkey").select("l_orderkey", "l_suppkey", "d").distinct()
-    weights = J.co_participation(shared, "l_orderkey", "l_suppkey").withColumnRenamed("weight", "papers")
-    a, b = shared.withColumnRenamed("l_suppkey", "a"), shared.select("l_orderkey", F.col("l_suppkey").alias("b"))
-    since = a.join(b, "l_orderkey").where("a < b").groupBy("a", "b").agg(F.min("d").cast("string").alias("first_day"))
-    return weights.join(since, ["a", "b"]).select("a", "b", "papers", "first_day")
-
-
 _TOWN = "CASE c_custkey % 4 WHEN 0 THEN 'Dept. of ' || c_mktsegment || ', ' || c_name || ', ' || n_name || '. a.b@c.org' WHEN 1 THEN c_name || ', ' || r_name || ' 12345, USA.' WHEN 2 THEN c_name || '; ' || r_name ELSE 'Institute ' || c_mktsegment END"
 
 

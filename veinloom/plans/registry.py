@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from veinloom.plans import base, domain_queries, file_queries, model_queries, relational_queries, source_queries, text_queries  # noqa: F401  (they register themselves)
+from veinloom.plans import base, domain_queries, file_queries, load_queries, model_queries, relational_queries, source_queries, text_queries  # noqa: F401  (they register themselves)
 
 
 def queries() -> dict:

@@ -405,7 +405,7 @@ def graph_hierarchy(t):
 
 
 @query("SELECT DISTINCT l_orderkey AS src, l_partkey AS dst, l_returnflag AS kind FROM lineitem")
-def dom_mapping_edges(t):
+def graph_edge_property(t):
     """Edges whose key has a property: one for each value of it."""
     return G.merge_edges(t("lineitem").select(F.col("l_orderkey").alias("src"), F.col("l_partkey").alias("dst"), F.col("l_returnflag").alias("kind")), "src", "dst", ["kind"])
 
