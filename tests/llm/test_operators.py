@@ -98,6 +98,45 @@ def test_pii(spark, docs):
     assert rows[20]["spans"] == ""
 
 
+def test_pii_recall_by_kind(spark):
+    """Data written in plain and in unusual ways among clean numbers: what is found of each kind."""
+    r = random.Random(31)
+
+    def card(sep=""):
+        d = [4, *[r.randint(0, 9) for _ in range(14)]]
+        total = sum(2 * x - 9 if x > 4 else 2 * x for x in d[::2]) + sum(d[1::2])
+        text = "".join(map(str, [*d, -total % 10]))
+        return sep.join(text[i : i + 4] for i in range(0, 16, 4))
+
+    name = lambda: r.choice(VOCABULARY) + r.choice(VOCABULARY)
+    makers = {
+        "email": [lambda: f"{name()}@{name()}.com", lambda: f"{name()} (at) {name()} (dot) org"],
+        "ip": [lambda: ".".join(str(r.randint(1, 255)) for _ in range(4))],
+        "card": [card, lambda: card(" "), lambda: card("-"), lambda: f"{card()} {card()}"],
+        "phone": [lambda: f"+1 ({r.randint(200, 999)}) 555-{r.randint(1000, 9999)}", lambda: f"({r.randint(200, 999)}) 555-{r.randint(1000, 9999)}"],
+    }
+    rows, true, clean = [], {}, set()
+    for k in range(240):
+        kind = list(makers)[k % 4]
+        value = r.choice(makers[kind])()
+        before = f"{prose(12, k)} {dict(email='contact', ip='server', card='card', phone='call')[kind]} "
+        rows.append((k, f"{before}{value} {prose(9, 1000 + k)}"))
+        true[k] = (kind, len(before), len(before) + len(value))
+    for k in range(240, 300):
+        clean.add(k)
+        rows.append((k, f"{prose(10, k)} version 2.{k}.1 of page {k}, {r.randint(1900, 2020)}-{r.randint(10, 99)} items, isbn {r.randint(10**9, 10**10 - 1)} {prose(8, k)}"))
+    found = defaultdict(list)
+    for x in pii.find_spans(spark.createDataFrame(rows, "doc_id long, text string")).where("kind is not null").collect():
+        found[x["doc_id"]].append((x["kind"], x["start"], x["end"]))
+    share = {}
+    for kind in makers:
+        of = [k for k, t in true.items() if t[0] == kind]
+        covered = lambda k: {i for q, a, b in found[k] if q == kind for i in range(a, b)}  # noqa: B023, E731
+        share[kind] = sum(len(covered(k) & set(range(*true[k][1:]))) >= 0.9 * (true[k][2] - true[k][1]) for k in of) / len(of)
+    assert min(share.values()) >= 0.9, share
+    assert sum(bool(found[k]) for k in clean) <= 3
+
+
 def test_em_tells_labelers_apart():
     r = random.Random(3)
     patterns = Counter()

@@ -2,7 +2,7 @@
 a span classifier trained on its posteriors decides. DataFrame and SQL functions only.
 
 Candidates are the matches of the base patterns and of wider ones (local phone numbers, e-mail addresses written with
-words, secrets, account and social security numbers). What the base rules accept always stays; wider candidates are added
+words, numbers of a card's length inside longer runs of digits, secrets, account and social security numbers). What the base rules accept always stays; wider candidates are added
 if the classifier accepts them and they touch no base span.
 
 Fitting works on counts of vote patterns, of which there are at most SOURCES * 3 ** LABELERS * 2 ** SPAN_FEATURES, so that table is bounded
@@ -36,6 +36,8 @@ SECRET = r"(?i)(?<![A-Za-z0-9])(?:token|password|passwd|secret|api[_-]?key)\x20?
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 
+CARD_NUMBER = r"(?<![0-9])(?:[0-9]{4}([\x20-])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}|[0-9]{13,19})(?![0-9])"
+
 #: Sources of candidates: name, pattern, kind of the span, and a cheap test that any text with a match passes.
 SOURCES = (
     ("email", EMAIL, "email", lambda t: t.contains("@")),
@@ -48,6 +50,8 @@ SOURCES = (
     ("secret", SECRET, "secret", lambda t: t.contains("=") | t.contains(":")),
     ("iban", IBAN, "iban", lambda t: t.rlike("[A-Z]{2}[0-9]{2}")),
     ("ssn", SSN, "ssn", lambda t: t.rlike("-[0-9]{2}-")),
+    # Numbers of a card's length inside what the base rule takes as one and rejects, such as two cards side by side.
+    ("card_number", CARD_NUMBER, "card", lambda t: t.rlike(r"[0-9]{4}[\x20-]?[0-9]{4}[\x20-]?[0-9]{4}")),
 )
 BASE = ("email", "ip", "card", "phone")
 KIND_ORDER = ("email", "ip", "card", "phone", "secret", "iban", "ssn")
