@@ -221,7 +221,8 @@ def find_spans(documents: DataFrame, accept: float = ACCEPT) -> DataFrame:
     weights = fit_classifier(patterns, fit_labelers([(s, v, n) for (s, v), n in votes_only.items()]))
     scored = voted.withColumn("probability", F.when(F.col("source").isNotNull(), probability(weights)))
     by_row = Window.partitionBy("row").orderBy("start", "end", "source")
-    wide = (~F.col("source").isin(*BASE)) & (F.col("probability") >= accept)
+    # A number of a card's length that fails the Luhn check is no card, whatever the other labelers say.
+    wide = (~F.col("source").isin(*BASE)) & (F.col("probability") >= accept) & ~((F.col("source") == "card_number") & (F.col("v_check") < 0))
     scored = scored.repartition("row")
     left = F.max(F.when(F.col("base"), F.col("end"))).over(by_row.rowsBetween(Window.unboundedPreceding, -1))
     right = F.min(F.when(F.col("base"), F.col("start"))).over(by_row.rowsBetween(1, Window.unboundedFollowing))
