@@ -15,6 +15,7 @@ from veinloom.operators import graph as G
 from veinloom.operators import joins as J
 from veinloom.operators import matching as M
 from veinloom.operators import windows as W
+from veinloom.operators.alike import alike_pairs
 from veinloom.sources import readers as R
 from veinloom.streaming import incremental as I
 
@@ -230,6 +231,34 @@ def test_contained_names_go_by_their_counts(spark):
     assert [r[1] for r in rows(M.without_contained(hits, ["d"], "t", always=True))] == ["renal cancer", "cancer", "cancer of the lung"]
 
 
+@pytest.mark.parametrize("chars", [2_000_000, 10])
+def test_the_last_name_inside_a_text_wins(spark, monkeypatch, chars):
+    monkeypatch.setattr(M, "BLOCK_CHARS", chars)
+    names = [(1, "Cancer"), (2, "renal"), (3, "lung cancer"), (3, "lung cancers"), (9, ""), (None, "of"), (0, "renal"), (4, None)]
+    texts = ["Treatment of CANCERS", "renal and lung cancers", "of the lung cancer", None, "", "nothing"]
+    t = spark.createDataFrame(list(enumerate(texts)), "k long, x string").repartition(2)
+    d = spark.createDataFrame(names, "at int, disease string")
+    assert rows(M.last_contained(t, "k", "x", d, "at", "disease")) == [(0, "cancer"), (1, "lung cancers"), (2, "lung cancer")]
+    assert M.last_contained(t, "k", "x", d.limit(0), "at", "disease").count() == 0
+
+
+def test_alike_names_equal_brute_force(spark):
+    import difflib
+
+    r = random.Random(12)
+    names = ["".join(r.choice("abcde xé🎉") for _ in range(r.randint(1, 14))) for _ in range(150)] + ["aaaa", "aaab", "", None, "b" * 300, "b" * 290 + "a" * 10, "one two", "two one"]
+    names += [n + "x" for n in names[:20] if n] + names[:10]
+    different = sorted({n for n in names if n})
+    ratio = {(x, y): round(difflib.SequenceMatcher(None, x, y).ratio(), 6) for x in different for y in different if x != y}
+    df = spark.createDataFrame([(n,) for n in names], "name string").repartition(2)
+    for least in (0.6, 0.75, 1.0):
+        assert {(r["a"], r["b"]): r["ratio"] for r in alike_pairs(df, "name", least).collect()} == {k: v for k, v in ratio.items() if v >= least}
+    one = lambda a, b: spark.createDataFrame([(a, b)], "a string, b string").select(X.token_sort_similarity("a", "b")).first()[0]
+    for a, b in (("two, One", "one two"), ("b a c", "a-b d"), ("", "x")):
+        words = lambda x: " ".join(sorted("".join(c if c.isalnum() else " " for c in x.lower()).split()))
+        assert abs(one(a, b) - difflib.SequenceMatcher(None, words(a), words(b)).ratio()) < 1e-9
+
+
 def test_numbers_of_rows_with_more_columns(spark):
     n = 100_000
     d = spark.range(n).select(((F.col("id") * 7919) % n).alias("k"), F.concat(F.lit("row "), "id").alias("text"), F.lit(None).cast("string").alias("empty")).repartition(8)

@@ -189,6 +189,10 @@ def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([ratio(x, y) for x, y in zip(a, b)], dtype="float64")
 
 
+def sorted_tokens(x: Text) -> Column:
+    """Normalised, with its words in order."""
+    return F.array_join(F.array_sort(F.split(normalize_term(x), " ")), " ")
+
+
 def token_sort_similarity(a: Text, b: Text) -> Column:
-    order = lambda x: F.array_join(F.array_sort(F.split(normalize_term(x), " ")), " ")
-    return similarity(order(a), order(b))
+    return similarity(sorted_tokens(a), sorted_tokens(b))

@@ -141,6 +141,47 @@ def _count_terms(batches: Iterator[pa.RecordBatch], sent: _Sent) -> Iterator[pa.
         yield pa.RecordBatch.from_arrays([*columns, names.take(pa.array(of, pa.int64())), pa.array(n, pa.int64())], names=[*batch.schema.names[:-1], "_name", "n"])
 
 
+def last_contained(texts: DataFrame, key: str, text: str, names: DataFrame, order: str, name: str) -> DataFrame:
+    """key and name: of the names that a text holds anywhere, in lower case, that of the largest order (ties: the greatest
+    name). Texts without one, and null or empty names, are left out. Map-only but for a dictionary of several blocks."""
+    import ahocorasick  # noqa: F401  (fails here rather than in tasks)
+
+    spark = texts.sparkSession
+    low = texts.select(key, F.lower(F.col(text)).alias("_text")).where("_text is not null")
+    listed = names.where(F.col(order).isNotNull()).groupBy(F.lower(F.col(name)).alias("_name")).agg(F.max(order).alias("_order")).where("_name <> ''")
+    blocks = 1 + (listed.agg(F.sum(F.length("_name"))).first()[0] or 0) // BLOCK_CHARS
+    found = None
+    for k in range(blocks):
+        block = listed.where(F.pmod(F.xxhash64("_name"), F.lit(blocks)) == k).orderBy("_order", "_name").select("_name", "_order").toArrow()
+        sent = _Sent(spark, (block.column(1).combine_chunks(), block.column(0).to_pylist()))
+        kind = T.StructType([low.schema[key], T.StructField("_order", listed.schema["_order"].dataType), T.StructField("_name", T.StringType())])
+        one = low.mapInArrow(partial(_last_of, sent=sent), kind)
+        found = one if found is None else found.unionByName(one)
+    if blocks > 1:
+        found = found.groupBy(key).agg(F.max(F.struct("_order", "_name")).alias("_s")).select(key, "_s.*")
+    return found.select(key, F.col("_name").alias(name))
+
+
+def _last_of(batches: Iterator[pa.RecordBatch], sent: _Sent) -> Iterator[pa.RecordBatch]:
+    import ahocorasick
+
+    if sent.id not in _FINDER:
+        _FINDER.clear()
+        orders, names = sent.value
+        automaton = ahocorasick.Automaton()
+        for i, x in enumerate(names):
+            automaton.add_word(x, i)
+        if names:
+            automaton.make_automaton()
+        _FINDER[sent.id] = orders, pa.array(names, pa.string()), automaton
+    orders, names, automaton = _FINDER[sent.id]
+    for batch in batches:
+        best = [max((i for _, i in automaton.iter(x)), default=-1) if len(names) else -1 for x in batch.column(1).to_pylist()]
+        rows = pa.array([r for r, i in enumerate(best) if i >= 0], pa.int64())
+        at = pa.array([i for i in best if i >= 0], pa.int64())
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), orders.take(at), names.take(at)], names=[batch.schema.names[0], "_order", "_name"])
+
+
 def stemmed(x: Column) -> Column:
     """In lower case, without punctuation, each word's stem."""
     return stem(F.regexp_replace(F.lower(x), r"(?U)[^\w\s]", ""))

@@ -130,11 +130,16 @@ def dom_keyword_categorize(t):
     return found.select("label", "c.category", "c.confidence")
 
 
-@query("SELECT l_orderkey, max(l_partkey) AS l_partkey FROM lineitem JOIN part ON p_partkey = l_partkey WHERE contains(lower(p_name), substring(lower(p_type), 1, 2)) GROUP BY 1")
+_IN_ITEMS = f"SELECT DISTINCT item_id, w[1] || ' ' || w[2] AS disease FROM (SELECT item_id, regexp_extract_all(lower(text), '{_WORDS}') AS w FROM benchmark) WHERE len(w) >= 2 UNION SELECT item_id, w[2] FROM (SELECT item_id, regexp_extract_all(lower(text), '{_WORDS}') AS w FROM benchmark) WHERE length(w[2]) > 4"
+
+
+@query(f"WITH n AS MATERIALIZED (SELECT disease, max(item_id) AS item_id FROM ({_IN_ITEMS}) GROUP BY 1) SELECT doc_id, arg_max(disease, (item_id, disease)) AS disease FROM documents JOIN n ON contains(lower(text), disease) GROUP BY 1")
 def dom_orphan_drug_map(t):
-    """The last entity in dictionary order whose text holds the key wins."""
-    hits = t("lineitem").select("l_orderkey", "l_partkey").join(t("part"), F.col("p_partkey") == F.col("l_partkey")).where(F.contains(F.lower("p_name"), F.substring(F.lower("p_type"), 1, 2)))
-    return hits.groupBy("l_orderkey").agg(F.max("l_partkey").alias("l_partkey"))
+    """For each text (a drug's designation) the last disease in the dictionary's order whose name stands in it anywhere."""
+    w = X.tokens(F.lower("text"))
+    names = F.array(F.when(F.size(w) >= 2, F.concat_ws(" ", F.get(w, F.lit(0)), F.get(w, F.lit(1)))), F.when(F.length(F.get(w, F.lit(1))) > 4, F.get(w, F.lit(1))))
+    listed = t("benchmark").select("item_id", F.explode(names).alias("disease")).where("disease is not null")
+    return M.last_contained(t("documents"), "doc_id", "text", listed, "item_id", "disease")
 
 
 _PLACED = " UNION ALL ".join(f"SELECT \"row\", term, '{p}' AS place FROM ({_matches(f'SELECT "row", replace({c}, chr(57344), chr(32)) AS s FROM ({_PARTS})', '"row"', _PLAIN)})" for c, p in (("title", "Title"), ("abstract", "abstract")))

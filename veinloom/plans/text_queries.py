@@ -8,6 +8,7 @@ from veinloom.functions import text as X
 from veinloom.functions import values as V
 from veinloom.functions.stem import stem
 from veinloom.operators import windows as W
+from veinloom.operators.alike import alike_pairs
 from veinloom.operators.nearest import nearest
 from veinloom.pipelines.labels import SUFFIXES, word_forms
 from veinloom.plans.base import day, query
@@ -147,11 +148,22 @@ def str_nfc(t):
     return _docs(t).select("doc_id", X.nfc("x").alias("y"))
 
 
-@query(None, "str_token_sort_ratio")
+def _names(t):
+    """Names of parts with their brands, as they are and with a part turned around."""
+    c = F.concat_ws(" ", "p_name", F.lower("p_brand"))
+    return t("part").select(F.when(F.col("p_partkey") % 3 == 0, F.concat_ws(" ", F.lower("p_brand"), "p_name")).otherwise(c).alias("name")).distinct()
+
+
+@query()
 def str_similarity_ratio(t):
-    names = t("part").select("p_name").distinct()
-    pairs = names.join(names.select(F.col("p_name").alias("other"), F.split("p_name", " ")[0].alias("w")), F.split("p_name", " ")[0] == F.col("w"))
-    return pairs.select("p_name", "other", F.round(X.similarity("p_name", "other"), 6).alias("ratio"), F.round(X.token_sort_similarity("p_name", "other"), 6).alias("sorted_ratio"))
+    """All pairs of names whose ratio is 0.9 or more."""
+    return alike_pairs(_names(t), "name", 0.9)
+
+
+@query()
+def str_token_sort_ratio(t):
+    """The same with the words of each name put in order first; pairs are of names in that form."""
+    return alike_pairs(_names(t).select(X.sorted_tokens("name").alias("name")), "name", 0.9)
 
 
 @query("SELECT page_id, regexp_extract(url, '^([a-z]+)://([^/:?#]+)', 1) AS scheme, regexp_extract(url, '^([a-z]+)://([^/:?#]+)', 2) AS host FROM pages")
@@ -349,22 +361,6 @@ def scan_html(t):
 
 @query()
 def join_theta_nearest(t):
-    """For each name the most alike one of all other names, the earlier one on ties.
-
-    A ratio of at least c implies 2 * min(lengths) >= c * (sum of lengths), so names are joined on the lengths that a
-    partner may have; and twice the letters in common, whatever their order, must reach c * (sum of lengths) before the
-    ratio is worked out."""
-    least = 0.6
-    letters = F.array(*[F.lit(x) for x in "abcdefghijklmnopqrstuvwxyz "])
-    counts = F.transform(letters, lambda x: F.length("p_name") - F.length(F.replace(F.col("p_name"), x, F.lit(""))))
-    names = t("part").select("p_name").distinct().withColumn("n", F.length("p_name")).withColumn("counts", counts)
-    reach = F.sequence(F.ceil(F.col("n") * least / (2 - least)).cast("int"), F.floor(F.col("n") * (2 - least) / least).cast("int"))
-    wanted = names.where("n > 0").withColumn("m", F.explode(reach))
-    reference = names.select(F.col("p_name").alias("reference"), F.col("n").alias("m"), F.col("counts").alias("counts2"))
-    add = lambda xs: F.aggregate(xs, F.lit(0), lambda a, x: a + x)
-    # Letters beyond the list count as if all of them were in common.
-    other = F.least(F.col("n") - add("counts"), F.col("m") - add("counts2"))
-    common = add(F.zip_with("counts", "counts2", lambda a, b: F.least(a, b))) + other
-    pairs = wanted.join(reference, "m").where((F.col("p_name") != F.col("reference")) & (2 * common >= least * (F.col("n") + F.col("m"))))
-    scored = pairs.withColumn("ratio", F.round(X.similarity("p_name", "reference"), 6)).where(F.col("ratio") >= least)
-    return W.first_per_key(scored.select("p_name", "reference", "ratio"), ["p_name"], [F.col("ratio").desc(), F.col("reference")])
+    """For each name the most alike one of all other names, the earlier one on ties."""
+    found = alike_pairs(t("part"), "p_name", 0.6).select(F.col("a").alias("p_name"), F.col("b").alias("reference"), "ratio")
+    return W.first_per_key(found, ["p_name"], [F.col("ratio").desc(), F.col("reference")])
