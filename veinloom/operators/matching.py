@@ -290,7 +290,7 @@ def sentence_roles(texts: DataFrame, key: str, text: str) -> DataFrame:
 
 
 # Words of incidence and prevalence.
-EPIDEMIOLOGY = r"\b(prevalence|incidence|per (?:100,?000|million)|epidemiolog\w*|[0-9.]+ ?%|in [0-9]{1,3}(?:,[0-9]{3})+)"
+EPIDEMIOLOGY = r"(\b(?:prevalence|incidence|per (?:100,?000|million)|epidemiolog\w*)|[0-9][0-9.]* ?%|\bin [0-9]{1,3}(?:,[0-9]{3})+)"
 
 
 def annotate(texts: DataFrame, text: str, score: Column | None = None, threshold: float = 0.5) -> DataFrame:
@@ -324,14 +324,19 @@ def rank_targets(texts: DataFrame, key: str, text: str, first: DataFrame, second
     return counted.orderBy(F.col("texts").desc(), "a", "b")
 
 
-def cluster_profiles(members: DataFrame, cluster: str, item: str, text: str, top: int) -> DataFrame:
-    """cluster, size, text (its members' texts in order of the item) and its `top` most frequent words, ties by the word.
-    Words are counted by partial aggregation, before a cluster's are put in order."""
-    sizes = members.groupBy(cluster).agg(F.count(F.lit(1)).alias("size"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(item, text))), lambda x: x[text]), " ").alias("text"))
+def cluster_profiles(members: DataFrame, cluster: str, text: str, top: int) -> DataFrame:
+    """cluster, size and terms: the `top` most frequent words of its members' texts, ties by the word. Words are counted by
+    partial aggregation, and no cluster's texts come together; for those in order see cluster_texts."""
+    sizes = members.groupBy(cluster).agg(F.count(F.lit(1)).alias("size"))
     words = members.select(cluster, F.explode(X.tokens(F.lower(text))).alias("_w")).groupBy(cluster, "_w").agg(F.count(F.lit(1)).alias("_n"))
     best = words.withColumn("_r", F.row_number().over(Window.partitionBy(cluster).orderBy(F.col("_n").desc(), "_w"))).where(F.col("_r") <= top)
     terms = best.groupBy(cluster).agg(F.transform(F.array_sort(F.collect_list(F.struct("_r", "_w"))), lambda x: x["_w"]).alias("terms"))
-    return sizes.join(terms, cluster, "left").select(cluster, "size", "text", "terms")
+    return sizes.join(terms, cluster, "left").select(cluster, "size", "terms")
+
+
+def cluster_texts(members: DataFrame, cluster: str, item: str, text: str) -> DataFrame:
+    """cluster, place and text: a cluster's text as the rows of its members in order, as long as it may be."""
+    return members.select(cluster, F.row_number().over(Window.partitionBy(cluster).orderBy(item, text)).alias("place"), text)
 
 
 def map_names(rows: DataFrame, key: str, name: str, dictionary: DataFrame, entity: str, term: str) -> DataFrame:

@@ -244,16 +244,28 @@ def dom_condition_map(t):
 _MEMBERS = "SELECT p_size AS cluster, p_partkey, p_name FROM part"
 
 
-@query(f"SELECT cluster, size, txt AS text, list_aggregate(terms, 'string_agg', ',') AS terms FROM (SELECT cluster, count(*) AS size, string_agg(p_name, ' ' ORDER BY p_partkey) AS txt FROM ({_MEMBERS}) GROUP BY 1) JOIN (SELECT cluster, list(w ORDER BY r) AS terms FROM (SELECT cluster, w, row_number() OVER (PARTITION BY cluster ORDER BY count(*) DESC, w) AS r FROM (SELECT cluster, unnest(string_split(lower(p_name), ' ')) AS w FROM ({_MEMBERS})) GROUP BY 1, 2) WHERE r <= 3 GROUP BY 1) USING (cluster)")
+@query(f"SELECT cluster, size, list_aggregate(terms, 'string_agg', ',') AS terms FROM (SELECT cluster, count(*) AS size FROM ({_MEMBERS}) GROUP BY 1) JOIN (SELECT cluster, list(w ORDER BY r) AS terms FROM (SELECT cluster, w, row_number() OVER (PARTITION BY cluster ORDER BY count(*) DESC, w) AS r FROM (SELECT cluster, unnest(string_split(lower(p_name), ' ')) AS w FROM ({_MEMBERS})) GROUP BY 1, 2) WHERE r <= 3 GROUP BY 1) USING (cluster)")
 def dom_cluster_profile(t):
-    """Size, text and most frequent words of each cluster."""
-    found = M.cluster_profiles(t("part").select(F.col("p_size").alias("cluster"), "p_partkey", "p_name"), "cluster", "p_partkey", "p_name", 3)
+    """Size and most frequent words of each cluster."""
+    found = M.cluster_profiles(t("part").select(F.col("p_size").alias("cluster"), "p_name"), "cluster", "p_name", 3)
     return found.withColumn("terms", F.array_join("terms", ","))
 
 
-@query("SELECT doc_id AS \"row\", CAST(0.5 * least(2, n) AS DOUBLE) AS probability FROM (SELECT doc_id, len(regexp_extract_all(lower(text), '[0-9.]+ ?%')) AS n FROM documents) WHERE n > 0")
+@query(f"SELECT cluster, CAST(row_number() OVER (PARTITION BY cluster ORDER BY p_partkey, p_name) AS INTEGER) AS place, p_name FROM ({_MEMBERS})")
+def dom_cluster_texts(t):
+    """Each cluster's text, as its members' in order."""
+    return M.cluster_texts(t("part").select(F.col("p_size").alias("cluster"), "p_partkey", "p_name"), "cluster", "p_partkey", "p_name")
+
+
+@query(f"SELECT doc_id AS \"row\", CAST(0.5 * least(2, n) AS DOUBLE) AS probability, snippet FROM (SELECT doc_id, len(regexp_extract_all(lower(text), '{M.EPIDEMIOLOGY}')) AS n, regexp_extract(lower(text), '{M.EPIDEMIOLOGY}', 1) AS snippet FROM documents) WHERE n > 0")
 def dom_epi_annotation(t):
-    """Texts that a classifier takes; here by a score handed in as a column."""
+    """Texts on epidemiology by the rule on words, with the first of these."""
+    return M.annotate(t("documents").select(F.col("doc_id").alias("row"), "text"), "text")
+
+
+@query("SELECT doc_id AS \"row\", CAST(0.5 * least(2, n) AS DOUBLE) AS probability FROM (SELECT doc_id, len(regexp_extract_all(lower(text), '[0-9.]+ ?%')) AS n FROM documents) WHERE n > 0")
+def dom_epi_annotation_scored(t):
+    """The same by a classifier's score that is handed in as a column."""
     score = 0.5 * F.least(F.lit(2), F.regexp_count(F.lower("text"), F.lit("[0-9.]+ ?%")))
     return M.annotate(t("documents").select(F.col("doc_id").alias("row"), "text"), "text", score).select("row", "probability")
 
