@@ -143,7 +143,7 @@ def sink_escape(t):
     return _docs(t).select("doc_id", X.unicode_escape("x").alias("y"))
 
 
-@query()
+@query("SELECT doc_id, trim(regexp_replace(nfc_normalize(text), '[\\s\\x0B\\x1C-\\x1F\\x{85}\\p{Z}]+', ' ', 'g'), ' ') AS y FROM documents")
 def str_nfc(t):
     return _docs(t).select("doc_id", X.nfc("x").alias("y"))
 
