@@ -27,5 +27,5 @@ def checkpointed(df: DataFrame) -> DataFrame:
     spark: SparkSession = df.sparkSession
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    kept = df.checkpoint()._jdf
+    kept = df.checkpoint()._jdf.toDF()
     return DataFrame(spark._jsparkSession.createDataFrame(kept.toJavaRDD(), kept.schema()), spark)
