@@ -16,6 +16,10 @@ def address_parts(text: Column) -> Column:
     return F.filter(parts, lambda p: p != "")
 
 
+#: Countries and regions of the world are some thousands; longer lists are refused, as they are broadcast in one row.
+MAX_PLACES = 100_000
+
+
 def locate(rows: DataFrame, text: str, countries: DataFrame, regions: DataFrame, home: str) -> DataFrame:
     """rows with country, region and city (null where unknown). countries has a column country, regions the columns
     region and country.
@@ -23,6 +27,8 @@ def locate(rows: DataFrame, text: str, countries: DataFrame, regions: DataFrame,
     The country is the last part that is one, or an alias of one; without it, a region of the home country says it. The
     region is the last part that is one of that country's; the city is the part before the region, or else before the
     country."""
+    if countries.count() + regions.count() > MAX_PLACES:
+        raise ValueError(f"more than {MAX_PLACES} countries and regions")
     known = rows.withColumn("_p", address_parts(F.col(text)))
     lists = countries.agg(F.collect_set(F.lower("country")).alias("_countries")).crossJoin(regions.agg(F.collect_set(F.struct(F.lower("region").alias("r"), F.lower("country").alias("c"))).alias("_regions")))
     wide = known.crossJoin(F.broadcast(lists))  # one row: lists of all countries and regions of the world are bounded
@@ -37,3 +43,13 @@ def locate(rows: DataFrame, text: str, countries: DataFrame, regions: DataFrame,
     before = F.coalesce(F.col("_r.i"), F.col("_c.i")) - 1
     city = F.when(before >= 0, F.get("_n", before))
     return wide.withColumn("country", country).withColumn("region", F.col("_r.x")).withColumn("city", city).drop("_p", "_n", "_c", "_r", "_countries", "_regions")
+
+
+def with_codes(located: DataFrame, codes: DataFrame) -> DataFrame:
+    """located (with region and city) and code: that of the place, else that of the region, else null. codes has the columns
+    region, place (null for a region as a whole) and code; of several for one place the least counts."""
+    own = codes.select(F.lower("region").alias("_region"), F.lower("place").alias("_place"), "code")
+    fine = own.where("_place is not null").groupBy("_region", "_place").agg(F.min("code").alias("_fine"))
+    coarse = own.where("_place is null").groupBy(F.col("_region").alias("_whole")).agg(F.min("code").alias("_coarse"))
+    joined = located.join(fine, (F.lower("region") == F.col("_region")) & (F.lower("city") == F.col("_place")), "left").join(coarse, F.lower("region") == F.col("_whole"), "left")
+    return joined.withColumn("code", F.coalesce("_fine", "_coarse")).drop("_region", "_place", "_whole", "_fine", "_coarse")
