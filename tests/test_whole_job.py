@@ -91,6 +91,13 @@ def test_terms_are_found_anywhere_in_a_text(run):
     assert [tuple(r) for r in run("dom_match_cascade", **tables).select("row", "n", "source").collect()] == [(1, 5, "statement")]
 
 
+def test_longest_matches_have_both_orders_of_words(run):
+    """Anywhere in a text, not only in its first sentence; a name inside another goes unless it is found more often."""
+    documents = ([(1, "One two. Then cancer renal."), (2, "A renal cancer. Cancer renal again."), (3, "renal cancer, kinds")], "doc_id long, text string")
+    tables = {"documents": documents, "benchmark": ([(1, "renal cancer kinds of it")], "item_id long, text string")}
+    assert {tuple(r) for r in run("win_longest_match", **tables).collect()} == {(1, "renal cancer", 1), (2, "renal cancer", 2), (3, "renal cancer", 1), (3, "kinds", 1)}
+
+
 def test_nearest_name_is_the_best_of_all(run):
     r = random.Random(2)
     names = sorted({"".join(r.choice("abcd") for _ in range(r.randint(3, 9))) for _ in range(60)})

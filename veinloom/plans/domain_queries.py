@@ -93,10 +93,11 @@ def dom_match_cascade_stems(t):
     return M.match_cascade(_parts(t), "row", _SOURCES, _terms(t), "term", "term", stems=True)
 
 
-@query(f"WITH hits AS MATERIALIZED ({_matches('SELECT doc_id AS "row", text AS s FROM documents', '"row"', _PLAIN)}) {_maximal('SELECT * FROM hits', ['"row"'])}")
+@query(f"WITH hits AS MATERIALIZED ({_matches('SELECT doc_id AS "row", text AS s FROM documents', '"row"', _ORDERS)}) {_maximal('SELECT * FROM hits', ['"row"'])}")
 def win_longest_match(t):
-    """Terms of a text without those inside another one that is found at least as often."""
-    hits = M.match_both(t("documents").select(F.col("doc_id").alias("row"), "text"), ["row"], "text", _terms(t), "term", "term", stems=False)
+    """Terms of a whole text, those of two words in both orders, without those inside another one that is found at least as
+    often."""
+    hits = M.match_both(t("documents").select(F.col("doc_id").alias("row"), "text"), ["row"], "text", _terms(t), "term", "term", stems=False, orders=True)
     return M.without_contained(hits, ["row"], "term")
 
 
