@@ -98,6 +98,12 @@ def test_longest_matches_have_both_orders_of_words(run):
     assert {tuple(r) for r in run("win_longest_match", **tables).collect()} == {(1, "renal cancer", 1), (2, "renal cancer", 2), (3, "renal cancer", 1), (3, "kinds", 1)}
 
 
+def test_cluster_profiles_have_all_texts_in_order(run):
+    part = [(3, "red Tin", 1), (1, "blue tin", 1), (2, "tin red box", 1), (4, "box", 2)]
+    found = {r["cluster"]: (r["size"], r["text"], r["terms"]) for r in run("dom_cluster_profile", part=(part, "p_partkey long, p_name string, p_size int")).collect()}
+    assert found == {1: (3, "blue tin tin red box red Tin", "tin,red,blue"), 2: (1, "box", "box")}
+
+
 def test_nearest_name_is_the_best_of_all(run):
     r = random.Random(2)
     names = sorted({"".join(r.choice("abcd") for _ in range(r.randint(3, 9))) for _ in range(60)})

@@ -324,14 +324,16 @@ def rank_targets(texts: DataFrame, key: str, text: str, first: DataFrame, second
     return counted.orderBy(F.col("texts").desc(), "a", "b")
 
 
-def cluster_profiles(members: DataFrame, cluster: str, text: str, top: int) -> DataFrame:
-    """cluster, size and terms: the `top` most frequent words of its members' texts, ties by the word. Words are counted by
-    partial aggregation, and no cluster's texts come together; for those in order see cluster_texts."""
-    sizes = members.groupBy(cluster).agg(F.count(F.lit(1)).alias("size"))
+def cluster_profiles(members: DataFrame, cluster: str, item: str, text: str, top: int) -> DataFrame:
+    """cluster, size, text (its members' texts in order of the item, ties by the text) and terms: their `top` most frequent
+    words, ties by the word. Words are counted by partial aggregation; for a text as rows, as long as it may be, see
+    cluster_texts."""
+    listed = F.array_sort(F.collect_list(F.struct(item, text)))
+    sizes = members.groupBy(cluster).agg(F.count(F.lit(1)).alias("size"), F.array_join(F.transform(listed, lambda x: x[text]), " ").alias("text"))
     words = members.select(cluster, F.explode(X.tokens(F.lower(text))).alias("_w")).groupBy(cluster, "_w").agg(F.count(F.lit(1)).alias("_n"))
     best = words.withColumn("_r", F.row_number().over(Window.partitionBy(cluster).orderBy(F.col("_n").desc(), "_w"))).where(F.col("_r") <= top)
     terms = best.groupBy(cluster).agg(F.transform(F.array_sort(F.collect_list(F.struct("_r", "_w"))), lambda x: x["_w"]).alias("terms"))
-    return sizes.join(terms, cluster, "left").select(cluster, "size", "terms")
+    return sizes.join(terms, cluster, "left").select(cluster, "size", "text", "terms")
 
 
 def cluster_texts(members: DataFrame, cluster: str, item: str, text: str) -> DataFrame:
