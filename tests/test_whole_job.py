@@ -72,11 +72,22 @@ def test_vectors_meet_all_others(run):
     dot = lambda x, y: sum(p * q for p, q in zip(x, y))
     cosine = lambda q, o: round(dot(e[q], e[o]) / (dot(e[q], e[q]) * dot(e[o], e[o])) ** 0.5, 6)
     near = {q: sorted((-cosine(q, o), o) for o in e if o != q)[:10] for q in (20, 40)}
-    found = run("vec_cosine", embeddings=(vectors, schema)).collect()
+    found = run("vec_nearest", embeddings=(vectors, schema)).collect()
     assert {q: sorted((-r["cosine"], r["other"]) for r in found if r["vec_id"] == q) for q in near} == near and len(found) == 20
+    found = run("vec_cosine", embeddings=(vectors, schema)).collect()
+    assert sorted(map(tuple, found)) == [(q, o, cosine(q, o)) for q in (20, 40) for o in sorted(e) if o != q]
     assert {(r["vec_id"], r["other"]) for r in run("vec_threshold", embeddings=(vectors, schema)).collect()} == {(q, o) for q in near for s, o in near[q] if -s >= 0.3}
 
 
+def test_cosines_of_odd_vectors(run):
+    """As in the SQL: null where a vector is missing or empty, not a number where one is all zeros; such pairs stay."""
+    vectors = [(20, [1.0, 0.0]), (40, None), (60, [0.0, 0.0]), (61, [2.0, 0.0]), (62, None), (None, [1.0, 1.0]), (63, [])]
+    found = {(q, o): repr(c) for q, o, c in run("vec_cosine", embeddings=(vectors, "vec_id long, embedding array<double>")).collect()}
+    value = lambda *v: "None" if not all(v) else "1.0" if all(map(any, v)) else "nan"
+    v = dict(vectors)
+    assert found == {(q, o): value(v[q], v[o]) for q in (20, 40, 60) for o in v if o not in (None, q)}
+
+
 def test_terms_are_found_anywhere_in_a_text(run):
     """At the start, across characters 60 and 360, and in short texts."""
     first = "renal cancer. " + "x" * 40 + " renal cancer " + "y" * 30 + ". " + "z " * 119 + "zzz renal cancer and more. End renal cancer"
