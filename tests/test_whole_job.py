@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import pytest
 
 from veinloom.operators import graph as G
+from veinloom.operators.nearest import nearest
 from veinloom.plans import registry
 
 
@@ -64,7 +65,7 @@ def test_communities_stop_only_where_no_move_raises_modularity(spark):
     assert not [x for x in found if max(gain(x, c) for c in list(into[x])) > gain(x, found[x]) + 1e-6]
 
 
-def test_vectors_meet_all_others(run):
+def test_vectors_meet_all_others(run, spark):
     """Earlier ones and those of another label too."""
     vectors = [(i, [float(i % 7), 1.0, float(-i % 5)], i % 3) for i in range(19, 42)]
     schema = "vec_id long, embedding array<double>, label long"
@@ -76,7 +77,10 @@ def test_vectors_meet_all_others(run):
     assert {q: sorted((-r["cosine"], r["other"]) for r in found if r["vec_id"] == q) for q in near} == near and len(found) == 20
     found = run("vec_cosine", embeddings=(vectors, schema)).collect()
     assert sorted(map(tuple, found)) == [(q, o, cosine(q, o)) for q in (20, 40) for o in sorted(e) if o != q]
-    assert {(r["vec_id"], r["other"]) for r in run("vec_threshold", embeddings=(vectors, schema)).collect()} == {(q, o) for q in near for s, o in near[q] if -s >= 0.3}
+    e_, k = spark.createDataFrame(vectors, schema), ("vec_id", "embedding", 10, 0.3)
+    assert {(r["query"], r["other"]) for r in nearest(e_.where("vec_id % 20 = 0"), e_, *k).collect()} == {(q, o) for q in near for s, o in near[q] if -s >= 0.3}
+    rules = {(q, o): (c > 0.1, 0.5 * c > 0.1, (0.5 + c) / 2 > 0.3) for q in (20, 40) for o in e if o != q for c in [cosine(q, o)]}
+    assert {(r[0], r[1]): tuple(r[2:]) for r in run("vec_threshold", embeddings=(vectors, schema)).collect()} == rules
 
 
 def test_cosines_of_odd_vectors(run):
