@@ -26,8 +26,8 @@ GROUP = 1_000
 #: The manifest is broadcast up to so many files (24 MB), and joined beyond.
 MAX_FILES = 1_000_000
 #: Pieces that a worker remembers; the store is emptied when it is full, so memory is bounded.
-MAX_PIECES = 450_000
-MAX_WORDS = 250_000
+MAX_PIECES = 500_000
+MAX_WORDS = 600_000
 #: Signs that form one pre-token when they stand together; no quotation mark, which may begin a contraction, and no "<",
 #: which may begin a special token.
 _SIGNS = ".,;:!?*$%&#|-"
@@ -42,6 +42,8 @@ ORC_OPTIONS = {
 }
 
 
+#: Packers of short lists of ids.
+_PACKED = [struct.Struct(f"<{n}I").pack for n in range(17)]
 #: A line end without white space beside it is a token of its own; two white characters together need the longer way.
 _GAP = re.compile(r"\s\s")
 
@@ -79,14 +81,6 @@ class PieceEncoder:
         #: Whether words can be cut off and given to the library's model directly.
         self.plain = not spec["normalizer"] and pre.get("type") == "ByteLevel" and pre["use_regex"] and not pre["add_prefix_space"]
 
-    def parts(self, piece: str) -> tuple[str, str] | None:
-        """A blank (or none) with letters of a Latin alphabet, and the signs after them: two pre-tokens, of which the
-        second may be empty. None for all other pieces."""
-        word = piece.rstrip(_SIGNS)
-        if word[word[:1] == " " :].isalpha() and (word.isascii() or max(word) < "\u0180"):
-            return word, piece[len(word) :]
-        return None
-
     def of_word(self, word: str) -> bytes:
         ids = self.words.get(word)
         if ids is None:
@@ -94,7 +88,12 @@ class PieceEncoder:
                 self.words.clear()
             letters = word.replace(" ", "\u0120") if word.isascii() else word.encode("utf-8").decode("latin-1").translate(_BYTES)
             tokens = self.library.model.tokenize(letters)
-            ids = self.words[word] = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+            if len(tokens) == 1:
+                ids = _PACKED[1](tokens[0].id)
+            else:
+                ids = [t.id for t in tokens]
+                ids = _PACKED[len(ids)](*ids) if len(ids) < len(_PACKED) else struct.pack(f"<{len(ids)}I", *ids)
+            self.words[word] = ids
         return ids
 
     @staticmethod
@@ -112,8 +111,12 @@ class PieceEncoder:
         return out
 
     def of_piece(self, piece: str) -> bytes:
-        if self.plain and (two := self.parts(piece)):
-            return self.of_word(two[0]) + self.of_word(two[1]) if two[1] else self.of_word(two[0])
+        # A blank (or none) with letters of a Latin alphabet, and the signs after them, are two pre-tokens, of which the
+        # second may be empty.
+        if self.plain:
+            word = piece.rstrip(_SIGNS)
+            if word[word[:1] == " " :].isalpha() and (word.isascii() or max(word) < "\u0180"):
+                return self.of_word(word) if len(word) == len(piece) else self.of_word(word) + self.of_word(piece[len(word) :])
         return np.array(self.library.encode(piece, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def encode(self, text: str | None) -> bytes:
