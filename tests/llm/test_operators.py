@@ -660,3 +660,26 @@ def test_pipeline_equals_brute_force(spark, tmp_path):
     assert found == want
     kept = {k for k, *_ in found}
     assert {403, 404, None} <= kept and not kept & set(bad)
+
+
+def test_borders_stop_reading_at_the_first_difference():
+    """As found by listing all words of both sides; words behind a difference are never asked for."""
+    def listed(mine, theirs, cut, other_cut):
+        a, b = mine[: len(mine) - cut], theirs[: len(theirs) - other_cut]
+        k = 0
+        while k < min(len(a), len(b)) and a[k].lower() == b[k].lower():
+            k += 1
+        ended = lambda side, was_cut: k == len(side) and not was_cut
+        return k, k in (len(a), len(b)) and not ended(a, cut) and not ended(b, other_cut)
+
+    for _ in range(3000):
+        x, y = ("".join(rng.choice("aB \n") for _ in range(rng.randint(0, 9))) for _ in range(2))
+        y = x[: rng.randint(0, len(x))] + y if rng.random() < 0.5 else y + x[rng.randint(0, len(x)) :]
+        cut, other_cut = rng.random() < 0.5, rng.random() < 0.5
+        for words, order in ((unit_dedup._WORD, 1), (unit_dedup._WORD_BACKWARD, -1)):
+            k, last, more = unit_dedup.equal_words(words.finditer(x), words.finditer(y), cut, other_cut)
+            assert (k, more) == listed(x.split()[::order], y.split()[::order], cut, other_cut), (x, y, cut, other_cut)
+            assert (last is None) == (k == 0) and (not k or last[0].group() == x.split()[::order][k - 1])
+    asked = []
+    words = lambda text: (asked.append(m) or m for m in unit_dedup._WORD.finditer(text))
+    assert unit_dedup.equal_words(words("one two " * 300), words("one three " * 300), True, True)[0] == 1 and len(asked) <= 6

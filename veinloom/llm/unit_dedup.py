@@ -34,6 +34,7 @@ UNIT_WORDS, SHORT_ENDS = 6, 4
 CONTEXT_CHARS, MORE = 2_000, 8
 _SENTENCE = regex.compile(r"[^\n.!?]*+(?:[.!?]++(?![ \n]|\Z)[^\n.!?]*+)*+(?:[.!?]++[ ]*+|\n|\Z)")
 _WORD = regex.compile(r"\S+")
+_WORD_BACKWARD = regex.compile(r"(?r)\S+")
 #: Characters of scripts that write no blanks; two count as a word.
 _UNSPACED = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]")
 _UNIT = "doc_id long, h long, seq int, start int, end int, n int, before int, behind int, d1 long, d2 long"
@@ -127,32 +128,43 @@ _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 _CORE = pa.struct([(k, pa.int64()) for k in ("start", "end", "n", "left", "right", "a_doc", "a_h", "a_start", "a_end")])
 
 
-def equal_words(mine: list[str], theirs: list[str], cut: bool, other_cut: bool) -> tuple[int, bool]:
-    """How many words are equal from the first on, and whether there may be more behind the end of what was fetched; the
-    last word of a side that was cut may be part of one and does not count."""
-    mine, theirs = mine[: len(mine) - cut], theirs[: len(theirs) - other_cut]
-    k = 0
-    while k < min(len(mine), len(theirs)) and mine[k].lower() == theirs[k].lower():
-        k += 1
-    ended = lambda side, was_cut: k == len(side) and not was_cut
-    return k, k in (len(mine), len(theirs)) and not ended(mine, cut) and not ended(theirs, other_cut)
+def _outward(words: Iterator, cut: bool) -> Iterator:
+    """The words of a side from the core outwards, without the last one if the side was cut."""
+    held = next(words, None)
+    for m in words:
+        yield held
+        held = m
+    if held is not None and not cut:
+        yield held
+
+
+def equal_words(mine: Iterator, theirs: Iterator, cut: bool, other_cut: bool) -> tuple[int, tuple | None, bool]:
+    """How many words (matches) are equal from the first on, the last of them on both sides, and whether there may be more
+    behind the end of what was fetched; the last word of a side that was cut may be part of one and does not count. Words
+    behind the first difference are not looked at."""
+    mine, theirs = _outward(mine, cut), _outward(theirs, other_cut)
+    k, last = 0, None
+    while True:
+        x, y = next(mine, None), next(theirs, None)
+        if x is None or y is None:
+            return k, last, (x is not None or cut) and (y is not None or other_cut)
+        if x.group().lower() != y.group().lower():
+            return k, last, False
+        k, last = k + 1, (x, y)
 
 
 def grown(core: dict, left: str, right: str, a_left: str, a_right: str, block: int) -> dict:
     """The core after its borders have grown over equal words. left and right are up to `block` characters beside it,
     a_left and a_right up to block + 64 beside its first occurrence. With `more`, growing is to go on."""
     core = dict(core)
-    mine, theirs = list(_WORD.finditer(left)), list(_WORD.finditer(a_left))
-    words = lambda found: [m.group() for m in found]
-    k, more_left = equal_words(words(mine)[::-1], words(theirs)[::-1], core["left"] > block, core["a_start"] > block + 64)
-    if k:
-        by = len(left) - mine[-k].start()
-        core |= {"start": core["start"] - by, "left": core["left"] - by, "a_start": core["a_start"] - (len(a_left) - theirs[-k].start())}
-    mine, theirs = list(_WORD.finditer(right)), list(_WORD.finditer(a_right))
-    j, more_right = equal_words(words(mine), words(theirs), core["right"] > block, len(a_right) == block + 64)
-    if j:
-        by = mine[j - 1].end()
-        core |= {"end": core["end"] + by, "right": core["right"] - by, "a_end": core["a_end"] + theirs[j - 1].end()}
+    k, last, more_left = equal_words(_WORD_BACKWARD.finditer(left), _WORD_BACKWARD.finditer(a_left), core["left"] > block, core["a_start"] > block + 64)
+    if last:
+        by = len(left) - last[0].start()
+        core |= {"start": core["start"] - by, "left": core["left"] - by, "a_start": core["a_start"] - (len(a_left) - last[1].start())}
+    j, last, more_right = equal_words(_WORD.finditer(right), _WORD.finditer(a_right), core["right"] > block, len(a_right) == block + 64)
+    if last:
+        by = last[0].end()
+        core |= {"end": core["end"] + by, "right": core["right"] - by, "a_end": core["a_end"] + last[1].end()}
     core["left"], core["right"] = core["left"] if more_left else 0, core["right"] if more_right else 0
     return core | {"n": core["n"] + k + j, "more": more_left or more_right}
 
