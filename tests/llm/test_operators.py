@@ -683,3 +683,19 @@ def test_borders_stop_reading_at_the_first_difference():
     asked = []
     words = lambda text: (asked.append(m) or m for m in unit_dedup._WORD.finditer(text))
     assert unit_dedup.equal_words(words("one two " * 300), words("one three " * 300), True, True)[0] == 1 and len(asked) <= 6
+
+
+def test_bpe_words_are_cut_and_proposed_together():
+    """As word by word: proposals by one pass over all words, and cuts of pieces by one pass over all of them."""
+    own = bpe.SpeculativeBpe(bpe.vocabulary("word_bpe_49k.json"))
+    pieces = {"", "don't", "DON'T!", "a1b22", "Éèpa.", "İx", "ß", "\x00\x1c", "a\tb", "\x85", "Ωmega", "日本", "x<|endoftext|>y", "<", "­-é", "'s't"}
+    pieces |= {"".join(rng.choice("abcdeinst'é1ÀßıĿ.!#\x01") for _ in range(rng.randint(1, 30))) for _ in range(500)}
+    cut, in_bytes = own.cut_all(pieces)
+    assert cut.keys() == pieces
+    assert all([in_bytes.get(w, w) for w in cut[x]] == own.cut(x) for x in pieces if "<" not in x)
+    words = sorted({in_bytes.get(w, w) + bpe._END for parts in cut.values() for w in parts if isinstance(w, str)} | {"￿", "e" * 99 + bpe._END})
+    assert own.propose_all(words) == [own.propose(w) for w in words]
+    own.learn(pieces)
+    for x in pieces:
+        ids = own.library.encode(x, add_special_tokens=False).ids
+        assert own.pieces[x] == (len(ids), " ".join(map(str, ids)), own.library.decode(ids, skip_special_tokens=False))

@@ -13,6 +13,7 @@ import re
 import unicodedata
 from collections.abc import Callable, Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -24,8 +25,8 @@ from veinloom.llm.storage import table
 from veinloom.llm.worker_cache import kept
 
 #: Pieces that a worker remembers; the store is emptied when it is full, so memory is bounded.
-MAX_PIECES = 400_000
-MAX_WORDS = 250_000
+MAX_PIECES = 800_000
+MAX_WORDS = 600_000
 #: Words of up to so many symbols are merged without a queue.
 SHORT = 40
 _NEVER = 1 << 60
@@ -82,7 +83,6 @@ class SpeculativeBpe:
         for t, r in self.rank.items():
             self.text[r] = t
             self.id_of[r] = vocab[t]
-        self.shared_id: list[int] = self.id_of.tolist()  # one object for each id, however many words hold it
         self.left, self.right = np.arange(n), np.arange(n)
         self.pair_made: dict[tuple[int, int], tuple[int, int]] = {}
         for k, (a, b) in enumerate(merges):
@@ -110,8 +110,16 @@ class SpeculativeBpe:
         self.special_split = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.token_of = {i: t for t, i in model["vocab"].items()} | {i: t for t, i in self.special.items()}
         self.pattern = _own_pattern(spec)
+        self.by_line = self.pattern and regex.compile(r"\n|" + self.pattern.pattern)
+        #: Of each token by rank: its id in decimal, and how it is decoded.
+        self.shown = [(str(i), self.token_of.get(i)) for i in self.id_of.tolist()]
+        self.sizes = np.array([len(t) for t in self.text], dtype=np.int64)
+        self.automaton = ahocorasick.Automaton()
+        for t, r in self.rank.items():
+            self.automaton.add_word(t, r)
+        self.automaton.make_automaton()
         self.pieces: dict[str, tuple[int, str, str]] = {}
-        self.words: dict[str, tuple[int, ...]] = {}
+        self.words: dict[str, tuple[int, str, str]] = {}
 
     def propose(self, word: str) -> list[int]:
         """Greedy longest match; empty if some character is in no token."""
@@ -131,6 +139,21 @@ class SpeculativeBpe:
                 return []
         return out
 
+    def propose_all(self, words: list[str]) -> list[list[int]]:
+        """propose() of each word (with its end): one pass of an automaton over all of them, and where that leaves
+        characters over, propose() itself."""
+        lengths = np.array([len(w) + 1 for w in words], dtype=np.int64)
+        ends = np.cumsum(lengths)
+        found = list(self.automaton.iter_long("".join([w + "\n" for w in words])))
+        at = np.array([e for e, _ in found], dtype=np.int64)
+        ranks = [r for _, r in found]
+        sizes = self.sizes[ranks] if ranks else np.zeros(0, dtype=np.int64)
+        owner = np.searchsorted(ends, at, side="right")
+        covered = np.bincount(owner, weights=sizes, minlength=len(words)).astype(np.int64)
+        counts = np.cumsum(np.bincount(owner, minlength=len(words))).tolist()
+        whole = (covered == lengths - 1).tolist()
+        return [ranks[a:b] if w else self.propose(word) for word, w, a, b in zip(words, whole, [0, *counts], counts)]
+
     def compatible(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """For each pair of adjacent tokens whether merging would keep the border between them."""
         a, b = a.copy(), b.copy()
@@ -214,10 +237,50 @@ class SpeculativeBpe:
         text = self.library.normalizer.normalize_str(text) if self.library.normalizer else text
         return [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(text)]
 
-    def learn_words(self, words: set[str]) -> dict[str, tuple[int, ...]]:
-        """Ids of pre-tokenised words: all are proposed, their pairs verified together, and the failing ones merged."""
+    def cut_all(self, pieces: set[str]) -> tuple[dict[str, list], dict[str, str]]:
+        """The words of each piece, whole numbers for special tokens; and of words that are not yet in the byte alphabet,
+        what they are in it. Pieces hold no line end and no blank. Those of Latin letters are cut together, see cut()."""
+        cut: dict[str, list] = {}
+        latin = []
+        for piece in pieces:
+            if self.pattern and (piece.isascii() or max(piece) < "\u0180") and not (self.special_split and "<" in piece):
+                latin.append(piece)
+                continue
+            parts = cut[piece] = []
+            for k, x in enumerate(self.special_split.split(piece) if self.special_split and "<" in piece else [piece]):
+                if k % 2:
+                    parts.append(self.special[x])
+                elif x:
+                    parts.extend(self.cut(x))
+        if not latin:
+            return cut, {}
+        text = "\n".join(latin)
+        low = text if text.isascii() else unicodedata.normalize("NFC", text)
+        mixed, raw = [], set()
+        for piece, line in zip(latin, low.lower().split("\n")):
+            if line.isalpha():
+                cut[piece] = [line]
+                raw.add(line)
+            else:
+                cut[piece] = []
+                mixed.append((piece, line))
+        into = iter([cut[piece] for piece, _ in mixed])
+        parts = next(into, None)
+        for w in self.by_line.findall("\n".join([line for _, line in mixed])):
+            if w == "\n":
+                parts = next(into)
+            else:
+                parts.append(w)
+                raw.add(w)
+        odd = [w for w in raw if not (w.isascii() and w.isprintable())]
+        return cut, dict(zip(odd, "\n".join(odd).encode("utf-8").decode("latin-1").translate(_BYTES).split(_BYTES[10])))
+
+    def learn_words(self, words: set[str]) -> dict[str, tuple[int, str, str]]:
+        """Number of ids, ids and decoded text of pre-tokenised words: all are proposed, their pairs verified together, and
+        the failing ones merged."""
         names = list(words)
-        proposed = [self.propose(w + _END if self.suffix else w) for w in names]
+        ended = [w + _END for w in names] if self.suffix else names
+        proposed = self.propose_all(ended)
         sizes = np.array([len(p) for p in proposed], dtype=np.int64)
         flat = np.array([r for p in proposed for r in p], dtype=np.int64)
         owner = np.repeat(np.arange(len(names)), sizes)
@@ -229,29 +292,32 @@ class SpeculativeBpe:
             fails[owner[inner[~good]]] = True
             single = self.unsure[flat]
             fails[owner[single]] = True
-        of = self.shared_id
-        return {w: tuple([of[r] for r in (self.merge(w + _END if self.suffix else w) if f else p)]) for w, p, f in zip(names, proposed, fails)}
+        of, out = self.shown.__getitem__, {}
+        for name, word, p, f in zip(names, ended, proposed, fails.tolist()):
+            if f:
+                p = self.merge(word)
+            if len(p) == 1:
+                shown, token = of(p[0])
+                out[name] = (1, shown, token or "")
+            else:
+                shown = list(map(of, p))
+                out[name] = (len(p), " ".join([i for i, _ in shown]), " ".join([t for _, t in shown if t is not None]))
+        return out
 
     def learn(self, pieces: set[str]) -> None:
-        """Adds the ids of pieces (texts without inner white space of the plain kinds) to the store."""
-        cut: dict[str, list] = {}
-        words: set[str] = set()
-        for piece in pieces:
-            parts: list = []
-            for k, x in enumerate(self.special_split.split(piece) if self.special_split and "<" in piece else [piece]):
-                if k % 2:
-                    parts.append(self.special[x])
-                elif x:
-                    parts.extend(self.cut(x))
-            cut[piece] = parts
-            words.update(p for p in parts if isinstance(p, str))
+        """Adds what the pieces (texts without blanks and line ends) give to the store."""
+        cut, in_bytes = self.cut_all(pieces)
         if len(self.words) > MAX_WORDS:
             self.words.clear()
-        self.words.update(self.learn_words(words.difference(self.words)))
-        known = self.words
+        known, get = self.words, in_bytes.get
+        words = {get(p, p) for parts in cut.values() for p in parts if type(p) is str}
+        known.update(self.learn_words(words.difference(known)))
         for piece, parts in cut.items():
-            ids = [i for p in parts for i in (known[p] if isinstance(p, str) else (p,))]
-            self.pieces[piece] = (len(ids), " ".join(map(str, ids)), self.decode(ids))
+            if len(parts) == 1 and type(parts[0]) is str:
+                self.pieces[piece] = known[get(parts[0], parts[0])]
+                continue
+            of = [known[get(p, p)] if type(p) is str else (1, str(p), self.decode([p])) for p in parts]
+            self.pieces[piece] = (sum([n for n, _, _ in of]), " ".join([i for _, i, _ in of if i]), " ".join([d for _, _, d in of if d]))
 
     def encode_texts(self, texts: list[str | None]) -> list[tuple[int, str, str]]:
         """Number of ids, the ids in decimal with blanks between, and the decoded text, of each text. All three are put
