@@ -578,6 +578,36 @@ def test_a_row_without_an_id_can_be_a_bridge(spark):
     assert [r["component_id"] for r in found] == [1] * 4
 
 
+def test_line_keys_are_grouped_as_packets_and_hot_keys_stay_bounded(spark):
+    """Band keys travel packed, not as a row each; a key of very many nodes is given out while the others are still held."""
+    r = np.random.default_rng(3)
+    key = np.concatenate([r.integers(0, 3000, 6000), np.full(4000, 7)]).astype(np.uint64)
+    node = np.concatenate([r.integers(-50, 50, 6000), np.arange(4000)])
+    of = defaultdict(set)
+    for k, n in zip(key.tolist(), node.tolist()):
+        of[k].add(n)
+    pairs, out, held = line_dedup.SlotPairs(2000), [], 0
+    for i in range(0, len(key), 100):
+        out += pairs.add(key[i : i + 100], node[i : i + 100])
+        held = max(held, pairs.size)
+    out.append(pairs.rest())
+    got_ = {(int(k), int(n)) for ks, ns, *_ in out for k, n in zip(ks, ns)}
+    assert got_ == {(k, n) for k, ns in of.items() if len(ns) > 1 for n in ns} and 7 in pairs.hot and held < 9000
+    lists = {n: r.integers(0, 60, line_dedup.BANDS).astype("<u8") << np.uint64(57) | r.integers(0, 40, line_dedup.BANDS).astype("<u8") for n in range(40)}
+    rows = spark.createDataFrame([(n, k.tobytes()) for n, k in lists.items()] + [(99, None)], "node long, keys binary")
+    assert "Generate" not in line_dedup.packets(rows, 5)._jdf.queryExecution().toString()
+    want = defaultdict(set)
+    for n, ks in lists.items():
+        for k in ks.tolist():
+            want[k].add(n)
+    with storage.Scratch(spark) as scratch:
+        found = defaultdict(set)
+        for x in line_dedup.buckets(rows, 41, scratch, slot_keys=100).collect():
+            found[x["root"] % (1 << 64)].add(x["node"])
+    assert all(found[k] == want[k] for k in found)
+    assert Counter(map(frozenset, found.values())) == Counter({frozenset(v) for v in want.values() if len(v) > 1})
+
+
 def test_line_dedup_recall_at_the_threshold(spark):
     """Pairs of lines between 0.80 and 0.84, each pair unlike all others: at least 0.97 of them are found."""
     r = random.Random(11)

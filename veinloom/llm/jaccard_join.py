@@ -210,8 +210,8 @@ def tree_links(sets: list[np.ndarray], part: np.ndarray, percent: int = PERCENT,
     return out
 
 
-def plain_links(members: list[frozenset], part: list[int], percent: int) -> list[tuple[int, int]]:
-    """The same for a few sets, without a tree: each set against one after the other that is in another part."""
+def plain_links(members: list[np.ndarray], part: list[int], percent: int) -> list[tuple[int, int]]:
+    """The same for a few sets, sorted arrays, without a tree: each set against one after the other that is in another part."""
     root = list(part)
     sizes = [len(m) for m in members]
     out = []
@@ -221,7 +221,9 @@ def plain_links(members: list[frozenset], part: list[int], percent: int) -> list
         for x in range(q):
             m = sizes[x]
             if root[x] != root[q] and 100 * m >= low and percent * m <= high:
-                both = len(a & members[x])
+                c = np.concatenate((a, members[x]))
+                c.sort()
+                both = np.count_nonzero(c[1:] == c[:-1])
                 if 100 * both >= percent * (n + m - both):
                     out.append((q, x))
                     old, new = root[x], root[q]
@@ -333,7 +335,7 @@ def block_links(rows: DataFrame, shingles, percent: int) -> DataFrame:
             if len(block) < 2:
                 continue
             if len(block) <= shingles.plain and not block[0][3]:
-                links = plain_links([frozenset(r[4].tolist()) for r in block], [r[2] for r in block], percent)
+                links = plain_links([r[4] for r in block], [r[2] for r in block], percent)
             else:
                 sides = np.array([r[3] for r in block])
                 links = tree_links([np.unique(r[4]) for r in block], np.array([r[2] for r in block], dtype=np.int64), percent, sides if sides.any() else None)

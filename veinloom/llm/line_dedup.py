@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veinloom.llm.components import connected_components
-from veinloom.llm.jaccard_join import beside, cluster_links, identified, keyed_nodes, MAX_NODES_KNOWN, mix
+from veinloom.llm.jaccard_join import beside, cluster_links, identified, MAX_NODES_KNOWN, mix
 from veinloom.llm.quality_classifier import in_chunks
 from veinloom.llm.storage import Scratch, table, written
 from veinloom.llm.worker_cache import forget
@@ -23,13 +23,19 @@ PERCENT = 80
 #: buckets at 0.51 GB, with six rows 716,683.
 BANDS, ROWS = 21, 6
 BLOCK = 2048
+#: Characters whose shingles are hashed together; keys that a task packs together; keys of a slot, on average.
+RUN_CHARS, PACKED, SLOT_KEYS = 1 << 16, 1 << 22, 1 << 20
 _P = np.uint64(0x100000001B3)
 _A = (mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+_A64, _B64 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _B = (mix(np.arange(1001, 1001 + BANDS * ROWS, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
 
 
 def normal(line: str) -> str:
     """Lower case, white space squeezed; lines that are equal then are one."""
+    # Of white space only the blank is printable, so most lines have nothing to squeeze.
+    if line.isprintable() and "  " not in line and line[:1] != " " and line[-1:] != " ":
+        return line.lower()
     return " ".join(line.lower().split())
 
 
@@ -42,7 +48,8 @@ def shingle_hashes(lines: list[str], n: int = CHARS) -> tuple[np.ndarray, np.nda
     with np.errstate(over="ignore"):
         h = codes[: len(codes) - n + 1].copy()
         for k in range(1, n):
-            h = h * _P + codes[k : len(codes) - n + 1 + k]
+            h *= _P
+            h += codes[k : len(codes) - n + 1 + k]
         h = mix(h * np.uint64(0x9E3779B97F4A7C15))
     inside = np.ones(len(codes), dtype=bool)
     for k in range(1, n):
@@ -51,28 +58,31 @@ def shingle_hashes(lines: list[str], n: int = CHARS) -> tuple[np.ndarray, np.nda
     return h[inside[: len(h)]], np.cumsum(counts) - counts
 
 
+def runs(lines: list[str], chars: int = RUN_CHARS) -> Iterator[list[str]]:
+    """The lines in runs of about so many characters, whose hashes stay in the processor's cache."""
+    begin, size = 0, 0
+    for i, line in enumerate(lines):
+        size += len(line)
+        if size >= chars:
+            yield lines[begin : i + 1]
+            begin, size = i + 1, 0
+    if begin < len(lines):
+        yield lines[begin:]
+
+
 def band_keys(lines: list[str]) -> np.ndarray:
     """BANDS keys of each line."""
-    h, starts = shingle_hashes(lines)
-    low = (h >> np.uint64(32)).astype(np.uint32)
-    least = np.empty((BANDS * ROWS, len(lines)), dtype=np.uint32)
-    step = 1 << 17
-    cuts = [0]
-    for i in range(len(starts)):  # runs of whole lines that stay in the processor's cache
-        if starts[i] - starts[cuts[-1]] >= step:
-            cuts.append(i)
-    cuts.append(len(starts))
+    least, at = np.empty((BANDS * ROWS, len(lines)), dtype=np.uint32), 0
     with np.errstate(over="ignore"):
-        for a, b in zip(cuts, cuts[1:]):
-            if a == b:
-                continue
-            begin, end = starts[a], starts[b] if b < len(starts) else len(low)
-            part, at = low[begin:end], starts[a:b] - begin
-            buffer = np.empty_like(part)
+        for run in runs(lines):
+            h, starts = shingle_hashes(run)
+            low = (h >> np.uint64(32)).astype(np.uint32)
+            buffer = np.empty_like(low)
             for k in range(BANDS * ROWS):
-                np.multiply(part, _A[k], out=buffer)
+                np.multiply(low, _A[k], out=buffer)
                 np.add(buffer, _B[k], out=buffer)
-                np.minimum.reduceat(buffer, at, out=least[k, a:b])
+                np.minimum.reduceat(buffer, starts, out=least[k, at : at + len(run)])
+            at += len(run)
         keys = np.zeros((len(lines), BANDS), dtype=np.uint64)
         for band in range(BANDS):
             x = np.full(len(lines), band + 1, dtype=np.uint64)
@@ -83,15 +93,21 @@ def band_keys(lines: list[str]) -> np.ndarray:
 
 
 class CharShingles:
-    """Makes the sets of character shingles of lines."""
+    """Makes the sets of character shingles of lines, as sorted arrays."""
 
     #: Buckets of up to so many lines are compared without a tree.
     plain = 64
 
     def maker(self) -> Callable[[list], list[np.ndarray]]:
         def sets_of(lines: list[str]) -> list[np.ndarray]:
-            h, starts = shingle_hashes(lines)
-            return np.split(h, starts[1:])
+            out = []
+            for run in runs(lines):
+                h, starts = shingle_hashes(run)
+                for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(h)]):
+                    s = np.sort(h[a:b])
+                    new = s[1:] != s[:-1]
+                    out.append(s if new.all() else np.concatenate([s[:1], s[1:][new]]))
+            return out
 
         return sets_of
 
@@ -104,7 +120,7 @@ def hashes(line: str) -> tuple[int, int]:
 
 def line_rows(documents: DataFrame) -> DataFrame:
     """doc_id, h (a hash of the text), idx, node and check of every line that is not blank; once for each node in a task,
-    its band keys."""
+    its band keys, packed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
@@ -127,14 +143,12 @@ def line_rows(documents: DataFrame) -> DataFrame:
                     seen.clear()
                 if not node:
                     continue
-                counts = np.zeros(len(node), dtype=np.int32)
-                counts[new_at] = BANDS
-                offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-                values = band_keys(new).ravel() if new else np.zeros(0, dtype=np.int64)
-                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
-                yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(text_h, pa.int64()), pa.array(idx, pa.int32()), pa.array(node, pa.int64()), pa.array(check, pa.int64()), lists], names=["doc_id", "h", "idx", "node", "check", "keys"])
+                lists: list[bytes | None] = [None] * len(node)
+                for i, k in zip(new_at, band_keys(new)):
+                    lists[i] = k.tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(text_h, pa.int64()), pa.array(idx, pa.int32()), pa.array(node, pa.int64()), pa.array(check, pa.int64()), pa.array(lists, pa.binary())], names=["doc_id", "h", "idx", "node", "check", "keys"])
 
-    return identified(documents).where("doc_id is not null").mapInArrow(run, "doc_id long, h long, idx int, node long, check long, keys array<long>")
+    return identified(documents).where("doc_id is not null").mapInArrow(run, "doc_id long, h long, idx int, node long, check long, keys binary")
 
 
 def chosen_lines(documents: DataFrame, chosen: DataFrame) -> DataFrame:
@@ -157,16 +171,126 @@ def chosen_lines(documents: DataFrame, chosen: DataFrame) -> DataFrame:
     return found.groupBy("node").agg(F.max("text").alias("text"))  # a repeated row gives its lines again
 
 
-def buckets(rows: DataFrame) -> DataFrame:
+def packets(rows: DataFrame, slots: int) -> DataFrame:
+    """slot, and packed keys and nodes, of rows (node, keys): a key's slot is its place in the range of all keys. One row for
+    each slot and PACKED keys of a task."""
+
+    def packed(keys: list[bytes], nodes: list[int]) -> pa.RecordBatch:
+        key = np.frombuffer(b"".join(keys), dtype="<u8")
+        node = np.repeat(np.array(nodes, dtype="<i8"), BANDS)
+        slot = (((key >> np.uint64(32)) * np.uint64(slots)) >> np.uint64(32)).astype(np.uint16 if slots < 1 << 16 else np.uint32)
+        order = np.argsort(slot, kind="stable")
+        key, node = key[order], node[order]
+        used, begin = np.unique(slot[order], return_index=True)
+        ends = np.append(begin[1:], len(key))
+        columns = [pa.array([x[a:b].tobytes() for a, b in zip(begin, ends)], pa.binary()) for x in (key, node)]
+        return pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), *columns], names=["slot", "keys", "nodes"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
+        keys, nodes = [], []
+        for batch in batches:
+            keys += batch.column(1).to_pylist()
+            nodes += batch.column(0).to_pylist()
+            if len(keys) * BANDS >= PACKED:
+                yield packed(keys, nodes)
+                keys, nodes = [], []
+        if keys:
+            yield packed(keys, nodes)
+
+    return rows.where("keys is not null").select("node", "keys").mapInArrow(run, "slot int, keys binary, nodes binary")
+
+
+class SlotPairs:
+    """The distinct (key, node) pairs of a slot. Pairs of a key that very many nodes have are given out early, so what is
+    held stays near `most` however large one bucket is."""
+
+    def __init__(self, most: int):
+        self.most, self.size = most, 0
+        self.keys: list[np.ndarray] = []
+        self.nodes: list[np.ndarray] = []
+        self.hot = np.zeros(0, dtype=np.uint64)
+
+    def add(self, key: np.ndarray, node: np.ndarray) -> list[tuple[np.ndarray, ...]]:
+        """Takes pairs; what it returns are rows of hot keys."""
+        out = []
+        if len(self.hot):
+            is_hot = np.isin(key, self.hot)
+            out.append(self._hot_rows(key[is_hot], node[is_hot]))
+            key, node = key[~is_hot], node[~is_hot]
+        self.keys.append(key), self.nodes.append(node)
+        self.size += len(key)
+        if self.size > 2 * self.most:
+            key, node = self._distinct(np.concatenate(self.keys), np.concatenate(self.nodes))
+            of, at, n = np.unique(key, return_inverse=True, return_counts=True)
+            many = n > max(1, self.most // 64)
+            self.hot = np.concatenate([self.hot, of[many]])
+            is_hot = many[at]
+            out.append(self._hot_rows(key[is_hot], node[is_hot]))
+            self.keys, self.nodes = [key[~is_hot]], [node[~is_hot]]
+            self.size = len(self.keys[0])
+            self.most = max(self.most, self.size)
+        return out
+
+    @staticmethod
+    def _distinct(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        order = np.lexsort((node, key))
+        key, node = key[order], node[order]
+        new = np.ones(len(key), dtype=bool)
+        new[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
+        return key[new], node[new]
+
+    @staticmethod
+    def _hot_rows(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, ...]:
+        return key, node, key, ~key
+
+    def rest(self) -> tuple[np.ndarray, ...]:
+        """key, node and two hashes of the key's nodes, of the keys that several nodes have."""
+        if not self.keys:
+            return (np.zeros(0, dtype=np.uint64),) * 4
+        key, node = np.concatenate(self.keys), np.concatenate(self.nodes)
+        order = np.argsort(key)
+        key = key[order]
+        same = np.zeros(len(key) + 1, dtype=bool)
+        same[1:-1] = key[1:] == key[:-1]
+        again = same[:-1] | same[1:]  # only what has an equal key is looked at further
+        key, node = self._distinct(key[again], node[order[again]])
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, dtype=np.int64)
+        n = np.diff(np.append(first, len(key)))
+        sums = []
+        for salt in (_A64, _B64):
+            with np.errstate(over="ignore"):
+                x = np.add.reduceat(mix(node.view(np.uint64) * salt + salt), first) if len(first) else np.zeros(0, dtype=np.uint64)
+            sums.append(np.repeat(x, n))
+        several = np.repeat(n > 1, n)
+        return tuple(x[several] for x in (key, node, *sums))
+
+
+def buckets(rows: DataFrame, n_rows: int, scratch: Scratch, slot_keys: int = SLOT_KEYS) -> DataFrame:
     """node and root (a key) of all nodes that share a key with another; of keys with the same nodes only one is kept.
-    rows: node, keys."""
-    keyed = keyed_nodes(rows)
-    h = F.xxhash64("node")
-    # What nodes a key has: their number, least and largest, and two sums of their hashes.
-    marks = [F.count(F.lit(1)).alias("n"), F.min("node").alias("low"), F.max("node").alias("high"), F.sum(h.bitwiseAND(0xFFFFFFFF)).alias("x"), F.sum(F.shiftrightunsigned(h, 32)).alias("y")]
-    several = keyed.groupBy("key").agg(*marks).where("low <> high")
-    kept = several.groupBy("n", "low", "high", "x", "y").agg(F.min("key").alias("key")).select("key")
-    return keyed.join(kept, "key").select("node", F.col("key").alias("root")).distinct()
+    rows: node, keys; n_rows: how many these are at most, which says in how many slots the keys are sorted."""
+    slots = max(1, -(-n_rows * BANDS // slot_keys))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
+
+        def out(columns: tuple[np.ndarray, ...]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in columns], names=["key", "node", "x", "y"])
+
+        slot, pairs = None, SlotPairs(4 * slot_keys)
+        for batch in batches:
+            for s, key, node in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+                if s != slot:
+                    yield out(pairs.rest())
+                    slot, pairs = s, SlotPairs(4 * slot_keys)
+                for rows_ in pairs.add(np.frombuffer(key.as_buffer(), dtype="<u8"), np.frombuffer(node.as_buffer(), dtype="<i8")):
+                    yield out(rows_)
+        yield out(pairs.rest())
+
+    dealt = packets(rows, slots).repartition(slots, "slot").sortWithinPartitions("slot")
+    several = scratch.written(dealt.mapInArrow(run, "key long, node long, x long, y long"), "several")
+    kept = several.groupBy("x", "y").agg(F.min("key").alias("key")).select("key")
+    return several.join(kept, "key").select("node", F.col("key").alias("root")).distinct()
 
 
 def removed_lines(documents: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
@@ -181,7 +305,7 @@ def removed_lines(documents: DataFrame, percent: int = PERCENT, block: int = BLO
     with Scratch(documents.sparkSession) as scratch:
         keys = scratch.written(line_rows(documents), "keys")
         rows = scratch.written(keys.drop("keys"), "rows")
-        in_buckets = scratch.written(buckets(keys), "buckets")
+        in_buckets = scratch.written(buckets(keys, rows.count(), scratch), "buckets")
         scratch.drop(keys, collect=True)
         place = F.struct("doc_id", "h", "idx")
         # Equal lines, by all 128 bits: how many and which is first.
