@@ -394,6 +394,21 @@ def test_token_files(spark, docs):
         assert np.frombuffer(y, dtype="<u4").tolist() == tokenizer.encode(x, add_special_tokens=False).ids, x
 
 
+def test_a_batch_of_texts_looks_each_different_piece_up_once():
+    from tokenizers import Tokenizer
+
+    path = bpe.vocabulary("byte_bpe_50k.json")
+    tokenizer, encoder, asked = Tokenizer.from_file(path), token_files.PieceEncoder(path), []
+    of_piece = encoder.of_piece
+    encoder.of_piece = lambda piece: asked.append(piece) or of_piece(piece)
+    texts = ["a b a\nb a ", None, "", "\n", " ", "no gap, 中文 b\na", "two  blanks \n here", "\u2003b a", "b's 12<|x|>.\n"] + ["".join(rng.choice("ab 1.\né'A’中") for _ in range(rng.randint(1, 9))) for _ in range(300)]
+    for x, y in zip(texts, encoder.encode_batch(texts)):
+        assert np.frombuffer(y, dtype="<u4").tolist() == (tokenizer.encode(x, add_special_tokens=False).ids if x else []), x
+    asked.clear()
+    encoder.encode_batch(["a b a\nb a"] * 50)
+    assert sorted(asked) == ["\n", " a", " b", "a", "b"]
+
+
 def test_bpe(spark, docs):
     from tokenizers import Tokenizer
 

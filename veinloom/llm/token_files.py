@@ -25,9 +25,10 @@ END_ID = 2
 GROUP = 1_000
 #: The manifest is broadcast up to so many files (24 MB), and joined beyond.
 MAX_FILES = 1_000_000
-#: Pieces that a worker remembers; the store is emptied when it is full, so memory is bounded.
-MAX_PIECES = 500_000
-MAX_WORDS = 600_000
+#: Words that a worker remembers; the store is emptied when it is full, so memory is bounded.
+MAX_WORDS = 1_000_000
+#: Characters that are encoded together; each different piece in them is looked up once.
+BATCH_CHARS = 3_000_000
 #: Signs that form one pre-token when they stand together; no quotation mark, which may begin a contraction, and no "<",
 #: which may begin a special token.
 _SIGNS = ".,;:!?*$%&#|-"
@@ -48,23 +49,12 @@ _PACKED = [struct.Struct(f"<{n}I").pack for n in range(17)]
 _GAP = re.compile(r"\s\s")
 
 
-class _Pieces(dict):
-    """Ids of pieces as bytes, worked out when first asked for; a fixed beginning may be left out of the keys."""
-
-    def __init__(self, encoder: PieceEncoder, beginning: str = ""):
-        self.encoder, self.beginning = encoder, beginning
-
-    def __missing__(self, key: str) -> bytes:
-        self[key] = ids = self.encoder.of_piece(self.beginning + key)
-        return ids
-
-
 class PieceEncoder:
-    """The library's encoding, asked for once for each different piece of text.
+    """The library's encoding, asked for once for each different word.
 
     A byte-level pre-tokeniser takes a blank together with what follows it and lets no other token hold one, so a text
-    can be cut before each blank, except inside a run of white space that goes on behind the blank. The pieces' ids are
-    kept as bytes and joined.
+    can be cut before each blank, except inside a run of white space that goes on behind the blank. Arrow finds the different pieces of many
+    texts at once, and their ids are put together as arrays.
     """
 
     def __init__(self, path: str):
@@ -73,8 +63,6 @@ class PieceEncoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.pieces = _Pieces(self)
-        self.behind_blank = _Pieces(self, " ")
         self.words: dict[str, bytes] = {}
         spec = json.loads(self.library.to_str())
         pre = spec["pre_tokenizer"] or {}
@@ -117,27 +105,54 @@ class PieceEncoder:
             word = piece.rstrip(_SIGNS)
             if word[word[:1] == " " :].isalpha() and (word.isascii() or max(word) < "\u0180"):
                 return self.of_word(word) if len(word) == len(piece) else self.of_word(word) + self.of_word(piece[len(word) :])
-        return np.array(self.library.encode(piece, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def encode(self, text: str | None) -> bytes:
-        """Little-endian 32-bit ids of a text; null is empty."""
-        if not text:
-            return b""
-        if _GAP.search(text):
-            return b"".join(map(self.pieces.__getitem__, self.cut(text)))
-        if "\n" not in text:
-            return self.line(text)
-        return self.pieces["\n"].join([self.line(x) for x in text.split("\n")])
-
-    def line(self, text: str) -> bytes:
-        first, *rest = text.split(" ")
-        return (self.pieces[first] if first else b"") + b"".join(map(self.behind_blank.__getitem__, rest))
+        ids = self.words.get(piece)
+        if ids is None:
+            if len(self.words) > MAX_WORDS:
+                self.words.clear()
+            self.words[piece] = ids = np.array(self.library.encode(piece, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return ids
+
+    def encode_simple(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of texts without two white characters together, one text after the other, and where each text's end.
+        There a piece begins at each blank, and a line end is a piece of its own."""
+        data = [x.encode("utf-8", "surrogatepass") for x in texts]
+        blob = b"".join(data)
+        ends = np.cumsum([len(x) for x in data])
+        chars = np.frombuffer(blob, dtype=np.uint8)
+        line_end = chars == 10
+        cut = (chars == 32) | line_end
+        cut[1:] |= line_end[:-1]
+        cut[np.append(0, ends[:-1])] = True
+        begin = np.flatnonzero(cut)
+        offsets = np.append(begin, len(blob)).astype(np.int64)
+        pieces = pa.Array.from_buffers(pa.large_string(), len(begin), [None, pa.py_buffer(offsets), pa.py_buffer(blob)]).dictionary_encode()
+        ids = list(map(self.of_piece, pieces.dictionary.to_numpy(zero_copy_only=False).tolist()))
+        # A batch of texts is far from 2^31 ids, or none of them could be an array of ids.
+        sizes = np.fromiter(map(len, ids), dtype=np.int32, count=len(ids)) // 4
+        known, at = np.frombuffer(b"".join(ids), dtype="<u4"), np.cumsum(sizes, dtype=np.int32) - sizes
+        which = pieces.indices.to_numpy()
+        n = sizes[which]
+        until = np.cumsum(n, dtype=np.int32)
+        place = np.repeat(at[which] - (until - n), n)
+        place += np.arange(until[-1], dtype=np.int32)
+        out = known[place]
+        return out, until[np.searchsorted(begin, ends) - 1]
 
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
-        for store in (self.pieces, self.behind_blank):
-            if len(store) > MAX_PIECES:
-                store.clear()
-        return [self.encode(x) for x in texts]
+        """Little-endian 32-bit ids of each text; null is empty."""
+        out = [b""] * len(texts)
+        simple = []
+        for i, x in enumerate(texts):
+            if x and _GAP.search(x):
+                out[i] = b"".join(map(self.of_piece, self.cut(x)))
+            elif x:
+                simple.append(i)
+        if simple:
+            ids, ends = self.encode_simple([texts[i] for i in simple])
+            raw, begin = ids.tobytes(), 0
+            for i, end in zip(simple, (ends.astype(np.int64) * 4).tolist()):
+                out[i], begin = raw[begin:end], end
+        return out
 
 
 def write_tokens(documents: DataFrame, vocab_path: str, path: str, end_id: int = END_ID) -> None:
@@ -156,7 +171,7 @@ def write_tokens(documents: DataFrame, vocab_path: str, path: str, end_id: int =
         shard, at = TaskContext.get().partitionId(), 0
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1).to_pylist()
-            for a, b in in_chunks(texts, 300_000):
+            for a, b in in_chunks(texts, BATCH_CHARS):
                 raw = [x + end for x in encoder.encode_batch(texts[a:b])]
                 sizes = np.array([len(x) // 4 for x in raw], dtype=np.int64)
                 offsets = np.zeros(len(raw) + 1, dtype=np.int32)
