@@ -1,8 +1,11 @@
 """The ten operators against brute force on small rows with nulls, empty and very long texts, ties and repeated rows."""
 
 import hashlib
+import os
 import random
 import re
+import subprocess
+import sys
 import zlib
 from collections import Counter, defaultdict
 
@@ -394,14 +397,33 @@ def test_token_files(spark, docs):
         assert np.frombuffer(y, dtype="<u4").tolist() == tokenizer.encode(x, add_special_tokens=False).ids, x
 
 
+def test_a_worker_gives_memory_back_when_it_forgets():
+    import corpus_pipeline
+
+    code = """
+import re
+from veinloom.llm import worker_cache
+used = lambda: int(re.search(r"VmRSS:\\s+(\\d+)", open("/proc/self/status").read())[1]) // 1024
+before = used()
+worker_cache.kept(("x",), lambda: [bytes(600 + i % 7) for i in range(300_000)])
+full, last = used(), [bytes(600) for _ in range(100)]
+worker_cache.forget()
+print(full - before, used() - before)
+"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=os.path.dirname(corpus_pipeline.__file__))
+    full, left = map(int, done.stdout.split())
+    assert full > 150 and left < 40, (full, left)
+
+
 def test_a_batch_of_texts_looks_each_different_piece_up_once():
     from tokenizers import Tokenizer
 
+    r = random.Random(11)
     path = bpe.vocabulary("byte_bpe_50k.json")
     tokenizer, encoder, asked = Tokenizer.from_file(path), token_files.PieceEncoder(path), []
     of_piece = encoder.of_piece
     encoder.of_piece = lambda piece: asked.append(piece) or of_piece(piece)
-    texts = ["a b a\nb a ", None, "", "\n", " ", "no gap, 中文 b\na", "two  blanks \n here", "\u2003b a", "b's 12<|x|>.\n"] + ["".join(rng.choice("ab 1.\né'A’中") for _ in range(rng.randint(1, 9))) for _ in range(300)]
+    texts = ["a b a\nb a ", None, "", "\n", " ", "no gap, 中文 b\na", "two  blanks \n here", "\u2003b a", "b's 12<|x|>.\n"] + ["".join(r.choice("ab 1.\né'A’中") for _ in range(r.randint(1, 9))) for _ in range(300)]
     for x, y in zip(texts, encoder.encode_batch(texts)):
         assert np.frombuffer(y, dtype="<u4").tolist() == (tokenizer.encode(x, add_special_tokens=False).ids if x else []), x
     asked.clear()
