@@ -662,6 +662,32 @@ def test_line_dedup_recall_at_the_threshold(spark):
     assert not rows[1]["removed"] and len(rows[2]["removed"]) >= 0.97 * len(lines)
 
 
+def test_alike_lines_are_compared_once_a_label(spark, monkeypatch):
+    """Buckets of one least node share their lines' sets and what is known of pairs; larger labels go bucket by bucket."""
+    sets = [np.arange(a, a + 100, dtype=np.uint64) for a in (0, 5, 200, 10, 60)]
+    compared, concatenate = [], np.concatenate
+    monkeypatch.setattr(line_dedup.np, "concatenate", lambda *a: compared.append(1) or concatenate(*a))
+    within = [[0, 1, 3], [0, 1], [1, 3], [0, 3], [0, 2], [0, 2, 4], [2, 4], [1, 4], [3, 4]]
+    assert line_dedup.links_within(sets, within, 80) == [0, 0, 2, 0, 4]
+    assert len(compared) == 7  # 2 links and 5 pairs that are apart, each once
+    monkeypatch.undo()
+
+    r = random.Random(8)
+    x = "".join(r.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(300)).strip()
+    alike = [x[:at] + "#" + x[at + 1 :] for at in range(20, 260, 20)]
+    texts = {k: "\n".join([prose(20, 8000 + k), "", line, prose(25, 8100 + k)]) for k, line in enumerate(alike)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    with storage.Scratch(spark) as scratch:
+        several = line_dedup.shared_keys(line_dedup.line_rows(df), 40, scratch)
+        # Fewer texts are sent than there are rows in buckets.
+        assert several.select("label", "node").distinct().count() < line_dedup.different(several).count()
+    want = {k: sorted(v) for k, v in brute_lines(texts).items()}
+    assert len(want) == len(alike) - 1
+    for block in (2048, 4):
+        rows = got(line_dedup.removed_lines(df, block=block))
+        assert {k: v["removed"] for k, v in rows.items() if v["removed"]} == want and {v["n_lines"] for v in rows.values()} == {3}
+
+
 def brute_hits(text, windows):
     """Numbers of the words of a text that lie in windows, and the words' places."""
     places = [m.span() for m in re.finditer("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", text)]
