@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import pytest
 
 from veinloom.operators import graph as G
+from veinloom.operators import nearest as near
 from veinloom.operators.nearest import nearest
 from veinloom.plans import registry
 
@@ -134,3 +135,16 @@ def test_sorts_return_every_row_in_order(run):
     assert [tuple(r) for r in run("sort_single", **tables).collect()] == [x[:2] for x in sorted(orders)]
     assert [tuple(r) for r in run("sort_multi", **tables).collect()] == [x[:2] for x in sorted(orders, key=lambda x: (-x[2], x[0]))]
     assert run("topk", **tables).count() == 20
+
+
+@pytest.mark.parametrize("numbers", [1 << 22, 4])
+def test_every_vector_meets_every_other(run, monkeypatch, numbers):
+    """Queries are all vectors, not those of some ids only; also where they come in many blocks."""
+    monkeypatch.setattr(near, "BLOCK_NUMBERS", numbers)
+    vectors = [(20, [1.0, 0.0]), (21, [3.0, 4.0]), (22, [0.0, 2.0]), (23, None), (24, [0.0, 0.0]), (-1, []), (None, [1.0, 1.0]), (7, [1.0, None])]
+    schema = "vec_id long, embedding array<float>"
+    length = lambda v: sum(x * x for x in v) ** 0.5
+    value = lambda v, w: None if not v or not w or None in v + w else "nan" if not any(v) or not any(w) else round(sum(x * y for x, y in zip(v, w)) / length(v) / length(w), 6)
+    asked = {(q, o): value(v, w) for q, v in vectors for o, w in vectors if None not in (q, o) and q != o}
+    found = run("vec_cosine", embeddings=(vectors, schema)).collect()
+    assert len(found) == len(asked) and {(q, o): "nan" if c != c else c for q, o, c in found} == asked
