@@ -148,3 +148,12 @@ def test_every_vector_meets_every_other(run, monkeypatch, numbers):
     asked = {(q, o): value(v, w) for q, v in vectors for o, w in vectors if None not in (q, o) and q != o}
     found = run("vec_cosine", embeddings=(vectors, schema)).collect()
     assert len(found) == len(asked) and {(q, o): "nan" if c != c else c for q, o, c in found} == asked
+
+
+def test_every_pair_is_judged(run):
+    vectors = [(i, [float(i % 7) - 3, 1.0, float(-i % 5)]) for i in range(1, 25)]
+    dot = lambda x, y: sum(p * q for p, q in zip(x, y))
+    cosine = lambda x, y: round(dot(x, y) / (dot(x, x) * dot(y, y)) ** 0.5, 6)
+    rules = {(q, o): (c > 0.1, 0.5 * c > 0.1, (0.5 + c) / 2 > 0.3) for q, v in vectors for o, w in vectors if o != q for c in [cosine(v, w)]}
+    found = run("vec_threshold", embeddings=(vectors, "vec_id long, embedding array<double>")).collect()
+    assert len(found) == len(rules) and {(r[0], r[1]): tuple(r[2:]) for r in found} == rules
