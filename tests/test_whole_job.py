@@ -182,3 +182,27 @@ def test_nearest_vectors_take_bounded_memory():
     for at in range(0, n, 400):
         score = np.round(unit @ unit[at], 6)
         assert by[ids[at]] == sorted((-score[x], ids[x]) for x in range(n) if x != at)[:k]
+
+
+@pytest.mark.parametrize("group", [G.GROUP_LINKS, 150])
+def test_communities_take_few_jobs(spark, monkeypatch, group):
+    """In one group of communities, and in several: no single move raises the modularity, and rounds are few."""
+    monkeypatch.setattr(G, "GROUP_LINKS", group)
+    r = random.Random(5)
+    edges = {(i, i + 1): r.randint(1, 9) for i in range(119)} | {tuple(sorted(r.sample(range(120), 2))): r.randint(1, 9) for _ in range(40)}
+    name = f"communities-{group}"
+    spark.sparkContext.setJobGroup(name, name)
+    found = {x["node"]: x["community"] for x in G.communities(spark.createDataFrame([(f"n{a:03}", f"n{b:03}", w) for (a, b), w in edges.items()], "a string, b string, weight long")).collect()}
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert found.keys() == {f"n{i:03}" for i in range(120)} and all(found[c] == c for c in found.values())
+    into, k, total = defaultdict(Counter), Counter(), Counter()
+    for (a, b), w in edges.items():
+        for x, y in ((f"n{a:03}", f"n{b:03}"), (f"n{b:03}", f"n{a:03}")):
+            k[x] += w
+            into[x][found[y]] += w
+    for x, c in found.items():
+        total[c] += k[x]
+    gain = lambda x, c: into[x][c] - k[x] * (total[c] - (k[x] if c == found[x] else 0)) / sum(k.values())
+    assert not [x for x in found if max(gain(x, c) for c in list(into[x])) > gain(x, found[x]) + 1e-6]
+    assert group == 150 or jobs < 300  # 739 before
