@@ -13,6 +13,7 @@ import pytest
 
 from veinloom.operators import graph as G
 from veinloom.operators import nearest as near
+from veinloom.operators import tagger
 from veinloom.operators.nearest import nearest
 from veinloom.plans import registry
 
@@ -206,3 +207,38 @@ def test_communities_take_few_jobs(spark, monkeypatch, group):
     gain = lambda x, c: into[x][c] - k[x] * (total[c] - (k[x] if c == found[x] else 0)) / sum(k.values())
     assert not [x for x in found if max(gain(x, c) for c in list(into[x])) > gain(x, found[x]) + 1e-6]
     assert group == 150 or jobs < 300  # 739 before
+
+
+def test_tagger_learns_in_batches_what_it_learns_one_by_one(monkeypatch):
+    """The same weights as from one sentence after the other, though each different window of words is hashed once only and
+    most sentences are tagged together."""
+    r = random.Random(4)
+    names = {("ann", "lee"): 0, ("oslo",): 1, ("bob",): 0}
+    text = " ".join(r.choice(["Ann Lee met Bob in Oslo.", "Nobody saw Oslo.", "Bob, then Lee.", "In Oslo Ann left.", "Then it ended"]) + r.choice(["", " So", "\n"]) for _ in range(900))
+    hashed, decoded = [], []
+    monkeypatch.setattr(tagger, "_hashed", lambda *w, f=tagger._hashed: hashed.append(w) or f(*w))
+    monkeypatch.setattr(tagger.Tagger, "decode_all", lambda self, *x, f=tagger.Tagger.decode_all: decoded.append(1) or f(self, *x))
+    monkeypatch.setattr(tagger, "_KNOWN", tagger.Features())
+    start = np.zeros((5, tagger.SIZE + 6))
+    batch = pa.RecordBatch.from_arrays([pa.array([text, None, ""])], names=["_text"])
+    found = next(tagger._pass(iter([batch]), SimpleNamespace(value=start), SimpleNamespace(value=names), ["person", "place"]))
+    sentences = tagger.tokens_of(text)
+    assert len(hashed) == len(set(hashed)) < 100 and len(decoded) < len(sentences) / 4
+    weights, late, one = start.copy(), np.zeros_like(start), tagger.Tagger(["person", "place"])
+    one.weights = weights
+    for step, places in enumerate(sentences, 1):
+        x = tagger.features([text[a:b] for a, b in places])
+        gold, got = tagger.projected(places, text, names, {"ann": 2, "oslo": 1, "bob": 1}), one.decode(x)
+        for i, (g, w) in enumerate(zip(gold, got)):
+            last = (gold[i - 1], got[i - 1]) if i else (5, 5)
+            for tag, before, by in ((g, last[0], 1.0), (w, last[1], -1.0)):
+                if g != w:
+                    np.add.at(weights[tag], x[i], by)
+                    np.add.at(late[tag], x[i], by * step)
+                if (last[0], g) != (last[1], w):
+                    weights[tag, tagger.SIZE + before] += by
+                    late[tag, tagger.SIZE + before] += by * step
+    n, flat = len(sentences), np.zeros(start.size)
+    at, value = (found.column(i).to_numpy() for i in (0, 1))
+    flat[at[:-1]] = value[:-1]
+    assert value[-1] == n and weights.any() and np.allclose(flat, (weights - late / (n + 1)).ravel() * n)
