@@ -10,6 +10,7 @@ from types import SimpleNamespace
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from veinloom.operators import graph as G
 from veinloom.operators import nearest as near
@@ -242,3 +243,15 @@ def test_tagger_learns_in_batches_what_it_learns_one_by_one(monkeypatch):
     at, value = (found.column(i).to_numpy() for i in (0, 1))
     flat[at[:-1]] = value[:-1]
     assert value[-1] == n and weights.any() and np.allclose(flat, (weights - late / (n + 1)).ravel() * n)
+
+
+def test_names_are_looked_for_on_all_cores(spark):
+    """Texts that lie in one partition are dealt out before they are tagged."""
+    texts = spark.range(40).selectExpr("id", "'Ann met Bob' AS text").coalesce(1)
+    model = tagger.Tagger(["person"])
+    model.weights[1] = 1.0
+    found = tagger.named_spans(texts, "id", "text", model)
+    assert found.select("id").distinct().count() == 40
+    at = tagger.named_spans(texts, "id", "text", model).withColumn("at", F.spark_partition_id())
+    assert at.select("at").distinct().count() >= 2
+    assert tagger.mask_names(texts, "text", model).withColumn("at", F.spark_partition_id()).select("at").distinct().count() >= 2
