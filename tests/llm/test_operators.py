@@ -792,3 +792,23 @@ def test_bpe_words_are_cut_and_proposed_together():
     for x in pieces:
         ids = own.library.encode(x, add_special_tokens=False).ids
         assert own.pieces[x] == (len(ids), " ".join(map(str, ids)), own.library.decode(ids, skip_special_tokens=False))
+
+
+def test_marks_lose_no_chosen_row(spark):
+    """At the first and last bit of a bucket too, with null ids, and few others pass."""
+    rows = spark.range(40_000).select(F.when(F.col("id") % 7 > 0, F.col("id")).alias("a"), (F.col("id") * 3).alias("b"))
+    chosen = rows.where("b % 5 = 0")
+    may = jaccard_join.may_be_among(chosen, ["a", "b"])
+    assert chosen.where(~may(F.col("a"), F.col("b"))).count() == 0
+    assert rows.where("b % 5 > 0").where(may(F.col("a"), F.col("b"))).count() < 3_200
+
+
+def test_keys_are_not_written_and_texts_not_shuffled(spark, tmp_path, monkeypatch):
+    """Lists of keys take more room than texts, and of texts only those with a possible partner are shuffled."""
+    written = []
+    monkeypatch.setattr(jaccard_join.Scratch, "written", lambda self, df, name, f=jaccard_join.Scratch.written: written.append((name, df.columns)) or f(self, df, name))
+    words = [" ".join(f"w{i * 31 + j}" for j in range(60)) for i in range(50)]
+    docs = spark.createDataFrame([(i, x) for i, x in enumerate([*words, words[0] + " more", words[3]])], "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in jaccard_join.near_components(docs).collect()}
+    assert found == {i: {50: 0, 51: 3}.get(i, i) for i in range(52)}
+    assert not [x for x in written if "keys" in x[1]] and "chosen" in [x[0] for x in written]

@@ -20,7 +20,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veinloom.llm.components import connected_components
@@ -39,6 +39,8 @@ PIVOTS = 64
 LEAF = 16
 #: Ways of cutting the hash range; a set goes on to the next if it leaves too many groups of the one before empty.
 SEEDS = 4
+#: Bits that say which texts may be chosen (16 MB).
+MARKS = 1 << 27
 MAX_WORDS_KNOWN = 500_000
 MAX_NODES_KNOWN = 500_000
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
@@ -252,32 +254,71 @@ def beside(documents: DataFrame, found: DataFrame, value: str) -> DataFrame:
     return documents.join(named, same, "left").drop(doc, h)
 
 
-def signatures(documents: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """doc_id, h, size of the set, node and check (hashes of the whole set, 128 bits together; null if it is empty) and,
-    once for each node in a task, its keys."""
+def signatures(documents: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """doc_id, h, size of the set, node and check (hashes of the whole set, 128 bits together; null if it is empty)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
-        known, nodes, bounds = _Words(), set(), size_class_bounds(percent, 1 << 30)
+        known = _Words()
         for batch in batches:
             texts = batch.column(2).to_pylist()
             for a, b in in_chunks(texts, 1_000_000):
                 sets = shingle_sets(texts[a:b], known, shingle)
-                both = [xxhash.xxh3_128_intdigest(s.tobytes(), seed=len(s)) if len(s) else None for s in sets]
-                node = [None if x is None else (x >> 64) - (1 << 63) for x in both]
-                keys = []
-                for x, s in zip(node, sets):
-                    keys.append(block_keys(s, percent, bounds) if x is not None and x not in nodes else np.zeros(0, dtype=np.int64))
-                    nodes.add(x)
+                both = [set_hash(s) for s in sets]
+                node = pa.array([None if x is None else (x >> 64) - (1 << 63) for x in both], pa.int64())
+                check = pa.array([None if x is None else (x & ((1 << 64) - 1)) - (1 << 63) for x in both], pa.int64())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()), node, check], names=["doc_id", "h", "n", "node", "check"])
+
+    return identified(documents).mapInArrow(run, "doc_id long, h long, n long, node long, check long")
+
+
+def set_hash(s: np.ndarray) -> int | None:
+    """128 bits of a set; none if it is empty."""
+    return xxhash.xxh3_128_intdigest(s.tobytes(), seed=len(s)) if len(s) else None
+
+
+def key_lists(documents: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """node and its keys, once for each node in a task. They take more room than the texts, so they are made where they are
+    shuffled, from the texts once more, and never written."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
+        known, nodes, bounds = _Words(), set(), size_class_bounds(percent, 1 << 30)
+        for batch in batches:
+            texts = batch.column(0).to_pylist()
+            for a, b in in_chunks(texts, 1_000_000):
+                node, keys = [], [np.zeros(0, dtype=np.int64)]
+                for s in shingle_sets(texts[a:b], known, shingle):
+                    if len(s) and (x := (set_hash(s) >> 64) - (1 << 63)) not in nodes:
+                        nodes.add(x)
+                        node.append(x)
+                        keys.append(block_keys(s, percent, bounds))
                 if len(nodes) > MAX_NODES_KNOWN:
                     nodes.clear()
-                offsets = np.zeros(len(keys) + 1, dtype=np.int32)
-                np.cumsum([len(k) for k in keys], out=offsets[1:])
-                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(keys)))
-                check = pa.array([None if x is None else (x & ((1 << 64) - 1)) - (1 << 63) for x in both], pa.int64())
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()), pa.array(node, pa.int64()), check, lists], names=["doc_id", "h", "n", "node", "check", "keys"])
+                offsets = np.cumsum([len(k) for k in keys], dtype=np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(keys)))], names=["node", "keys"])
+
+    return documents.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "node long, keys array<long>")
+
+
+def may_be_among(chosen: DataFrame, keys: list[str]) -> Callable[..., Column]:
+    """A condition that holds for all rows with the keys of chosen, and for few others: bits of hashes, at most MARKS of them. So
+    texts that are not chosen need not be shuffled to find that out."""
+    marks = min(MARKS, max(1 << 15, 1 << (64 * chosen.count()).bit_length()))
+    place = lambda *c: F.pmod(F.xxhash64(*c), F.lit(marks))
+    x = chosen.select((place(*keys) + 1).alias("x"))  # bits of buckets are counted from 1
+    rows = x.groupBy(F.bitmap_bucket_number("x").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("x")).alias("bits")).toArrow().to_pylist()
+    bits = np.zeros(marks >> 3, dtype=np.uint8)
+    for r in rows:  # 32,768 bits each
+        bits[(r["k"] - 1) << 12 : r["k"] << 12] = np.frombuffer(r["bits"], dtype=np.uint8)
+    sent = chosen.sparkSession.sparkContext.broadcast(bits)
+
+    @F.pandas_udf("boolean")
+    def marked(at: pd.Series) -> pd.Series:
+        v = at.to_numpy()
+        return pd.Series((sent.value[v >> 3] >> (v & 7).astype(np.uint8)) & 1 == 1)
 
-    return identified(documents).mapInArrow(run, "doc_id long, h long, n long, node long, check long, keys array<long>")
+    return lambda *c: marked(place(*c))
 
 
 _TASK = "task string, node long, part long, side int, text string"
@@ -409,14 +450,14 @@ def near_components(documents: DataFrame, shingle: int = SHINGLE, percent: int =
     before rows count as equal.
     """
     with Scratch(documents.sparkSession) as scratch:
-        signed = scratch.written(signatures(documents, shingle, percent), "keys")
-        rows = scratch.written(signed.drop("keys"), "rows")
-        clusters = scratch.written(key_clusters(signed, scratch), "clusters")
-        scratch.drop(signed, collect=True)
+        rows = scratch.written(signatures(documents, shingle), "rows")
+        clusters = scratch.written(key_clusters(key_lists(documents, shingle, percent), scratch), "clusters")
+        scratch.collect_garbage()
         # One row stands for each node; only nodes with a possible partner are read again.
         stands = rows.where("node is not null").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h", "check")).alias("at"))
         chosen = stands.join(clusters, "node").select(F.col("at.doc_id").alias("_doc"), F.col("at.h").alias("_h"), "node", "root")
-        texts = identified(documents)
+        chosen = scratch.written(chosen, "chosen")
+        texts = identified(documents).where(may_be_among(chosen, ["_doc", "_h"])(F.col("doc_id"), F.col("h")))
         read = texts.join(chosen, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("h") == F.col("_h")))
         # Repeated rows of one id and text are one member.
         members = scratch.written(read.groupBy("node", "root").agg(F.max("text").alias("text")), "members")
